@@ -8,43 +8,69 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
+TEXT, LONG, REAL, FLAG, TIME = (
+    T.StringType(),
+    T.LongType(),
+    T.DoubleType(),
+    T.BooleanType(),
+    T.TimestampType(),
+)
 
-def _fields(ddl: str) -> T.StructType:
-    return T.StructType.fromDDL(ddl)
 
+def record(**fields: T.DataType) -> T.StructType:
+    return T.StructType([T.StructField(name, kind, True) for name, kind in fields.items()])
 
-GEO = "STRUCT<city: STRING, state: STRING, country: STRING>"
-SESSION_GEO = "STRUCT<city: STRING, state: STRING, country: STRING, ip_address: STRING>"
-DEVICE = "STRUCT<type: STRING, os: STRING, browser: STRING>"
-PAGE_VIEW = (
-    "STRUCT<timestamp: TIMESTAMP, page_type: STRING, product_id: STRING, "
-    "category_id: STRING, view_duration: BIGINT>"
-)
-ITEM = "STRUCT<product_id: STRING, quantity: BIGINT, unit_price: DOUBLE, subtotal: DOUBLE>"
-SUBCATEGORY = "STRUCT<subcategory_id: STRING, name: STRING, profit_margin: DOUBLE>"
 
-USERS = _fields(
-    f"user_id STRING, geo_data {GEO}, registration_date TIMESTAMP, last_active TIMESTAMP"
+GEO = record(city=TEXT, state=TEXT, country=TEXT)
+SESSION_GEO = record(city=TEXT, state=TEXT, country=TEXT, ip_address=TEXT)
+DEVICE = record(type=TEXT, os=TEXT, browser=TEXT)
+PAGE_VIEW = record(
+    timestamp=TIME, page_type=TEXT, product_id=TEXT, category_id=TEXT, view_duration=LONG
 )
-CATEGORIES = _fields(f"category_id STRING, name STRING, subcategories ARRAY<{SUBCATEGORY}>")
-PRODUCTS = _fields(
-    "product_id STRING, name STRING, category_id STRING, base_price DOUBLE, "
-    "current_stock BIGINT, is_active BOOLEAN, "
-    "price_history ARRAY<STRUCT<price: DOUBLE, date: TIMESTAMP>>, creation_date TIMESTAMP"
+ITEM = record(product_id=TEXT, quantity=LONG, unit_price=REAL, subtotal=REAL)
+SUBCATEGORY = record(subcategory_id=TEXT, name=TEXT, profit_margin=REAL)
+PRICE = record(price=REAL, date=TIME)
+CART_LINE = record(quantity=LONG, price=REAL)
+
+USERS = record(user_id=TEXT, geo_data=GEO, registration_date=TIME, last_active=TIME)
+CATEGORIES = record(category_id=TEXT, name=TEXT, subcategories=T.ArrayType(SUBCATEGORY))
+PRODUCTS = record(
+    product_id=TEXT,
+    name=TEXT,
+    category_id=TEXT,
+    base_price=REAL,
+    current_stock=LONG,
+    is_active=FLAG,
+    price_history=T.ArrayType(PRICE),
+    creation_date=TIME,
 )
-TRANSACTIONS = _fields(
-    "transaction_id STRING, session_id STRING, user_id STRING, timestamp TIMESTAMP, "
-    f"items ARRAY<{ITEM}>, subtotal DOUBLE, discount DOUBLE, total DOUBLE, "
-    "payment_method STRING, status STRING"
+TRANSACTIONS = record(
+    transaction_id=TEXT,
+    session_id=TEXT,
+    user_id=TEXT,
+    timestamp=TIME,
+    items=T.ArrayType(ITEM),
+    subtotal=REAL,
+    discount=REAL,
+    total=REAL,
+    payment_method=TEXT,
+    status=TEXT,
 )
-SESSIONS = _fields(
-    "session_id STRING, user_id STRING, start_time TIMESTAMP, end_time TIMESTAMP, "
-    f"duration_seconds BIGINT, geo_data {SESSION_GEO}, device_profile {DEVICE}, "
-    f"viewed_products ARRAY<STRING>, page_views ARRAY<{PAGE_VIEW}>, "
-    "cart_contents MAP<STRING, STRUCT<quantity: BIGINT, price: DOUBLE>>, "
-    "conversion_status STRING, referrer STRING"
+SESSIONS = record(
+    session_id=TEXT,
+    user_id=TEXT,
+    start_time=TIME,
+    end_time=TIME,
+    duration_seconds=LONG,
+    geo_data=SESSION_GEO,
+    device_profile=DEVICE,
+    viewed_products=T.ArrayType(TEXT),
+    page_views=T.ArrayType(PAGE_VIEW),
+    cart_contents=T.MapType(TEXT, CART_LINE),
+    conversion_status=TEXT,
+    referrer=TEXT,
 )
-CELLS = _fields("row_key STRING, family STRING, qualifier STRING, value STRING, version BIGINT")
+CELLS = record(row_key=TEXT, family=TEXT, qualifier=TEXT, value=TEXT, version=LONG)
 
 ENTITIES = {
     "users": USERS,
