@@ -80,12 +80,10 @@ def sort_price_history(products: DataFrame) -> DataFrame:
 
 
 def price_timeline(
-    changes: DataFrame, tie: Sequence[str] = (), *, heavy: Heavy = PROBE, **cut
+    changes: DataFrame, tie: Sequence[str] = (), *, heavy: Heavy = PROBE
 ) -> DataFrame:
     """Number price changes (product_id, date, price) from 1, by date, then price."""
-    return ordered(
-        changes, ["product_id"], ["date", "price", *tie], position="seq", heavy=heavy, **cut
-    )
+    return ordered(changes, ["product_id"], ["date", "price", *tie], position="seq", heavy=heavy)
 
 
 def price_summary(changes: DataFrame) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from shopwright.operators.ordered import PROBE, Heavy, ordered
 
 
-def _offers(products, demands, order, heavy, cut) -> DataFrame:
+def _offers(products, demands, order, heavy) -> DataFrame:
     """Demands that could be filled at all, with the product's starting stock.
 
     Stock only falls. So once a demand for q units is refused, every later demand
@@ -25,7 +25,6 @@ def _offers(products, demands, order, heavy, cut) -> DataFrame:
         order,
         position="turn",
         heavy=heavy,
-        **cut,
     )
     stock = products.select("product_id", F.col("current_stock").cast("bigint").alias("stock"))
     return placed.join(stock, "product_id").filter(
@@ -39,17 +38,16 @@ def stock_depletion(
     order: Sequence[str],
     *,
     heavy: Heavy = PROBE,
-    **cut,
 ) -> DataFrame:
     """Serve demands in order: take the quantity if the stock covers it, else skip that demand.
 
     ``demands`` has product_id, whole-unit quantity and the order columns. Gives
     one row per product; demands for unknown products are refused and not listed.
     """
-    offers = _offers(products, demands, order, heavy, cut)
+    offers = _offers(products, demands, order, heavy)
     served = offers.groupBy("product_id").agg(
         F.first("stock").alias("stock"),
-        F.array_sort(F.collect_list(F.struct(*order, "turn", "quantity"))).alias("queue"),
+        F.array_sort(F.collect_list(F.struct(*order, "quantity", "turn"))).alias("queue"),
     )
     state = F.struct(F.col("stock").alias("left"), F.lit(0).cast("bigint").alias("filled"))
     folded = served.select(

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shopwright.operators.ordered import GROUP_ROWS, PROBE, Heavy, ordered
+from shopwright.operators.ordered import PROBE, Heavy, ordered
 
 # Longest array in one nested row. A longer group continues in further parts.
 PART_ROWS = 1_000
@@ -22,16 +22,15 @@ def nest(
     *,
     part_rows: int = PART_ROWS,
     heavy: Heavy = PROBE,
-    group_rows: int = GROUP_ROWS,
 ) -> DataFrame:
     """Collect ``fields`` of each group into an array of structs sorted by ``order``.
 
     A group gives one row per ``part_rows`` members, numbered by ``part`` from 0,
     so no row grows with the size of its group and nothing is left out.
     """
-    placed = ordered(
-        df, keys, order, position="__pos", heavy=heavy, group_rows=group_rows
-    ).withColumn("part", F.floor((F.col("__pos") - 1) / part_rows).cast("int"))
+    placed = ordered(df, keys, order, position="__pos", heavy=heavy).withColumn(
+        "part", F.floor((F.col("__pos") - 1) / part_rows).cast("int")
+    )
     member = F.struct("__pos", *fields)
     return (
         placed.groupBy(*keys, "part")

@@ -17,7 +17,9 @@ from pyspark.sql import functions as F
 
 from shopwright.shared import checkpointed
 
-# Groups beyond this many rows are cut. Below it one task sorts a group with ease.
+# Groups beyond this many rows are cut; below it one task sorts a group with ease.
+# A session may set another bound under this name.
+GROUP_ROWS_CONF = "spark.shopwright.groupRows"
 GROUP_ROWS = 2_000_000
 
 # Size of the sketch that looks for heavy groups: any group with more than about
@@ -39,24 +41,25 @@ PROBE = _Probe()
 Heavy = Column | None | _Probe
 
 
-def heavy_groups(df: DataFrame, keys: Sequence[str], group_rows: int = GROUP_ROWS) -> Column | None:
-    """Predicate for rows in groups of more than ``group_rows`` rows; None if there are none.
+def heavy_groups(df: DataFrame, keys: Sequence[str]) -> Column | None:
+    """Predicate for rows in groups too large for one task; None if there are none.
 
     One aggregation over the key columns. Each task sends one frequent-items
     sketch and the driver receives at most HEAVY_MAX numbers.
     """
+    bound = int(df.sparkSession.conf.get(GROUP_ROWS_CONF, str(GROUP_ROWS)))
     digest = F.xxhash64(*keys)
     found = (
         df.select(digest.alias("h"))
         .agg(F.expr(f"approx_top_k(h, {HEAVY_MAX}, {SKETCH_ITEMS})").alias("top"))
         .first()["top"]
     )
-    heavy = [entry["item"] for entry in found or [] if entry["count"] > group_rows]
+    heavy = [entry["item"] for entry in found or [] if entry["count"] > bound]
     return digest.isin(heavy) if heavy else None
 
 
-def resolve_heavy(df: DataFrame, keys: Sequence[str], heavy: Heavy, group_rows: int) -> Column | None:
-    return heavy_groups(df, keys, group_rows) if isinstance(heavy, _Probe) else heavy
+def resolve_heavy(df: DataFrame, keys: Sequence[str], heavy: Heavy) -> Column | None:
+    return heavy_groups(df, keys) if isinstance(heavy, _Probe) else heavy
 
 
 def ordered(
@@ -69,7 +72,6 @@ def ordered(
     leads: Mapping[str, str] | None = None,
     running: Mapping[str, str] | None = None,
     heavy: Heavy = PROBE,
-    group_rows: int = GROUP_ROWS,
 ) -> DataFrame:
     """Add row numbers, neighbour values and running sums per group, ascending by ``order``.
 
@@ -79,7 +81,7 @@ def ordered(
     holds for whole groups (see :func:`heavy_groups`), None, or PROBE.
     """
     lags, leads, running = dict(lags or {}), dict(leads or {}), dict(running or {})
-    cut = resolve_heavy(df, keys, heavy, group_rows)
+    cut = resolve_heavy(df, keys, heavy)
     if cut is None:
         return _plain(df, keys, order, position, lags, leads, running)
     return _plain(df.filter(~cut), keys, order, position, lags, leads, running).unionByName(

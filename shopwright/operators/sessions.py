@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from shopwright.functions import epoch_micros, whole_seconds
 from shopwright.operators.nesting import nest, unnest
-from shopwright.operators.ordered import PROBE, Heavy, ordered, resolve_heavy, GROUP_ROWS
+from shopwright.operators.ordered import PROBE, Heavy, ordered, resolve_heavy
 
 # The page types that mean a visitor reached the till.
 CHECKOUT_PAGES = ("checkout", "confirmation")
@@ -82,7 +82,6 @@ def assign_sessions(
     gap_seconds: int = GAP_SECONDS,
     *,
     heavy: Heavy = PROBE,
-    group_rows: int = GROUP_ROWS,
 ) -> DataFrame:
     """Every event with session_no and its session's start and end.
 
@@ -92,7 +91,7 @@ def assign_sessions(
     if it must shuffle, splits the skewed side.
     """
     events = events.filter(F.col("user_id").isNotNull() & F.col("ts").isNotNull())
-    cut = resolve_heavy(events, ["user_id"], heavy, group_rows)
+    cut = resolve_heavy(events, ["user_id"], heavy)
     light = events if cut is None else events.filter(~cut)
     gap = gap_seconds * 1_000_000
     by_user = Window.partitionBy("user_id").orderBy("ts", tie)
@@ -127,11 +126,16 @@ def view_durations(
     order: Sequence[str],
     end: str,
     *,
+    position: str | None = None,
     heavy: Heavy = PROBE,
-    **cut,
 ) -> DataFrame:
-    """Seconds on each page: up to the next view, or up to the session's end for the last."""
-    following = ordered(page_views, keys, order, leads={"__next": order[0]}, heavy=heavy, **cut)
+    """Seconds on each page: up to the next view, or up to the session's end for the last.
+
+    ``position`` names the number of the view in its session, from 1.
+    """
+    following = ordered(
+        page_views, keys, order, leads={"__next": order[0]}, position=position, heavy=heavy
+    )
     until = F.coalesce("__next", end)
     return following.withColumn(
         "view_duration", whole_seconds(epoch_micros(until) - epoch_micros(order[0]))
@@ -150,10 +154,9 @@ def page_transitions(
     order: Sequence[str],
     *,
     heavy: Heavy = PROBE,
-    **cut,
 ) -> DataFrame:
     """How often one page type follows another, and the share among all that follow it."""
-    steps = ordered(page_views, keys, order, lags={"prev": "page_type"}, heavy=heavy, **cut)
+    steps = ordered(page_views, keys, order, lags={"prev": "page_type"}, heavy=heavy)
     counted = (
         steps.filter(F.col("prev").isNotNull())
         .groupBy("prev", F.col("page_type").alias("next"))
@@ -170,18 +173,17 @@ def session_paths(
     fields: Sequence[str],
     *,
     heavy: Heavy = PROBE,
-    **cut,
 ) -> DataFrame:
     """Page views nested per session in viewing order."""
-    return nest(page_views, keys, order, fields, "page_views", heavy=heavy, **cut)
+    return nest(page_views, keys, order, fields, "page_views", heavy=heavy)
 
 
 def viewed_products(
-    page_views: DataFrame, keys: Sequence[str], *, heavy: Heavy = PROBE, **cut
+    page_views: DataFrame, keys: Sequence[str], *, heavy: Heavy = PROBE
 ) -> DataFrame:
     """Distinct products viewed per session, sorted, as an array."""
     distinct = page_views.filter(F.col("product_id").isNotNull()).select(*keys, "product_id").distinct()
-    nested = nest(distinct, keys, ["product_id"], ["product_id"], "viewed_products", heavy=heavy, **cut)
+    nested = nest(distinct, keys, ["product_id"], ["product_id"], "viewed_products", heavy=heavy)
     return nested.withColumn(
         "viewed_products", F.transform("viewed_products", lambda v: v["product_id"])
     )
@@ -196,14 +198,14 @@ def cart_entries(adds: DataFrame, keys: Sequence[str], order: Sequence[str]) ->
 
 
 def cart_contents(
-    entries: DataFrame, keys: Sequence[str], *, heavy: Heavy = PROBE, **cut
+    entries: DataFrame, keys: Sequence[str], *, heavy: Heavy = PROBE
 ) -> DataFrame:
     """Cart lines as a map from product id to {quantity, price}, without empty lines.
 
     A session whose lines are all empty keeps its row with an empty map.
     """
     fields = ["product_id", "quantity", "price"]
-    nested = nest(entries, keys, ["product_id"], fields, "lines", heavy=heavy, **cut)
+    nested = nest(entries, keys, ["product_id"], fields, "lines", heavy=heavy)
     full = F.map_from_entries(
         F.transform(
             "lines",

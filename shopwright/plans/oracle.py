@@ -32,6 +32,14 @@ sess AS (
   FROM views GROUP BY user_id, session_no)"""
 
 
+VIEWED = """viewed AS (
+  SELECT user_id, session_no, CAST(pos // 1000 AS INTEGER) AS part, CAST(count(*) AS INTEGER) AS products,
+         string_agg(CAST(product_id AS VARCHAR), ',' ORDER BY pos) AS ids
+  FROM (SELECT *, row_number() OVER (PARTITION BY user_id, session_no ORDER BY product_id) - 1 AS pos
+        FROM (SELECT DISTINCT user_id, session_no, product_id FROM views WHERE product_id IS NOT NULL))
+  GROUP BY 1, 2, 3)"""
+
+
 def _key(user: str, ts: str) -> str:
     return f"printf('user_%06d:%d', {user}, (999999999999000000 - epoch_us({ts})) // 1000000)"
 
@@ -134,12 +142,10 @@ timed AS (
          row_number() OVER w - 1 AS pv
   FROM views v JOIN sess s USING (user_id, session_no) LEFT JOIN part ON p_partkey = v.product_id
   WINDOW w AS (PARTITION BY v.user_id, v.session_no ORDER BY v.ts, v.event_id)),
-viewed AS (
-  SELECT user_id, session_no, string_agg(CAST(product_id AS VARCHAR), ',' ORDER BY product_id) AS ids
-  FROM (SELECT DISTINCT user_id, session_no, product_id FROM views WHERE product_id IS NOT NULL) GROUP BY 1, 2),
+{VIEWED},
 doc AS (
   SELECT s.*, {_key('s.user_id', 's.start_time')} AS row_key, ids, n_name, r_name
-  FROM sess s LEFT JOIN viewed USING (user_id, session_no)
+  FROM sess s LEFT JOIN (SELECT * FROM viewed WHERE part = 0) USING (user_id, session_no)
   LEFT JOIN customer ON c_custkey = s.user_id LEFT JOIN nation ON n_nationkey = c_nationkey
   LEFT JOIN region ON r_regionkey = n_regionkey),
 cells AS (
@@ -154,6 +160,10 @@ cells AS (
            {{'q': 'conversion_status', 'v': conversion_status}}]) AS cell
   FROM doc
   UNION ALL
+  SELECT {_key('user_id', 'start_time')}, 'session_data',
+         {{'q': printf('viewed_products_%d', part), 'v': '[' || ids || ']'}}
+  FROM viewed JOIN sess USING (user_id, session_no) WHERE part > 0
+  UNION ALL
   SELECT {_key('user_id', 'start_time')}, 'page_views', unnest([
            {{'q': printf('pv_%d_timestamp', pv), 'v': {_iso('ts')}}},
            {{'q': printf('pv_%d_page_type', pv), 'v': page_type}},
@@ -205,13 +215,15 @@ ORACLE: dict[str, str] = {
       t AS (SELECT transaction_id, CAST(sum(amount) AS DECIMAL(18,2)) AS subtotal,
                    max(CAST(l_discount AS DECIMAL(6,4))) AS rate FROM items GROUP BY 1),
       d AS (SELECT *, CAST(round(CAST(subtotal AS DECIMAL(18,2)) * rate, 2) AS DECIMAL(18,2)) AS discount FROM t)
-      SELECT transaction_id, subtotal, discount, CAST(subtotal - discount AS DECIMAL(18,2)) AS total FROM d""",
-    "transactions_nested": f"""WITH {ITEMS}
-      SELECT transaction_id, o_custkey AS user_id, o_totalprice AS total, 0 AS part,
+      SELECT transaction_id, CAST(subtotal AS DOUBLE) AS subtotal, CAST(discount AS DOUBLE) AS discount,
+             CAST(subtotal - discount AS DOUBLE) AS total FROM d""",
+    "transactions_nested": f"""WITH {ITEMS},
+      placed AS (SELECT *, row_number() OVER (PARTITION BY transaction_id
+                   ORDER BY line, product_id, quantity, subtotal, ship_date) - 1 AS pos FROM items)
+      SELECT transaction_id, o_custkey AS user_id, o_totalprice AS total, CAST(pos // 1000 AS INTEGER) AS part,
              CAST(count(*) AS INTEGER) AS n_items,
-             string_agg(CAST(product_id AS VARCHAR) || 'x' || CAST(quantity AS VARCHAR), ' '
-                        ORDER BY line, product_id, quantity, subtotal, ship_date) AS item_list
-      FROM items JOIN orders ON o_orderkey = transaction_id GROUP BY 1, 2, 3""",
+             string_agg(CAST(product_id AS VARCHAR) || 'x' || CAST(quantity AS VARCHAR), ' ' ORDER BY pos) AS item_list
+      FROM placed JOIN orders ON o_orderkey = transaction_id GROUP BY 1, 2, 3, 4""",
     "explode_items": f"""WITH {ITEMS}
       SELECT transaction_id, o_custkey AS user_id, product_id, quantity, subtotal
       FROM items JOIN orders ON o_orderkey = transaction_id""",
@@ -242,14 +254,13 @@ ORACLE: dict[str, str] = {
       FROM stock JOIN part ON p_partkey = product_id WHERE p_size > 2 AND remaining_stock > 0""",
     "session_rollup": f"""WITH {SESSIONS}
       SELECT session_id, user_id, start_time, end_time, duration_seconds, views FROM sess""",
-    "session_paths": f"""WITH {VIEWS}
-      SELECT printf('sess_%06d_%d', user_id, session_no) AS session_id, 0 AS part, CAST(count(*) AS INTEGER) AS views,
-             string_agg(page_type, '>' ORDER BY ts, event_id) AS path FROM views GROUP BY user_id, session_no""",
-    "viewed_products": f"""WITH {VIEWS},
-      d AS (SELECT DISTINCT user_id, session_no, product_id FROM views WHERE product_id IS NOT NULL)
-      SELECT printf('sess_%06d_%d', user_id, session_no) AS session_id, 0 AS part, CAST(count(*) AS INTEGER) AS products,
-             string_agg(CAST(product_id AS VARCHAR), ',' ORDER BY product_id) AS product_list
-      FROM d GROUP BY user_id, session_no""",
+    "session_paths": f"""WITH {VIEWS},
+      placed AS (SELECT *, row_number() OVER (PARTITION BY user_id, session_no ORDER BY ts, event_id) - 1 AS pos FROM views)
+      SELECT printf('sess_%06d_%d', user_id, session_no) AS session_id, CAST(pos // 1000 AS INTEGER) AS part,
+             CAST(count(*) AS INTEGER) AS views, string_agg(page_type, '>' ORDER BY pos) AS path
+      FROM placed GROUP BY user_id, session_no, part""",
+    "viewed_products": f"""WITH {VIEWS}, {VIEWED}
+      SELECT printf('sess_%06d_%d', user_id, session_no) AS session_id, part, products, ids AS product_list FROM viewed""",
     "view_durations": f"""WITH {SESSIONS}
       SELECT event_id, v.user_id, page_type, ts,
              (coalesce(lead(us) OVER (PARTITION BY v.user_id, v.session_no ORDER BY ts, event_id),

@@ -26,7 +26,7 @@ from shopwright.operators.nesting import unnest
 from shopwright.operators.ordered import heavy_groups
 from shopwright.shared import new_folder
 from shopwright.sources import warehouse as W
-from shopwright.sources.entities import register_views
+from shopwright.sources.entities import read_cells, register_views
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -119,7 +119,9 @@ def daily_sales(spark, folder):
 
 @query
 def order_totals(spark, folder):
-    return sales.order_totals(W.items(spark, folder), ["transaction_id"], F.max("discount_rate"))
+    totals = sales.order_totals(W.items(spark, folder), ["transaction_id"], F.max("discount_rate"))
+    amounts = ("subtotal", "discount", "total")
+    return totals.withColumns({c: F.col(c).cast("double") for c in amounts})
 
 
 def _nested(spark, folder):
@@ -419,8 +421,10 @@ def _session_cells(spark, folder):
     heavy = _busy_users(spark, folder)
     views = W.page_views(spark, folder, heavy)
     goods = W.products(spark, folder)
-    numbered = S.view_durations(views, W.SESSION_KEYS, W.VIEW_ORDER, "session_end", heavy=heavy)
-    numbered = _positions(S.view_category(numbered, goods), heavy)
+    numbered = S.view_durations(
+        views, W.SESSION_KEYS, W.VIEW_ORDER, "session_end", position="seq", heavy=heavy
+    )
+    numbered = S.view_category(numbered, goods)
     viewed = S.viewed_products(views, W.SESSION_KEYS, heavy=heavy)
     places = W.users(spark, folder).select("user_id", "geo_data")
     kind = "struct<type:string,os:string,browser:string>"
@@ -441,7 +445,7 @@ def _session_cells(spark, folder):
     flat = numbered.select(
         W.user_label().alias("user_id"),
         F.col("session_start").alias("start_time"),
-        "pv",
+        (F.col("seq") - 1).alias("pv"),
         F.col("ts").alias("timestamp"),
         "page_type",
         "product_id",
@@ -451,14 +455,6 @@ def _session_cells(spark, folder):
     return cells.session_cells(documents, flat)
 
 
-def _positions(views, heavy):
-    from shopwright.operators.ordered import ordered
-
-    return ordered(views, W.SESSION_KEYS, W.VIEW_ORDER, position="pv", heavy=heavy).withColumn(
-        "pv", F.col("pv") - 1
-    )
-
-
 @query
 def session_cells(spark, folder):
     return _session_cells(spark, folder)
@@ -466,7 +462,10 @@ def session_cells(spark, folder):
 
 @query
 def session_cells_in_range(spark, folder):
-    return cells.rows_of_user(_session_cells(spark, folder), f"user_{LOOKUP_USER:06d}", *LOOKUP_RANGE)
+    """Session rows written as a cell table and read back by key range."""
+    path = new_folder(spark, "cells")
+    sinks.write_cells(_session_cells(spark, folder), path)
+    return cells.rows_of_user(read_cells(spark, path), f"user_{LOOKUP_USER:06d}", *LOOKUP_RANGE)
 
 
 def _versioned(spark, folder):
@@ -596,10 +595,6 @@ def json_roundtrip(spark, folder):
     return read.select("event_id", F.col("obj.k").alias("k"), F.to_json("obj").alias("json"))
 
 
-def _order_columns(spark, folder):
-    return W.transactions(spark, folder)
-
-
 @query
 def csv_export(spark, folder):
     orders, path = W.transactions(spark, folder), new_folder(spark, "csv")
