@@ -2,28 +2,34 @@
 
 from shopwright.functions.columns import (
     add_seconds,
+    amount,
+    cents,
     epoch_micros,
+    exact_amount,
     iso_text,
     json_text,
     map_value,
-    money,
     padded_id,
     row_key,
     subcategory_id,
+    sum_cents,
     title_case,
     whole_seconds,
 )
 
 __all__ = [
     "add_seconds",
+    "amount",
+    "cents",
     "epoch_micros",
+    "exact_amount",
     "iso_text",
     "json_text",
     "map_value",
-    "money",
     "padded_id",
     "row_key",
     "subcategory_id",
+    "sum_cents",
     "title_case",
     "whole_seconds",
 ]

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shopwright.functions import money
+from shopwright.functions import amount, cents
 from shopwright.operators.sessions import sessions_in_range
 
 CLV_COLUMNS = (
@@ -34,7 +34,7 @@ def distinct_users(df: DataFrame) -> DataFrame:
 def purchase_totals(transactions: DataFrame) -> DataFrame:
     """user_id, total_spend, purchase_count."""
     return transactions.groupBy("user_id").agg(
-        F.sum(money("total")).cast("double").alias("total_spend"),
+        amount(F.sum(cents("total"))).alias("total_spend"),
         F.count("*").alias("purchase_count"),
     )
 
@@ -69,7 +69,7 @@ def with_empty_summary(users: DataFrame) -> DataFrame:
 def user_summary(users: DataFrame, transactions: DataFrame) -> DataFrame:
     """Users with purchase count and average spend; zeros where a user bought nothing."""
     totals = transactions.groupBy("user_id").agg(
-        F.count("*").alias("n"), F.sum(money("total")).cast("double").alias("spend")
+        F.count("*").alias("n"), amount(F.sum(cents("total"))).alias("spend")
     )
     summary = F.struct(
         F.col("n").alias("total_purchases"),

@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shopwright.functions import money
+from shopwright.functions import amount, cents, exact_amount, sum_cents
 from shopwright.operators.nesting import nest, unnest
 from shopwright.operators.ordered import PROBE, Heavy
 
@@ -34,9 +34,9 @@ def fill_defaults(df: DataFrame, defaults: dict) -> DataFrame:
 
 
 def product_sales(items: DataFrame) -> DataFrame:
-    """product_id, exact revenue, quantity."""
+    """product_id, revenue in cents, quantity."""
     return items.groupBy("product_id").agg(
-        F.sum(money("subtotal")).alias("revenue"),
+        F.sum(cents("subtotal")).alias("revenue"),
         F.sum("quantity").cast("bigint").alias("total_quantity"),
     )
 
@@ -48,14 +48,14 @@ def top_products(items: DataFrame, n: int = 10) -> DataFrame:
         .orderBy(F.desc("revenue"), "product_id")
         .limit(n)
         .select(
-            "product_id", F.col("revenue").cast("double").alias("total_revenue"), "total_quantity"
+            "product_id", amount("revenue").alias("total_revenue"), "total_quantity"
         )
     )
 
 
 def revenue_by_category(items: DataFrame, products: DataFrame) -> DataFrame:
     """Item revenue per product category, largest first."""
-    per_product = items.groupBy("product_id").agg(F.sum(money("subtotal")).alias("revenue"))
+    per_product = items.groupBy("product_id").agg(F.sum(cents("subtotal")).alias("revenue"))
     return _per_category(per_product, products)
 
 
@@ -65,7 +65,7 @@ def revenue_by_category_order_total(items: DataFrame, products: DataFrame) -> Da
     An order with several items adds its total several times; this is a measure
     of the orders a category takes part in, not of its own sales.
     """
-    per_product = items.groupBy("product_id").agg(F.sum(money("total")).alias("revenue"))
+    per_product = items.groupBy("product_id").agg(F.sum(cents("total")).alias("revenue"))
     return _per_category(per_product, products)
 
 
@@ -73,23 +73,23 @@ def _per_category(per_product: DataFrame, products: DataFrame) -> DataFrame:
     return (
         per_product.join(products.select("product_id", "category_id"), "product_id")
         .groupBy("category_id")
-        .agg(F.sum("revenue").alias("revenue"))
+        .agg(sum_cents("revenue").alias("revenue"))
         .orderBy(F.desc("revenue"), "category_id")
-        .select("category_id", F.col("revenue").cast("double").alias("total_revenue"))
+        .select("category_id", amount("revenue").alias("total_revenue"))
     )
 
 
 def revenue_by_state(users: DataFrame, transactions: DataFrame, n: int = 10) -> DataFrame:
     """The n states whose users spent most. Null is a state of its own."""
-    spend = transactions.groupBy("user_id").agg(F.sum(money("total")).alias("revenue"))
+    spend = transactions.groupBy("user_id").agg(F.sum(cents("total")).alias("revenue"))
     return (
         users.select("user_id", F.col("geo_data.state").alias("state"))
         .join(spend, "user_id")
         .groupBy("state")
-        .agg(F.sum("revenue").alias("revenue"))
+        .agg(sum_cents("revenue").alias("revenue"))
         .orderBy(F.desc("revenue"), "state")
         .limit(n)
-        .select("state", F.col("revenue").cast("double").alias("total_revenue"))
+        .select("state", amount("revenue").alias("total_revenue"))
     )
 
 
@@ -101,7 +101,7 @@ def daily_sales(transactions: DataFrame) -> DataFrame:
         day = day.cast(kind)
     return (
         transactions.groupBy(day.alias("day"))
-        .agg(F.sum(money("total")).cast("double").alias("total_revenue"))
+        .agg(amount(F.sum(cents("total"))).alias("total_revenue"))
         .orderBy("day")
     )
 
@@ -112,7 +112,7 @@ def order_totals(items: DataFrame, keys: Sequence[str], rate: Column) -> DataFra
     ``rate`` is an aggregate or literal giving the order's discount rate.
     Amounts are decimals, rounded half up to cents.
     """
-    subtotal = F.sum(money("subtotal"))
+    subtotal = exact_amount(F.sum(cents("subtotal")))
     return (
         items.groupBy(*keys)
         .agg(subtotal.alias("subtotal"), rate.cast("decimal(6,4)").alias("rate"))

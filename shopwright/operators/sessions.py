@@ -49,9 +49,12 @@ def session_slots(
     )
     by_user = Window.partitionBy("user_id").orderBy("slot")
     idle = epoch_micros("first_ts") - F.lag(epoch_micros("last_ts")).over(by_user)
-    return slots.withColumn("__new", F.when(idle <= gap, 0).otherwise(1)).withColumn(
-        "session_no", F.sum("__new").over(by_user).cast("bigint")
-    ).drop("__new")
+    so_far = by_user.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return (
+        slots.withColumn("__new", F.when(idle <= gap, 0).otherwise(1))
+        .withColumn("session_no", F.sum("__new").over(so_far).cast("bigint"))
+        .drop("__new")
+    )
 
 
 def sessions_from_events(
@@ -95,12 +98,12 @@ def assign_sessions(
     light = events if cut is None else events.filter(~cut)
     gap = gap_seconds * 1_000_000
     by_user = Window.partitionBy("user_id").orderBy("ts", tie)
+    so_far = by_user.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     whole = Window.partitionBy("user_id", "session_no")
     idle = epoch_micros("ts") - F.lag(epoch_micros("ts")).over(by_user)
     out = (
         light.withColumn("__new", F.when(idle <= gap, 0).otherwise(1))
-        .withColumn("session_no", F.sum("__new").over(by_user.rowsBetween(Window.unboundedPreceding, 0)))
-        .withColumn("session_no", F.col("session_no").cast("bigint"))
+        .withColumn("session_no", F.sum("__new").over(so_far).cast("bigint"))
         .withColumns(
             {"session_start": F.min("ts").over(whole), "session_end": F.max("ts").over(whole)}
         )

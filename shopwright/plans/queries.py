@@ -352,13 +352,9 @@ def distinct_users(spark, folder):
     return customers.distinct_users(W.transactions(spark, folder))
 
 
-def _engagement(spark, folder):
-    return customers.engagement(W.user_ids(spark, folder), W.session_spans(spark, folder), *RANGE)
-
-
 @query
 def user_engagement(spark, folder):
-    return _engagement(spark, folder)
+    return customers.engagement(W.user_ids(spark, folder), W.session_spans(spark, folder), *RANGE)
 
 
 @query
@@ -374,7 +370,7 @@ def _clv(spark, folder, mode):
     return customers.customer_lifetime_value(
         W.registered_users(spark, folder),
         customers.purchase_totals(W.transactions(spark, folder)),
-        _engagement(spark, folder),
+        customers.engagement_totals(S.sessions_in_range(W.session_spans(spark, folder), *RANGE)),
         AS_OF,
         mode,
     )

@@ -562,3 +562,10 @@ def test_scalars(spark):
 
 def test_page_view_schema_has_nullable_ids():
     assert PAGE_VIEW["product_id"].nullable and PAGE_VIEW["category_id"].nullable
+
+
+def test_empty_inputs_stay_empty(spark):
+    none = spark.createDataFrame([], "k string, v int")
+    assert ordered(none, ["k"], ["v"], position="n").count() == 0
+    assert ordered(none, ["k"], ["v"], position="n", lags={"p": "v"}, heavy=F.lit(True)).count() == 0
+    assert nest(none, ["k"], ["v"], ["v"], "vs").count() == 0
