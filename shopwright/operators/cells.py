@@ -44,10 +44,13 @@ def cell_text(df: DataFrame, column: str) -> Column:
     return F.coalesce(text, F.lit(""))
 
 
-def _as_cells(df: DataFrame, key: Column, family: str, named: list, version: Column) -> DataFrame:
-    cells = F.array(*[F.struct(q.alias("qualifier"), v.alias("value")) for q, v in named])
+def _named(pairs: list[tuple[Column, Column]]) -> Column:
+    return F.array(*[F.struct(q.alias("qualifier"), v.alias("value")) for q, v in pairs])
+
+
+def _as_cells(df: DataFrame, key: Column, family: str, named: Column, version: Column) -> DataFrame:
     return df.select(
-        key.alias("row_key"), F.lit(family).alias("family"), F.inline(cells), version.alias("version")
+        key.alias("row_key"), F.lit(family).alias("family"), F.inline(named), version.alias("version")
     )
 
 
@@ -65,22 +68,18 @@ def session_cells(
     """
     version = (F.lit(0) if version is None else version).cast("bigint")
     key = row_key("user_id", "start_time")
-    about = [(F.lit(q), cell_text(sessions, c)) for q, c in SESSION_CELLS]
-    session_data = _as_cells(sessions, key, "session_data", about, version)
+    about = _named([(F.lit(q), cell_text(sessions, c)) for q, c in SESSION_CELLS])
     if "part" in sessions.columns:
-        viewed = cell_text(sessions, "viewed_products")
         further = F.concat(F.lit("viewed_products_"), F.col("part").cast("string"))
-        session_data = _as_cells(
-            sessions.filter("part = 0"), key, "session_data", about, version
-        ).unionByName(
-            _as_cells(sessions.filter("part > 0"), key, "session_data", [(further, viewed)], version)
-        )
+        more = _named([(further, cell_text(sessions, "viewed_products"))])
+        about = F.when(F.col("part") == 0, about).otherwise(more)
+    session_data = _as_cells(sessions, key, "session_data", about, version)
     if page_views is None:
         page_views = explode_page_views(sessions)
     number = F.concat(F.lit("pv_"), F.col("pv").cast("string"), F.lit("_"))
-    per_view = [
-        (F.concat(number, F.lit(c)), cell_text(page_views, c)) for c in PAGE_VIEW_CELLS
-    ]
+    per_view = _named(
+        [(F.concat(number, F.lit(c)), cell_text(page_views, c)) for c in PAGE_VIEW_CELLS]
+    )
     return session_data.unionByName(_as_cells(page_views, key, "page_views", per_view, version))
 
 

@@ -72,6 +72,34 @@ SESSIONS = record(
 )
 CELLS = record(row_key=TEXT, family=TEXT, qualifier=TEXT, value=TEXT, version=LONG)
 
+# The star-schema tables and the event stream, with the columns that are read.
+INT, LOCAL = T.IntegerType(), T.TimestampNTZType()
+TABLES = {
+    "region": record(r_regionkey=INT, r_name=TEXT),
+    "nation": record(n_nationkey=INT, n_name=TEXT, n_regionkey=INT),
+    "customer": record(
+        c_custkey=LONG, c_name=TEXT, c_nationkey=INT, c_acctbal=REAL, c_mktsegment=TEXT
+    ),
+    "part": record(
+        p_partkey=LONG, p_name=TEXT, p_brand=TEXT, p_type=TEXT, p_size=INT, p_retailprice=REAL
+    ),
+    "orders": record(
+        o_orderkey=LONG, o_custkey=LONG, o_orderstatus=TEXT, o_totalprice=REAL, o_orderdate=LOCAL
+    ),
+    "lineitem": record(
+        l_orderkey=LONG,
+        l_partkey=LONG,
+        l_linenumber=INT,
+        l_quantity=REAL,
+        l_extendedprice=REAL,
+        l_discount=REAL,
+        l_shipdate=LOCAL,
+    ),
+    "events": record(
+        event_id=LONG, ts=LOCAL, user_id=LONG, event_type=TEXT, value=REAL, props=TEXT
+    ),
+}
+
 ENTITIES = {
     "users": USERS,
     "categories": CATEGORIES,

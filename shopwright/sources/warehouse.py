@@ -15,6 +15,7 @@ from shopwright.functions import padded_id
 from shopwright.operators import sessions as S
 from shopwright.operators.catalog import category_tree
 from shopwright.operators.ordered import Heavy
+from shopwright.schemas import TABLES
 
 ITEM_ORDER = ["line", "product_id", "quantity", "subtotal", "ship_date"]
 VIEW_ORDER = ["ts", "event_id"]
@@ -23,7 +24,7 @@ INITIAL_STOCK = 500
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    return spark.read.schema(TABLES[name]).parquet(f"{folder}/{name}.parquet")
 
 
 def users(spark: SparkSession, folder: str) -> DataFrame:
