@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 
 from shopwright.functions import iso_text, json_text, row_key
 from shopwright.functions.columns import reverse_seconds
+from shopwright.operators.customers import engagement_totals, with_all_users
 from shopwright.operators.sessions import explode_page_views
 
 CELL = ["row_key", "family", "qualifier"]
@@ -136,3 +137,32 @@ def rows_of_user(cells: DataFrame, user: str, start, end) -> DataFrame:
     first = F.concat(F.lit(f"{user}:"), reverse_seconds(finish).cast("string"))
     stop = F.concat(F.lit(f"{user}:"), reverse_seconds(begin).cast("string"))
     return cells.filter((F.col("row_key") >= first) & (F.col("row_key") < stop))
+
+
+def keyed_sessions(cells: DataFrame) -> DataFrame:
+    """One row per session row: user_id, reverse_seconds and the text of its duration cell.
+
+    User and time come from the row key. The newest duration wins; a row without
+    one has a null.
+    """
+    duration = (F.col("family") == "session_data") & (F.col("qualifier") == "duration")
+    newest = F.max(F.when(duration, F.struct("version", "value")))
+    return cells.groupBy("row_key").agg(newest.alias("__top")).select(
+        F.regexp_extract("row_key", "^(.*):[0-9]+$", 1).alias("user_id"),
+        F.regexp_extract("row_key", ":([0-9]+)$", 1).cast("bigint").alias("reverse_seconds"),
+        F.col("__top.value").alias("duration"),
+    )
+
+
+def engagement_from_cells(users: DataFrame, cells: DataFrame, start, end) -> DataFrame:
+    """Sessions and seconds of every user in a time range, from the cell table.
+
+    One pass over the table replaces a key-range read per user. The bounds are
+    those of the key range: end included, start excluded.
+    """
+    first = reverse_seconds(F.lit(end).cast("timestamp"))
+    stop = reverse_seconds(F.lit(start).cast("timestamp"))
+    found = keyed_sessions(cells).filter(
+        (F.col("reverse_seconds") >= first) & (F.col("reverse_seconds") < stop)
+    )
+    return with_all_users(users, engagement_totals(found, "duration"))

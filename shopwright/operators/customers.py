@@ -97,11 +97,8 @@ def engagement_totals(sessions: DataFrame, duration: str = "duration_seconds") -
     )
 
 
-def engagement(
-    users: DataFrame, sessions: DataFrame, start, end, duration: str = "duration_seconds"
-) -> DataFrame:
-    """Sessions and seconds of every user in a time range, zeros included."""
-    totals = engagement_totals(sessions_in_range(sessions, start, end), duration)
+def with_all_users(users: DataFrame, totals: DataFrame) -> DataFrame:
+    """Engagement totals of exactly the given users, zeros where there are none."""
     return (
         users.select("user_id")
         .join(totals, "user_id", "left")
@@ -109,6 +106,14 @@ def engagement(
     )
 
 
+def engagement(
+    users: DataFrame, sessions: DataFrame, start, end, duration: str = "duration_seconds"
+) -> DataFrame:
+    """Sessions and seconds of every user in a time range, zeros included."""
+    totals = engagement_totals(sessions_in_range(sessions, start, end), duration)
+    return with_all_users(users, totals)
+
+
 def customer_lifetime_value(
     users: DataFrame,
     purchases: DataFrame,

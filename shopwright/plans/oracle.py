@@ -310,6 +310,8 @@ ORACLE: dict[str, str] = {
     "session_cells_in_range": f"""SELECT * FROM ({SESSION_CELLS})
       WHERE row_key >= printf('user_%06d:%d', 42, (999999999999000000 - epoch_us(TIMESTAMP '2024-01-15')) // 1000000)
         AND row_key < printf('user_%06d:%d', 42, (999999999999000000 - epoch_us(TIMESTAMP '2024-01-05')) // 1000000)""",
+    "engagement_from_cells": f"""WITH {SESSIONS}, {ENGAGED}
+      SELECT printf('user_%06d', user_id) AS user_id, session_count, total_duration FROM engaged""",
     "latest_cells": f"WITH {CELL_SOURCE} SELECT row_key, family, qualifier, value, version FROM ranked WHERE n = 1",
     "retained_versions": f"WITH {CELL_SOURCE} SELECT row_key, family, qualifier, value, version FROM ranked WHERE n <= 3",
     "metric_cells": METRICS,

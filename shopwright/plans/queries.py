@@ -464,6 +464,15 @@ def session_cells_in_range(spark, folder):
     return cells.rows_of_user(read_cells(spark, path), f"user_{LOOKUP_USER:06d}", *LOOKUP_RANGE)
 
 
+@query
+def engagement_from_cells(spark, folder):
+    """Session rows stored as cells, then read by key for all users."""
+    people = W.user_ids(spark, folder).select(W.user_label().alias("user_id"))
+    path = new_folder(spark, "cells")
+    sinks.write_cells(_session_cells(spark, folder), path)
+    return cells.engagement_from_cells(people, read_cells(spark, path), *RANGE)
+
+
 def _versioned(spark, folder):
     return W.events(spark, folder).select(
         W.user_label().alias("row_key"),
