@@ -22,10 +22,14 @@ from shopwright.shared import checkpointed
 GROUP_ROWS_CONF = "spark.shopwright.groupRows"
 GROUP_ROWS = 2_000_000
 
-# Size of the sketch that looks for heavy groups: any group with more than about
-# 0.05 % of all rows is found, and at most HEAVY_MAX of them are listed.
-HEAVY_MAX = 1_000
-SKETCH_ITEMS = 10_000
+# Heavy groups are looked for with frequent-items sketches, one per slice of the
+# key space, so that no single task merges the sketches of all others. In a slice
+# any group beyond about 0.35 % of its rows is found. Each task of the scan sends
+# SLICES * SKETCH_ITEMS counters at most, and the driver gets at most
+# SLICES * PER_SLICE numbers.
+SLICES = 64
+PER_SLICE = 32
+SKETCH_ITEMS = 1_000
 
 _TIE, _CHUNK, _POS = "__tie", "__chunk", "__pos"
 
@@ -44,18 +48,20 @@ Heavy = Column | None | _Probe
 def heavy_groups(df: DataFrame, keys: Sequence[str]) -> Column | None:
     """Predicate for rows in groups too large for one task; None if there are none.
 
-    One aggregation over the key columns. Each task sends one frequent-items
-    sketch and the driver receives at most HEAVY_MAX numbers.
+    One aggregation over the key columns alone.
     """
     bound = int(df.sparkSession.conf.get(GROUP_ROWS_CONF, str(GROUP_ROWS)))
     digest = F.xxhash64(*keys)
     found = (
         df.select(digest.alias("h"))
-        .agg(F.expr(f"approx_top_k(h, {HEAVY_MAX}, {SKETCH_ITEMS})").alias("top"))
-        .first()["top"]
+        .groupBy(F.pmod("h", F.lit(SLICES)).alias("slice"))
+        .agg(F.expr(f"approx_top_k(h, {PER_SLICE}, {SKETCH_ITEMS})").alias("top"))
+        .select(F.inline("top"))
+        .filter(F.col("count") > bound)
+        .select("item")
+        .collect()
     )
-    heavy = [entry["item"] for entry in found or [] if entry["count"] > bound]
-    return digest.isin(heavy) if heavy else None
+    return digest.isin([row["item"] for row in found]) if found else None
 
 
 def resolve_heavy(df: DataFrame, keys: Sequence[str], heavy: Heavy) -> Column | None:
