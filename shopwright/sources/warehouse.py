@@ -108,7 +108,7 @@ def events(spark: SparkSession, folder: str) -> DataFrame:
         "ts",
         "user_id",
         F.col("event_type").alias("page_type"),
-        F.get_json_object("props", "$.k").cast("bigint").alias("product_id"),
+        F.get_json_object("props", "$.k").try_cast("bigint").alias("product_id"),
         "value",
     )
 
