@@ -10,25 +10,62 @@ from pyspark.sql import functions as F
 from shopwright.operators.ordered import PROBE, Heavy, ordered
 
 
-def _offers(products, demands, order, heavy) -> DataFrame:
-    """Demands that could be filled at all, with the product's starting stock.
-
-    Stock only falls. So once a demand for q units is refused, every later demand
-    for q units is refused too, and the filled demands for q units are the first
-    ones: at most stock / q of them. Whatever comes later cannot change the
-    outcome. Per product this leaves a number of rows bounded by the stock
-    (about stock * ln(stock)), however often the product is asked for.
-    """
-    placed = ordered(
-        demands.filter(F.col("quantity") > 0).select("product_id", "quantity", *order),
+def _in_turn(demands, order, heavy) -> DataFrame:
+    """Positive demands, numbered from 1 among those for the same quantity of a product."""
+    return ordered(
+        demands.filter(F.col("quantity") > 0),
         ["product_id", "quantity"],
         order,
         position="turn",
         heavy=heavy,
     )
+
+
+def _served(products, placed, order) -> DataFrame:
+    """product_id, units left, demands filled and how many were filled per quantity.
+
+    Stock only falls. So once a demand for q units is refused, every later demand
+    for q units is refused too, and the filled demands for q units are the first
+    ones: at most stock / q of them. Whatever comes later cannot change the
+    outcome. Per product this leaves a queue bounded by the stock (about
+    stock * ln(stock)), however often the product is asked for.
+    """
     stock = products.select("product_id", F.col("current_stock").cast("bigint").alias("stock"))
-    return placed.join(stock, "product_id").filter(
-        F.col("turn") * F.col("quantity") <= F.col("stock")
+    offers = (
+        placed.select("product_id", "quantity", "turn", *order)
+        .join(stock, "product_id")
+        .filter(F.col("turn") * F.col("quantity") <= F.col("stock"))
+    )
+    queues = offers.groupBy("product_id").agg(
+        F.first("stock").alias("stock"),
+        F.array_sort(F.collect_list(F.struct(*order, "quantity", "turn"))).alias("queue"),
+    )
+    none = F.lit(0).cast("bigint")
+    sizes = F.array_distinct(F.transform("queue", lambda d: d["quantity"]))
+    start = F.struct(
+        F.col("stock").alias("left"),
+        none.alias("filled"),
+        F.transform(sizes, lambda q: F.struct(q.alias("quantity"), none.alias("n"))).alias("by_size"),
+    )
+
+    def serve(state, demand):
+        size = demand["quantity"]
+        counted = F.transform(
+            state["by_size"],
+            lambda c: F.struct(
+                c["quantity"].alias("quantity"),
+                (c["n"] + F.when(c["quantity"] == size, 1).otherwise(0)).alias("n"),
+            ),
+        )
+        filled = F.struct(
+            (state["left"] - size).alias("left"),
+            (state["filled"] + 1).alias("filled"),
+            counted.alias("by_size"),
+        )
+        return F.when(state["left"] >= size, filled).otherwise(state)
+
+    return queues.select("product_id", F.aggregate("queue", start, serve).alias("end")).select(
+        "product_id", "end.*"
     )
 
 
@@ -44,43 +81,43 @@ def stock_depletion(
     ``demands`` has product_id, whole-unit quantity and the order columns. Gives
     one row per product; demands for unknown products are refused and not listed.
     """
-    offers = _offers(products, demands, order, heavy)
-    served = offers.groupBy("product_id").agg(
-        F.first("stock").alias("stock"),
-        F.array_sort(F.collect_list(F.struct(*order, "quantity", "turn"))).alias("queue"),
-    )
-    state = F.struct(F.col("stock").alias("left"), F.lit(0).cast("bigint").alias("filled"))
-    folded = served.select(
-        "product_id",
-        F.aggregate(
-            "queue",
-            state,
-            lambda s, d: F.when(
-                s["left"] >= d["quantity"],
-                F.struct(
-                    (s["left"] - d["quantity"]).alias("left"), (s["filled"] + 1).alias("filled")
-                ),
-            ).otherwise(s),
-        ).alias("end"),
-    )
+    placed = _in_turn(demands.select("product_id", "quantity", *order), order, heavy)
     asked = demands.filter(F.col("quantity") > 0).groupBy("product_id").agg(
         F.count("*").alias("demands")
     )
-    filled = F.coalesce("end.filled", F.lit(0))
+    served = _served(products, placed, order).drop("by_size")
+    filled = F.coalesce("filled", F.lit(0))
     return (
         products.select("product_id", F.col("current_stock").cast("bigint").alias("stock"))
         .join(asked, "product_id", "left")
-        .join(folded, "product_id", "left")
+        .join(served, "product_id", "left")
         .select(
             "product_id",
             F.col("stock").alias("initial_stock"),
-            F.coalesce("end.left", "stock").alias("remaining_stock"),
+            F.coalesce("left", "stock").alias("remaining_stock"),
             filled.alias("filled"),
             (F.coalesce("demands", F.lit(0)) - filled).alias("refused"),
         )
     )
 
 
+def filled_demands(
+    products: DataFrame,
+    demands: DataFrame,
+    order: Sequence[str],
+    *,
+    heavy: Heavy = PROBE,
+) -> DataFrame:
+    """The demands that :func:`stock_depletion` fills, with all their columns."""
+    placed = _in_turn(demands, order, heavy)
+    granted = _served(products, placed, order).select("product_id", F.inline("by_size"))
+    return (
+        placed.join(granted, ["product_id", "quantity"])
+        .filter(F.col("turn") <= F.col("n"))
+        .select(*demands.columns)
+    )
+
+
 def remaining_stock(products: DataFrame, column: str = "current_stock") -> DataFrame:
     """Units left over all products."""
     return products.agg(F.sum(column).cast("bigint").alias("remaining"))

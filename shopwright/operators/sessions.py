@@ -227,9 +227,9 @@ def drop_empty_cart_lines(sessions: DataFrame) -> DataFrame:
     )
 
 
-def reached_checkout(page_views: str = "page_views") -> Column:
+def reached_checkout(page_views: str = "page_views", pages: Sequence[str] = CHECKOUT_PAGES) -> Column:
     """Whether any page of a nested session is a checkout page."""
-    return F.exists(page_views, lambda v: v["page_type"].isin(*CHECKOUT_PAGES))
+    return F.exists(page_views, lambda v: v["page_type"].isin(*pages))
 
 
 def conversion_status(converted: Column, has_cart: Column) -> Column:

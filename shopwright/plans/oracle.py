@@ -249,6 +249,14 @@ ORACLE: dict[str, str] = {
       SELECT product_id, min(date) AS creation_date, max(CASE WHEN seq = 1 THEN price END) AS base_price,
              max(CASE WHEN seq = changes THEN price END) AS current_price, max(changes) AS changes
       FROM r GROUP BY 1""",
+    "price_history_nested": """
+      WITH c AS (SELECT l_partkey AS product_id, l_shipdate AS date, l_extendedprice / l_quantity AS price FROM lineitem),
+      p AS (SELECT *, CAST((row_number() OVER (PARTITION BY product_id ORDER BY price, date) - 1) // 1000 AS INTEGER) AS part FROM c),
+      r AS (SELECT *, row_number() OVER (PARTITION BY product_id, part ORDER BY date, price) AS seq,
+                   count(*) OVER (PARTITION BY product_id, part) AS n FROM p)
+      SELECT product_id, part, CAST(max(n) AS INTEGER) AS changes, max(CASE WHEN seq = 1 THEN price END) AS base_price,
+             max(CASE WHEN seq = n THEN price END) AS current_price, min(date) AS creation_date
+      FROM r GROUP BY 1, 2""",
     "purchasable_products": STOCK + """
       SELECT product_id, p_name AS name, p_brand AS category_id, remaining_stock AS current_stock
       FROM stock JOIN part ON p_partkey = product_id WHERE p_size > 2 AND remaining_stock > 0""",
@@ -259,6 +267,9 @@ ORACLE: dict[str, str] = {
       SELECT printf('sess_%06d_%d', user_id, session_no) AS session_id, CAST(pos // 1000 AS INTEGER) AS part,
              CAST(count(*) AS INTEGER) AS views, string_agg(page_type, '>' ORDER BY pos) AS path
       FROM placed GROUP BY user_id, session_no, part""",
+    "checkout_sessions": f"""WITH {VIEWS}
+      SELECT printf('sess_%06d_%d', user_id, session_no) AS session_id, bool_or(page_type = 'purchase') AS reached
+      FROM views GROUP BY user_id, session_no""",
     "viewed_products": f"""WITH {VIEWS}, {VIEWED}
       SELECT printf('sess_%06d_%d', user_id, session_no) AS session_id, part, products, ids AS product_list FROM viewed""",
     "view_durations": f"""WITH {SESSIONS}
@@ -316,6 +327,22 @@ ORACLE: dict[str, str] = {
     "retained_versions": f"WITH {CELL_SOURCE} SELECT row_key, family, qualifier, value, version FROM ranked WHERE n <= 3",
     "metric_cells": METRICS,
     "stock_depletion": STOCK + " SELECT * FROM stock",
+    "filled_demands": f"""WITH {ITEMS},
+      lists AS (
+        SELECT product_id, list(struct_pack(left_over := 0::BIGINT, quantity := quantity, flags := []::BOOLEAN[])
+                                ORDER BY ship_date, transaction_id, line, quantity) AS asks,
+               list(struct_pack(t := transaction_id, l := line, q := quantity, d := ship_date)
+                    ORDER BY ship_date, transaction_id, line, quantity) AS lines
+        FROM items JOIN part ON p_partkey = product_id GROUP BY 1),
+      folded AS (
+        SELECT product_id, lines, list_reduce(
+          list_prepend(struct_pack(left_over := 500::BIGINT, quantity := 0::BIGINT, flags := []::BOOLEAN[]), asks),
+          lambda acc, x: struct_pack(
+            left_over := acc.left_over - CASE WHEN acc.left_over >= x.quantity THEN x.quantity ELSE 0 END,
+            quantity := 0::BIGINT, flags := list_append(acc.flags, acc.left_over >= x.quantity))).flags AS flags
+        FROM lists),
+      flat AS (SELECT product_id, unnest(lines) AS a, unnest(flags) AS ok FROM folded)
+      SELECT a.t AS transaction_id, a.l AS line, product_id, a.q AS quantity, a.d AS ship_date FROM flat WHERE ok""",
     "remaining_stock": STOCK + " SELECT CAST(sum(remaining_stock) AS BIGINT) AS remaining FROM stock",
     "table_counts": " UNION ALL ".join(
         f"SELECT '{t}' AS name, count(*) AS rows FROM {t}"

@@ -22,7 +22,7 @@ from shopwright.functions import (
 )
 from shopwright.operators import catalog, cells, customers, inventory, sales
 from shopwright.operators import sessions as S
-from shopwright.operators.nesting import unnest
+from shopwright.operators.nesting import nest
 from shopwright.operators.ordered import heavy_groups
 from shopwright.shared import new_folder
 from shopwright.sources import warehouse as W
@@ -199,6 +199,22 @@ def price_summary(spark, folder):
     return catalog.price_summary(W.price_changes(spark, folder))
 
 
+@query
+def price_history_nested(spark, folder):
+    """Price lists nested per product in price order, then put in order of date."""
+    listed = nest(
+        W.price_changes(spark, folder), ["product_id"], ["price", "date"], ["price", "date"], "price_history"
+    )
+    return catalog.sort_price_history(listed).select(
+        "product_id",
+        "part",
+        F.size("price_history").alias("changes"),
+        "base_price",
+        "current_price",
+        "creation_date",
+    )
+
+
 @query
 def purchasable_products(spark, folder):
     goods = W.products(spark, folder)
@@ -244,6 +260,19 @@ def session_paths(spark, folder):
     )
 
 
+@query
+def checkout_sessions(spark, folder):
+    """Whether a nested session has a purchase page, over all its parts."""
+    heavy = _busy_users(spark, folder)
+    nested = S.session_paths(
+        W.page_views(spark, folder, heavy), W.SESSION_KEYS, W.VIEW_ORDER, ["page_type"], heavy=heavy
+    )
+    reached = F.max(S.reached_checkout(pages=["purchase"]))
+    return nested.groupBy(*W.SESSION_KEYS).agg(reached.alias("reached")).select(
+        W.session_label().alias("session_id"), "reached"
+    )
+
+
 @query
 def viewed_products(spark, folder):
     heavy = _busy_users(spark, folder)
@@ -539,6 +568,14 @@ def stock_depletion(spark, folder):
     return _stock(spark, folder)
 
 
+@query
+def filled_demands(spark, folder):
+    filled = inventory.filled_demands(
+        W.products(spark, folder), W.items(spark, folder), ["ship_date", "transaction_id", "line"]
+    )
+    return filled.select("transaction_id", "line", "product_id", "quantity", "ship_date")
+
+
 @query
 def remaining_stock(spark, folder):
     return inventory.remaining_stock(_stock(spark, folder), "remaining_stock")

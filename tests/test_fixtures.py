@@ -186,6 +186,28 @@ def test_stock_skips_what_it_cannot_cover(spark):
     left = inventory.stock_depletion(goods, demands, ["turn_no"])
     assert sorted(rows(left)) == [("idle", 4, 4, 0, 0), ("p", 5, 0, 2, 2)]
     assert rows(inventory.remaining_stock(left, "remaining_stock")) == [(4,)]
+    filled = inventory.filled_demands(goods, demands, ["turn_no"])
+    assert sorted(rows(filled)) == [(1, "p", 3), (3, "p", 2)]
+
+
+@pytest.mark.parametrize("cut", [False, True])
+def test_stock_matches_one_by_one_service(spark, cut):
+    import random
+
+    rng = random.Random(11)
+    goods = [(p, rng.randint(0, 60)) for p in range(6)]
+    asks = [(i, rng.choice([0, 0, 0, 1, 2, 3, 4, 5, 9]), rng.randint(-1, 25)) for i in range(700)]
+    left, want = dict(goods), []
+    for i, p, q in asks:
+        if p in left and 0 < q <= left[p]:
+            left[p] -= q
+            want.append((i, p, q))
+    products = spark.createDataFrame(goods, "product_id int, current_stock long")
+    demands = spark.createDataFrame(asks, "no int, product_id int, quantity long").repartition(4)
+    heavy = F.lit(True) if cut else None
+    got = inventory.stock_depletion(products, demands, ["no"], heavy=heavy)
+    assert {r.product_id: r.remaining_stock for r in got.collect()} == left
+    assert sorted(rows(inventory.filled_demands(products, demands, ["no"], heavy=heavy))) == want
 
 
 # --- sessions ------------------------------------------------------------------

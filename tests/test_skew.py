@@ -35,6 +35,11 @@ CUT_QUERIES = [
     "latest_cells",
     "retained_versions",
     "stock_depletion",
+    "filled_demands",
+    "price_history_nested",
+    "checkout_sessions",
+    "price_summary",
+    "engagement_from_cells",
     "clv_current",
     "revenue_by_category_order_total",
     "revenue_by_state",
