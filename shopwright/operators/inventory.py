@@ -10,19 +10,8 @@ from pyspark.sql import functions as F
 from shopwright.operators.ordered import PROBE, Heavy, ordered
 
 
-def _in_turn(demands, order, heavy) -> DataFrame:
-    """Positive demands, numbered from 1 among those for the same quantity of a product."""
-    return ordered(
-        demands.filter(F.col("quantity") > 0),
-        ["product_id", "quantity"],
-        order,
-        position="turn",
-        heavy=heavy,
-    )
-
-
-def _served(products, placed, order) -> DataFrame:
-    """product_id, units left, demands filled and how many were filled per quantity.
+def _queues(products, demands, order, heavy) -> DataFrame:
+    """product_id, stock and the queue of demands that could be filled at all.
 
     Stock only falls. So once a demand for q units is refused, every later demand
     for q units is refused too, and the filled demands for q units are the first
@@ -30,43 +19,62 @@ def _served(products, placed, order) -> DataFrame:
     outcome. Per product this leaves a queue bounded by the stock (about
     stock * ln(stock)), however often the product is asked for.
     """
+    placed = ordered(
+        demands.filter(F.col("quantity") > 0),
+        ["product_id", "quantity"],
+        order,
+        position="turn",
+        heavy=heavy,
+    )
     stock = products.select("product_id", F.col("current_stock").cast("bigint").alias("stock"))
-    offers = (
-        placed.select("product_id", "quantity", "turn", *order)
-        .join(stock, "product_id")
+    first = [*order, "quantity", "turn"]
+    rest = [c for c in demands.columns if c not in first and c != "product_id"]
+    return (
+        placed.join(stock, "product_id")
         .filter(F.col("turn") * F.col("quantity") <= F.col("stock"))
+        .groupBy("product_id")
+        .agg(
+            F.first("stock").alias("stock"),
+            F.array_sort(F.collect_list(F.struct(*first, *rest))).alias("queue"),
+        )
     )
-    queues = offers.groupBy("product_id").agg(
-        F.first("stock").alias("stock"),
-        F.array_sort(F.collect_list(F.struct(*order, "quantity", "turn"))).alias("queue"),
-    )
+
+
+def _serve(queues: DataFrame) -> DataFrame:
+    """Add ``end``: units left, demands filled, and the refusals that set a new lowest size.
+
+    After a refusal for q units less than q is left, so all demands from q units
+    up are refused from there on. The refusals of ever smaller sizes describe the
+    outcome of the whole queue.
+    """
     none = F.lit(0).cast("bigint")
-    sizes = F.array_distinct(F.transform("queue", lambda d: d["quantity"]))
+    asks = F.transform("queue", lambda d, i: F.struct(i.alias("at"), d["quantity"].alias("quantity")))
     start = F.struct(
         F.col("stock").alias("left"),
         none.alias("filled"),
-        F.transform(sizes, lambda q: F.struct(q.alias("quantity"), none.alias("n"))).alias("by_size"),
+        F.array().cast("array<struct<at:int,quantity:bigint>>").alias("refusals"),
     )
 
-    def serve(state, demand):
-        size = demand["quantity"]
-        counted = F.transform(
-            state["by_size"],
-            lambda c: F.struct(
-                c["quantity"].alias("quantity"),
-                (c["n"] + F.when(c["quantity"] == size, 1).otherwise(0)).alias("n"),
-            ),
-        )
+    def step(state, ask):
+        size, refusals = ask["quantity"], state["refusals"]
+        lowest = F.get(refusals, F.size(refusals) - 1)["quantity"]
         filled = F.struct(
             (state["left"] - size).alias("left"),
             (state["filled"] + 1).alias("filled"),
-            counted.alias("by_size"),
+            refusals.alias("refusals"),
+        )
+        refused = F.struct(
+            state["left"].alias("left"),
+            state["filled"].alias("filled"),
+            F.concat(refusals, F.array(ask)).alias("refusals"),
+        )
+        return (
+            F.when(state["left"] >= size, filled)
+            .when(lowest.isNull() | (size < lowest), refused)
+            .otherwise(state)
         )
-        return F.when(state["left"] >= size, filled).otherwise(state)
 
-    return queues.select("product_id", F.aggregate("queue", start, serve).alias("end")).select(
-        "product_id", "end.*"
-    )
+    return queues.withColumn("end", F.aggregate(asks, start, step))
 
 
 def stock_depletion(
@@ -81,11 +89,13 @@ def stock_depletion(
     ``demands`` has product_id, whole-unit quantity and the order columns. Gives
     one row per product; demands for unknown products are refused and not listed.
     """
-    placed = _in_turn(demands.select("product_id", "quantity", *order), order, heavy)
+    needed = demands.select("product_id", "quantity", *order)
+    served = _serve(_queues(products, needed, order, heavy)).select(
+        "product_id", "end.left", "end.filled"
+    )
     asked = demands.filter(F.col("quantity") > 0).groupBy("product_id").agg(
         F.count("*").alias("demands")
     )
-    served = _served(products, placed, order).drop("by_size")
     filled = F.coalesce("filled", F.lit(0))
     return (
         products.select("product_id", F.col("current_stock").cast("bigint").alias("stock"))
@@ -109,11 +119,15 @@ def filled_demands(
     heavy: Heavy = PROBE,
 ) -> DataFrame:
     """The demands that :func:`stock_depletion` fills, with all their columns."""
-    placed = _in_turn(demands, order, heavy)
-    granted = _served(products, placed, order).select("product_id", F.inline("by_size"))
+
+    def filled(demand, at):
+        return ~F.exists(
+            "end.refusals", lambda r: (r["at"] <= at) & (r["quantity"] <= demand["quantity"])
+        )
+
     return (
-        placed.join(granted, ["product_id", "quantity"])
-        .filter(F.col("turn") <= F.col("n"))
+        _serve(_queues(products, demands, order, heavy))
+        .select("product_id", F.inline(F.filter("queue", filled)))
         .select(*demands.columns)
     )
 

@@ -22,6 +22,9 @@ from shopwright.shared import checkpointed
 GROUP_ROWS_CONF = "spark.shopwright.groupRows"
 GROUP_ROWS = 2_000_000
 
+# Rows per chunk of a cut group, where the session's shuffle partitions would be larger.
+CHUNK_ROWS = 10_000_000
+
 # Heavy groups are looked for with frequent-items sketches, one per slice of the
 # key space, so that no single task merges the sketches of all others. In a slice
 # any group beyond about 0.35 % of its rows is found. Each task of the scan sends
@@ -112,12 +115,13 @@ def _plain(df, keys, order, position, lags, leads, running) -> DataFrame:
 
 def _in_chunks(df, keys, order, position, lags, leads, running) -> DataFrame:
     original = df.columns
-    chunks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
     # Rows equal in all order columns must be separable too, or a heap of copies
     # would stay in one chunk. Both the tie number and the chunk number are
     # written down before use, so no retry can see other values.
     numbered = checkpointed(df.withColumn(_TIE, F.monotonically_increasing_id()))
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    chunks = max(partitions, numbered.count() // CHUNK_ROWS + 1)
     rows = checkpointed(
         numbered.repartitionByRange(chunks, *keys, *order, _TIE).withColumn(
             _CHUNK, F.spark_partition_id()
