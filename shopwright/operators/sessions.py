@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from shopwright.functions import epoch_micros, whole_seconds
 from shopwright.operators.nesting import nest, unnest
 from shopwright.operators.ordered import PROBE, Heavy, ordered, resolve_heavy
+from shopwright.shared import stored
 
 # The page types that mean a visitor reached the till.
 CHECKOUT_PAGES = ("checkout", "confirmation")
@@ -90,8 +91,10 @@ def assign_sessions(
 
     Ordinary users: one shuffle by user, then windows. Users with a heavy share
     of the events are never gathered; their events look up the slot table, which
-    is bounded by the calendar, so Spark joins it without moving the events or,
-    if it must shuffle, splits the skewed side.
+    is bounded by the calendar. It is written out first: otherwise the join would
+    take over its partitioning by user and send a whole user to one task. Under
+    Spark's broadcast threshold the events stay where they are; above it the join
+    shuffles by user and slot and a hot slot is split.
     """
     events = events.filter(F.col("user_id").isNotNull() & F.col("ts").isNotNull())
     cut = resolve_heavy(events, ["user_id"], heavy)
@@ -112,13 +115,16 @@ def assign_sessions(
     if cut is None:
         return out
     busy = events.filter(cut)
-    slots = session_slots(busy, gap_seconds=gap_seconds).withColumns(
-        {"session_start": F.min("first_ts").over(whole), "session_end": F.max("last_ts").over(whole)}
+    slots = (
+        session_slots(busy, gap_seconds=gap_seconds)
+        .withColumns(
+            {"session_start": F.min("first_ts").over(whole), "session_end": F.max("last_ts").over(whole)}
+        )
+        .select("user_id", "slot", "session_no", "session_start", "session_end")
     )
     us = epoch_micros("ts")
     looked_up = busy.withColumn("slot", us - F.pmod(us, F.lit(gap))).join(
-        slots.select("user_id", "slot", "session_no", "session_start", "session_end"),
-        ["user_id", "slot"],
+        stored(slots, "slots"), ["user_id", "slot"]
     )
     return out.unionByName(looked_up.drop("slot"))
 
@@ -146,8 +152,12 @@ def view_durations(
 
 
 def view_category(page_views: DataFrame, products: DataFrame) -> DataFrame:
-    """Page views with the category of the product they show, null where there is none."""
-    known = products.groupBy("product_id").agg(F.min("category_id").alias("category_id"))
+    """Page views with the category of the product they show, null where there is none.
+
+    ``products`` has one row per product. It is joined as it is: an aggregation in
+    between would keep Spark from splitting the views of a very popular product.
+    """
+    known = products.select("product_id", "category_id")
     return page_views.drop("category_id").join(known, "product_id", "left")
 
 

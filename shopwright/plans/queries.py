@@ -7,7 +7,6 @@ from functools import reduce, wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from shopwright import sinks
 from shopwright.functions import (

@@ -36,3 +36,14 @@ def checkpointed(df: DataFrame) -> DataFrame:
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(folder)
     return df.checkpoint(eager=True)
+
+
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """The rows as a table in the shared folder, read back.
+
+    Unlike a checkpoint, the table has a size Spark knows when it plans a join,
+    and carries no partitioning into it.
+    """
+    path = new_folder(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

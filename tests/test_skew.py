@@ -4,6 +4,8 @@ With a low bound on group size the heavy groups take the cut path, and the
 results must still be those of the SQL.
 """
 
+import contextlib
+import io
 import os
 
 import pytest
@@ -11,6 +13,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from shopwright.operators.ordered import GROUP_ROWS_CONF, heavy_groups
+from shopwright.operators.sessions import assign_sessions
 from tests.test_queries import canonical
 
 duckdb = pytest.importorskip("duckdb")
@@ -56,7 +59,10 @@ def skewed(spark, tmp_path_factory):
     pick = lambda key, column: third(key, 1).otherwise(F.col(column)).cast("bigint")
     tables = {n: read(n) for n in ("nation", "region", "customer", "part")}
     tables["orders"] = read("orders").withColumn("o_custkey", pick("o_orderkey", "o_custkey"))
-    tables["events"] = read("events").withColumn("user_id", pick("event_id", "user_id"))
+    hot = F.when(third("event_id", 2).isNotNull(), '{"k": 7}').otherwise(F.col("props"))
+    tables["events"] = (
+        read("events").withColumn("props", hot).withColumn("user_id", pick("event_id", "user_id"))
+    )
     lines = read("lineitem").withColumn("l_partkey", pick("l_extendedprice", "l_partkey"))
     tables["lineitem"] = lines.withColumn(
         "l_orderkey",
@@ -66,7 +72,7 @@ def skewed(spark, tmp_path_factory):
     )
     con = duckdb.connect()
     for name, df in tables.items():
-        df.coalesce(2).write.parquet(f"{folder}/{name}.parquet")
+        df.repartition(4).write.parquet(f"{folder}/{name}.parquet")
         con.execute(f"CREATE VIEW {name} AS SELECT * FROM '{folder}/{name}.parquet/*.parquet'")
     return folder, con
 
@@ -97,3 +103,57 @@ def test_skewed_query_matches_sql(spark, skewed, low_bound, name):
     rows = [tuple(r) for r in got.select(*[f"`{c}`" for c in columns]).collect()]
     assert len(rows) == len(want)
     assert canonical(rows) == canonical(want)
+
+
+@pytest.fixture
+def no_broadcast(spark):
+    """Joins too large to broadcast, and sizes at which a third of these tables counts as skewed."""
+    small = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "4KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "8KB",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.files.maxPartitionBytes": "256KB",
+        "spark.sql.files.openCostInBytes": "256KB",
+    }
+    for key, value in small.items():
+        spark.conf.set(key, value)
+    yield
+    for key in small:
+        spark.conf.unset(key)
+
+
+def run_and_explain(df):
+    rows = [tuple(r) for r in df.collect()]
+    text = io.StringIO()
+    with contextlib.redirect_stdout(text):
+        df.explain()
+    return rows, text.getvalue()
+
+
+@pytest.mark.parametrize(
+    "name", ["view_category", "lookup_products_nested", "revenue_by_category_order_total"]
+)
+def test_joins_split_a_hot_key(spark, skewed, no_broadcast, name):
+    folder, db = skewed
+    got = entry.queries()[name](spark, folder)
+    columns = sorted(got.columns)
+    rows, text = run_and_explain(got.select(*[f"`{c}`" for c in columns]))
+    assert "skew=true" in text
+    quoted = ", ".join(f'"{c}"' for c in columns)
+    want = db.execute(f"SELECT {quoted} FROM ({entry.oracle_sql()[name]})").fetchall()
+    assert canonical(rows) == canonical(want)
+
+
+def test_a_busy_user_is_not_sent_to_one_task(spark, skewed, no_broadcast):
+    folder, _ = skewed
+    events = spark.read.parquet(f"{folder}/events.parquet").select("event_id", "user_id", "ts")
+    plain, _ = run_and_explain(assign_sessions(events, "event_id", heavy=None))
+    cut, text = run_and_explain(assign_sessions(events, "event_id", heavy=F.col("user_id") == 7))
+    assert sorted(plain) == sorted(cut)
+    assert "hashpartitioning(user_id" in text
+    final = text[: text.index("== Initial Plan ==")]
+    shuffles = [x for x in final[final.index("SortMergeJoin") :].splitlines() if "hashpartitioning" in x]
+    assert shuffles and all("slot" in x for x in shuffles)
