@@ -58,23 +58,31 @@ def _as_cells(df: DataFrame, key: Column, family: str, named: Column, version: C
 def session_cells(
     sessions: DataFrame,
     page_views: DataFrame | None = None,
+    viewed: DataFrame | None = None,
     version: Column | None = None,
 ) -> DataFrame:
     """Cells of session rows: eight about the session and five per page view.
 
     Page views come nested in ``sessions`` or as long rows with user_id,
-    start_time of the session and a position ``pv`` from 0. ``version`` is
-    evaluated on both and defaults to 0. If viewed_products comes in several
-    parts, the later ones go to viewed_products_1 and so on.
+    start_time of the session and a position ``pv`` from 0. Viewed products come
+    as an array in ``sessions``, or where that is null from ``viewed``: rows with
+    user_id, start_time, part and viewed_products. Parts after the first go to
+    viewed_products_1 and so on. ``version`` is evaluated on all and defaults to 0.
     """
     version = (F.lit(0) if version is None else version).cast("bigint")
     key = row_key("user_id", "start_time")
     about = _named([(F.lit(q), cell_text(sessions, c)) for q, c in SESSION_CELLS])
-    if "part" in sessions.columns:
-        further = F.concat(F.lit("viewed_products_"), F.col("part").cast("string"))
-        more = _named([(further, cell_text(sessions, "viewed_products"))])
-        about = F.when(F.col("part") == 0, about).otherwise(more)
+    if viewed is not None:
+        here = F.col("viewed_products").isNotNull()
+        about = F.filter(about, lambda c: here | (c["qualifier"] != "viewed_products"))
     session_data = _as_cells(sessions, key, "session_data", about, version)
+    if viewed is not None:
+        further = F.concat(F.lit("viewed_products_"), F.col("part").cast("string"))
+        name = F.when(F.col("part") == 0, F.lit("viewed_products")).otherwise(further)
+        lists = _named([(name, cell_text(viewed, "viewed_products"))])
+        session_data = session_data.unionByName(
+            _as_cells(viewed, key, "session_data", lists, version)
+        )
     if page_views is None:
         page_views = explode_page_views(sessions)
     number = F.concat(F.lit("pv_"), F.col("pv").cast("string"), F.lit("_"))

@@ -449,17 +449,21 @@ def _session_cells(spark, folder):
         views, W.SESSION_KEYS, W.VIEW_ORDER, "session_end", position="seq", heavy=heavy
     )
     numbered = S.view_category(numbered, goods)
-    viewed = S.viewed_products(views, W.SESSION_KEYS, heavy=heavy)
+    viewed = S.viewed_products(views, [*W.SESSION_KEYS, "session_start"], heavy=heavy).select(
+        W.user_label().alias("user_id"),
+        F.col("session_start").alias("start_time"),
+        "part",
+        "viewed_products",
+    )
     places = W.users(spark, folder).select("user_id", "geo_data")
     kind = "struct<type:string,os:string,browser:string>"
     documents = (
         W.sessions(spark, folder)
-        .join(viewed, W.SESSION_KEYS, "left")
         .join(places, "user_id", "left")
         .withColumns(
             {
-                "part": F.coalesce("part", F.lit(0)),
-                "viewed_products": F.coalesce("viewed_products", F.array().cast("array<bigint>")),
+                # Null where the list comes from ``viewed``.
+                "viewed_products": F.when(~F.col("has_products"), F.array().cast("array<bigint>")),
                 "device_profile": F.lit(None).cast(kind),
                 "session_id": W.session_label(),
             }
@@ -476,7 +480,7 @@ def _session_cells(spark, folder):
         "category_id",
         "view_duration",
     )
-    return cells.session_cells(documents, flat)
+    return cells.session_cells(documents, flat, viewed)
 
 
 @query

@@ -119,6 +119,7 @@ def sessions(spark: SparkSession, folder: str) -> DataFrame:
         "views": ("sum", F.lit(1).cast("bigint")),
         "bought": ("max", F.col("page_type") == "purchase"),
         "carted": ("max", F.col("page_type") == "click"),
+        "has_products": ("max", F.col("product_id").isNotNull()),
     }
     return S.sessions_from_events(events(spark, folder), measures).withColumn(
         "conversion_status", S.conversion_status(F.col("bought"), F.col("carted"))

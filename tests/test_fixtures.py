@@ -434,6 +434,24 @@ def test_session_cells(documents):
     assert {r.row_key for r in got.collect()} == {f"u1:{key}"}
 
 
+def test_viewed_products_in_parts(spark, documents):
+    ids = "array<string>"
+    some = S.classify_conversion(documents.filter("session_id in ('s1', 's3')")).withColumn(
+        "viewed_products", F.when(F.col("session_id") == "s3", F.array().cast(ids))
+    )
+    start = ts("2025-03-01T10:00:00")
+    viewed = spark.createDataFrame(
+        [("u1", start, 0, ["p1", "p2"]), ("u1", start, 1, ["p3"])],
+        f"user_id string, start_time timestamp, part int, viewed_products {ids}",
+    )
+    got = cells.session_cells(some, viewed=viewed).filter("qualifier like 'viewed%'")
+    assert sorted((r.row_key[:2], r.qualifier, r.value) for r in got.collect()) == [
+        ("u1", "viewed_products", '["p1","p2"]'),
+        ("u1", "viewed_products_1", '["p3"]'),
+        ("u2", "viewed_products", "[]"),
+    ]
+
+
 def test_key_collision_merges_cell_by_cell(documents):
     written = cells.session_cells(
         S.classify_conversion(documents.filter("user_id = 'u1'")),
