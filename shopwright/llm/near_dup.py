@@ -9,10 +9,12 @@ that after 2 * size rounds at the latest each coordinate has a value. Smaller
 their Jaccard similarity. Bands of ``rows`` coordinates are bucket keys.
 
 Links in a bucket are looked for in two steps. First each class is compared with
-the bucket's hub, the class that shares most buckets with others. Linked classes
-join into components. Then only classes of one bucket that are still in different
-components are compared. So a group of copies costs as many comparisons as it has
-members, and no candidate is left out. Every link is confirmed on the full sets.
+the bucket's hub, the class that shares most buckets with others, and linked classes
+join into components. Then classes that met one hub and are still in different
+components are compared if they can be linked at all: as one of them is not
+linked to the hub, they must differ from the hub in the same elements, of which
+there are few (see ``_compared``). So a group of copies costs about as many comparisons
+as it has members, and no candidate is left out. Every link is confirmed on the full sets.
 
 With 80 bands of 8 rows a pair of similarity 0.8 shares no bucket with
 probability (1 - 0.8^8)^80 = 4e-7, and one of similarity 0.2 shares one with 2e-4.
@@ -30,7 +32,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shopwright.llm import grams
@@ -153,28 +155,99 @@ def shingle_tables(docs: DataFrame, shingle: int) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(made, f"doc_id {doc_id}, node binary, hashes binary")
 
 
-def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose full sets are similar enough."""
+def _compared(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """a, b, need, own and diff for pairs (a, b), from their full sets.
 
-    def confirmed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    diff is what only one of the two sets has. The two are linked when ``need`` is 0 or
+    less; else it says how many elements of its diff a must share with the diff of a third
+    set linked to it. Any set linked to another one that is not linked to b shares more than
+    ``own`` elements of its diff with it.
+
+    Why: let u and m be sets, h the set b, and a pair linked when it shares at least
+    p / (100 + p) of the sum of both sizes. u and m share |h| - missing(u) - missing(m) + o
+    elements, o being the size of the intersection of their diffs. So they are linked when o >= need(u) + c(m),
+    with c(m) = (100 * missing(m) + p * extra(m)) / (100 + p) and need(u) what u lacks to be linked to h.
+    """
+
+    def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             left, right = batch.column(2), batch.column(3)
-            ok = np.zeros(len(left), bool)
+            need, own, diffs = [], [], []
             for i in range(len(left)):
                 x = np.frombuffer(left[i].as_buffer(), np.uint64)
                 y = np.frombuffer(right[i].as_buffer(), np.uint64)
                 both = np.concatenate((x, y))
                 both.sort()
-                shared = int((both[1:] == both[:-1]).sum())
-                ok[i] = 100 * shared >= percent * (len(both) - shared)
-            kept = pa.array(ok)
-            yield pa.record_batch([batch.column(0).filter(kept), batch.column(1).filter(kept)], names=["a", "b"])
+                twice = both[1:] == both[:-1]
+                alone = np.ones(len(both), bool)
+                alone[1:] &= ~twice
+                alone[:-1] &= ~twice
+                shared = int(twice.sum())
+                need.append(-(((100 + percent) * shared - percent * len(both)) // (100 + percent)))
+                own.append((100 * (len(y) - shared) + percent * (len(x) - shared)) // (100 + percent))
+                diffs.append(both[alone].view(np.int64))
+            ends = np.append(0, np.cumsum([len(d) for d in diffs])).astype(np.int32)
+            flat = np.concatenate([*diffs, np.zeros(0, np.int64)])
+            yield pa.record_batch(
+                [
+                    batch.column(0),
+                    batch.column(1),
+                    pa.array(need, pa.int64()),
+                    pa.array(own, pa.int64()),
+                    pa.ListArray.from_arrays(pa.array(ends), pa.array(flat)),
+                ],
+                names=["a", "b", "need", "own", "diff"],
+            )
 
     return (
         pairs.join(sets.select(F.col("node").alias("a"), F.col("hashes").alias("left")), "a")
         .join(sets.select(F.col("node").alias("b"), F.col("hashes").alias("right")), "b")
         .select("a", "b", "left", "right")
-        .mapInArrow(confirmed, "a binary, b binary")
+        .mapInArrow(made, "a binary, b binary, need long, own long, diff array<long>")
+    )
+
+
+def _still_apart(compared: DataFrame, labels: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of different components that were compared with one hub and may be linked.
+
+    One of two such classes is in another component than the hub, hence not linked to it. The
+    elements of each diff are ordered by how few classes of the hub have them; two diffs that
+    share k elements share one among the first |diff| - k + 1 of each.
+    """
+    comps = labels.select("node", "comp")
+    rows = (
+        compared.withColumnRenamed("a", "node")
+        .join(comps, "node", "left")
+        .withColumn("comp", F.coalesce("comp", "node"))
+        .join(comps.select(F.col("node").alias("b"), F.col("comp").alias("hub_comp")), "b", "left")
+        .withColumn("outside", F.col("comp") != F.coalesce("hub_comp", "b"))
+        .join(sizes, "node")
+    )
+    rows = stored(rows, "rows")
+    open_hubs = rows.filter("outside").select("b").distinct()
+    elements = stored(
+        rows.join(open_hubs, "b", "left_semi").select(
+            "b", "node", "comp", "n", "outside", "need", "own", F.size("diff").alias("size"), F.explode("diff").alias("element")
+        ),
+        "elements",
+    )
+    often = stored(elements.groupBy("b", "element").agg(F.count("*").alias("times")), "often")
+    order = Window.partitionBy("b", "node").orderBy("times", "element")
+    ranked = elements.join(often.filter("times > 1"), ["b", "element"]).withColumn(
+        # Elements that no other class of the hub has come first and can't be shared.
+        "place", F.row_number().over(order) + F.col("size") - F.count("*").over(Window.partitionBy("b", "node"))
+    )
+    to_hub = F.col("outside") & (F.col("place") <= F.col("size") - F.col("need") + 1)
+    ranked = stored(ranked.filter(to_hub | (F.col("place") <= F.col("size") - F.col("own"))), "ranked")
+    left = ranked.filter("outside").filter(F.col("place") <= F.col("size") - F.col("need") + 1)
+    left = left.select("b", "element", F.col("node").alias("u"), F.col("n").alias("n_u"), F.col("comp").alias("comp_u"))
+    right = ranked.filter(F.col("place") <= F.col("size") - F.col("own"))
+    right = right.select("b", "element", F.col("node").alias("m"), F.col("n").alias("n_m"), F.col("comp").alias("comp_m"))
+    return (
+        left.join(right, ["b", "element"])
+        .filter((F.col("comp_u") != F.col("comp_m")) & _near_size("n_u", "n_m", percent))
+        .select(F.least("u", "m").alias("a"), F.greatest("u", "m").alias("b"))
+        .distinct()
     )
 
 
@@ -236,14 +309,12 @@ def near_duplicates(
     weight = members.groupBy("node").agg(F.sum("members").alias("weight"))
     weighed = members.join(weight, "node")
     hubs = stored(
-        weighed.groupBy("bucket").agg(F.max(F.struct("weight", "node", "n")).alias("hub")).select("bucket", "hub.*"),
+        weighed.groupBy("bucket").agg(F.max(F.struct("weight", "node")).alias("hub"))
+        .select("bucket", F.col("hub.node").alias("b")),
         "hubs",
-    ).select("bucket", F.col("node").alias("b"), F.col("n").alias("n_b"))
-    first_pairs = stored(
-        members.join(hubs, "bucket")
-        .filter((F.col("node") != F.col("b")) & _near_size("n", "n_b", percent))
-        .select(F.least("node", "b").alias("a"), F.greatest("node", "b").alias("b"))
-        .distinct(),
+    )
+    pairs = stored(
+        members.join(hubs, "bucket").filter(F.col("node") != F.col("b")).select(F.col("node").alias("a"), "b").distinct(),
         "pairs",
     )
 
@@ -259,27 +330,12 @@ def near_duplicates(
         found = shingle_tables(texts, shingle).join(chosen.select("node"), "node", "left_semi")
         return stored(found.groupBy("node").agg(F.first("hashes").alias("hashes")), "sets")
 
-    edges = stored(_linked(first_pairs, sets_of(first_pairs), percent), "links")
+    compared = stored(_compared(pairs, sets_of(pairs), percent), "compared")
+    edges = compared.filter("need <= 0").select("a", "b")
     labels = components(edges)
-
-    # Members of one bucket that are still apart.
-    apart = members.join(labels, "node", "left").select(
-        "bucket", "node", "n", F.coalesce("comp", "node").alias("comp")
-    )
-    mixed = apart.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo < hi")
-    apart = stored(apart.join(mixed.select("bucket"), "bucket"), "apart")
-    left = apart.select("bucket", F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("comp").alias("comp_a"))
-    right = apart.select("bucket", F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("comp").alias("comp_b"))
-    rest = stored(
-        left.join(right, "bucket")
-        .filter((F.col("a") < F.col("b")) & (F.col("comp_a") != F.col("comp_b")) & _near_size("n_a", "n_b", percent))
-        .select("a", "b")
-        .distinct()
-        .join(first_pairs, ["a", "b"], "left_anti"),
-        "pairs",
-    )
+    rest = stored(_still_apart(compared, labels, classes.select("node", "n"), percent), "pairs")
     if not rest.isEmpty():
-        more = stored(_linked(rest, sets_of(rest), percent), "links")
+        more = stored(_compared(rest, sets_of(rest), percent), "compared").filter("need <= 0").select("a", "b")
         labels = components(edges.unionByName(more))
 
     named = classes.select("node", "doc_id").join(labels, "node", "left")
