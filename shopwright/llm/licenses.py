@@ -111,7 +111,9 @@ def scan_licenses(
     def gram(word: F.Column, place: F.Column) -> F.Column:
         return F.concat_ws(" ", word, *(F.get("words", place + i) for i in range(1, k)))
 
-    places = texts.select("row", "doc_id", F.size("words").alias("n_words"), F.posexplode_outer(F.transform("words", gram)))
+    # The words themselves must not be a column of the spread-out rows.
+    counted = texts.select("row", "doc_id", F.size("words").alias("n_words"), F.transform("words", gram).alias("found"))
+    places = counted.select("row", "doc_id", "n_words", F.posexplode_outer("found"))
     known = template_grams(docs, templates, k)
     met = (F.xxhash64("col") == known["hash"]) & (F.col("col") == known["gram"])
     hits = (
