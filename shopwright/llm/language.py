@@ -11,7 +11,9 @@ and the dictionary ``DICTIONARY_BYTES`` in all. Counting and choosing run over a
 predictions compress whole texts. At most ``MAX_LANGUAGES`` dictionaries are broadcast; more
 are an error.
 
-Short texts differ by few bytes, so sizes are summed over two compression levels.
+Short texts differ by few bytes, so sizes are summed over two compression levels. Long ones
+are compressed in pieces, each with the dictionary, because a long text is its own best
+dictionary and margins would fade with length.
 A tie goes to the language with more training rows, then to the name that sorts first.
 
 Defined cases: a null text, or one without a letter, is ``und`` with score 0 and is rejected.
@@ -35,6 +37,7 @@ SAMPLE_TEXTS = 200
 DICTIONARY_BYTES = 1 << 17
 MAX_LANGUAGES = 500
 LEVELS = (1, 6)
+PIECE_BYTES = 1 << 14
 MARGIN = 0.004
 
 _NO_LETTER = re.compile(r"[\W\d_]+")
@@ -107,7 +110,10 @@ def predict(docs: DataFrame, learned: list[tuple[str, int, bytes]], levels: tupl
                     names.append(UNKNOWN)
                     margins.append(0.0)
                     continue
-                sizes = np.array([sum(len(row[i].compress(text)) for row in packers) for i in range(len(langs))])
+                pieces = [text[i : i + PIECE_BYTES] for i in range(0, len(text), PIECE_BYTES)]
+                sizes = np.array(
+                    [sum(len(row[i].compress(p)) for row in packers for p in pieces) for i in range(len(langs))]
+                )
                 best = int(sizes.argmin())
                 rest = np.delete(sizes, best)
                 names.append(langs[best])
