@@ -2,15 +2,15 @@
 
 A line's tokens lie between white space; tokens with a digit are fields. Its leaf in
 the tree is its number of tokens and its first ``depth`` tokens. Inside a leaf a
-token at a place is fixed when at least ``min_docs`` occurrences have it there, and a
+token at a place is fixed when at least ``min_docs`` documents have it there, and a
 field otherwise. Fixed tokens and leaf make a line's template. A template is
-dropped from all documents when it occurs at least ``min_docs`` times and at least the
+dropped from all documents when at least ``min_docs`` documents have it and at least the
 share ``fixed`` of its tokens is fixed.
 
-An occurrence is a document together with a neighbourhood: each document counts once
-for each of its different lines, by the first place, and documents in which the line
-has the same lines before and after it count as one. So copies of a whole document
-do not make its lines recurring, which is left to near-duplicate removal.
+Copies of one text must not make its lines recurring; they are left to near-duplicate
+removal. So documents are counted by a mark that copies and edited copies mostly share: the
+pair of neighbouring words that sorts first in the text. A template with fewer different marks than
+``spread`` times its documents comes from copies and stays.
 
 All counting is by hashes on narrow rows, pre-aggregated before each shuffle. Tokens
 are only spread out for lines whose leaf occurs often enough to hold a template, one line of each
@@ -35,6 +35,7 @@ DEPTH = 3
 MIN_DOCS = 5
 MIN_TOKENS = 3
 FIXED = 0.75
+SPREAD = 0.5
 FIELD = "<*>"
 
 
@@ -47,67 +48,68 @@ def _row_key() -> Column:
 
 
 def numbered_lines(docs: DataFrame, depth: int, min_tokens: int) -> DataFrame:
-    """row_key, doc_id, pos, line (a hash), leaf and around (a hash of both neighbours) for all lines of min_tokens tokens."""
-    texts = docs.select(_row_key().alias("row_key"), "doc_id", F.split(filled(F.col("text")), "\n").alias("lines"))
-
-    def described(line: Column, i: Column) -> Column:
-        tokens = words_of(line, SPACE_BREAK)
-        return F.struct(line.alias("text"), tokens.alias("tokens"), F.xxhash64(F.get("lines", i - 1), F.get("lines", i + 1), (i == 0)).alias("around"))
-
+    """row_key, doc_id, mark, pos, line (a hash) and leaf of all lines of min_tokens tokens."""
+    text = filled(F.col("text"))
+    split = docs.select(
+        _row_key().alias("row_key"), "doc_id", F.split(text, "\n").alias("lines"), words_of(text, SPACE_BREAK).alias("words")
+    )
+    pairs = F.transform("words", lambda word, i: F.concat_ws(" ", word, F.get("words", i + 1)))
+    marked = split.select("row_key", "doc_id", "lines", F.xxhash64(F.array_min(pairs)).alias("mark"))
+    tokens = words_of(F.col("text"), SPACE_BREAK)
+    spread = marked.select("row_key", "doc_id", "mark", F.posexplode("lines").alias("pos", "text"))
+    leaf = F.xxhash64(F.size("tokens"), *(_masked(F.get("tokens", F.lit(i))) for i in range(depth)))
     return (
-        texts.select("row_key", "doc_id", F.posexplode(F.transform("lines", described)))
-        .filter(F.size("col.tokens") >= min_tokens)
-        .select(
-            "row_key",
-            "doc_id",
-            "pos",
-            F.xxhash64("col.text").alias("line"),
-            F.xxhash64(F.size("col.tokens"), *(_masked(F.get("col.tokens", F.lit(i))) for i in range(depth))).alias("leaf"),
-            "col.around",
-        )
+        spread.select("row_key", "doc_id", "mark", "pos", F.xxhash64("text").alias("line"), tokens.alias("tokens"))
+        .filter(F.size("tokens") >= min_tokens)
+        .select("row_key", "doc_id", "mark", "pos", "line", leaf.alias("leaf"))
     )
 
 
 def recurring_lines(
-    docs: DataFrame, lines: DataFrame, depth: int = DEPTH, min_docs: int = MIN_DOCS, fixed: float = FIXED
+    docs: DataFrame,
+    lines: DataFrame,
+    min_docs: int = MIN_DOCS,
+    fixed: float = FIXED,
+    spread: float = SPREAD,
 ) -> DataFrame:
     """line (a hash) and template (a hash) of all lines whose template recurs; ``lines`` is stored."""
-    once = lines.groupBy("line", "row_key", "doc_id").agg(F.min(F.struct("pos", "around", "leaf")).alias("first"))
     wordings = stored(
-        once.groupBy("line", "first.around")
-        .agg(F.first("first.leaf").alias("leaf"))
+        lines.groupBy("line", "row_key", "doc_id")
+        .agg(F.first("mark").alias("mark"), F.first("leaf").alias("leaf"))
+        .groupBy("line", "mark")
+        .agg(F.first("leaf").alias("leaf"), F.count("*").alias("docs"))
         .groupBy("line")
-        .agg(F.first("leaf").alias("leaf"), F.count("*").alias("n")),
+        .agg(F.first("leaf").alias("leaf"), F.count("*").alias("marks"), F.sum("docs").alias("docs")),
         "wordings",
     )
-    leaves = stored(wordings.groupBy("leaf").agg(F.sum("n").alias("all")).filter(F.col("all") >= min_docs).select("leaf"), "leaves")
-    chosen = stored(wordings.join(leaves, "leaf"), "chosen")
+    leaves = wordings.groupBy("leaf").agg(F.sum("marks").alias("all")).filter(F.col("all") >= min_docs).select("leaf")
+    chosen = stored(wordings.join(stored(leaves, "leaves"), "leaf"), "chosen")
 
     # One text of each chosen wording. Only lines of chosen leaves meet their text again.
     texts = docs.select(F.explode(F.split(filled(F.col("text")), "\n")).alias("text"))
     worded = texts.select("text", F.xxhash64("text").alias("line")).groupBy("line").agg(F.min("text").alias("text"))
+    keys = ["line", "leaf", "marks", "docs"]
     tokens = (
         worded.join(chosen, "line")
-        .select("line", "leaf", "n", words_of(F.col("text"), SPACE_BREAK).alias("tokens"))
-        .select("line", "leaf", "n", F.size("tokens").alias("size"), F.posexplode("tokens"))
-        .select("line", "leaf", "n", "size", F.col("pos").alias("at"), F.xxhash64(_masked(F.col("col"))).alias("token"))
-    )
-    tokens = stored(tokens.filter(F.col("token") != F.xxhash64(F.lit(FIELD))), "tokens")
-    common = stored(
-        tokens.groupBy("leaf", "at", "token").agg(F.sum("n").alias("all")).filter(F.col("all") >= min_docs).drop("all"),
-        "common",
+        .select(*keys, words_of(F.col("text"), SPACE_BREAK).alias("tokens"))
+        .select(*keys, F.size("tokens").alias("size"), F.posexplode("tokens").alias("at", "token"))
+        .filter(~F.col("token").rlike("[0-9]"))
+        .select(*keys, "size", "at", F.xxhash64("token").alias("token"))
     )
+    tokens = stored(tokens, "tokens")
+    common = tokens.groupBy("leaf", "at", "token").agg(F.sum("marks").alias("all")).filter(F.col("all") >= min_docs)
+    common = stored(common.drop("all"), "common")
     templates = (
         tokens.join(common, ["leaf", "at", "token"])
-        .groupBy("line", "leaf", "n", "size")
+        .groupBy(*keys, "size")
         .agg(F.count("*").alias("fixed"), F.bit_xor(F.xxhash64("at", "token")).alias("shape"))
         .filter(F.col("fixed") >= F.lit(fixed) * F.col("size"))
-        .select("line", "n", F.xxhash64("leaf", "fixed", "shape").alias("template"))
+        .select("line", "marks", "docs", F.xxhash64("leaf", "fixed", "shape").alias("template"))
     )
     templates = stored(templates, "templates")
-    often = stored(
-        templates.groupBy("template").agg(F.sum("n").alias("all")).filter(F.col("all") >= min_docs).select("template"), "often"
-    )
+    often = templates.groupBy("template").agg(F.sum("marks").alias("marks"), F.sum("docs").alias("docs"))
+    often = often.filter((F.col("marks") >= min_docs) & (F.col("marks") >= F.lit(spread) * F.col("docs")))
+    often = stored(often.select("template"), "often")
     return stored(templates.join(often, "template").select("line", "template"), "recurring")
 
 
@@ -117,10 +119,11 @@ def marked(
     min_docs: int = MIN_DOCS,
     min_tokens: int = MIN_TOKENS,
     fixed: float = FIXED,
+    spread: float = SPREAD,
 ) -> DataFrame:
     """docs with _dropped: the sorted places of their recurring lines, from 0, null without any."""
     lines = stored(numbered_lines(docs, depth, min_tokens), "lines")
-    recurring = recurring_lines(docs, lines, depth, min_docs, fixed)
+    recurring = recurring_lines(docs, lines, min_docs, fixed, spread)
     places = (
         lines.join(recurring, "line")
         .groupBy("row_key", "doc_id")
@@ -133,9 +136,7 @@ def marked(
 
 
 def _kept_text() -> Column:
-    kept = F.filter(
-        F.split("text", "\n"), lambda _, i: ~F.array_contains("_dropped", i)
-    )
+    kept = F.filter(F.split("text", "\n"), lambda _, i: ~F.array_contains("_dropped", i))
     return F.when(F.col("_dropped").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n"))
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from shopwright.llm.licenses import COVERAGE, SLACK, TEMPLATES
 from shopwright.llm.line_dedup import DEPTH, FIXED, MIN_DOCS, MIN_TOKENS
+from shopwright.llm.line_dedup import SPREAD as MARKS
 from shopwright.llm.quality import FLOORS, LEAST, SPREAD
 from shopwright.llm.url_filter import DEFAULT, RULES
 
@@ -63,30 +64,31 @@ def _line_dedup() -> str:
     leaf = ", ".join(mask.format(f"coalesce(tokens[{i + 1}], '')") for i in range(DEPTH))
     return rf"""
 with docs as (
-  select row_number() over () as rid, doc_id, text, string_split(text, chr(10)) as lines from documents),
-cut as (
-  select rid, doc_id, text, i - 1 as pos, lines[i] as line, lines[i - 1] as above, lines[i + 1] as below, i
-  from docs, unnest(range(1, len(lines) + 1)) as r(i)),
+  select row_number() over () as rid, doc_id, text, string_split(text, chr(10)) as lines,
+         list_min(list_transform(range(1, len(words) + 1),
+           lambda i: words[i] || case when i < len(words) then ' ' || words[i + 1] else '' end)) as mark
+  from (select *, {_SPACED.format("coalesce(text, '')")} as words from documents)),
 lines as (
-  select *, case when i = 1 then null else above end as before, list_value(len(tokens)::varchar, {leaf}) as leaf
-  from (select *, {tokens} as tokens from cut) where len(tokens) >= {MIN_TOKENS}),
-once as (
-  select distinct line, leaf, tokens, first_before, first_below, first_pos = 0 as at_start from (
-    select line, doc_id, text, any_value(leaf) as leaf, any_value(tokens) as tokens, min(pos) as first_pos,
-           arg_min(coalesce('x' || before, ''), pos) as first_before, arg_min(coalesce('x' || below, ''), pos) as first_below
-    from lines group by line, doc_id, text)),
-wordings as (select line, any_value(leaf) as leaf, any_value(tokens) as tokens, count(*) as n from once group by line),
-chosen as (select * from wordings where leaf in (select leaf from wordings group by leaf having sum(n) >= {MIN_DOCS})),
+  select *, list_value(len(tokens)::varchar, {leaf}) as leaf
+  from (select *, {tokens} as tokens from (
+    select rid, doc_id, text, mark, i - 1 as pos, lines[i] as line from docs, unnest(range(1, len(lines) + 1)) as r(i)))
+  where len(tokens) >= {MIN_TOKENS}),
+wordings as (
+  select line, any_value(leaf) as leaf, any_value(tokens) as tokens, count(distinct mark) as marks, count(*) as docs
+  from (select distinct line, leaf, tokens, doc_id, text, mark from lines) group by line),
+chosen as (select * from wordings where leaf in (select leaf from wordings group by leaf having sum(marks) >= {MIN_DOCS})),
 spread as (
-  select line, leaf, n, len(tokens) as size, k as "at", tokens[k] as token
+  select line, leaf, marks, docs, len(tokens) as size, k as "at", tokens[k] as token
   from chosen, unnest(range(1, len(tokens) + 1)) as r(k) where not regexp_matches(tokens[k], '[0-9]')),
-common as (select leaf, "at", token from spread group by leaf, "at", token having sum(n) >= {MIN_DOCS}),
+common as (select leaf, "at", token from spread group by leaf, "at", token having sum(marks) >= {MIN_DOCS}),
 templates as (
-  select line, any_value(n) as n, leaf, list(("at", token) order by "at") as shape
+  select line, any_value(marks) as marks, any_value(docs) as docs, leaf, list(("at", token) order by "at") as shape
   from spread join common using (leaf, "at", token) group by line, leaf, size
   having count(*) >= {FIXED} * size),
 recurring as (
-  select line from templates where (leaf, shape) in (select (leaf, shape) from templates group by leaf, shape having sum(n) >= {MIN_DOCS})),
+  select line from templates where (leaf, shape) in (
+    select (leaf, shape) from templates group by leaf, shape
+    having sum(marks) >= {MIN_DOCS} and sum(marks) >= {MARKS} * sum(docs))),
 dropped as (
   select rid, list(pos) as places from lines where line in (select line from recurring) group by rid)
 select doc_id, coalesce(len(lines), 0)::bigint as n_lines, coalesce(len(places), 0)::bigint as n_dropped,
