@@ -8,6 +8,7 @@ import re
 import pytest
 
 import __spark_entry__ as entry
+from shopwright.plans.queries import QUERIES
 
 FOLDER = "/root/testdata/sf0.01"
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no test tables")
@@ -25,7 +26,7 @@ def plan(spark, name):
     return text.getvalue()
 
 
-@pytest.mark.parametrize("name", sorted(set(entry.queries()) - WRITING))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - WRITING))
 def test_no_python_and_no_cross_join(spark, name):
     text = plan(spark, name)
     for banned in ("Python", "Pandas", "CartesianProduct", "BroadcastNestedLoopJoin", "ExistingRDD"):

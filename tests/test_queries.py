@@ -6,6 +6,8 @@ import os
 import pytest
 
 import __spark_entry__ as entry
+from shopwright.plans.oracle import ORACLE
+from shopwright.plans.queries import QUERIES
 
 duckdb = pytest.importorskip("duckdb")
 
@@ -44,14 +46,15 @@ def canonical(rows):
 
 
 def test_every_query_has_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(entry.queries()) and set(ORACLE) <= set(entry.oracle_sql())
 
 
 def test_entry(spark):
     assert entry.entry(spark).count() == 25
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_sql(spark, db, name):
     got = entry.queries()[name](spark, FOLDER)
     columns = sorted(got.columns)
