@@ -31,3 +31,10 @@ def ascii_lower(text: Column) -> Column:
 def words_of(text: Column, breaks: str) -> Column:
     """The words between runs of delimiters; text must not be null."""
     return F.array_remove(F.split(text, breaks), "")
+
+
+def literal_rows(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
+    """A few rows of constants as part of the plan; the schema is "name type, ..."."""
+    fields = [field.split() for field in schema.split(", ")]
+    made = [F.struct(*(F.lit(v).cast(kind).alias(name) for v, (name, kind) in zip(row, fields))) for row in rows]
+    return spark.range(1).select(F.inline(F.array(*made)))

@@ -395,7 +395,10 @@ def _loose(tree: list, out: list[str]) -> None:
 
 def page_text(page: str, wrapper: list) -> str:
     out: list[str] = []
-    _content(page_tree(page), wrapper[KIDS], out)
+    if wrapper[PAGES] == -1:
+        _blocks(page_tree(page), out)
+    else:
+        _content(page_tree(page), wrapper[KIDS], out)
     return "\n".join(out)
 
 

@@ -25,7 +25,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from shopwright.llm.expr import ALNUM_BREAK, ascii_lower, filled, words_of
+from shopwright.llm.expr import ALNUM_BREAK, ascii_lower, filled, literal_rows, words_of
 
 MAX_GRAMS = 100_000
 COVERAGE = 0.8
@@ -85,8 +85,8 @@ def template_grams(docs: DataFrame, templates: list[Template], k: int) -> DataFr
         if not 0 < size <= 63:
             raise ValueError(f"a template needs {k} to {62 + k} words: {template.text!r}")
         rows += [(number, template.label, template.base, size, i, " ".join(words[i : i + k])) for i in range(size)]
-    grams = docs.sparkSession.createDataFrame(
-        rows, "template int, label string, base boolean, grams int, at int, gram string"
+    grams = literal_rows(
+        docs.sparkSession, rows, "template int, label string, base boolean, grams int, at int, gram string"
     )
     grams = grams.withColumn("hash", F.xxhash64("gram"))
     return F.broadcast(grams) if len(rows) <= MAX_GRAMS else grams

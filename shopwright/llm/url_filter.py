@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shopwright.llm.expr import ascii_lower, filled
+from shopwright.llm.expr import filled, literal_rows
 
 SALT = 16
 DEFAULT = "allow"
@@ -39,7 +39,7 @@ RULES = [
 
 
 def rule_table(spark: SparkSession, rules: list[tuple[str, str, str]] = RULES) -> DataFrame:
-    return spark.createDataFrame(rules, "verdict string, host string, path string")
+    return literal_rows(spark, rules, "verdict string, host string, path string")
 
 
 def _digest(host: F.Column, path: F.Column) -> F.Column:
