@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 ALNUM_BREAK = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 SPACE_BREAK = r"[\x20\x09-\x0D]+"
 
+# Numbers in a broadcast table at most: 16 MB of them.
+BROADCAST_VALUES = 2_000_000
+
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
@@ -38,3 +41,9 @@ def literal_rows(spark: SparkSession, rows: list[tuple], schema: str) -> DataFra
     fields = [field.split() for field in schema.split(", ")]
     made = [F.struct(*(F.lit(v).cast(kind).alias(name) for v, (name, kind) in zip(row, fields))) for row in rows]
     return spark.range(1).select(F.inline(F.array(*made)))
+
+
+def broadcast_if_small(df: DataFrame, weight: Column | None = None, most: int = BROADCAST_VALUES) -> DataFrame:
+    """df with a broadcast hint if it has few rows, counted first; ``weight`` is a row's number of values."""
+    total = F.sum(F.lit(len(df.columns)) + (F.lit(0) if weight is None else weight))
+    return F.broadcast(df) if (df.agg(total.alias("n")).first()["n"] or 0) <= most else df

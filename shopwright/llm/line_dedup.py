@@ -14,8 +14,9 @@ pair of neighbouring words that sorts first in the text. A template with fewer d
 
 All counting is by hashes on narrow rows, pre-aggregated before each shuffle. Tokens
 are only spread out for lines whose leaf occurs often enough to hold a template, one line of each
-wording. Tables that the later joins read are stored, so that Spark can broadcast
-the small ones and split hot keys of the others.
+wording. Tables that the later joins read are stored. Those whose counted size is under a
+bound are broadcast, which spares a shuffle of all texts; beyond it the join shuffles, and
+Spark splits hot keys.
 
 Defined cases: null texts stay null and have no lines; lines without a token are kept and
 not counted. Lines shorter than ``min_tokens`` are kept. Repeated rows are copies of one document:
@@ -28,7 +29,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shopwright.llm.expr import SPACE_BREAK, filled, words_of
+from shopwright.llm.expr import SPACE_BREAK, broadcast_if_small, filled, words_of
 from shopwright.shared import stored
 
 DEPTH = 3
@@ -49,20 +50,19 @@ def _row_key() -> Column:
 
 def numbered_lines(docs: DataFrame, depth: int, min_tokens: int) -> DataFrame:
     """row_key, doc_id, mark, pos, line (a hash) and leaf of all lines of min_tokens tokens."""
-    text = filled(F.col("text"))
-    split = docs.select(
-        _row_key().alias("row_key"), "doc_id", F.split(text, "\n").alias("lines"), words_of(text, SPACE_BREAK).alias("words")
+    each = F.transform(
+        F.split(filled(F.col("text")), "\n"),
+        lambda line: F.struct(F.xxhash64(line).alias("line"), words_of(line, SPACE_BREAK).alias("tokens")),
     )
+    split = docs.select(_row_key().alias("row_key"), "doc_id", each.alias("lines"))
+    worded = split.select("*", F.flatten(F.transform("lines", lambda line: line["tokens"])).alias("words"))
     pairs = F.transform("words", lambda word, i: F.concat_ws(" ", word, F.get("words", i + 1)))
-    marked = split.select("row_key", "doc_id", "lines", F.xxhash64(F.array_min(pairs)).alias("mark"))
-    tokens = words_of(F.col("text"), SPACE_BREAK)
-    spread = marked.select("row_key", "doc_id", "mark", F.posexplode("lines").alias("pos", "text"))
-    leaf = F.xxhash64(F.size("tokens"), *(_masked(F.get("tokens", F.lit(i))) for i in range(depth)))
-    return (
-        spread.select("row_key", "doc_id", "mark", "pos", F.xxhash64("text").alias("line"), tokens.alias("tokens"))
-        .filter(F.size("tokens") >= min_tokens)
-        .select("row_key", "doc_id", "mark", "pos", "line", leaf.alias("leaf"))
-    )
+    marked = worded.select("row_key", "doc_id", "lines", F.xxhash64(F.array_min(pairs)).alias("mark"))
+    spread = marked.select("row_key", "doc_id", "mark", F.posexplode("lines").alias("pos", "of"))
+    tokens = F.col("of.tokens")
+    leaf = F.xxhash64(F.size(tokens), *(_masked(F.get(tokens, F.lit(i))) for i in range(depth)))
+    long_enough = spread.filter(F.size(tokens) >= min_tokens)
+    return long_enough.select("row_key", "doc_id", "mark", "pos", F.col("of.line").alias("line"), leaf.alias("leaf"))
 
 
 def recurring_lines(
@@ -87,7 +87,9 @@ def recurring_lines(
 
     # One text of each chosen wording. Only lines of chosen leaves meet their text again.
     texts = docs.select(F.explode(F.split(filled(F.col("text")), "\n")).alias("text"))
-    worded = texts.select("text", F.xxhash64("text").alias("line")).groupBy("line").agg(F.min("text").alias("text"))
+    texts = texts.select("text", F.xxhash64("text").alias("line"))
+    wanted = broadcast_if_small(chosen.select("line"))
+    worded = texts.join(wanted, "line", "left_semi").groupBy("line").agg(F.min("text").alias("text"))
     keys = ["line", "leaf", "marks", "docs"]
     tokens = (
         worded.join(chosen, "line")
@@ -130,7 +132,7 @@ def marked(
         # Repeated rows name the same places.
         .agg(F.sort_array(F.collect_set("pos")).alias("_dropped"))
     )
-    places = stored(places, "places").select(F.col("row_key").alias("_key"), F.col("doc_id").alias("_id"), "_dropped")
+    places = broadcast_if_small(stored(places, "places"), F.size("_dropped")).select(F.col("row_key").alias("_key"), F.col("doc_id").alias("_id"), "_dropped")
     same = (_row_key() == F.col("_key")) & F.col("doc_id").eqNullSafe(F.col("_id"))
     return docs.join(places, same, "left").select(*(docs[c] for c in docs.columns), "_dropped")
 
