@@ -20,8 +20,8 @@ padded to the capacity unless their length is a power of two.
 from __future__ import annotations
 
 import functools
+import itertools
 import zlib
-from array import array
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -35,17 +35,22 @@ from shopwright.shared import stored
 
 CAPACITY = 2048
 END_ID = 1
-CACHED_WORDS = 1_000_000
-ROWS = 1_024
+KEPT_WORDS = 1_000_000
+ROWS = 2_048
+
+
+# A word that ends with a letter, and after it an ASCII punctuation mark and whatever is no letter or digit.
+_TAIL = r"^(.*\pL)([!-/:-@\[-`{-~][^\s\pL\pN]*)$"
 
 
 class WordEncoder:
-    """Texts to token ids; every distinct word is tokenized once and kept.
+    """Texts to token ids; every distinct word is tokenized once.
+
+    Splitting texts at ASCII white space, and words between a letter and the punctuation at
+    their end, agrees with the vocabulary's own rules, by which a token never spans
+    either. ASCII words are looked up in lower case, which the vocabulary applies as well.
 
-    Splitting texts at ASCII white space, and between a letter and sentence punctuation
-    before white space, agrees with the vocabulary's own rules, by which a token never
-    spans either. ASCII words are looked up in lower case, which the vocabulary applies
-    as well. The store is emptied when it holds ``CACHED_WORDS`` words.
+    Up to ``KEPT_WORDS`` words are kept, as one Arrow array, and forgotten together.
     """
 
     def __init__(self, path: str) -> None:
@@ -54,39 +59,58 @@ class WordEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         # Strings of special tokens inside a text are ordinary text.
         self.tokenizer.encode_special_tokens = True
-        self._empty()
-
-    def _empty(self) -> None:
-        self.places: dict[str, int] = {}
-        self.first, self.size, self.pool = array("q"), array("q"), array("I")
-
-    def _learn(self, words: list[str]) -> None:
-        if len(self.places) > CACHED_WORDS:
-            self._empty()
-        new = [w for w in words if w not in self.places]
-        for word, made in zip(new, self.tokenizer.encode_batch(new, add_special_tokens=False)):
-            self.places[word] = len(self.first)
-            self.first.append(len(self.pool))
-            self.size.append(len(made.ids))
-            self.pool.extend(made.ids)
+        self._forget()
+
+    def _forget(self) -> None:
+        # The ids of word number n are pool[ends[n] : ends[n + 1]]; number 0 is the empty word.
+        self.words = pa.array([""], pa.string())
+        self.ends, self.pool = np.zeros(2, np.int32), np.zeros(0, np.uint32)
+
+    def _numbers(self, words: pa.Array) -> np.ndarray:
+        if len(self.words) > KEPT_WORDS:
+            self._forget()
+        found = pc.index_in(words, value_set=self.words)
+        new = words.filter(found.is_null())
+        if len(new):
+            made = [e.ids for e in self.tokenizer.encode_batch_fast(new.to_pylist(), add_special_tokens=False)]
+            sizes = np.fromiter(map(len, made), np.int32, len(made))
+            first = len(self.words)
+            self.words = pa.concat_arrays([self.words, new])
+            self.ends = np.append(self.ends, self.ends[-1] + np.cumsum(sizes, dtype=np.int32))
+            ids = np.fromiter(itertools.chain.from_iterable(made), np.uint32, int(sizes.sum()))
+            self.pool = np.concatenate((self.pool, ids))
+        numbers = found.fill_null(-1).to_numpy().copy()
+        if len(new):
+            numbers[numbers < 0] = first + np.arange(len(new), dtype=np.int32)
+        return numbers
 
     def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(all ids one after the other, number of ids of each text)."""
-        spaced = pc.replace_substring_regex(texts.fill_null(""), r"(\pL)([.,;:!?]+[ \t\n\v\f\r])", r"\1 \2")
-        split = pc.split_pattern_regex(spaced, r"[ \t\n\v\f\r]+")
+        split = pc.ascii_split_whitespace(texts.cast(pa.string()).fill_null(""))
         lists = split.offsets.to_numpy()
         words = split.flatten().dictionary_encode()
         forms = words.dictionary
-        forms = pc.if_else(pc.string_is_ascii(forms), pc.ascii_lower(forms), forms).dictionary_encode()
-        known = forms.dictionary.to_pylist()
-        self._learn(known)
-        place = np.array([self.places[w] for w in known], np.int64)[forms.indices.to_numpy()][words.indices.to_numpy()]
-        first, length = np.array(self.first)[place], np.array(self.size)[place]
-        ends = np.cumsum(length)
-        total = int(ends[-1]) if len(ends) else 0
-        # Place of each id in the pool: its word's first place plus its number within the word.
-        ids = np.array(self.pool, np.uint32)[np.repeat(first - ends + length, length) + np.arange(total)]
-        return ids, np.diff(np.append(0, ends)[lists - lists[0]])
+        forms = pc.if_else(pc.string_is_ascii(forms), pc.ascii_lower(forms), forms)
+        ended = pc.match_substring_regex(forms, _TAIL)
+        cut = forms.filter(ended)
+        body, tail = (pc.replace_substring_regex(cut, _TAIL, part) for part in (r"\1", r"\2"))
+        parts = pa.concat_arrays([forms.filter(pc.invert(ended)), body, tail]).dictionary_encode()
+        number = self._numbers(parts.dictionary)[parts.indices.to_numpy()]
+        # Each word is its body and its tail, which may be empty.
+        pair = np.zeros((len(forms), 2), np.int32)
+        ended = ended.to_numpy(zero_copy_only=False)
+        uncut = len(forms) - len(cut)
+        pair[~ended, 0] = number[:uncut]
+        pair[ended, 0] = number[uncut : uncut + len(cut)]
+        pair[ended, 1] = number[uncut + len(cut) :]
+        number = pair[words.indices.to_numpy()].ravel()
+        first = self.ends[number]
+        length = self.ends[number + 1] - first
+        ends = np.cumsum(length, dtype=np.int32)
+        # Place of each id in the pool: its part's first place plus its number within the part.
+        at = np.repeat(first - ends + length, length)
+        at += np.arange(len(at), dtype=np.int32)
+        return self.pool[at], np.diff(np.append(0, ends)[2 * (lists - lists[0])])
 
 
 @functools.cache
