@@ -3,16 +3,15 @@
 from shopwright.functions.columns import (
     add_seconds,
     amount,
-    cents,
+    money,
+    plain_number,
     epoch_micros,
-    exact_amount,
     iso_text,
     json_text,
     map_value,
     padded_id,
     row_key,
     subcategory_id,
-    sum_cents,
     title_case,
     whole_seconds,
 )
@@ -20,16 +19,15 @@ from shopwright.functions.columns import (
 __all__ = [
     "add_seconds",
     "amount",
-    "cents",
+    "money",
+    "plain_number",
     "epoch_micros",
-    "exact_amount",
     "iso_text",
     "json_text",
     "map_value",
     "padded_id",
     "row_key",
     "subcategory_id",
-    "sum_cents",
     "title_case",
     "whole_seconds",
 ]

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from decimal import Decimal
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -18,29 +16,29 @@ def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def cents(c: Column | str) -> Column:
-    """Whole cents of an amount, rounded half up.
+def money(c: Column | str) -> Column:
+    """An amount as a decimal with six places, rounded half up.
 
-    Sums of whole numbers do not depend on row order, and unlike decimals they
-    cost no more than sums of doubles. One group holds up to 9.2e16 units of
-    money; beyond that Spark reports an overflow.
+    Sums of decimals do not depend on row order. Amounts have up to 22 digits before
+    the point; larger ones and those that are not finite are an error.
     """
-    return F.floor(_col(c) * 100 + F.lit(0.5)).cast("bigint")
+    value = _col(c)
+    finite = value.isNull() | (value - value == 0)
+    wrong = F.raise_error(F.lit("an amount is not finite")).cast("decimal(28,6)")
+    return F.when(finite, value.cast("decimal(28,6)")).otherwise(wrong)
 
 
 def amount(c: Column | str) -> Column:
-    """Money as a double, from cents."""
-    return _col(c).cast("double") / F.lit(100.0)
-
-
-def exact_amount(c: Column | str) -> Column:
-    """Money as a two-place decimal, from cents."""
-    return (_col(c).cast("decimal(18,0)") * F.lit(Decimal("0.01"))).cast("decimal(18,2)")
+    """A sum of money as a double."""
+    return _col(c).cast("double")
 
 
-def sum_cents(c: Column | str) -> Column:
-    """Sum of group totals in cents, with room for any number of groups."""
-    return F.sum(_col(c).cast("decimal(28,0)"))
+def plain_number(c: Column | str) -> Column:
+    """A double as text in full precision, without an exponent between 1e-18 and 1e19."""
+    text = _col(c).cast("string")
+    digits = text.try_cast("decimal(38,18)").cast("string")
+    plain = F.regexp_replace(F.regexp_replace(digits, "0+$", ""), "[.]$", ".0")
+    return F.when(text.contains("E"), F.coalesce(F.nullif(plain, F.lit("0.0")), text)).otherwise(text)
 
 
 def epoch_micros(ts: Column | str) -> Column:

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shopwright.functions import subcategory_id
+from shopwright.operators.nesting import PART_ROWS, nest, unnest
 from shopwright.operators.ordered import PROBE, Heavy, ordered
 
 
@@ -15,13 +16,13 @@ def product_catalog(products: DataFrame, categories: DataFrame) -> DataFrame:
     """Products with a ``category`` struct copied from their category.
 
     The subcategory is always the one whose id ends in 01. Products of unknown
-    categories stay, with nulls. Spark broadcasts the categories while they are
-    under its size threshold.
+    categories stay, with nulls. Of several documents under one category id the one
+    with the greatest name counts, then the one whose JSON text is greatest.
     """
     wanted = subcategory_id("category_id", 1)
-    known = categories.select(
-        "category_id", F.col("name").alias("__name"), F.col("subcategories").alias("__subs")
-    )
+    document = F.struct(F.col("name").alias("__name"), F.col("subcategories").alias("__subs"))
+    rank = F.struct("name", F.to_json(F.struct("subcategories")))
+    known = categories.groupBy("category_id").agg(F.max_by(document, rank).alias("__d")).select("category_id", "__d.*")
     first = F.get(F.filter("__subs", lambda s: s["subcategory_id"] == wanted), F.lit(0))
     return (
         products.join(known, "category_id", "left")
@@ -60,22 +61,32 @@ def category_tree(pairs: DataFrame) -> DataFrame:
     )
 
 
-def sort_price_history(products: DataFrame) -> DataFrame:
+def sort_price_history(
+    products: DataFrame, *, part_rows: int = PART_ROWS, heavy: Heavy = PROBE
+) -> DataFrame:
     """Order each product's price list by date and derive prices and creation date.
 
-    base_price keeps the first price, current_price takes the last.
+    base_price is the first price, current_price the last, over the whole list.
+    ``products`` may hold a list in several parts (see ``nest``); the result numbers
+    its parts by date, from 0. Products without prices keep an empty list and nulls.
     """
-    by_date = F.array_sort(F.transform("price_history", lambda h: F.struct(h["date"], h["price"])))
-    tidy = products.withColumn(
-        "price_history",
-        F.transform(by_date, lambda h: F.struct(h["price"].alias("price"), h["date"].alias("date"))),
+    derived = ("price_history", "part", "base_price", "current_price", "creation_date")
+    facts = products.filter("part = 0") if "part" in products.columns else products
+    facts = facts.select(*[c for c in products.columns if c not in derived])
+    changes = unnest(products.select("product_id", "price_history"), "price_history")
+    lists = nest(
+        changes, ["product_id"], ["date", "price"], ["price", "date"], "price_history", part_rows=part_rows, heavy=heavy
     )
-    return tidy.withColumns(
-        {
-            "base_price": F.try_element_at("price_history", F.lit(1))["price"],
-            "current_price": F.try_element_at("price_history", F.lit(-1))["price"],
-            "creation_date": F.try_element_at("price_history", F.lit(1))["date"],
-        }
+    kind = lists.schema["price_history"].dataType.simpleString()
+    return (
+        facts.join(price_summary(changes).drop("changes"), "product_id", "left")
+        .join(lists, "product_id", "left")
+        .withColumns(
+            {
+                "part": F.coalesce("part", F.lit(0)),
+                "price_history": F.coalesce("price_history", F.array().cast(kind)),
+            }
+        )
     )
 
 

@@ -1,7 +1,9 @@
-"""Wide rows as a long table of cells: row_key, family, qualifier, value, version.
+"""Wide rows as a long table of cells: row_key, family, qualifier, value, version, put.
 
 Values are text. A cell may have several versions; a read sees the newest of each
-cell, so a row can mix cells of several writes.
+cell, so a row can mix cells of several writes. ``version`` numbers the write, such as the
+time of a batch; ``put`` orders the rows put by one write. All cells of one put share both,
+so a read never mixes two puts that wrote the same cells.
 """
 
 from __future__ import annotations
@@ -10,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shopwright.functions import iso_text, json_text, row_key
+from shopwright.functions import epoch_micros, iso_text, json_text, plain_number, row_key
 from shopwright.functions.columns import reverse_seconds
 from shopwright.operators.customers import engagement_totals, with_all_users
 from shopwright.operators.sessions import explode_page_views
@@ -39,7 +41,7 @@ def cell_text(df: DataFrame, column: str) -> Column:
     if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
         text = iso_text(column)
     elif isinstance(kind, (T.DoubleType, T.FloatType)):
-        text = F.col(column).cast("decimal(38,2)").cast("string")
+        text = plain_number(F.col(column).cast("double"))
     else:
         text = F.col(column).cast("string")
     return F.coalesce(text, F.lit(""))
@@ -49,67 +51,58 @@ def _named(pairs: list[tuple[Column, Column]]) -> Column:
     return F.array(*[F.struct(q.alias("qualifier"), v.alias("value")) for q, v in pairs])
 
 
-def _as_cells(df: DataFrame, key: Column, family: str, named: Column, version: Column) -> DataFrame:
+def _as_cells(df: DataFrame, key: Column, family: str, named: Column, version: Column, put: Column) -> DataFrame:
     return df.select(
-        key.alias("row_key"), F.lit(family).alias("family"), F.inline(named), version.alias("version")
+        key.alias("row_key"), F.lit(family).alias("family"), F.inline(named), version.alias("version"), put.alias("put")
     )
 
 
-def session_cells(
-    sessions: DataFrame,
-    page_views: DataFrame | None = None,
-    viewed: DataFrame | None = None,
-    version: Column | None = None,
-) -> DataFrame:
+def write_time() -> Column:
+    """Version of a write made now: microseconds since 1970."""
+    return F.unix_micros(F.current_timestamp())
+
+
+def put_order(start: str = "start_time", tie: str = "session_id") -> Column:
+    """Order of session rows in one write: by start, then by id."""
+    return F.concat(F.lpad((epoch_micros(start) + (1 << 62)).cast("string"), 19, "0"), F.lit(":"), F.col(tie))
+
+
+def session_cells(sessions: DataFrame, version: Column, page_views: DataFrame | None = None) -> DataFrame:
     """Cells of session rows: eight about the session and five per page view.
 
-    Page views come nested in ``sessions`` or as long rows with user_id,
-    start_time of the session and a position ``pv`` from 0. Viewed products come
-    as an array in ``sessions``, or where that is null from ``viewed``: rows with
-    user_id, start_time, part and viewed_products. Parts after the first go to
-    viewed_products_1 and so on. ``version`` is evaluated on all and defaults to 0.
+    The layout is the same for any number of page views and products. Page views come nested in
+    ``sessions`` or as long rows with session_id, user_id, start_time of the session and a
+    position ``pv`` from 0. ``version`` is evaluated on both.
     """
-    version = (F.lit(0) if version is None else version).cast("bigint")
+    version, put = version.cast("bigint"), put_order()
     key = row_key("user_id", "start_time")
     about = _named([(F.lit(q), cell_text(sessions, c)) for q, c in SESSION_CELLS])
-    if viewed is not None:
-        here = F.col("viewed_products").isNotNull()
-        about = F.filter(about, lambda c: here | (c["qualifier"] != "viewed_products"))
-    session_data = _as_cells(sessions, key, "session_data", about, version)
-    if viewed is not None:
-        further = F.concat(F.lit("viewed_products_"), F.col("part").cast("string"))
-        name = F.when(F.col("part") == 0, F.lit("viewed_products")).otherwise(further)
-        lists = _named([(name, cell_text(viewed, "viewed_products"))])
-        session_data = session_data.unionByName(
-            _as_cells(viewed, key, "session_data", lists, version)
-        )
+    session_data = _as_cells(sessions, key, "session_data", about, version, put)
     if page_views is None:
         page_views = explode_page_views(sessions)
     number = F.concat(F.lit("pv_"), F.col("pv").cast("string"), F.lit("_"))
     per_view = _named(
         [(F.concat(number, F.lit(c)), cell_text(page_views, c)) for c in PAGE_VIEW_CELLS]
     )
-    return session_data.unionByName(_as_cells(page_views, key, "page_views", per_view, version))
+    return session_data.unionByName(_as_cells(page_views, key, "page_views", per_view, version, put))
 
 
 def metric_cells(
-    df: DataFrame,
-    key: str,
-    value: str,
-    family: str,
-    qualifier: str,
-    version: Column | None = None,
+    df: DataFrame, key: str, value: str, family: str, qualifier: str, version: Column
 ) -> DataFrame:
-    """One cell per group of an aggregate, keyed by the group."""
-    version = F.lit(0) if version is None else version
+    """One cell per group of an aggregate, keyed by the group, in full precision.
+
+    Not-a-number and infinities are published as NaN, Infinity and -Infinity, null as a null value.
+    """
     kind = df.schema[value].dataType
-    number = F.col(value).cast("decimal(38,2)") if isinstance(kind, T.DoubleType) else F.col(value)
+    number = plain_number(value) if isinstance(kind, T.DoubleType) else F.col(value).cast("string")
     return df.select(
         F.col(key).cast("string").alias("row_key"),
         F.lit(family).alias("family"),
         F.lit(qualifier).alias("qualifier"),
-        number.cast("string").alias("value"),
+        number.alias("value"),
         version.cast("bigint").alias("version"),
+        F.lit("").alias("put"),
     )
 
 
@@ -119,46 +112,55 @@ def retain_versions(cells: DataFrame, n: int = 3) -> DataFrame:
     Spark turns the rank filter into a limit per group that also runs before the
     shuffle, so a much-rewritten cell sends n rows per task and not its history.
     """
-    newest = Window.partitionBy(*CELL).orderBy(F.desc("version"), F.desc("value"))
+    newest = Window.partitionBy(*CELL).orderBy(F.desc("version"), F.desc("put"), F.desc("value"))
     return cells.withColumn("__n", F.row_number().over(newest)).filter(F.col("__n") <= n).drop("__n")
 
 
 def latest_cells(cells: DataFrame) -> DataFrame:
     """The newest version of each cell. Cells of older writes stay where no newer one has them."""
-    newest = F.max(F.struct("version", "value"))
-    return cells.groupBy(*CELL).agg(newest.alias("__top")).select(
-        *CELL, F.col("__top.value").alias("value"), F.col("__top.version").alias("version")
+    newest = F.max_by(F.struct("value", "version", "put"), F.struct("version", "put", "value"))
+    return cells.groupBy(*CELL).agg(newest.alias("__top")).select(*CELL, "__top.*")
+
+
+def wide_rows(cells: DataFrame) -> DataFrame:
+    """One row per row_key: a map from "family:qualifier" to the newest value of each cell.
+
+    A row must fit into memory, as it does for its readers.
+    """
+    entry = F.struct(F.concat_ws(":", "family", "qualifier").alias("cell"), "value")
+    return latest_cells(cells).groupBy("row_key").agg(
+        F.map_from_entries(F.array_sort(F.collect_list(entry))).alias("cells")
     )
 
 
-def rows_between(cells: DataFrame, first_key: str, stop_key: str) -> DataFrame:
-    """Cells with first_key <= row_key < stop_key."""
-    return cells.filter((F.col("row_key") >= first_key) & (F.col("row_key") < stop_key))
+def rows_between(cells: DataFrame, first_key: str | Column, stop_key: str | Column) -> DataFrame:
+    """The newest cells with first_key <= row_key < stop_key."""
+    return latest_cells(cells.filter((F.col("row_key") >= first_key) & (F.col("row_key") < stop_key)))
 
 
 def rows_of_user(cells: DataFrame, user: str, start, end) -> DataFrame:
-    """Cells of a user's sessions in a time range, found by row key alone.
+    """The newest cells of a user's sessions in a time range, found by row key alone.
 
     The key holds reverse time, so the scan starts at the range's end.
     """
     begin, finish = F.lit(start).cast("timestamp"), F.lit(end).cast("timestamp")
     first = F.concat(F.lit(f"{user}:"), reverse_seconds(finish).cast("string"))
     stop = F.concat(F.lit(f"{user}:"), reverse_seconds(begin).cast("string"))
-    return cells.filter((F.col("row_key") >= first) & (F.col("row_key") < stop))
+    return rows_between(cells, first, stop)
 
 
 def keyed_sessions(cells: DataFrame) -> DataFrame:
     """One row per session row: user_id, reverse_seconds and the text of its duration cell.
 
     User and time come from the row key. The newest duration wins; a row without
-    one has a null.
+    one has a null. Only session_data cells are read, which every session row has.
     """
-    duration = (F.col("family") == "session_data") & (F.col("qualifier") == "duration")
-    newest = F.max(F.when(duration, F.struct("version", "value")))
-    return cells.groupBy("row_key").agg(newest.alias("__top")).select(
+    own = cells.filter("family = 'session_data'")
+    newest = F.max_by("value", F.when(F.col("qualifier") == "duration", F.struct("version", "put", "value")))
+    return own.groupBy("row_key").agg(newest.alias("duration")).select(
         F.regexp_extract("row_key", "^(.*):[0-9]+$", 1).alias("user_id"),
         F.regexp_extract("row_key", ":([0-9]+)$", 1).cast("bigint").alias("reverse_seconds"),
-        F.col("__top.value").alias("duration"),
+        "duration",
     )
 
 

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shopwright.functions import amount, cents
+from shopwright.functions import amount, money
 from shopwright.operators.sessions import sessions_in_range
 
 CLV_COLUMNS = (
@@ -34,7 +34,7 @@ def distinct_users(df: DataFrame) -> DataFrame:
 def purchase_totals(transactions: DataFrame) -> DataFrame:
     """user_id, total_spend, purchase_count."""
     return transactions.groupBy("user_id").agg(
-        amount(F.sum(cents("total"))).alias("total_spend"),
+        amount(F.sum(money("total"))).alias("total_spend"),
         F.count("*").alias("purchase_count"),
     )
 
@@ -69,7 +69,7 @@ def with_empty_summary(users: DataFrame) -> DataFrame:
 def user_summary(users: DataFrame, transactions: DataFrame) -> DataFrame:
     """Users with purchase count and average spend; zeros where a user bought nothing."""
     totals = transactions.groupBy("user_id").agg(
-        F.count("*").alias("n"), amount(F.sum(cents("total"))).alias("spend")
+        F.count("*").alias("n"), amount(F.sum(money("total"))).alias("spend")
     )
     summary = F.struct(
         F.col("n").alias("total_purchases"),
@@ -116,7 +116,7 @@ def engagement(
 
 def customer_lifetime_value(
     users: DataFrame,
-    purchases: DataFrame,
+    purchases: DataFrame | None,
     engagement: DataFrame,
     as_of,
     mode: str = "current",
@@ -125,14 +125,16 @@ def customer_lifetime_value(
 
     mode ``current`` scores engagement by sessions per month and hours;
     ``hours_only`` by hours alone. ``as_of`` is the day tenure is counted to.
+    ``purchases`` is None where ``users`` has total_spend and purchase_count already.
     """
     if mode not in ("current", "hours_only"):
         raise ValueError(f"unknown mode {mode!r}")
     day: Column = F.lit(as_of).cast("date")
+    known = users
+    if purchases is not None:
+        known = users.select("user_id", "registration_date").join(purchases, "user_id", "left")
     joined = (
-        users.select("user_id", "registration_date")
-        .join(purchases, "user_id", "left")
-        .join(engagement, "user_id", "left")
+        known.join(engagement, "user_id", "left")
         .na.fill(0, ["total_spend", "purchase_count", "session_count", "total_duration"])
     )
     hours = F.col("total_duration") / F.lit(3600.0)

@@ -17,15 +17,18 @@ def _queues(products, demands, order, heavy) -> DataFrame:
     for q units is refused too, and the filled demands for q units are the first
     ones: at most stock / q of them. Whatever comes later cannot change the
     outcome. Per product this leaves a queue bounded by the stock (about
-    stock * ln(stock)), however often the product is asked for.
+    stock * ln(stock)), however often the product is asked for. The greatest stock of
+    all products is a bound that needs no join: demands beyond it go before the
+    shuffle by product, so a hot product's history never meets in one task.
     """
+    most = products.agg(F.max("current_stock").cast("bigint")).scalar()
     placed = ordered(
         demands.filter(F.col("quantity") > 0),
         ["product_id", "quantity"],
         order,
         position="turn",
         heavy=heavy,
-    )
+    ).filter(F.col("turn") * F.col("quantity") <= most)
     stock = products.select("product_id", F.col("current_stock").cast("bigint").alias("stock"))
     first = [*order, "quantity", "turn"]
     rest = [c for c in demands.columns if c not in first and c != "product_id"]
@@ -88,15 +91,16 @@ def stock_depletion(
 
     ``demands`` has product_id, whole-unit quantity and the order columns. Gives
     one row per product; demands for unknown products are refused and not listed.
+    A demand for 0 units is always filled, one for less or for null refused.
     """
     needed = demands.select("product_id", "quantity", *order)
     served = _serve(_queues(products, needed, order, heavy)).select(
         "product_id", "end.left", "end.filled"
     )
-    asked = demands.filter(F.col("quantity") > 0).groupBy("product_id").agg(
-        F.count("*").alias("demands")
+    asked = demands.groupBy("product_id").agg(
+        F.count("*").alias("demands"), F.count_if(F.col("quantity") == 0).alias("for_nothing")
     )
-    filled = F.coalesce("filled", F.lit(0))
+    filled = F.coalesce("filled", F.lit(0)) + F.coalesce("for_nothing", F.lit(0))
     return (
         products.select("product_id", F.col("current_stock").cast("bigint").alias("stock"))
         .join(asked, "product_id", "left")
@@ -125,11 +129,11 @@ def filled_demands(
             "end.refusals", lambda r: (r["at"] <= at) & (r["quantity"] <= demand["quantity"])
         )
 
-    return (
-        _serve(_queues(products, demands, order, heavy))
-        .select("product_id", F.inline(F.filter("queue", filled)))
-        .select(*demands.columns)
+    served = _serve(_queues(products, demands, order, heavy)).select(
+        "product_id", F.inline(F.filter("queue", filled))
     )
+    for_nothing = demands.filter("quantity = 0").join(products.select("product_id"), "product_id", "left_semi")
+    return served.select(*demands.columns).unionByName(for_nothing.select(*demands.columns))
 
 
 def remaining_stock(products: DataFrame, column: str = "current_stock") -> DataFrame:

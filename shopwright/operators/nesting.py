@@ -39,6 +39,12 @@ def nest(
     )
 
 
+def gathered(df: DataFrame, keys: Sequence[str], array: str) -> DataFrame:
+    """One row per group with all parts of its array put together, for groups that fit into a row."""
+    whole = F.sort_array(F.collect_list(F.struct("part", array)))
+    return df.groupBy(*keys).agg(F.flatten(F.transform(whole, lambda p: p[array])).alias(array))
+
+
 def unnest(df: DataFrame, array: str, *, index: str | None = None, part_rows: int = PART_ROWS) -> DataFrame:
     """One row per array element with the struct fields as columns.
 

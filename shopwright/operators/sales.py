@@ -13,9 +13,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shopwright.functions import amount, cents, exact_amount, sum_cents
+from shopwright.functions import amount, money
 from shopwright.operators.nesting import nest, unnest
 from shopwright.operators.ordered import PROBE, Heavy
+from shopwright.shared import stored
 
 
 def explode_items(transactions: DataFrame) -> DataFrame:
@@ -34,13 +35,31 @@ def fill_defaults(df: DataFrame, defaults: dict) -> DataFrame:
 
 
 def product_sales(items: DataFrame) -> DataFrame:
-    """product_id, revenue in cents, quantity."""
+    """product_id, exact revenue, quantity."""
     return items.groupBy("product_id").agg(
-        F.sum(cents("subtotal")).alias("revenue"),
+        F.sum(money("subtotal")).alias("revenue"),
         F.sum("quantity").cast("bigint").alias("total_quantity"),
     )
 
 
+def product_totals(items: DataFrame) -> DataFrame:
+    """product_id, revenue of its items, order_revenue (each order's total once per item) and quantity, exact."""
+    return items.groupBy("product_id").agg(
+        F.sum(money("subtotal")).alias("revenue"),
+        F.sum(money("total")).alias("order_revenue"),
+        F.sum("quantity").cast("bigint").alias("total_quantity"),
+    )
+
+
+def category_totals(per_product: DataFrame, products: DataFrame) -> DataFrame:
+    """The sums of ``product_totals`` per category."""
+    return (
+        per_product.join(products.select("product_id", "category_id"), "product_id")
+        .groupBy("category_id")
+        .agg(F.sum("revenue").alias("revenue"), F.sum("order_revenue").alias("order_revenue"))
+    )
+
+
 def top_products(items: DataFrame, n: int = 10) -> DataFrame:
     """The n products with the highest item revenue; ties go to the smaller id."""
     return (
@@ -55,7 +74,7 @@ def top_products(items: DataFrame, n: int = 10) -> DataFrame:
 
 def revenue_by_category(items: DataFrame, products: DataFrame) -> DataFrame:
     """Item revenue per product category, largest first."""
-    per_product = items.groupBy("product_id").agg(F.sum(cents("subtotal")).alias("revenue"))
+    per_product = items.groupBy("product_id").agg(F.sum(money("subtotal")).alias("revenue"))
     return _per_category(per_product, products)
 
 
@@ -65,7 +84,7 @@ def revenue_by_category_order_total(items: DataFrame, products: DataFrame) -> Da
     An order with several items adds its total several times; this is a measure
     of the orders a category takes part in, not of its own sales.
     """
-    per_product = items.groupBy("product_id").agg(F.sum(cents("total")).alias("revenue"))
+    per_product = items.groupBy("product_id").agg(F.sum(money("total")).alias("revenue"))
     return _per_category(per_product, products)
 
 
@@ -73,7 +92,7 @@ def _per_category(per_product: DataFrame, products: DataFrame) -> DataFrame:
     return (
         per_product.join(products.select("product_id", "category_id"), "product_id")
         .groupBy("category_id")
-        .agg(sum_cents("revenue").alias("revenue"))
+        .agg(F.sum("revenue").alias("revenue"))
         .orderBy(F.desc("revenue"), "category_id")
         .select("category_id", amount("revenue").alias("total_revenue"))
     )
@@ -81,12 +100,12 @@ def _per_category(per_product: DataFrame, products: DataFrame) -> DataFrame:
 
 def revenue_by_state(users: DataFrame, transactions: DataFrame, n: int = 10) -> DataFrame:
     """The n states whose users spent most. Null is a state of its own."""
-    spend = transactions.groupBy("user_id").agg(F.sum(cents("total")).alias("revenue"))
+    spend = transactions.groupBy("user_id").agg(F.sum(money("total")).alias("revenue"))
     return (
         users.select("user_id", F.col("geo_data.state").alias("state"))
         .join(spend, "user_id")
         .groupBy("state")
-        .agg(sum_cents("revenue").alias("revenue"))
+        .agg(F.sum("revenue").alias("revenue"))
         .orderBy(F.desc("revenue"), "state")
         .limit(n)
         .select("state", amount("revenue").alias("total_revenue"))
@@ -101,7 +120,7 @@ def daily_sales(transactions: DataFrame) -> DataFrame:
         day = day.cast(kind)
     return (
         transactions.groupBy(day.alias("day"))
-        .agg(amount(F.sum(cents("total"))).alias("total_revenue"))
+        .agg(amount(F.sum(money("total"))).alias("total_revenue"))
         .orderBy("day")
     )
 
@@ -112,7 +131,7 @@ def order_totals(items: DataFrame, keys: Sequence[str], rate: Column) -> DataFra
     ``rate`` is an aggregate or literal giving the order's discount rate.
     Amounts are decimals, rounded half up to cents.
     """
-    subtotal = exact_amount(F.sum(cents("subtotal")))
+    subtotal = F.round(F.sum(money("subtotal")), 2).cast("decimal(18,2)")
     return (
         items.groupBy(*keys)
         .agg(subtotal.alias("subtotal"), rate.cast("decimal(6,4)").alias("rate"))
@@ -147,28 +166,20 @@ def lookup_products(
     items: DataFrame,
     products: DataFrame,
     fields: Sequence[str],
-    *,
-    heavy: Heavy = PROBE,
-    part_rows: int | None = None,
 ) -> DataFrame:
-    """Each item with the array of products that have its product_id.
+    """Each item, once, with the array of the different products that have its product_id.
 
-    Items without a match keep an empty array; null ids match null ids.
+    Items without a match keep an empty array; null ids match null ids. The array
+    is as long as there are different documents under one id.
     """
-    sized = {} if part_rows is None else {"part_rows": part_rows}
-    matches = nest(
-        products.withColumn("__id", F.col("product_id")),
-        ["__id"],
-        fields,
-        fields,
-        "product_info",
-        heavy=heavy,
-        **sized,
+    matches = products.groupBy(F.col("product_id").alias("__id")).agg(
+        F.array_sort(F.collect_set(F.struct(*fields))).alias("product_info")
     )
+    # Stored, so that the join does not sit on the aggregation and Spark can split a popular product.
+    matches = stored(matches, "matches")
     kind = matches.schema["product_info"].dataType.simpleString()
     return (
         items.join(matches, items["product_id"].eqNullSafe(matches["__id"]), "left")
         .drop("__id")
-        .withColumn("part", F.coalesce("part", F.lit(0)))
         .withColumn("product_info", F.coalesce("product_info", F.array().cast(kind)))
     )

@@ -31,7 +31,7 @@ def session_slots(
     one gap wide, so events of one slot always share a session, and a plain
     aggregation reduces any number of events to one row per user and slot. Only
     these rows enter the window, and a user has no more of them than the calendar
-    has slots.
+    has slots. Events without a user or time are left to :func:`unassigned_events`.
 
     ``measures`` maps a column to ("sum" | "min" | "max", expression).
     """
@@ -58,6 +58,17 @@ def session_slots(
     )
 
 
+def events_for_sessions_after(events: DataFrame, start, gap_seconds: int = GAP_SECONDS) -> DataFrame:
+    """Events that tell all sessions which begin after ``start``.
+
+    An earlier event than one gap before ``start`` cannot be in a session that begins
+    later. The comparison reaches the file scan. Numbers of sessions are those in the rest.
+    """
+    zone = events.schema["ts"].dataType.simpleString()
+    bound = F.lit(start).cast("timestamp") - F.make_interval(secs=F.lit(gap_seconds))
+    return events.filter(F.col("ts") >= bound.cast(zone))
+
+
 def sessions_from_events(
     events: DataFrame,
     measures: Mapping[str, tuple[str, Column]] | None = None,
@@ -80,6 +91,11 @@ def sessions_from_events(
     )
 
 
+def unassigned_events(events: DataFrame) -> DataFrame:
+    """Events that can't belong to a session, for want of a user or a time."""
+    return events.filter(F.col("user_id").isNull() | F.col("ts").isNull())
+
+
 def assign_sessions(
     events: DataFrame,
     tie: str,
@@ -191,15 +207,13 @@ def session_paths(
     return nest(page_views, keys, order, fields, "page_views", heavy=heavy)
 
 
-def viewed_products(
-    page_views: DataFrame, keys: Sequence[str], *, heavy: Heavy = PROBE
-) -> DataFrame:
-    """Distinct products viewed per session, sorted, as an array."""
-    distinct = page_views.filter(F.col("product_id").isNotNull()).select(*keys, "product_id").distinct()
-    nested = nest(distinct, keys, ["product_id"], ["product_id"], "viewed_products", heavy=heavy)
-    return nested.withColumn(
-        "viewed_products", F.transform("viewed_products", lambda v: v["product_id"])
-    )
+def viewed_products(page_views: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Distinct products viewed per session, sorted, as one array.
+
+    Duplicates collapse before the shuffle; an array is no longer than the catalogue.
+    """
+    seen = page_views.filter(F.col("product_id").isNotNull())
+    return seen.groupBy(*keys).agg(F.array_sort(F.collect_set("product_id")).alias("viewed_products"))
 
 
 def cart_entries(adds: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
@@ -210,25 +224,15 @@ def cart_entries(adds: DataFrame, keys: Sequence[str], order: Sequence[str]) ->
     )
 
 
-def cart_contents(
-    entries: DataFrame, keys: Sequence[str], *, heavy: Heavy = PROBE
-) -> DataFrame:
-    """Cart lines as a map from product id to {quantity, price}, without empty lines.
+def cart_contents(entries: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Cart lines as one map from product id to {quantity, price}, without empty lines.
 
-    A session whose lines are all empty keeps its row with an empty map.
+    ``entries`` has one row per session and product, so a map is no larger than the
+    catalogue. A session whose lines are all empty keeps its row with an empty map.
     """
-    fields = ["product_id", "quantity", "price"]
-    nested = nest(entries, keys, ["product_id"], fields, "lines", heavy=heavy)
-    full = F.map_from_entries(
-        F.transform(
-            "lines",
-            lambda e: F.struct(
-                e["product_id"],
-                F.struct(e["quantity"].alias("quantity"), e["price"].alias("price")),
-            ),
-        )
-    )
-    return drop_empty_cart_lines(nested.withColumn("cart_contents", full).drop("lines"))
+    line = F.struct("product_id", F.struct("quantity", "price").alias("line"))
+    full = F.map_from_entries(F.array_sort(F.collect_list(line))).alias("cart_contents")
+    return drop_empty_cart_lines(entries.groupBy(*keys).agg(full))
 
 
 def drop_empty_cart_lines(sessions: DataFrame) -> DataFrame:
@@ -251,18 +255,26 @@ def conversion_status(converted: Column, has_cart: Column) -> Column:
     )
 
 
-def classify_conversion(sessions: DataFrame) -> DataFrame:
-    """Status of nested sessions: a cart taken to the checkout counts as converted."""
+def classify_conversion(sessions: DataFrame, keys: Sequence[str] = ("session_id",)) -> DataFrame:
+    """Status of nested sessions: a cart taken to the checkout counts as converted.
+
+    Sessions in several parts (column ``part``) are judged over all of them, and
+    every part gets the session's status.
+    """
     has_cart = F.coalesce(F.size("cart_contents") > 0, F.lit(False))
     reached = F.coalesce(reached_checkout(), F.lit(False))
-    return sessions.withColumn(
-        "conversion_status", conversion_status(has_cart & reached, has_cart)
-    )
+    if "part" not in sessions.columns:
+        return sessions.withColumn("conversion_status", conversion_status(has_cart & reached, has_cart))
+    over_all = sessions.groupBy(*keys).agg(F.max(has_cart).alias("__cart"), F.max(reached).alias("__reached"))
+    status = conversion_status(F.col("__cart") & F.col("__reached"), F.col("__cart"))
+    known = over_all.select(*keys, status.alias("conversion_status"))
+    return sessions.drop("conversion_status").join(known, list(keys))
 
 
 def conversion_funnel(sessions: DataFrame) -> DataFrame:
-    """Number of sessions per conversion status."""
-    return sessions.groupBy("conversion_status").agg(F.count("*").alias("count"))
+    """Number of sessions per conversion status; the parts of a session count once."""
+    whole = sessions.filter("part = 0") if "part" in sessions.columns else sessions
+    return whole.groupBy("conversion_status").agg(F.count("*").alias("count"))
 
 
 def in_time_range(ts: str, start, end) -> Column:
@@ -277,11 +289,12 @@ def sessions_in_range(sessions: DataFrame, start, end) -> DataFrame:
     return sessions.filter(in_time_range("start_time", start, end))
 
 
-def user_sessions(sessions: DataFrame, user_id, start, end) -> DataFrame:
-    """One user's sessions in a time range, newest first."""
-    return sessions_in_range(sessions.filter(F.col("user_id") == user_id), start, end).orderBy(
-        F.desc("start_time")
-    )
+def user_sessions(
+    sessions: DataFrame, user_id, start, end, tie: Sequence[str] = ("session_id",)
+) -> DataFrame:
+    """One user's sessions in a time range, newest first; ties go to the smaller key."""
+    found = sessions_in_range(sessions.filter(F.col("user_id") == user_id), start, end)
+    return found.orderBy(F.desc("start_time"), *tie)
 
 
 def explode_page_views(sessions: DataFrame) -> DataFrame:

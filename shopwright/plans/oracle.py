@@ -5,7 +5,7 @@ from __future__ import annotations
 ITEMS = """items AS (
   SELECT l_orderkey AS transaction_id, l_linenumber AS line, l_partkey AS product_id,
          CAST(l_quantity AS BIGINT) AS quantity, l_extendedprice AS subtotal,
-         CAST(l_extendedprice AS DECIMAL(18,2)) AS amount, l_discount, l_shipdate AS ship_date
+         CAST(l_extendedprice AS DECIMAL(28,6)) AS amount, l_discount, l_shipdate AS ship_date
   FROM lineitem)"""
 
 EVENTS = """ev AS (
@@ -33,17 +33,19 @@ sess AS (
 
 
 VIEWED = """viewed AS (
-  SELECT user_id, session_no, CAST(pos // 1000 AS INTEGER) AS part, CAST(count(*) AS INTEGER) AS products,
-         string_agg(CAST(product_id AS VARCHAR), ',' ORDER BY pos) AS ids
-  FROM (SELECT *, row_number() OVER (PARTITION BY user_id, session_no ORDER BY product_id) - 1 AS pos
-        FROM (SELECT DISTINCT user_id, session_no, product_id FROM views WHERE product_id IS NOT NULL))
-  GROUP BY 1, 2, 3)"""
+  SELECT user_id, session_no, CAST(count(*) AS INTEGER) AS products,
+         string_agg(CAST(product_id AS VARCHAR), ',' ORDER BY product_id) AS ids
+  FROM (SELECT DISTINCT user_id, session_no, product_id FROM views WHERE product_id IS NOT NULL) GROUP BY 1, 2)"""
 
 
 def _key(user: str, ts: str) -> str:
     return f"printf('user_%06d:%d', {user}, (999999999999000000 - epoch_us({ts})) // 1000000)"
 
 
+def _put(ts: str, label: str) -> str:
+    return f"lpad(CAST(epoch_us({ts}) + 4611686018427387904 AS VARCHAR), 19, '0') || ':' || {label}"
+
+
 def _iso(ts: str) -> str:
     return (
         f"CASE WHEN epoch_us({ts}) % 1000000 = 0 THEN strftime({ts}, '%Y-%m-%dT%H:%M:%S') "
@@ -116,18 +118,20 @@ ORDERS = """
 SELECT o_orderkey AS transaction_id, o_custkey AS user_id, o_orderdate AS "timestamp",
        o_totalprice AS total, o_orderstatus AS status FROM orders"""
 
-STOCK = f"""WITH {ITEMS},
+UNITS = "units AS (SELECT p_partkey AS product_id, CAST(50 + p_partkey * 37 % 900 AS BIGINT) AS stock FROM part)"
+
+STOCK = f"""WITH {ITEMS}, {UNITS},
 folded AS (
   SELECT product_id, count(*) AS demands,
-         list_reduce(list_prepend(500::BIGINT, list(quantity ORDER BY ship_date, transaction_id, line, quantity)),
+         list_reduce(list_prepend(any_value(stock), list(quantity ORDER BY ship_date, transaction_id, line, quantity)),
                      lambda acc, x: CASE WHEN acc >= x THEN acc - x ELSE acc END) AS remaining,
-         list_reduce(list_prepend(CAST(500000000 AS BIGINT), list(quantity ORDER BY ship_date, transaction_id, line, quantity)),
+         list_reduce(list_prepend(any_value(stock) * 1000000, list(quantity ORDER BY ship_date, transaction_id, line, quantity)),
                      lambda acc, x: CASE WHEN acc // 1000000 >= x THEN acc - x * 1000000 + 1 ELSE acc END) % 1000000 AS filled
-  FROM items GROUP BY product_id),
+  FROM items JOIN units USING (product_id) GROUP BY product_id),
 stock AS (
-  SELECT p_partkey AS product_id, 500::BIGINT AS initial_stock, coalesce(remaining, 500)::BIGINT AS remaining_stock,
+  SELECT p_partkey AS product_id, stock AS initial_stock, coalesce(remaining, stock)::BIGINT AS remaining_stock,
          coalesce(filled, 0)::BIGINT AS filled, (coalesce(demands, 0) - coalesce(filled, 0))::BIGINT AS refused
-  FROM part LEFT JOIN folded ON product_id = p_partkey)"""
+  FROM part JOIN units u ON u.product_id = p_partkey LEFT JOIN folded f ON f.product_id = p_partkey)"""
 
 SUBCATEGORIES = """subs AS (
   SELECT p_brand AS category_id, p_type AS sub_name,
@@ -145,11 +149,11 @@ timed AS (
 {VIEWED},
 doc AS (
   SELECT s.*, {_key('s.user_id', 's.start_time')} AS row_key, ids, n_name, r_name
-  FROM sess s LEFT JOIN (SELECT * FROM viewed WHERE part = 0) USING (user_id, session_no)
+  FROM sess s LEFT JOIN viewed USING (user_id, session_no)
   LEFT JOIN customer ON c_custkey = s.user_id LEFT JOIN nation ON n_nationkey = c_nationkey
   LEFT JOIN region ON r_regionkey = n_regionkey),
 cells AS (
-  SELECT row_key, 'session_data' AS family, unnest([
+  SELECT row_key, 'session_data' AS family, {_put('start_time', 'session_id')} AS put, unnest([
            {{'q': 'session_id', 'v': session_id}},
            {{'q': 'start_time', 'v': {_iso('start_time')}}},
            {{'q': 'end_time', 'v': {_iso('end_time')}}},
@@ -160,18 +164,15 @@ cells AS (
            {{'q': 'conversion_status', 'v': conversion_status}}]) AS cell
   FROM doc
   UNION ALL
-  SELECT {_key('user_id', 'start_time')}, 'session_data',
-         {{'q': printf('viewed_products_%d', part), 'v': '[' || ids || ']'}}
-  FROM viewed JOIN sess USING (user_id, session_no) WHERE part > 0
-  UNION ALL
-  SELECT {_key('user_id', 'start_time')}, 'page_views', unnest([
+  SELECT {_key('user_id', 'start_time')}, 'page_views',
+         {_put('start_time', "printf('sess_%06d_%d', user_id, session_no)")}, unnest([
            {{'q': printf('pv_%d_timestamp', pv), 'v': {_iso('ts')}}},
            {{'q': printf('pv_%d_page_type', pv), 'v': page_type}},
            {{'q': printf('pv_%d_product_id', pv), 'v': coalesce(CAST(product_id AS VARCHAR), '')}},
            {{'q': printf('pv_%d_category_id', pv), 'v': coalesce(category_id, '')}},
            {{'q': printf('pv_%d_view_duration', pv), 'v': CAST(view_duration AS VARCHAR)}}])
   FROM timed)
-SELECT row_key, family, cell.q AS qualifier, cell.v AS value, CAST(0 AS BIGINT) AS version FROM cells"""
+SELECT row_key, family, cell.q AS qualifier, cell.v AS value, CAST(0 AS BIGINT) AS version, put FROM cells"""
 
 CELL_SOURCE = """src AS (
   SELECT printf('user_%06d', user_id) AS row_key, 'metrics' AS family, event_type AS qualifier,
@@ -181,7 +182,7 @@ ranked AS (
 
 
 def _metric(name: str, sql: str, key: str, value: str, family: str, qualifier: str, money: bool) -> str:
-    shown = f"CAST({value} AS DECIMAL(38,2))" if money else value
+    shown = f"CAST({value} AS DOUBLE)" if money else value
     return (
         f"SELECT CAST({key} AS VARCHAR) AS row_key, '{family}' AS family, '{qualifier}' AS qualifier, "
         f"CAST({shown} AS VARCHAR) AS value, '{name}' AS metric FROM ({sql})"
@@ -199,13 +200,40 @@ METRICS = "\nUNION ALL\n".join(
     ]
 )
 
+def _prices(key: str, name: str) -> str:
+    return f"""
+      WITH c AS (SELECT {key} AS k, l_shipdate AS date, l_extendedprice / l_quantity AS price
+                 FROM lineitem JOIN part ON p_partkey = l_partkey),
+      r AS (SELECT *, row_number() OVER (PARTITION BY k ORDER BY date, price) AS seq, count(*) OVER (PARTITION BY k) AS n FROM c)
+      SELECT k AS {name}, CAST(max(n) AS INTEGER) AS changes, max(CASE WHEN seq = 1 THEN price END) AS base_price,
+             max(CASE WHEN seq = n THEN price END) AS current_price, min(date) AS creation_date,
+             string_agg(CAST(CAST(floor(price) AS BIGINT) AS VARCHAR), ' ' ORDER BY seq) AS prices
+      FROM r GROUP BY 1"""
+
+
+CLASSIFIED = """docs AS (
+  SELECT s.session_id, s.user_id, s.session_no, s.start_time, s.end_time, s.duration_seconds, CAST(s.views AS INTEGER) AS views,
+         bool_or(v.page_type = 'purchase') AS reached,
+         coalesce(bool_or(c.quantity > 0), false) AS has_cart
+  FROM sess s JOIN views v USING (user_id, session_no)
+  LEFT JOIN (SELECT user_id, session_no, sum(CAST(floor(value / 10) AS BIGINT)) AS quantity
+             FROM views WHERE page_type = 'click' GROUP BY user_id, session_no, product_id) c USING (user_id, session_no)
+  GROUP BY ALL)"""
+
+NESTED_CELLS = f"""SELECT row_key, family, qualifier,
+       CASE WHEN qualifier = 'viewed_products' AND value <> '[]'
+              THEN '["' || replace(substr(value, 2, length(value) - 2), ',', '","') || '"]'
+            WHEN qualifier LIKE 'pv\\_%\\_category\\_id' ESCAPE '\\' THEN ''
+            WHEN qualifier LIKE 'pv\\_%\\_page\\_type' ESCAPE '\\' AND value = 'purchase' THEN 'checkout' ELSE value END AS value
+FROM ({SESSION_CELLS}) WHERE qualifier NOT IN ('geo_data', 'device_profile', 'conversion_status')"""
+
 ORACLE: dict[str, str] = {
     "top_products": TOP_PRODUCTS,
     "revenue_by_category": BY_CATEGORY,
     "revenue_by_category_order_total": BY_CATEGORY_ORDER_TOTAL,
     "lookup_products_nested": f"""WITH {ITEMS},
       known AS (SELECT p_partkey, count(*) AS n, min(p_brand) AS brand FROM part GROUP BY 1)
-      SELECT transaction_id, line, product_id, quantity, subtotal, 0 AS part,
+      SELECT transaction_id, line, product_id, quantity, subtotal,
              CAST(coalesce(n, 0) AS INTEGER) AS matches, brand AS category_id
       FROM items LEFT JOIN known ON p_partkey = product_id""",
     "revenue_by_state": BY_STATE + " LIMIT 10",
@@ -220,10 +248,10 @@ ORACLE: dict[str, str] = {
     "transactions_nested": f"""WITH {ITEMS},
       placed AS (SELECT *, row_number() OVER (PARTITION BY transaction_id
                    ORDER BY line, product_id, quantity, subtotal, ship_date) - 1 AS pos FROM items)
-      SELECT transaction_id, o_custkey AS user_id, o_totalprice AS total, CAST(pos // 1000 AS INTEGER) AS part,
+      SELECT transaction_id, o_custkey AS user_id, o_totalprice AS total,
              CAST(count(*) AS INTEGER) AS n_items,
              string_agg(CAST(product_id AS VARCHAR) || 'x' || CAST(quantity AS VARCHAR), ' ' ORDER BY pos) AS item_list
-      FROM placed JOIN orders ON o_orderkey = transaction_id GROUP BY 1, 2, 3, 4""",
+      FROM placed JOIN orders ON o_orderkey = transaction_id GROUP BY 1, 2, 3""",
     "explode_items": f"""WITH {ITEMS}
       SELECT transaction_id, o_custkey AS user_id, product_id, quantity, subtotal
       FROM items JOIN orders ON o_orderkey = transaction_id""",
@@ -249,14 +277,8 @@ ORACLE: dict[str, str] = {
       SELECT product_id, min(date) AS creation_date, max(CASE WHEN seq = 1 THEN price END) AS base_price,
              max(CASE WHEN seq = changes THEN price END) AS current_price, max(changes) AS changes
       FROM r GROUP BY 1""",
-    "price_history_nested": """
-      WITH c AS (SELECT l_partkey AS product_id, l_shipdate AS date, l_extendedprice / l_quantity AS price FROM lineitem),
-      p AS (SELECT *, CAST((row_number() OVER (PARTITION BY product_id ORDER BY price, date) - 1) // 1000 AS INTEGER) AS part FROM c),
-      r AS (SELECT *, row_number() OVER (PARTITION BY product_id, part ORDER BY date, price) AS seq,
-                   count(*) OVER (PARTITION BY product_id, part) AS n FROM p)
-      SELECT product_id, part, CAST(max(n) AS INTEGER) AS changes, max(CASE WHEN seq = 1 THEN price END) AS base_price,
-             max(CASE WHEN seq = n THEN price END) AS current_price, min(date) AS creation_date
-      FROM r GROUP BY 1, 2""",
+    "price_history_nested": _prices("l_partkey", "product_id"),
+    "price_history_by_category": _prices("p_brand", "category_id"),
     "purchasable_products": STOCK + """
       SELECT product_id, p_name AS name, p_brand AS category_id, remaining_stock AS current_stock
       FROM stock JOIN part ON p_partkey = product_id WHERE p_size > 2 AND remaining_stock > 0""",
@@ -264,14 +286,13 @@ ORACLE: dict[str, str] = {
       SELECT session_id, user_id, start_time, end_time, duration_seconds, views FROM sess""",
     "session_paths": f"""WITH {VIEWS},
       placed AS (SELECT *, row_number() OVER (PARTITION BY user_id, session_no ORDER BY ts, event_id) - 1 AS pos FROM views)
-      SELECT printf('sess_%06d_%d', user_id, session_no) AS session_id, CAST(pos // 1000 AS INTEGER) AS part,
-             CAST(count(*) AS INTEGER) AS views, string_agg(page_type, '>' ORDER BY pos) AS path
-      FROM placed GROUP BY user_id, session_no, part""",
+      SELECT printf('sess_%06d_%d', user_id, session_no) AS session_id, CAST(count(*) AS INTEGER) AS views, string_agg(page_type, '>' ORDER BY pos) AS path
+      FROM placed GROUP BY user_id, session_no""",
     "checkout_sessions": f"""WITH {VIEWS}
       SELECT printf('sess_%06d_%d', user_id, session_no) AS session_id, bool_or(page_type = 'purchase') AS reached
       FROM views GROUP BY user_id, session_no""",
     "viewed_products": f"""WITH {VIEWS}, {VIEWED}
-      SELECT printf('sess_%06d_%d', user_id, session_no) AS session_id, part, products, ids AS product_list FROM viewed""",
+      SELECT printf('sess_%06d_%d', user_id, session_no) AS session_id, products, ids AS product_list FROM viewed""",
     "view_durations": f"""WITH {SESSIONS}
       SELECT event_id, v.user_id, page_type, ts,
              (coalesce(lead(us) OVER (PARTITION BY v.user_id, v.session_no ORDER BY ts, event_id),
@@ -312,8 +333,8 @@ ORACLE: dict[str, str] = {
     "clv_top10": _clv("current", "ORDER BY clv DESC, user_id LIMIT 10"),
     "first_n_users": "SELECT c_custkey AS user_id, c_name AS name FROM customer ORDER BY c_custkey LIMIT 1000",
     "merge_update": """
-      WITH last AS (SELECT o_custkey, 'F' AS segment, max(o_totalprice) AS balance FROM orders
-                    WHERE o_orderstatus = 'F' GROUP BY 1)
+      WITH last AS (SELECT o_custkey, arg_max(o_orderstatus, (o_orderdate, o_orderkey)) AS segment,
+                           max(o_totalprice) AS balance FROM orders GROUP BY 1)
       SELECT c_custkey AS user_id, c_name AS name, coalesce(segment, c_mktsegment) AS segment,
              coalesce(balance, c_acctbal) AS balance
       FROM customer LEFT JOIN last ON o_custkey = c_custkey""",
@@ -323,20 +344,46 @@ ORACLE: dict[str, str] = {
         AND row_key < printf('user_%06d:%d', 42, (999999999999000000 - epoch_us(TIMESTAMP '2024-01-05')) // 1000000)""",
     "engagement_from_cells": f"""WITH {SESSIONS}, {ENGAGED}
       SELECT printf('user_%06d', user_id) AS user_id, session_count, total_duration FROM engaged""",
+    "wide_rows": f"""WITH {EVENTS},
+      writes AS (
+        SELECT ev.*, w AS version, date_trunc('day', ts) AS day FROM ev, (SELECT unnest([0, 1, 2]) AS w)
+        WHERE w = 0 OR event_id % (w + 1) = 0),
+      best AS (SELECT *, row_number() OVER (PARTITION BY user_id, day ORDER BY version DESC, us DESC, event_id DESC) AS n FROM writes)
+      SELECT {_key('user_id', 'day')} AS row_key, CAST(event_id AS VARCHAR) AS event, page_type AS page FROM best WHERE n = 1""",
+    "users_from_json": """
+      SELECT printf('user_%06d', c_custkey) AS user_id, n_name AS state, r_name AS country
+      FROM customer LEFT JOIN nation ON n_nationkey = c_nationkey LEFT JOIN region ON r_regionkey = n_regionkey""",
+    "catalog_from_json": f"""WITH {SUBCATEGORIES}, counts AS (SELECT l_partkey, count(*) AS n FROM lineitem GROUP BY 1)
+      SELECT CAST(p_partkey AS VARCHAR) AS product_id, p_name AS name, p_brand AS category_id, subcategory_id,
+             CAST(n AS INTEGER) AS changes
+      FROM part LEFT JOIN subs ON category_id = p_brand AND right(subcategory_id, 3) = '_01'
+      LEFT JOIN counts ON l_partkey = p_partkey""",
+    "transactions_from_json": f"""WITH {ITEMS}
+      SELECT CAST(transaction_id AS VARCHAR) AS transaction_id, o_totalprice AS total, o_orderstatus AS status,
+             row_number() OVER (PARTITION BY transaction_id ORDER BY line, CAST(product_id AS VARCHAR), quantity, subtotal) - 1 AS n,
+             CAST(product_id AS VARCHAR) AS product_id, quantity, subtotal
+      FROM items JOIN orders ON o_orderkey = transaction_id""",
+    "classified_sessions": f"""WITH {SESSIONS}, {CLASSIFIED}
+      SELECT session_id, views, CASE WHEN has_cart AND reached THEN 'converted' WHEN has_cart THEN 'abandoned'
+             ELSE 'browsed' END AS conversion_status FROM docs""",
+    "nested_session_cells": NESTED_CELLS,
+    "unassigned_events": """
+      SELECT event_type AS page_type, count(*) AS events, count(*) FILTER (WHERE user_id IS NULL OR ts IS NULL) AS lost
+      FROM events GROUP BY 1""",
     "latest_cells": f"WITH {CELL_SOURCE} SELECT row_key, family, qualifier, value, version FROM ranked WHERE n = 1",
     "retained_versions": f"WITH {CELL_SOURCE} SELECT row_key, family, qualifier, value, version FROM ranked WHERE n <= 3",
     "metric_cells": METRICS,
     "stock_depletion": STOCK + " SELECT * FROM stock",
-    "filled_demands": f"""WITH {ITEMS},
+    "filled_demands": f"""WITH {ITEMS}, {UNITS},
       lists AS (
-        SELECT product_id, list(struct_pack(left_over := 0::BIGINT, quantity := quantity, flags := []::BOOLEAN[])
+        SELECT product_id, any_value(stock) AS stock, list(struct_pack(left_over := 0::BIGINT, quantity := quantity, flags := []::BOOLEAN[])
                                 ORDER BY ship_date, transaction_id, line, quantity) AS asks,
                list(struct_pack(t := transaction_id, l := line, q := quantity, d := ship_date)
                     ORDER BY ship_date, transaction_id, line, quantity) AS lines
-        FROM items JOIN part ON p_partkey = product_id GROUP BY 1),
+        FROM items JOIN units USING (product_id) GROUP BY 1),
       folded AS (
         SELECT product_id, lines, list_reduce(
-          list_prepend(struct_pack(left_over := 500::BIGINT, quantity := 0::BIGINT, flags := []::BOOLEAN[]), asks),
+          list_prepend(struct_pack(left_over := stock, quantity := 0::BIGINT, flags := []::BOOLEAN[]), asks),
           lambda acc, x: struct_pack(
             left_over := acc.left_over - CASE WHEN acc.left_over >= x.quantity THEN x.quantity ELSE 0 END,
             quantity := 0::BIGINT, flags := list_append(acc.flags, acc.left_over >= x.quantity))).flags AS flags

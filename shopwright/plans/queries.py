@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from shopwright import sinks
 from shopwright.functions import (
     add_seconds,
+    amount,
     epoch_micros,
     iso_text,
     map_value,
@@ -21,11 +22,11 @@ from shopwright.functions import (
 )
 from shopwright.operators import catalog, cells, customers, inventory, sales
 from shopwright.operators import sessions as S
-from shopwright.operators.nesting import nest
+from shopwright.operators.nesting import gathered, nest, unnest
 from shopwright.operators.ordered import heavy_groups
-from shopwright.shared import new_folder
+from shopwright.shared import new_folder, stored
 from shopwright.sources import warehouse as W
-from shopwright.sources.entities import read_cells, register_views
+from shopwright.sources.entities import read_cells, read_entity, register_views
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -40,9 +41,14 @@ LOOKUP_RANGE = ("2024-01-05 00:00:00", "2024-01-15 00:00:00")
 def query(fn: Query) -> Query:
     @wraps(fn)
     def run(spark: SparkSession, folder: str) -> DataFrame:
-        # Zone-less times are read as UTC, whatever the session was set to.
+        # Zone-less times are read as UTC. Expressions take up the zone when they are made,
+        # so the session gets its own one back.
+        zone = spark.conf.get("spark.sql.session.timeZone")
         spark.conf.set("spark.sql.session.timeZone", "UTC")
-        return fn(spark, folder)
+        try:
+            return fn(spark, folder)
+        finally:
+            spark.conf.set("spark.sql.session.timeZone", zone)
 
     QUERIES[fn.__name__] = run
     return run
@@ -86,7 +92,6 @@ def lookup_products_nested(spark, folder):
         "product_id",
         "quantity",
         "subtotal",
-        "part",
         F.size("product_info").alias("matches"),
         F.get("product_info", F.lit(0))["category_id"].alias("category_id"),
     )
@@ -138,11 +143,11 @@ def transactions_nested(spark, folder):
     lines = F.transform(
         "items", lambda i: F.concat_ws("x", i["product_id"].cast("string"), i["quantity"].cast("string"))
     )
-    return _nested(spark, folder).select(
+    whole = gathered(_nested(spark, folder), ["transaction_id", "user_id", "total"], "items")
+    return whole.select(
         "transaction_id",
         "user_id",
         "total",
-        "part",
         F.size("items").alias("n_items"),
         F.array_join(lines, " ").alias("item_list"),
     )
@@ -204,16 +209,32 @@ def price_history_nested(spark, folder):
     listed = nest(
         W.price_changes(spark, folder), ["product_id"], ["price", "date"], ["price", "date"], "price_history"
     )
-    return catalog.sort_price_history(listed).select(
+    return _price_facts(catalog.sort_price_history(listed))
+
+
+def _price_facts(products):
+    """One row per product, whatever number of parts its list has."""
+    prices = gathered(products, ["product_id", "base_price", "current_price", "creation_date"], "price_history")
+    return prices.select(
         "product_id",
-        "part",
         F.size("price_history").alias("changes"),
         "base_price",
         "current_price",
         "creation_date",
+        F.array_join(F.transform("price_history", lambda h: F.floor(h["price"]).cast("string")), " ").alias("prices"),
     )
 
 
+@query
+def price_history_by_category(spark, folder):
+    """The prices of whole categories as one list each: lists of more than one part."""
+    goods = W.products(spark, folder).select("product_id", F.col("category_id").alias("category"))
+    changes = W.price_changes(spark, folder).join(goods, "product_id")
+    changes = changes.select(F.col("category").alias("product_id"), "date", "price")
+    listed = nest(changes, ["product_id"], ["price", "date"], ["price", "date"], "price_history", part_rows=100)
+    return _price_facts(catalog.sort_price_history(listed, part_rows=100)).withColumnRenamed("product_id", "category_id")
+
+
 @query
 def purchasable_products(spark, folder):
     goods = W.products(spark, folder)
@@ -251,9 +272,8 @@ def session_paths(spark, folder):
         ["ts", "page_type", "product_id"],
         heavy=heavy,
     )
-    return nested.select(
+    return gathered(nested, W.SESSION_KEYS, "page_views").select(
         W.session_label().alias("session_id"),
-        "part",
         F.size("page_views").alias("views"),
         F.array_join(F.transform("page_views", lambda v: v["page_type"]), ">").alias("path"),
     )
@@ -275,10 +295,9 @@ def checkout_sessions(spark, folder):
 @query
 def viewed_products(spark, folder):
     heavy = _busy_users(spark, folder)
-    nested = S.viewed_products(W.page_views(spark, folder, heavy), W.SESSION_KEYS, heavy=heavy)
+    nested = S.viewed_products(W.page_views(spark, folder, heavy), W.SESSION_KEYS)
     return nested.select(
         W.session_label().alias("session_id"),
-        "part",
         F.size("viewed_products").alias("products"),
         F.array_join("viewed_products", ",").alias("product_list"),
     )
@@ -305,8 +324,8 @@ def cart_contents(spark, folder):
     heavy = _busy_users(spark, folder)
     adds = W.cart_adds(W.page_views(spark, folder, heavy))
     entries = S.cart_entries(adds, W.SESSION_KEYS, W.VIEW_ORDER)
-    stored = S.cart_contents(entries, W.SESSION_KEYS, heavy=heavy)
-    return stored.select(
+    carts = S.cart_contents(entries, W.SESSION_KEYS)
+    return carts.select(
         W.session_label().alias("session_id"), F.explode("cart_contents").alias("product_id", "line")
     ).select("session_id", "product_id", "line.quantity", "line.price")
 
@@ -332,7 +351,7 @@ def page_transitions(spark, folder):
 
 @query
 def user_sessions_range(spark, folder):
-    found = S.user_sessions(W.sessions(spark, folder), LOOKUP_USER, *LOOKUP_RANGE)
+    found = S.user_sessions(W.sessions(spark, folder), LOOKUP_USER, *LOOKUP_RANGE, tie=["session_no"])
     return found.select(
         row_key(W.user_label(), "start_time").alias("row_key"),
         "start_time",
@@ -344,7 +363,7 @@ def user_sessions_range(spark, folder):
 
 @query
 def sessions_in_range(spark, folder):
-    return S.sessions_in_range(W.session_spans(spark, folder), *RANGE).select(
+    return S.sessions_in_range(W.session_spans(spark, folder, RANGE[0]), *RANGE).select(
         row_key(W.user_label(), "start_time").alias("row_key"), "start_time", "duration_seconds"
     )
 
@@ -382,7 +401,7 @@ def distinct_users(spark, folder):
 
 @query
 def user_engagement(spark, folder):
-    return customers.engagement(W.user_ids(spark, folder), W.session_spans(spark, folder), *RANGE)
+    return customers.engagement(W.user_ids(spark, folder), W.session_spans(spark, folder, RANGE[0]), *RANGE)
 
 
 @query
@@ -396,9 +415,9 @@ def engagement_lenient(spark, folder):
 
 def _clv(spark, folder, mode):
     return customers.customer_lifetime_value(
-        W.registered_users(spark, folder),
-        customers.purchase_totals(W.transactions(spark, folder)),
-        customers.engagement_totals(S.sessions_in_range(W.session_spans(spark, folder), *RANGE)),
+        W.buyers(spark, folder),
+        None,
+        customers.engagement_totals(S.sessions_in_range(W.session_spans(spark, folder, RANGE[0]), *RANGE)),
         AS_OF,
         mode,
     )
@@ -421,20 +440,17 @@ def clv_top10(spark, folder):
 
 @query
 def first_n_users(spark, folder):
-    return customers.first_n(W.users(spark, folder), ["user_id"], 1000).select("user_id", "name")
+    return customers.first_n(W.people(spark, folder), ["user_id"], 1000).select("user_id", "name")
 
 
 @query
 def merge_update(spark, folder):
-    orders = W.transactions(spark, folder)
-    last = (
-        orders.filter("status = 'F'")
-        .groupBy("user_id")
-        .agg(F.max_by("status", F.struct("timestamp", "transaction_id")).alias("segment"),
-             F.max("total").alias("balance"))
+    """The status of each user's last order; users without orders keep their segment and balance."""
+    last = W.transactions(spark, folder).groupBy("user_id").agg(
+        F.max_by("status", F.struct("timestamp", "transaction_id")).alias("segment"), F.max("total").alias("balance")
     )
     return customers.merge_update(
-        W.users(spark, folder), last, "user_id", ["segment", "balance"]
+        W.people(spark, folder), last, "user_id", ["segment", "balance"]
     ).select("user_id", "name", "segment", "balance")
 
 
@@ -444,33 +460,21 @@ def merge_update(spark, folder):
 def _session_cells(spark, folder):
     heavy = _busy_users(spark, folder)
     views = W.page_views(spark, folder, heavy)
-    goods = W.products(spark, folder)
-    numbered = S.view_durations(
-        views, W.SESSION_KEYS, W.VIEW_ORDER, "session_end", position="seq", heavy=heavy
-    )
-    numbered = S.view_category(numbered, goods)
-    viewed = S.viewed_products(views, [*W.SESSION_KEYS, "session_start"], heavy=heavy).select(
-        W.user_label().alias("user_id"),
-        F.col("session_start").alias("start_time"),
-        "part",
-        "viewed_products",
-    )
-    places = W.users(spark, folder).select("user_id", "geo_data")
-    kind = "struct<type:string,os:string,browser:string>"
+    numbered = S.view_durations(views, W.SESSION_KEYS, W.VIEW_ORDER, "session_end", position="seq", heavy=heavy)
+    # The session row comes from the same rows as the page-view cells.
     documents = (
-        W.sessions(spark, folder)
-        .join(places, "user_id", "left")
+        W.session_documents(views)
+        .join(W.users(spark, folder).select("user_id", "geo_data"), "user_id", "left")
         .withColumns(
             {
-                # Null where the list comes from ``viewed``.
-                "viewed_products": F.when(~F.col("has_products"), F.array().cast("array<bigint>")),
-                "device_profile": F.lit(None).cast(kind),
+                "device_profile": F.lit(None).cast("struct<type:string,os:string,browser:string>"),
                 "session_id": W.session_label(),
             }
         )
         .withColumn("user_id", W.user_label())
     )
-    flat = numbered.select(
+    flat = S.view_category(numbered, W.products(spark, folder)).select(
+        W.session_label().alias("session_id"),
         W.user_label().alias("user_id"),
         F.col("session_start").alias("start_time"),
         (F.col("seq") - 1).alias("pv"),
@@ -480,7 +484,7 @@ def _session_cells(spark, folder):
         "category_id",
         "view_duration",
     )
-    return cells.session_cells(documents, flat, viewed)
+    return cells.session_cells(documents, F.lit(0), flat)
 
 
 @query
@@ -505,6 +509,33 @@ def engagement_from_cells(spark, folder):
     return cells.engagement_from_cells(people, read_cells(spark, path), *RANGE)
 
 
+def _colliding(spark, folder):
+    """One row key per user and day with a cell for what each event says, written three times over.
+
+    Several events meet under one key in one write; a later write changes the values.
+    """
+    views = W.events(spark, folder).withColumn("day", F.date_trunc("day", F.col("ts").cast("timestamp")))
+    named = F.array(
+        F.struct(F.lit("event").alias("qualifier"), F.col("event_id").cast("string").alias("value")),
+        F.struct(F.lit("page").alias("qualifier"), F.col("page_type").alias("value")),
+    )
+    writes = F.explode(F.array(*(F.lit(i).cast("bigint") for i in range(3)))).alias("version")
+    rows = views.select("*", writes).filter((F.col("version") == 0) | (F.col("event_id") % (F.col("version") + 1) == 0))
+    put = F.concat(F.lpad(epoch_micros("ts").cast("string"), 19, "0"), F.lit(":"), F.lpad(F.col("event_id").cast("string"), 12, "0"))
+    key = row_key(W.user_label(), "day")
+    return rows.select(key.alias("row_key"), F.lit("seen").alias("family"), F.inline(named), "version", put.alias("put"))
+
+
+@query
+def wide_rows(spark, folder):
+    """The newest cells as one row per key: both cells always come from one put."""
+    return cells.wide_rows(_colliding(spark, folder)).select(
+        "row_key",
+        map_value("cells", "seen:event", "").alias("event"),
+        map_value("cells", "seen:page", "").alias("page"),
+    )
+
+
 def _versioned(spark, folder):
     return W.events(spark, folder).select(
         W.user_label().alias("row_key"),
@@ -512,35 +543,39 @@ def _versioned(spark, folder):
         F.col("page_type").alias("qualifier"),
         F.col("value").cast("decimal(18,2)").cast("string").alias("value"),
         epoch_micros("ts").alias("version"),
+        F.lit("").alias("put"),
     )
 
 
 @query
 def latest_cells(spark, folder):
-    return cells.latest_cells(_versioned(spark, folder))
+    return cells.latest_cells(_versioned(spark, folder)).drop("put")
 
 
 @query
 def retained_versions(spark, folder):
-    return cells.retain_versions(_versioned(spark, folder), 3)
+    return cells.retain_versions(_versioned(spark, folder), 3).drop("put")
 
 
 @query
 def metric_cells(spark, folder):
     """The six published metrics in one table."""
-    goods, lines = W.products(spark, folder), W.items(spark, folder)
     orders = W.transactions(spark, folder)
+    lines = W.items(spark, folder).join(orders.select("transaction_id", "total"), "transaction_id", "left")
+    # One pass over the items gives what three metrics need, a row per product; it is stored
+    # because each of them would otherwise prune and scan for itself.
+    sold = stored(sales.product_totals(lines), "sold")
+    kinds = sales.category_totals(sold, W.products(spark, folder))
+    top = sold.orderBy(F.desc("revenue"), "product_id").limit(10).select("product_id", amount("revenue").alias("total_revenue"))
     revenue = ("total_revenue", "revenue", "total")
     published = {
-        "products_metrics": (sales.top_products(lines), "product_id", *revenue),
+        "products_metrics": (top, "product_id", *revenue),
         "sales_by_category": (
-            sales.revenue_by_category_order_total(
-                lines.join(orders.select("transaction_id", "total"), "transaction_id"), goods
-            ),
-            "category_id",
-            *revenue,
+            kinds.select("category_id", amount("order_revenue").alias("total_revenue")), "category_id", *revenue,
+        ),
+        "revenue_by_category": (
+            kinds.select("category_id", amount("revenue").alias("total_revenue")), "category_id", *revenue,
         ),
-        "revenue_by_category": (sales.revenue_by_category(lines, goods), "category_id", *revenue),
         "sales_over_time": (sales.daily_sales(orders), "day", *revenue),
         "funnel_metrics": (
             S.conversion_funnel(W.sessions(spark, folder)), "conversion_status", "count", "metrics", "count",
@@ -551,9 +586,104 @@ def metric_cells(spark, folder):
         ),
     }
     tables = [
-        cells.metric_cells(*spec).withColumn("metric", F.lit(name)) for name, spec in published.items()
+        cells.metric_cells(*spec, F.lit(0)).withColumn("metric", F.lit(name)) for name, spec in published.items()
     ]
-    return reduce(DataFrame.unionByName, tables).drop("version")
+    return reduce(DataFrame.unionByName, tables).drop("version", "put")
+
+
+# --- documents written and read -------------------------------------------------
+
+
+def _entity(spark, name, df):
+    """A table written as JSON and read back with the entity's fixed schema."""
+    path = new_folder(spark, name)
+    sinks.write_json(df, path)
+    return read_entity(spark, name, path)
+
+
+@query
+def users_from_json(spark, folder):
+    made = W.users(spark, folder).select(W.user_label().alias("user_id"), "geo_data")
+    return _entity(spark, "users", made).select(
+        "user_id", F.col("geo_data.state").alias("state"), F.col("geo_data.country").alias("country")
+    )
+
+
+@query
+def catalog_from_json(spark, folder):
+    """Products and categories as documents, each category stored twice."""
+    kinds = W.categories(spark, folder)
+    listed = nest(W.price_changes(spark, folder), ["product_id"], ["price", "date"], ["price", "date"], "price_history")
+    goods = W.products(spark, folder).drop("base_price").join(listed, "product_id", "left")
+    documents = _entity(spark, "products", goods.withColumn("product_id", F.col("product_id").cast("string")))
+    kinds = _entity(spark, "categories", kinds.unionByName(kinds))
+    return catalog.product_catalog(documents, kinds).select(
+        "product_id", "name", "category.category_id", F.col("category.subcategory_id").alias("subcategory_id"),
+        F.size("price_history").alias("changes"),
+    )
+
+
+@query
+def transactions_from_json(spark, folder):
+    """Orders with nested items as documents, back as numbered items."""
+    items = W.items(spark, folder).select(
+        "transaction_id", "line", F.col("product_id").cast("string").alias("product_id"), "quantity", "subtotal"
+    )
+    fields = ["product_id", "quantity", "subtotal"]
+    nested = nest(items, ["transaction_id"], ["line", *fields], fields, "items")
+    nested = gathered(nested, ["transaction_id"], "items")
+    made = W.transactions(spark, folder).join(nested, "transaction_id").select(
+        F.col("transaction_id").cast("string").alias("transaction_id"), "total", "status", "items"
+    )
+    documents = _entity(spark, "transactions", made).drop("subtotal")
+    return unnest(documents, "items", index="n").select(
+        "transaction_id", "total", "status", "n", *fields
+    )
+
+
+def _session_documents(spark, folder):
+    heavy = _busy_users(spark, folder)
+    views = W.page_views(spark, folder, heavy)
+    paths = S.view_durations(views, W.SESSION_KEYS, W.VIEW_ORDER, "session_end", heavy=heavy)
+    fields = ["timestamp", "page_type", "product_id", "view_duration"]
+    paths = paths.withColumn("timestamp", F.col("ts")).withColumn("product_id", F.col("product_id").cast("string"))
+    paths = paths.withColumn("page_type", F.when(F.col("page_type") == "purchase", "checkout").otherwise(F.col("page_type")))
+    paths = nest(paths, W.SESSION_KEYS, W.VIEW_ORDER, fields, "page_views", heavy=heavy)
+    paths = gathered(paths, W.SESSION_KEYS, "page_views")
+    entries = S.cart_entries(W.cart_adds(views), W.SESSION_KEYS, W.VIEW_ORDER)
+    carts = S.cart_contents(entries.withColumn("product_id", F.col("product_id").cast("string")), W.SESSION_KEYS)
+    made = W.session_documents(views).join(paths, W.SESSION_KEYS).join(carts, W.SESSION_KEYS, "left").select(
+        W.session_label().alias("session_id"), W.user_label().alias("user_id"), "start_time", "end_time",
+        "duration_seconds", F.transform("viewed_products", lambda p: p.cast("string")).alias("viewed_products"),
+        "page_views", "cart_contents",
+    )
+    return _entity(spark, "sessions", made)
+
+
+@query
+def classified_sessions(spark, folder):
+    """Session documents read from JSON and classified by pages and cart."""
+    return S.classify_conversion(_session_documents(spark, folder)).select(
+        "session_id", "conversion_status", F.size("page_views").alias("views")
+    )
+
+
+@query
+def nested_session_cells(spark, folder):
+    """Cells of session documents with nested page views."""
+    made = cells.session_cells(_session_documents(spark, folder), F.lit(0))
+    return made.filter("qualifier not in ('geo_data', 'device_profile', 'conversion_status')").select(
+        "row_key", "family", "qualifier", "value"
+    )
+
+
+@query
+def unassigned_events(spark, folder):
+    """Events that no session can hold, and all others, by page type."""
+    clicks = W.events(spark, folder)
+    lost = S.unassigned_events(clicks).groupBy("page_type").agg(F.count("*").alias("lost"))
+    every = clicks.groupBy("page_type").agg(F.count("*").alias("events"))
+    return every.join(lost, "page_type", "left").select("page_type", "events", F.coalesce("lost", F.lit(0)).alias("lost"))
 
 
 # --- inventory ---------------------------------------------------------------

@@ -16,6 +16,10 @@ from shopwright.operators import sessions as S
 from shopwright.sources.entities import read_cells, read_entity
 
 
+# Fixed value: versions that the tables keep of each cell.
+KEPT_VERSIONS = 3
+
+
 class EntityFolder:
     """Entities of one data folder, read when asked for."""
 
@@ -56,8 +60,14 @@ def load_documents(data: EntityFolder, out: str) -> None:
 
 
 def load_session_rows(data: EntityFolder, out: str, version: Column | None = None) -> None:
-    """Append all sessions to the cell table ``out``."""
-    sinks.write_cells(cells.session_cells(data.sessions, version=version), out)
+    """Append all sessions to the cell table ``out``; a later load wins over an earlier one."""
+    version = cells.write_time() if version is None else version
+    sinks.write_cells(cells.session_cells(data.sessions, version), out)
+
+
+def compact(spark: SparkSession, table: str, out: str, versions: int = KEPT_VERSIONS) -> None:
+    """Write the newest versions of each cell of ``table`` to the new table ``out``."""
+    sinks.write_cells(cells.retain_versions(read_cells(spark, table), versions), out, "error")
 
 
 def metrics(data: EntityFolder) -> dict[str, DataFrame]:
@@ -77,6 +87,7 @@ def metrics(data: EntityFolder) -> dict[str, DataFrame]:
 
 def publish_metrics(data: EntityFolder, out: str, version: Column | None = None) -> None:
     """Append each aggregate to its own cell table under ``out``."""
+    version = cells.write_time() if version is None else version
     for name, df in metrics(data).items():
         key, value = df.columns[:2]
         family = "revenue" if value == "total_revenue" else "metrics"

@@ -70,7 +70,7 @@ SESSIONS = record(
     conversion_status=TEXT,
     referrer=TEXT,
 )
-CELLS = record(row_key=TEXT, family=TEXT, qualifier=TEXT, value=TEXT, version=LONG)
+CELLS = record(row_key=TEXT, family=TEXT, qualifier=TEXT, value=TEXT, version=LONG, put=TEXT)
 
 # The star-schema tables and the event stream, with the columns that are read.
 INT, LOCAL = T.IntegerType(), T.TimestampNTZType()

@@ -18,9 +18,19 @@ def write_csv(df: DataFrame, path: str, single_file: bool = False) -> None:
     out.write.mode("overwrite").option("header", True).csv(path)
 
 
-def write_json(df: DataFrame, path: str, max_records: int = SESSIONS_PER_FILE) -> None:
-    """JSON Lines files of at most ``max_records`` records each."""
-    df.write.mode("overwrite").option("maxRecordsPerFile", max_records).json(path)
+def write_json(df: DataFrame, path: str, max_records: int = 0) -> None:
+    """JSON Lines files, of at most ``max_records`` records each where it is not 0.
+
+    Times keep their microseconds.
+    """
+    exact = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
+    out = df.write.mode("overwrite").option("maxRecordsPerFile", max_records)
+    out.option("timestampFormat", exact + "XXX").option("timestampNTZFormat", exact).json(path)
+
+
+def write_sessions(sessions: DataFrame, path: str) -> None:
+    """Sessions as JSON Lines in files of the size their readers expect."""
+    write_json(sessions, path, SESSIONS_PER_FILE)
 
 
 def export(df: DataFrame, path: str, fmt: str, **options) -> None:
@@ -48,8 +58,8 @@ def write_cells(cells: DataFrame, path: str, mode: str = "append") -> None:
     a key-range read skips most of them, and splits even one very large row.
     """
     (
-        cells.repartitionByRange("row_key", "family", "qualifier", "version")
-        .sortWithinPartitions("row_key", "family", "qualifier", "version")
+        cells.repartitionByRange("row_key", "family", "qualifier", "version", "put")
+        .sortWithinPartitions("row_key", "family", "qualifier", "version", "put")
         .write.mode(mode)
         .parquet(path)
     )

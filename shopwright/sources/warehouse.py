@@ -11,7 +11,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shopwright.functions import padded_id
+from shopwright.functions import amount, epoch_micros, money, padded_id, whole_seconds
 from shopwright.operators import sessions as S
 from shopwright.operators.catalog import category_tree
 from shopwright.operators.ordered import Heavy
@@ -20,7 +20,6 @@ from shopwright.schemas import TABLES
 ITEM_ORDER = ["line", "product_id", "quantity", "subtotal", "ship_date"]
 VIEW_ORDER = ["ts", "event_id"]
 SESSION_KEYS = ["user_id", "session_no"]
-INITIAL_STOCK = 500
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -42,16 +41,28 @@ def users(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def people(spark: SparkSession, folder: str) -> DataFrame:
+    """Users without their places."""
+    return table(spark, folder, "customer").select(
+        F.col("c_custkey").alias("user_id"),
+        F.col("c_name").alias("name"),
+        F.col("c_acctbal").alias("balance"),
+        F.col("c_mktsegment").alias("segment"),
+    )
+
+
 def user_ids(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "customer").select(F.col("c_custkey").alias("user_id"))
 
 
-def registered_users(spark: SparkSession, folder: str) -> DataFrame:
-    """Users with the date of their first order as registration date."""
-    first = transactions(spark, folder).groupBy("user_id").agg(
-        F.min("timestamp").alias("registration_date")
+def buyers(spark: SparkSession, folder: str) -> DataFrame:
+    """Users with their purchases and the date of the first one as registration date, from one pass over orders."""
+    bought = transactions(spark, folder).groupBy("user_id").agg(
+        F.min("timestamp").alias("registration_date"),
+        amount(F.sum(money("total"))).alias("total_spend"),
+        F.count("*").alias("purchase_count"),
     )
-    return user_ids(spark, folder).join(first, "user_id", "left")
+    return user_ids(spark, folder).join(bought, "user_id", "left")
 
 
 def products(spark: SparkSession, folder: str) -> DataFrame:
@@ -61,11 +72,16 @@ def products(spark: SparkSession, folder: str) -> DataFrame:
         F.col("p_brand").alias("category_id"),
         F.col("p_type").alias("subcategory"),
         F.col("p_retailprice").alias("base_price"),
-        F.lit(INITIAL_STOCK).cast("bigint").alias("current_stock"),
+        initial_stock().alias("current_stock"),
         (F.col("p_size") > 2).alias("is_active"),
     )
 
 
+def initial_stock() -> Column:
+    """Units at the start, from 50 to 949 depending on the product."""
+    return (F.lit(50) + F.pmod(F.col("p_partkey") * 37, F.lit(900))).cast("bigint")
+
+
 def categories(spark: SparkSession, folder: str) -> DataFrame:
     return category_tree(products(spark, folder).select("category_id", "subcategory"))
 
@@ -119,16 +135,37 @@ def sessions(spark: SparkSession, folder: str) -> DataFrame:
         "views": ("sum", F.lit(1).cast("bigint")),
         "bought": ("max", F.col("page_type") == "purchase"),
         "carted": ("max", F.col("page_type") == "click"),
-        "has_products": ("max", F.col("product_id").isNotNull()),
     }
     return S.sessions_from_events(events(spark, folder), measures).withColumn(
         "conversion_status", S.conversion_status(F.col("bought"), F.col("carted"))
     ).drop("bought", "carted")
 
 
-def session_spans(spark: SparkSession, folder: str) -> DataFrame:
-    """Only user_id, session_no, start_time, end_time and duration_seconds."""
-    return S.sessions_from_events(table(spark, folder, "events").select("user_id", "ts"))
+def session_documents(views: DataFrame) -> DataFrame:
+    """One row per session with its distinct products, from page views that know their session."""
+    spans = views.groupBy(*SESSION_KEYS).agg(
+        F.first("session_start").alias("start_time"),
+        F.first("session_end").alias("end_time"),
+        F.count("*").alias("views"),
+        F.max(F.col("page_type") == "purchase").alias("bought"),
+        F.max(F.col("page_type") == "click").alias("carted"),
+        F.array_sort(F.collect_set("product_id")).alias("viewed_products"),
+    )
+    return spans.withColumns(
+        {
+            "duration_seconds": whole_seconds(epoch_micros("end_time") - epoch_micros("start_time")),
+            "conversion_status": S.conversion_status(F.col("bought"), F.col("carted")),
+        }
+    ).drop("bought", "carted")
+
+
+def session_spans(spark: SparkSession, folder: str, after=None) -> DataFrame:
+    """Only user_id, session_no, start_time, end_time and duration_seconds.
+
+    With ``after``, enough events are read to tell the sessions that begin later.
+    """
+    clicks = table(spark, folder, "events").select("user_id", "ts")
+    return S.sessions_from_events(clicks if after is None else S.events_for_sessions_after(clicks, after))
 
 
 def page_views(spark: SparkSession, folder: str, heavy: Heavy) -> DataFrame:

@@ -12,6 +12,7 @@ from shopwright import sinks
 from shopwright.functions import (
     add_seconds,
     iso_text,
+    money,
     map_value,
     padded_id,
     row_key,
@@ -20,7 +21,7 @@ from shopwright.functions import (
 )
 from shopwright.operators import catalog, cells, customers, inventory, sales
 from shopwright.operators import sessions as S
-from shopwright.operators.nesting import nest, unnest
+from shopwright.operators.nesting import gathered, nest, unnest
 from shopwright.operators.ordered import ordered
 from shopwright.schemas import CELLS, PAGE_VIEW, TRANSACTIONS
 from shopwright.shared import new_folder
@@ -103,8 +104,11 @@ def test_lookup_keeps_unmatched_items_and_matches_nulls(spark, products):
     found = sales.lookup_products(items, goods, ["category_id"])
     got = {r.n: [p.category_id for p in r.product_info] for r in found.collect()}
     assert got == {1: ["c1", "c8"], 2: [], 3: ["c9"]}
-    parts = sales.lookup_products(items, goods, ["category_id"], part_rows=1)
-    assert sorted((r.n, r.part) for r in parts.collect()) == [(1, 0), (1, 1), (2, 0), (3, 0)]
+    many = goods.select("product_id", "category_id").union(
+        spark.range(1500).select(F.lit("zzz"), F.col("id").cast("string"))
+    )
+    found = {r.n: len(r.product_info) for r in sales.lookup_products(items, many, ["category_id"]).collect()}
+    assert found == {1: 2, 2: 1500, 3: 1}
 
 
 def test_state_revenue(users, transactions):
@@ -171,6 +175,21 @@ def test_price_history(spark):
     assert [h.price for h in got["p"].price_history] == [5.0, 7.0, 9.0]
     assert (got["p"].base_price, got["p"].current_price, got["p"].creation_date) == (5.0, 9.0, day1)
     assert got["none"].current_price is None
+    many = goods.filter("product_id = 'p'").select(
+        "product_id",
+        F.transform(
+            F.sequence(F.lit(0), F.lit(1499)),
+            lambda i: F.struct((i % 7).cast("double").alias("price"), F.timestamp_seconds(i * 60).alias("date")),
+        ).alias("price_history"),
+    )
+    by_price = nest(unnest(many, "price_history"), ["product_id"], ["price"], ["price", "date"], "price_history", part_rows=100)
+    for listed in (many, by_price):
+        whole = catalog.sort_price_history(listed, part_rows=100)
+        assert sorted(r.part for r in whole.collect()) == list(range(15))
+        facts = whole.select("base_price", "current_price", "creation_date").distinct().collect()
+        assert [(r.base_price, r.current_price) for r in facts] == [(0.0, float(1499 % 7))]
+        (one,) = gathered(whole, ["product_id"], "price_history").collect()
+        assert [h.price for h in one.price_history] == [float(i % 7) for i in range(1500)]
     changes = unnest(goods, "price_history")
     timeline = catalog.price_timeline(changes).orderBy("seq")
     assert [(r.seq, r.price) for r in timeline.collect()] == [(1, 5.0), (2, 7.0), (3, 9.0)]
@@ -180,14 +199,14 @@ def test_price_history(spark):
 def test_stock_skips_what_it_cannot_cover(spark):
     goods = spark.createDataFrame([("p", 5), ("idle", 4)], "product_id string, current_stock long")
     demands = spark.createDataFrame(
-        [(1, "p", 3), (2, "p", 4), (3, "p", 2), (4, "p", 1), (5, "ghost", 1)],
+        [(1, "p", 3), (2, "p", 4), (3, "p", 2), (4, "p", 1), (5, "ghost", 1), (6, "p", 0), (7, "p", -2), (8, "p", None)],
         "turn_no int, product_id string, quantity long",
     )
     left = inventory.stock_depletion(goods, demands, ["turn_no"])
-    assert sorted(rows(left)) == [("idle", 4, 4, 0, 0), ("p", 5, 0, 2, 2)]
+    assert sorted(rows(left)) == [("idle", 4, 4, 0, 0), ("p", 5, 0, 3, 4)]
     assert rows(inventory.remaining_stock(left, "remaining_stock")) == [(4,)]
     filled = inventory.filled_demands(goods, demands, ["turn_no"])
-    assert sorted(rows(filled)) == [(1, "p", 3), (3, "p", 2)]
+    assert sorted(rows(filled)) == [(1, "p", 3), (3, "p", 2), (6, "p", 0)]
 
 
 @pytest.mark.parametrize("cut", [False, True])
@@ -199,7 +218,7 @@ def test_stock_matches_one_by_one_service(spark, cut):
     asks = [(i, rng.choice([0, 0, 0, 1, 2, 3, 4, 5, 9]), rng.randint(-1, 25)) for i in range(700)]
     left, want = dict(goods), []
     for i, p, q in asks:
-        if p in left and 0 < q <= left[p]:
+        if p in left and 0 <= q <= left[p]:
             left[p] -= q
             want.append((i, p, q))
     products = spark.createDataFrame(goods, "product_id int, current_stock long")
@@ -251,6 +270,41 @@ def test_conversion_uses_the_unfiltered_cart(documents):
     ]
 
 
+def test_sessions_in_parts_count_once(documents):
+    """Pages and cart in different parts, and more page views than a part holds."""
+    home = F.array_repeat(F.struct(F.lit("home").alias("page_type")), 1000)
+    till = F.array(F.struct(F.lit("checkout").alias("page_type")))
+    cart = F.create_map(F.lit("p1"), F.struct(F.lit(1).alias("quantity")))
+    ids = documents.select("session_id").filter("session_id in ('s1', 's2')")
+    first = ids.select("session_id", F.lit(0).alias("part"), home.alias("page_views"), cart.alias("cart_contents"))
+    later = first.filter("session_id = 's1'").select("session_id", F.lit(1).alias("part"), till.alias("page_views"), F.map_filter("cart_contents", lambda k, v: F.lit(False)).alias("cart_contents"))
+    status = S.classify_conversion(first.unionByName(later))
+    assert sorted((r.session_id, r.part, r.conversion_status) for r in status.collect()) == [
+        ("s1", 0, "converted"), ("s1", 1, "converted"), ("s2", 0, "abandoned"),
+    ]
+    assert sorted(rows(S.conversion_funnel(status))) == [("abandoned", 1), ("converted", 1)]
+
+
+def test_events_without_user_or_time(spark):
+    events = spark.createDataFrame(
+        [(1, "u", ts("2025-03-01")), (2, None, ts("2025-03-01")), (3, "u", None)], "event_id int, user_id string, ts timestamp"
+    )
+    assert sorted(r.event_id for r in S.unassigned_events(events).collect()) == [2, 3]
+
+
+def test_sessions_after_a_time_need_no_earlier_events(spark):
+    import random
+
+    rng = random.Random(4)
+    start = ts("2025-03-01")
+    seen = [(rng.randrange(9), start + dt.timedelta(seconds=rng.randrange(10 * 86400))) for _ in range(400)]
+    events = spark.createDataFrame(seen, "user_id int, ts timestamp")
+    for after in ("2025-03-02", "2025-03-05 12:00:00"):
+        spans = [S.sessions_from_events(e) for e in (events, S.events_for_sessions_after(events, after))]
+        found = [S.sessions_in_range(s, after, "2025-03-09").select("user_id", "start_time", "end_time") for s in spans]
+        assert sorted(rows(found[0])) == sorted(rows(found[1])) != []
+
+
 def test_cart_fold_keeps_the_first_price(spark):
     adds = spark.createDataFrame(
         [("s", "p1", 2, 6.0, 2), ("s", "p1", 1, 5.0, 1), ("s", "p2", 0, 1.0, 3), ("t", "p2", 0, 1.0, 1)],
@@ -325,7 +379,7 @@ def test_range_excludes_start_and_includes_end(bounds):
 def test_key_range_equals_time_range(bounds):
     keyed = bounds.select(
         row_key("user_id", "start_time").alias("row_key"), F.lit("f").alias("family"),
-        F.lit("q").alias("qualifier"), F.col("session_id").alias("value"), F.lit(0).alias("version"),
+        F.lit("q").alias("qualifier"), F.col("session_id").alias("value"), F.lit(0).alias("version"), F.lit("").alias("put"),
     )
     got = cells.rows_of_user(keyed, "u1", "2025-03-01", "2025-03-31").orderBy("row_key")
     assert [r.value for r in got.collect()] == ["at end", "after start"]
@@ -421,7 +475,7 @@ def test_merge_updates_only_what_exists(spark):
 
 
 def test_session_cells(documents):
-    got = cells.session_cells(S.classify_conversion(documents.filter("session_id = 's1'")))
+    got = cells.session_cells(S.classify_conversion(documents.filter("session_id = 's1'")), F.lit(0))
     table = {(r.family, r.qualifier): r.value for r in got.collect()}
     assert len(table) == 8 + 3 * 5
     assert table["session_data", "start_time"] == "2025-03-01T10:00:00"
@@ -434,46 +488,73 @@ def test_session_cells(documents):
     assert {r.row_key for r in got.collect()} == {f"u1:{key}"}
 
 
-def test_viewed_products_in_parts(spark, documents):
-    ids = "array<string>"
-    some = S.classify_conversion(documents.filter("session_id in ('s1', 's3')")).withColumn(
-        "viewed_products", F.when(F.col("session_id") == "s3", F.array().cast(ids))
-    )
-    start = ts("2025-03-01T10:00:00")
-    viewed = spark.createDataFrame(
-        [("u1", start, 0, ["p1", "p2"]), ("u1", start, 1, ["p3"])],
-        f"user_id string, start_time timestamp, part int, viewed_products {ids}",
+def test_viewed_products_are_one_list_for_any_number(spark, documents):
+    views = spark.range(4000).select(F.lit("s1").alias("session_id"), (F.col("id") % 2000).alias("product_id"))
+    (seen,) = S.viewed_products(views, ["session_id"]).collect()
+    assert seen.viewed_products == list(range(2000))
+    entries = views.distinct().withColumns({"quantity": F.lit(1), "price": F.lit(2.0)})
+    (cart,) = S.cart_contents(entries, ["session_id"]).collect()
+    assert len(cart.cart_contents) == 2000
+    many = documents.filter("session_id = 's1'").withColumn(
+        "viewed_products", F.transform(F.sequence(F.lit(1), F.lit(2000)), lambda i: i.cast("string"))
     )
-    got = cells.session_cells(some, viewed=viewed).filter("qualifier like 'viewed%'")
-    assert sorted((r.row_key[:2], r.qualifier, r.value) for r in got.collect()) == [
-        ("u1", "viewed_products", '["p1","p2"]'),
-        ("u1", "viewed_products_1", '["p3"]'),
-        ("u2", "viewed_products", "[]"),
-    ]
+    got = cells.session_cells(S.classify_conversion(many), F.lit(0)).filter("qualifier like 'viewed%'").collect()
+    assert [(r.qualifier, len(json.loads(r.value))) for r in got] == [("viewed_products", 2000)]
 
 
 def test_key_collision_merges_cell_by_cell(documents):
-    written = cells.session_cells(
-        S.classify_conversion(documents.filter("user_id = 'u1'")),
-        version=F.when(F.col("session_id") == "s1", 1).otherwise(2),
-    )
-    table = {r.qualifier: r.value for r in cells.latest_cells(written).collect()}
-    assert table["session_id"] == "s2"
-    assert table["pv_0_page_type"] == "search"
-    assert table["pv_2_page_type"] == "checkout"
+    both = S.classify_conversion(documents.filter("user_id = 'u1'"))
+    older_first = F.when(F.col("session_id") == "s1", 1).otherwise(2)
+    # In one write, the put that starts later wins, then the greater id: s1 and s2 start in one second.
+    for version, winner in ((older_first, "s2"), (3 - older_first, "s1"), (F.lit(0), "s2")):
+        written = cells.session_cells(both, version)
+        table = {r.qualifier: r.value for r in cells.latest_cells(written).collect()}
+        mine = {r.qualifier: r.value for r in written.filter(F.col("put").endswith(winner)).collect()}
+        assert table["session_id"] == winner
+        assert {q: table[q] for q in mine} == mine
+        assert table["pv_2_page_type"] == "checkout"
+        (row,) = cells.wide_rows(written).collect()
+        assert row.cells["session_data:session_id"] == winner and len(row.cells) == len(table)
 
 
 def test_three_versions_stay(spark):
-    history = spark.createDataFrame([("r", "f", "q", str(v), v) for v in range(1, 5)], CELLS)
+    history = spark.createDataFrame([("r", "f", "q", str(v), v, "") for v in range(1, 5)], CELLS)
     kept = cells.retain_versions(history)
     assert sorted(r.version for r in kept.collect()) == [2, 3, 4]
-    assert rows(cells.latest_cells(history)) == [("r", "f", "q", "4", 4)]
+    assert rows(cells.latest_cells(history)) == [("r", "f", "q", "4", 4, "")]
+    assert rows(cells.rows_between(history, "r", "s")) == [("r", "f", "q", "4", 4, "")]
+    # The later of two puts counts, not the greater text.
+    puts = spark.createDataFrame([("r", "f", "q", "60", 0, "b"), ("r", "f", "q", "500", 0, "a")], CELLS)
+    assert [r.value for r in cells.latest_cells(puts).collect()] == ["60"]
 
 
 def test_metric_cells(spark):
     daily = spark.createDataFrame([(ts("2025-03-01"), 12345678.5)], "day timestamp, total_revenue double")
     got = cells.metric_cells(daily, "day", "total_revenue", "revenue", "total", F.lit(7))
-    assert rows(got) == [("2025-03-01 00:00:00", "revenue", "total", "12345678.50", 7)]
+    assert rows(got) == [("2025-03-01 00:00:00", "revenue", "total", "12345678.5", 7, "")]
+    values = [0.123456, 0.00049, float("nan"), float("inf"), -1e-9, 15.0, 1e20, None, 0.0]
+    many = spark.createDataFrame(list(enumerate(values)), "k int, v double")
+    text = [r.value for r in cells.metric_cells(many, "k", "v", "f", "q", F.lit(0)).orderBy(F.col("row_key").cast("int")).collect()]
+    assert text == ["0.123456", "0.00049", "NaN", "Infinity", "-0.000000001", "15.0", "1.0E20", None, "0.0"]
+
+
+def test_money_is_exact_or_an_error(spark):
+    def total(*values):
+        return spark.createDataFrame([(v,) for v in values], "x double").agg(F.sum(money("x")).alias("s")).first().s
+
+    assert total(0.004, 0.004) == Decimal("0.008")
+    assert total(*[0.1] * 10) == Decimal("1.0")
+    assert total(1e20, 0.01, None) == Decimal("100000000000000000000.01")
+    for wrong in (float("nan"), float("inf"), 1e30):
+        with pytest.raises(Exception):
+            total(1.0, wrong)
+
+
+def test_later_category_documents_do_not_multiply_products(spark):
+    kind = "category_id string, name string, subcategories array<struct<subcategory_id:string,name:string>>"
+    cats = spark.createDataFrame([("cat_001", "A", []), ("cat_001", "B", []), ("cat_001", "B", [])], kind)
+    goods = spark.createDataFrame([("p1", "cat_001")], "product_id string, category_id string")
+    assert [r.category.name for r in catalog.product_catalog(goods, cats).collect()] == ["B"]
 
 
 # --- sources and sinks -------------------------------------------------------------
@@ -523,18 +604,18 @@ def test_tables(spark):
     path = new_folder(spark, "table")
     name = "ensured_" + path.rsplit("-", 1)[-1]
     sinks.ensure_table(spark, name, CELLS, path)
-    row = spark.createDataFrame([("r", "f", "q", "v", 1)], CELLS)
+    row = spark.createDataFrame([("r", "f", "q", "v", 1, "")], CELLS)
     sinks.append(row, path)
     sinks.ensure_table(spark, name, CELLS, path)
     spark.catalog.refreshTable(name)
-    assert rows(spark.table(name)) == [("r", "f", "q", "v", 1)]
+    assert rows(spark.table(name)) == [("r", "f", "q", "v", 1, "")]
     sinks.append(row, path)
     assert read_cells(spark, path).count() == 2
 
 
 def test_cell_table_round_trip(spark, documents):
     path = new_folder(spark, "cells")
-    written = cells.session_cells(S.classify_conversion(documents))
+    written = cells.session_cells(S.classify_conversion(documents), F.lit(0))
     sinks.write_cells(written, path)
     assert sorted(rows(read_cells(spark, path))) == sorted(rows(written))
 

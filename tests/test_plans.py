@@ -70,3 +70,28 @@ def test_transitions_shuffle_events_once(spark):
     text = plan(spark, "page_transitions")
     keys = re.findall(r"Arguments: hashpartitioning\(([^)]*)\)", text)
     assert len(keys) == 3 and keys[0].startswith("user_id")
+
+
+@pytest.mark.parametrize("name", ["user_engagement", "sessions_in_range", "clv_current", "clv_hours_only", "clv_top10"])
+def test_range_queries_push_the_time_into_the_scan(spark, name):
+    assert "GreaterThanOrEqual(ts," in plan(spark, name)
+
+
+@pytest.mark.parametrize(("name", "table", "scans"), [("clv_current", "orders", 1), ("metric_cells", "lineitem", 0)])
+def test_a_table_is_scanned_once(spark, name, table, scans):
+    """The items of metric_cells are summed into a stored table, in one scan of their own."""
+    text = plan(spark, name)
+    assert len(re.findall(rf"Location: InMemoryFileIndex \[[^\]]*/{table}.parquet", text)) == scans
+
+
+def test_engagement_reads_only_session_data(spark):
+    assert "EqualTo(family,session_data)" in plan(spark, "engagement_from_cells")
+
+
+def test_queries_leave_the_session_time_zone_alone(spark):
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+    try:
+        entry.queries()["daily_sales"](spark, FOLDER)
+        assert spark.conf.get("spark.sql.session.timeZone") == "Asia/Tokyo"
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")

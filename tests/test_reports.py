@@ -107,10 +107,23 @@ def test_published_metrics(spark, data, tmp_path):
         kept = cells.latest_cells(read_cells(spark, f"{out}/{name}"))
         return {(r.row_key, f"{r.family}:{r.qualifier}"): (r.value, r.version) for r in kept.collect()}
 
-    assert table("sales_by_category") == {("cat_001", "revenue:total"): ("15.00", 2)}
-    assert table("revenue_by_state") == {("NY", "revenue:total"): ("15.00", 2)}
+    assert table("sales_by_category") == {("cat_001", "revenue:total"): ("15.0", 2)}
+    assert table("revenue_by_state") == {("NY", "revenue:total"): ("15.0", 2)}
     assert table("user_segmentation") == {
         ("0", "metrics:user_count"): ("1", 2), ("2", "metrics:user_count"): ("1", 2),
     }
     assert table("funnel_metrics")["browsed", "metrics:count"] == ("2", 2)
-    assert table("sales_over_time")["2025-03-01 00:00:00", "revenue:total"] == ("5.00", 2)
+    assert table("sales_over_time")["2025-03-01 00:00:00", "revenue:total"] == ("5.0", 2)
+
+
+def test_later_writes_win_and_compaction_keeps_three(spark, data, tmp_path):
+    table, out = str(tmp_path / "rows"), str(tmp_path / "compact")
+    for _ in range(4):
+        reports.load_session_rows(data, table)
+    stored = read_cells(spark, table)
+    newest = stored.agg(F.max("version")).first()[0]
+    assert {r.version for r in cells.latest_cells(stored).select("version").distinct().collect()} == {newest}
+    reports.compact(spark, table, out)
+    kept = read_cells(spark, out)
+    assert kept.count() == stored.count() * 3 // 4
+    assert sorted(map(tuple, cells.latest_cells(kept).collect())) == sorted(map(tuple, cells.latest_cells(stored).collect()))
