@@ -32,6 +32,8 @@ import zstandard
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from shopwright.llm.grams import give_back
+
 UNKNOWN = "und"
 SAMPLE_TEXTS = 200
 DICTIONARY_BYTES = 1 << 17
@@ -86,7 +88,7 @@ def learn(
 
 
 def predict(docs: DataFrame, learned: list[tuple[str, int, bytes]], levels: tuple[int, ...] = LEVELS) -> DataFrame:
-    """docs with two columns more: lang_pred and margin (0 to 1)."""
+    """docs with two columns more: _lang_pred and _margin (0 to 1)."""
     place = docs.columns.index("text")
     known = docs.sparkSession.sparkContext.broadcast([(lang, content) for lang, _, content in learned])
 
@@ -120,11 +122,12 @@ def predict(docs: DataFrame, learned: list[tuple[str, int, bytes]], levels: tupl
                 margins.append(float((rest.min() - sizes[best]) / rest.min()) if len(rest) else 1.0)
             yield pa.record_batch(
                 [*batch.columns, pa.array(names, pa.string()), pa.array(margins, pa.float64())],
-                names=[*batch.schema.names, "lang_pred", "margin"],
+                names=[*batch.schema.names, "_lang_pred", "_margin"],
             )
+        give_back()
 
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
-    return docs.mapInArrow(predicted, f"{columns}, lang_pred string, margin double")
+    return docs.mapInArrow(predicted, f"{columns}, _lang_pred string, _margin double")
 
 
 def training_rows(docs: DataFrame) -> DataFrame:
@@ -137,14 +140,13 @@ def language_report(docs: DataFrame, margin: float = MARGIN) -> DataFrame:
     return found.select(
         "doc_id",
         held_out(F.col("doc_id")).alias("held_out"),
-        "lang_pred",
-        F.col("margin").alias("score"),
-        (F.col("margin") < margin).alias("rejected"),
+        F.col("_lang_pred").alias("lang_pred"),
+        F.col("_margin").alias("score"),
+        (F.col("_margin") < margin).alias("rejected"),
     )
 
 
 def recognised(docs: DataFrame, margin: float = MARGIN) -> DataFrame:
     """The documents whose language is clear enough, in the columns they came with."""
-    texts = docs.select(F.struct(*(f"`{c}`" for c in docs.columns)).alias("row"), "text")
-    kept = predict(texts, learn(training_rows(docs))).filter(F.col("margin") >= margin)
-    return kept.select("row.*")
+    kept = predict(docs, learn(training_rows(docs))).filter(F.col("_margin") >= margin)
+    return kept.select(*(f"`{c}`" for c in docs.columns))

@@ -127,6 +127,7 @@ def signatures(docs: DataFrame, shingle: int, bands: int = BANDS, rows: int = RO
                     ],
                     names=["doc_id", "node", "n_shingles", "keys"],
                 )
+        grams.give_back()
 
     doc_id = docs.schema["doc_id"].dataType.simpleString()
     return docs.select("doc_id", "text").mapInArrow(
@@ -150,6 +151,7 @@ def shingle_tables(docs: DataFrame, shingle: int) -> DataFrame:
                     ],
                     names=["doc_id", "node", "hashes"],
                 )
+        grams.give_back()
 
     doc_id = docs.schema["doc_id"].dataType.simpleString()
     return docs.select("doc_id", "text").mapInArrow(made, f"doc_id {doc_id}, node binary, hashes binary")

@@ -31,12 +31,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from shopwright.llm.grams import give_back
 from shopwright.shared import stored
 
 CAPACITY = 2048
 END_ID = 1
 KEPT_WORDS = 1_000_000
-ROWS = 2_048
+ROWS = 1_024
 
 
 # A word that ends with a letter, and after it an ASCII punctuation mark and whatever is no letter or digit.
@@ -172,6 +173,7 @@ def cut_pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: int
                             bin_.clear()
                 yield rows(out)
         yield rows([(*piece, None, None) for bin_ in waiting.values() for piece in bin_])
+        give_back()
 
     kind = pa.int64()
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
