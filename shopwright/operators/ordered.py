@@ -15,7 +15,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from shopwright.shared import checkpointed
+from shopwright.shared import checkpointed, shared_folder
 
 # Groups beyond this many rows are cut; below it one task sorts a group with ease.
 # A session may set another bound under this name.
@@ -53,6 +53,8 @@ def heavy_groups(df: DataFrame, keys: Sequence[str]) -> Column | None:
 
     One aggregation over the key columns alone.
     """
+    # Cutting needs the shared folder. Asking for it here makes its absence an error at any size.
+    shared_folder(df.sparkSession)
     bound = int(df.sparkSession.conf.get(GROUP_ROWS_CONF, str(GROUP_ROWS)))
     digest = F.xxhash64(*keys)
     found = (

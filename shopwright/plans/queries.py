@@ -24,7 +24,7 @@ from shopwright.operators import catalog, cells, customers, inventory, sales
 from shopwright.operators import sessions as S
 from shopwright.operators.nesting import gathered, nest, unnest
 from shopwright.operators.ordered import heavy_groups
-from shopwright.shared import new_folder, stored
+from shopwright.shared import discard_at_end, new_folder, stored
 from shopwright.sources import warehouse as W
 from shopwright.sources.entities import read_cells, read_entity, register_views
 
@@ -497,6 +497,7 @@ def session_cells_in_range(spark, folder):
     """Session rows written as a cell table and read back by key range."""
     path = new_folder(spark, "cells")
     sinks.write_cells(_session_cells(spark, folder), path)
+    discard_at_end(spark, path)
     return cells.rows_of_user(read_cells(spark, path), f"user_{LOOKUP_USER:06d}", *LOOKUP_RANGE)
 
 
@@ -506,6 +507,7 @@ def engagement_from_cells(spark, folder):
     people = W.user_ids(spark, folder).select(W.user_label().alias("user_id"))
     path = new_folder(spark, "cells")
     sinks.write_cells(_session_cells(spark, folder), path)
+    discard_at_end(spark, path)
     return cells.engagement_from_cells(people, read_cells(spark, path), *RANGE)
 
 
@@ -598,6 +600,7 @@ def _entity(spark, name, df):
     """A table written as JSON and read back with the entity's fixed schema."""
     path = new_folder(spark, name)
     sinks.write_json(df, path)
+    discard_at_end(spark, path)
     return read_entity(spark, name, path)
 
 
@@ -774,6 +777,7 @@ def json_roundtrip(spark, folder):
 def csv_export(spark, folder):
     orders, path = W.transactions(spark, folder), new_folder(spark, "csv")
     sinks.export(orders, path, "csv")
+    discard_at_end(spark, path)
     return spark.read.schema(orders.schema).option("header", True).csv(path)
 
 
@@ -781,6 +785,7 @@ def csv_export(spark, folder):
 def json_export(spark, folder):
     orders, path = W.transactions(spark, folder), new_folder(spark, "json")
     sinks.export(orders, path, "json")
+    discard_at_end(spark, path)
     return spark.read.schema(orders.schema).option("pathGlobFilter", "*.json").json(path)
 
 
@@ -789,6 +794,7 @@ def append_table(spark, folder):
     orders, path = W.transactions(spark, folder), new_folder(spark, "appended")
     sinks.append(orders, path)
     sinks.append(orders, path)
+    discard_at_end(spark, path)
     return spark.read.parquet(path)
 
 

@@ -38,12 +38,19 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def discard_at_end(spark: SparkSession, path: str) -> None:
+    """Delete what is at ``path`` when the application ends."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(place)
+
+
 def stored(df: DataFrame, label: str) -> DataFrame:
-    """The rows as a table in the shared folder, read back.
+    """The rows as a table in the shared folder, read back; it is deleted when the application ends.
 
     Unlike a checkpoint, the table has a size Spark knows when it plans a join,
     and carries no partitioning into it.
     """
     path = new_folder(df.sparkSession, label)
     df.write.parquet(path)
+    discard_at_end(df.sparkSession, path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

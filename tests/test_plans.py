@@ -95,3 +95,16 @@ def test_queries_leave_the_session_time_zone_alone(spark):
         assert spark.conf.get("spark.sql.session.timeZone") == "Asia/Tokyo"
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_stock_queues_are_cut_before_the_shuffle_by_product(spark):
+    """The greatest stock bounds the turns, below every exchange on product_id alone."""
+    text = io.StringIO()
+    with contextlib.redirect_stdout(text):
+        entry.queries()["stock_depletion"](spark, FOLDER).explain()
+    lines = text.getvalue().splitlines()
+    cut = next(i for i, line in enumerate(lines) if "turn" in line and "Subquery" in line and "Filter" in line)
+    depth = len(lines[cut]) - len(lines[cut].lstrip(" :+-"))
+    above = [line for line in lines[:cut] if len(line) - len(line.lstrip(" :+-")) < depth]
+    assert not any("hashpartitioning(product_id" in line and "quantity" in line for line in above)
+    assert any("collect_list" in line for line in above)
