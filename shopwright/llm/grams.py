@@ -10,11 +10,14 @@ from __future__ import annotations
 import ctypes
 import gc
 from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import SparkSession
 
+BATCH_ROWS = 512
 SLICE_BYTES = 1_000_000
 _BASE = 0x9E3779B97F4A7C15 | 1
 _BASE_INVERSE = pow(_BASE, -1, 1 << 64)
@@ -30,6 +33,22 @@ LOWER = np.where((_ALL >= 65) & (_ALL <= 90), _ALL + 32, _ALL).astype(np.uint8)
 _powers = (np.ones(1, np.uint64), np.ones(1, np.uint64))
 
 
+@contextmanager
+def small_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> Iterator[None]:
+    """Jobs inside send at most ``rows`` rows at once to Python; the setting then goes back.
+
+    Rows hold whole texts or whole sets, so Spark's 10,000 would fill both sides of the pipe.
+    Only jobs that run inside are affected, and results do not depend on it.
+    """
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def give_back() -> None:
     """Return freed memory to the system, as Python workers live on for later stages."""
     gc.collect()

@@ -200,6 +200,7 @@ def _compared(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                 ],
                 names=["a", "b", "need", "own", "diff"],
             )
+        grams.give_back()
 
     return (
         pairs.join(sets.select(F.col("node").alias("a"), F.col("hashes").alias("left")), "a")
@@ -293,7 +294,9 @@ def near_duplicates(
 
     Documents are linked when 100 * shared >= percent * all shingles of the two.
     """
-    rows_of = stored(signatures(docs, shingle, bands, rows), "signatures")
+    spark = docs.sparkSession
+    with grams.small_batches(spark):
+        rows_of = stored(signatures(docs, shingle, bands, rows), "signatures")
     classes = stored(
         rows_of.filter("n_shingles > 0")
         .groupBy("node")
@@ -332,12 +335,16 @@ def near_duplicates(
         found = shingle_tables(texts, shingle).join(chosen.select("node"), "node", "left_semi")
         return stored(found.groupBy("node").agg(F.first("hashes").alias("hashes")), "sets")
 
-    compared = stored(_compared(pairs, sets_of(pairs), percent), "compared")
+    def confirmed(pairs: DataFrame) -> DataFrame:
+        with grams.small_batches(spark):
+            return stored(_compared(pairs, sets_of(pairs), percent), "compared")
+
+    compared = confirmed(pairs)
     edges = compared.filter("need <= 0").select("a", "b")
     labels = components(edges)
     rest = stored(_still_apart(compared, labels, classes.select("node", "n"), percent), "pairs")
     if not rest.isEmpty():
-        more = stored(_compared(rest, sets_of(rest), percent), "compared").filter("need <= 0").select("a", "b")
+        more = confirmed(rest).filter("need <= 0").select("a", "b")
         labels = components(edges.unionByName(more))
 
     named = classes.select("node", "doc_id").join(labels, "node", "left")

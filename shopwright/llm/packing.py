@@ -31,7 +31,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from shopwright.llm.grams import give_back
+from shopwright.llm.grams import give_back, small_batches
 from shopwright.shared import stored
 
 CAPACITY = 2048
@@ -215,7 +215,8 @@ def packed(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: int = E
     Sequence names are worker << 32 | number for the workers' own, (1 << 62) + (class << 40) + number for
     those of held-back pieces, and negative for the last few.
     """
-    pieces = stored(cut_pieces(docs, path, capacity, end_id), "pieces")
+    with small_batches(docs.sparkSession, ROWS):
+        pieces = stored(cut_pieces(docs, path, capacity, end_id), "pieces")
     done = pieces.filter(F.col("sequence_id").isNotNull())
 
     # One row per worker and class; their running count numbers the pieces of a class.

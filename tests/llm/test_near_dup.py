@@ -7,9 +7,10 @@ import re
 from itertools import combinations
 
 import numpy as np
+import pytest
 from pyspark.sql import SparkSession
 
-from shopwright.llm import near_dup
+from shopwright.llm import grams, near_dup
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, node string, keys string"
 
@@ -129,3 +130,12 @@ def test_sketches_fill_every_coordinate_and_estimate_similarity():
         assert (made != ~np.uint64(0)).all()
         similarity = shared / (shared + 2 * alone)
         assert abs((made[0] == made[1]).mean() - similarity) < 0.1
+
+
+def test_small_batches_hold_inside_only(spark):
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    with pytest.raises(ValueError), grams.small_batches(spark, 7):
+        assert spark.conf.get(name) == "7"
+        raise ValueError
+    assert spark.conf.get(name) == before
