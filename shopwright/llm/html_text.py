@@ -5,7 +5,7 @@ read as nested elements; streams of one host are aligned one after the other, an
 expression that describes all of them, the wrapper, grows with each. A wrapper is
 union-free: where two streams differ, the element that only one of them has becomes
 optional, equal neighbours (and equal runs of neighbours) become a repeated group, and
-texts that differ become a slot. Then the wrapper, not the single page, decides which of its
+texts that differ anywhere become a slot. Then the wrapper, not the single page, decides which of its
 parts hold the article: the outermost article or main element, or without one the
 element with most running text in slots, less what tags, roles and names mark as
 menus, headers, footers, sidebars, notices, adverts, forms and comments. At last every page is
@@ -16,6 +16,9 @@ two rounds, first by host and salt; no task sees all pages of a host. An element
 with more than ``MAX_KIDS`` different parts is closed: it matches anything and is decided
 by names alone, which bounds a wrapper's size; it loses no text.
 
+Where no text of a host varies and no name tells, as with copies of one page, each page gives
+its own element with most text.
+
 Defined cases: null html or url count as empty; pages without a host form one group.
 A page without an article has an empty text if its wrapper has one elsewhere on the same
 element; broken markup is read as far as it goes, open elements end with the page. Repeated
@@ -24,6 +27,7 @@ rows are each reported. Columns other than page_id, url and html are ignored.
 
 from __future__ import annotations
 
+import hashlib
 import html
 import json
 import re
@@ -90,6 +94,7 @@ _NAME = re.compile(r"[a-z]+")
 
 # A part of a wrapper, as a list that turns into JSON: element key, or TEXT or GROUP.
 TEXT, GROUP = "#", "()"
+NOTHING = "nothing varies"
 KEY, OPTIONAL, REPEATED, CLOSED, PAGES, CONSTANT, CHARS, KIDS = range(8)
 
 
@@ -180,6 +185,11 @@ def _squeezed(text: str) -> str:
     return " ".join(text.split())
 
 
+def _constant(said: str) -> str:
+    """What stands for a text in a wrapper: equal only for equal texts, and short."""
+    return said if len(said) <= 64 else f"{said[:31]} {hashlib.blake2b(said.encode('utf-8', 'surrogatepass'), digest_size=16).hexdigest()}"
+
+
 def page_wrapper(tree: list) -> list:
     """The wrapper of one page."""
     kids = []
@@ -187,7 +197,7 @@ def page_wrapper(tree: list) -> list:
         if isinstance(part, str):
             said = _squeezed(part)
             if said:
-                kids.append([TEXT, 0, 0, 0, 1, said[:64], len(said), []])
+                kids.append([TEXT, 0, 0, 0, 1, _constant(said), len(said), []])
         else:
             kids.append(page_wrapper(part))
     return _limited([tree[0], 0, 0, 0, 1, None, 0, _folded(kids)])
@@ -337,6 +347,29 @@ def _densest(part: list) -> list | None:
     return best
 
 
+def _own_densest(tree: list) -> list | None:
+    """The element of a single page whose own paragraphs hold most text."""
+
+    def said(part: list | str, direct: bool = False) -> int:
+        if isinstance(part, str):
+            return len(_squeezed(part))
+        if _dropped(part[0], False):
+            return 0
+        return sum(said(k) for k in part[1] if not direct or isinstance(k, str) or k[0].split()[0] in ("p", "pre", "blockquote"))
+
+    best, most = None, 0
+    todo = [tree]
+    while todo:
+        here = todo.pop()
+        if _dropped(here[0], False):
+            continue
+        own = said(here, direct=True)
+        if own > most and here[0].split()[:1] not in (["p"], ["pre"], ["blockquote"]):
+            best, most = here, own
+        todo += [k for k in here[1] if not isinstance(k, str)]
+    return best
+
+
 def marked_wrapper(wrapper: list) -> list:
     """The wrapper with its content parts' PAGES set to -1."""
     mains = _mains(wrapper, lambda k: k.split()[0] == "article") or _mains(wrapper, _is_main)
@@ -344,6 +377,8 @@ def marked_wrapper(wrapper: list) -> list:
     if not mains:
         densest = _densest(wrapper)
         mains = [densest] if densest else []
+    if not mains:
+        wrapper[CONSTANT] = NOTHING
     for part in mains:
         part[PAGES] = -1
     return wrapper
@@ -395,10 +430,16 @@ def _loose(tree: list, out: list[str]) -> None:
 
 def page_text(page: str, wrapper: list) -> str:
     out: list[str] = []
+    tree = page_tree(page)
     if wrapper[PAGES] == -1:
-        _blocks(page_tree(page), out)
+        _blocks(tree, out)
+    elif wrapper[CONSTANT] == NOTHING:
+        # No text of the host varies, as in copies of one page: the longest text counts.
+        own = _own_densest(tree)
+        if own:
+            _blocks(own, out)
     else:
-        _content(page_tree(page), wrapper[KIDS], out)
+        _content(tree, wrapper[KIDS], out)
     return "\n".join(out)
 
 

@@ -96,6 +96,14 @@ def test_pages_without_article_use_running_text(spark):
         assert r["text"] == f"{text}\n{text} b"
 
 
+def test_copies_and_equal_beginnings_keep_their_text(spark):
+    same = "word " * 30
+    rows = [(i, "http://copy.com/", f"<body><div class='x'><p>{same}</p></div><div class='y'>Shop</div></body>") for i in range(4)]
+    rows += [(10 + i, f"http://begin.com/{i}", f"<body><div class='x'><p>{same}{i}</p></div><div class='y'>Shop</div></body>") for i in range(4)]
+    got = {r["page_id"]: r["text"] for r in html_text.page_report(pages(spark, rows)).collect()}
+    assert got == {i: same.strip() for i in range(4)} | {10 + i: f"{same}{i}" for i in range(4)}
+
+
 # --- licences ------------------------------------------------------------------
 
 
