@@ -5,23 +5,20 @@ read as nested elements; streams of one host are aligned one after the other, an
 expression that describes all of them, the wrapper, grows with each. A wrapper is
 union-free: where two streams differ, the element that only one of them has becomes
 optional, equal neighbours (and equal runs of neighbours) become a repeated group, and
-texts that differ anywhere become a slot. Then the wrapper, not the single page, decides which of its
-parts hold the article: the outermost article or main element, or without one the
-element with most running text in slots, less what tags, roles and names mark as
-menus, headers, footers, sidebars, notices, adverts, forms and comments. At last every page is
-matched against its host's wrapper and gives the texts of the parts so marked.
+texts that differ anywhere become a slot. A page's article is its outermost article elements, or
+without text in one its main elements, or those named as content. For pages with none of these
+the wrapper, not the single page, decides: the element with most running text in slots,
+less what tags, roles and names mark as menus, headers, footers, sidebars, notices, adverts,
+forms and comments. Such a page is matched against its host's wrapper and gives the texts of
+the part so marked. A page that has no such part gives its own element with most text.
 
 Wrappers of parts of a host's pages are made where the pages are read and are merged in
 two rounds, first by host and salt; no task sees all pages of a host. An element of a wrapper
 with more than ``MAX_KIDS`` different parts is closed: it matches anything and is decided
 by names alone, which bounds a wrapper's size; it loses no text.
 
-Where no text of a host varies and no name tells, as with copies of one page, each page gives
-its own element with most text.
-
-Defined cases: null html or url count as empty; pages without a host form one group.
-A page without an article has an empty text if its wrapper has one elsewhere on the same
-element; broken markup is read as far as it goes, open elements end with the page. Repeated
+Defined cases: null html or url count as empty; pages without a host belong to
+no common site and are each read alone. A page whose article elements are all empty has an empty text; broken markup is read as far as it goes, open elements end with the page. Repeated
 rows are each reported. Columns other than page_id, url and html are ignored.
 """
 
@@ -94,7 +91,6 @@ _NAME = re.compile(r"[a-z]+")
 
 # A part of a wrapper, as a list that turns into JSON: element key, or TEXT or GROUP.
 TEXT, GROUP = "#", "()"
-NOTHING = "nothing varies"
 KEY, OPTIONAL, REPEATED, CLOSED, PAGES, CONSTANT, CHARS, KIDS = range(8)
 
 
@@ -315,17 +311,31 @@ def _dropped(key: str, inside: bool) -> bool:
     return not inside and (tag in OUTER or bool(OUTER_NAMED & set(names)) and not _is_main(key))
 
 
-def _mains(part: list, test) -> list[list]:
-    if _dropped(part[KEY], False):
+def _is_content(key: str) -> bool:
+    return bool(MAIN_NAMED & set(key.split()[1:]))
+
+
+# What names the article, best first.
+BY_NAME = (lambda key: key.split()[0] == "article", _is_main, _is_content)
+
+
+def _mains(tree: list, test) -> list[list]:
+    """The outermost elements of a page that pass the test."""
+    if _dropped(tree[0], False):
         return []
-    if part[KEY] and test(part[KEY]):
-        return [part]
-    return [m for kid in part[KIDS] for m in _mains(kid, test)]
+    if tree[0] and test(tree[0]):
+        return [tree]
+    return [m for part in tree[1] if not isinstance(part, str) for m in _mains(part, test)]
+
+
+def _apart(key: str) -> bool:
+    """Never the part chosen by text: dropped, or found by its name where it stands."""
+    return _dropped(key, False) or bool(key) and any(test(key) for test in BY_NAME)
 
 
 def _running(part: list, direct: bool = False) -> int:
-    """Characters of text that varies between pages, outside dropped elements."""
-    if _dropped(part[KEY], False):
+    """Characters of text that varies between pages, outside dropped and named elements."""
+    if _apart(part[KEY]):
         return 0
     if part[KEY] == TEXT:
         return part[CHARS] if part[CONSTANT] is None or part[PAGES] < 3 else 0
@@ -338,7 +348,7 @@ def _densest(part: list) -> list | None:
     todo = [part]
     while todo:
         here = todo.pop()
-        if _dropped(here[KEY], False) or here[KEY] == TEXT:
+        if _apart(here[KEY]) or here[KEY] == TEXT:
             continue
         own = _running(here, direct=True)
         if own > most and here[KEY] != GROUP and here[KEY].split()[:1] not in (["p"], ["pre"], ["blockquote"]):
@@ -371,16 +381,10 @@ def _own_densest(tree: list) -> list | None:
 
 
 def marked_wrapper(wrapper: list) -> list:
-    """The wrapper with its content parts' PAGES set to -1."""
-    mains = _mains(wrapper, lambda k: k.split()[0] == "article") or _mains(wrapper, _is_main)
-    mains = mains or _mains(wrapper, lambda k: bool(MAIN_NAMED & set(k.split()[1:])))
-    if not mains:
-        densest = _densest(wrapper)
-        mains = [densest] if densest else []
-    if not mains:
-        wrapper[CONSTANT] = NOTHING
-    for part in mains:
-        part[PAGES] = -1
+    """The wrapper with PAGES set to -1 in the part that holds most running text."""
+    densest = _densest(wrapper)
+    if densest:
+        densest[PAGES] = -1
     return wrapper
 
 
@@ -395,51 +399,59 @@ def _blocks(tree: list, out: list[str]) -> None:
             _blocks(part, out)
 
 
-def _content(tree: list, parts: list, out: list[str]) -> None:
-    """Walk a page along the wrapper's parts and take the blocks of content parts."""
-    flat = [p for part in parts for p in (part[KIDS] if part[KEY] == GROUP else [part])]
-    by_key: dict[str, list] = {}
-    for part in flat:
+def _ungrouped(kids: list) -> list:
+    return [k for kid in kids for k in (_ungrouped(kid[KIDS]) if kid[KEY] == GROUP else [kid])]
+
+
+def _content(tree: list, parts: list) -> list[list]:
+    """Walk a page along the wrapper's parts and return the elements of the marked part."""
+    by_key: dict[str, list[list]] = {}
+    for part in _ungrouped(parts):
         if part[KEY] != TEXT:
-            # An element may stand at several places of the wrapper; content wins.
-            old = by_key.get(part[KEY])
-            by_key[part[KEY]] = part if old is None or part[PAGES] == -1 else old
+            by_key.setdefault(part[KEY], []).append(part)
+    elements: dict[str, list[list]] = {}
     for element in tree[1]:
-        if isinstance(element, str):
-            continue
-        part = by_key.get(element[0])
-        if part is not None and part[PAGES] == -1:
-            _blocks(element, out)
-        elif part is None or part[CLOSED]:
-            _loose(element, out)
+        if not isinstance(element, str) and element[0] in by_key:
+            elements.setdefault(element[0], []).append(element)
+    out = []
+    for key, found in elements.items():
+        same = by_key[key]
+        if len(found) == len(same) and not any(p[REPEATED] for p in same):
+            pairs = [(element, [part]) for element, part in zip(found, same)]
         else:
-            _content(element, part[KIDS], out)
-
-
-def _loose(tree: list, out: list[str]) -> None:
-    """Content of an element that the wrapper leaves open, by names."""
-    if _dropped(tree[0], False):
-        return
-    if _is_main(tree[0]):
-        _blocks(tree, out)
-        return
-    for part in tree[1]:
-        if not isinstance(part, str):
-            _loose(part, out)
+            # Which part an element stands for is open, so it may be any of them; content wins.
+            pairs = [(element, same) for element in found]
+        for element, may_be in pairs:
+            if any(part[PAGES] == -1 for part in may_be):
+                out.append(element)
+            else:
+                out += _content(element, [kid for part in may_be for kid in part[KIDS]])
+    return out
 
 
-def page_text(page: str, wrapper: list) -> str:
-    out: list[str] = []
+def page_text(page: str, wrapper: list | None) -> str:
+    """The text of a page by the marked wrapper of its host, if it has one."""
     tree = page_tree(page)
-    if wrapper[PAGES] == -1:
-        _blocks(tree, out)
-    elif wrapper[CONSTANT] == NOTHING:
-        # No text of the host varies, as in copies of one page: the longest text counts.
-        own = _own_densest(tree)
-        if own:
-            _blocks(own, out)
+    named = False
+    for test in BY_NAME:
+        mains = _mains(tree, test)
+        named |= bool(mains)
+        out: list[str] = []
+        for main in mains:
+            _blocks(main, out)
+        if out:
+            return "\n".join(out)
+    if named:
+        return ""
+    if wrapper is None:
+        found = []
     else:
-        _content(tree, wrapper[KIDS], out)
+        found = [tree] if wrapper[PAGES] == -1 else _content(tree, wrapper[KIDS])
+    for element in found:
+        _blocks(element, out)
+    own = None if out else _own_densest(tree)
+    if own:
+        _blocks(own, out)
     return "\n".join(out)
 
 
@@ -449,7 +461,7 @@ def _with_host(pages: DataFrame) -> DataFrame:
 
 
 def host_wrappers(pages: DataFrame) -> DataFrame:
-    """host, wrapper (JSON) from all pages."""
+    """host, wrapper (JSON) from all pages that have a host."""
 
     def local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -471,7 +483,8 @@ def host_wrappers(pages: DataFrame) -> DataFrame:
             wrapper = _merged(wrapper, json.loads(text))
         return pd.DataFrame({"host": [part["host"].iloc[0]], "wrapper": [json.dumps(wrapper)]})
 
-    parts = _with_host(pages).select("host", "html").mapInArrow(local, "host string, wrapper string")
+    hosted = _with_host(pages).filter(F.col("host") != "").select("host", "html")
+    parts = hosted.mapInArrow(local, "host string, wrapper string")
     salted = parts.withColumn("salt", F.pmod(F.xxhash64("wrapper"), F.lit(SALTS)))
     kind = "host string, wrapper string"
     return salted.groupBy("host", "salt").applyInPandas(together, kind).groupBy("host").applyInPandas(together, kind)
@@ -485,7 +498,7 @@ def main_texts(pages: DataFrame) -> DataFrame:
 
     def extracted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            known: dict[str, list] = {}
+            known: dict[str | None, list | None] = {None: None}
             texts = []
             for page, wrapper in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
                 if wrapper not in known:

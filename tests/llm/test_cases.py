@@ -104,6 +104,22 @@ def test_copies_and_equal_beginnings_keep_their_text(spark):
     assert got == {i: same.strip() for i in range(4)} | {10 + i: f"{same}{i}" for i in range(4)}
 
 
+def test_content_is_chosen_for_each_page(spark):
+    def body(start, end, i):
+        return f"<body><div class='top'>Shop</div>{start}<p>text of page {i}</p>{end}</body>"
+
+    forms = [("<article>", "</article>"), ("<main>", "</main>"), ("<div class='content'>", "</div>"), ("<div class='x'>", "</div>"), ("", "")]
+    rows = [(i, f"http://e.com/{i}", body(*form, i)) for i, form in enumerate(forms)]
+    # Unrelated sites without a host, and two rows of one key of which the second holds the text.
+    rows += [(10, None, "<article><p>text of page 10</p></article>"), (11, "", "<div class='y'><p>text of page 11</p></div>")]
+    row = "<div class='row'>menu</div><hr><div class='row'><div class='z'><p>text of page {0}</p></div></div>"
+    rows += [(20 + i, f"http://f.com/{i}", row.format(20 + i)) for i in range(4)]
+    got = {r["page_id"]: r["text"] for r in html_text.page_report(pages(spark, rows)).collect()}
+    want = {r[0]: f"text of page {r[0]}" for r in rows}
+    # Paragraphs right in the body have no element of their own to tell them from its other text.
+    assert got == want | {4: "Shop\ntext of page 4"}
+
+
 # --- licences ------------------------------------------------------------------
 
 
