@@ -199,6 +199,32 @@ select conv_id, count(*)::bigint as n_turns,
        sum(size)::bigint as formatted_chars
 from sized group by conv_id"""
 
+_HARD_NEGATIVES = """
+with rows as (
+  select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+         list_transform(embedding, x -> floor(256 * x::double)) as v
+  from embeddings
+  where vec_id is not null and label is not null and embedding is not null
+    and len(list_filter(embedding, x -> x is null or not isfinite(x))) = 0),
+anchors as (
+  select row_number() over () as anchor, * from (select distinct vec_id, label, v from rows where vec_id % 100 = 0)),
+scored as (
+  select anchor, a.vec_id as anchor_id, a.label = r.label as same, r.vec_id,
+         list_dot_product(a.v, r.v)::bigint as score
+  from anchors a join rows r on len(a.v) = len(r.v) and (a.label <> r.label or a.vec_id <> r.vec_id)),
+positives as (
+  select * from scored where same
+  qualify row_number() over (partition by anchor order by score desc, vec_id) <= 5),
+below as (
+  select p.anchor_id, p.vec_id as positive_id, n.vec_id as negative_id, p.score as positive_score,
+         n.score as negative_score,
+         row_number() over (partition by p.anchor, p.vec_id order by n.score desc, n.vec_id) as rank
+  from positives p join scored n on n.anchor = p.anchor and not n.same
+    and 100 * n.score between 30 * p.score and 90 * p.score)
+select anchor_id::bigint as anchor_id, positive_id::bigint as positive_id, rank::int as rank,
+       negative_id::bigint as negative_id, positive_score, negative_score
+from below where rank <= 10"""
+
 ORACLE: dict[str, str] = {
     "op2_licenses": _licenses(),
     "op3_line_dedup": _line_dedup(),
@@ -206,4 +232,5 @@ ORACLE: dict[str, str] = {
     "op6_quality": _quality(),
     "op7_url_filter": _url_filter(),
     "op9_chat": _CHAT,
+    "op11_hard_negatives": _HARD_NEGATIVES,
 }

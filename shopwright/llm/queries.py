@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from shopwright.llm import (
     chat,
     decontaminate,
+    hard_negatives,
     html_text,
     language,
     licenses,
@@ -65,6 +66,10 @@ def op10_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     return near_dup.near_duplicates(table(spark, folder, "documents"), shingle=2)
 
 
+def op11_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    return hard_negatives.mined(table(spark, folder, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
     for query in (
@@ -78,6 +83,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_packing,
         op9_chat,
         op10_near_duplicates,
+        op11_hard_negatives,
     )
 }
 
