@@ -202,10 +202,10 @@ from sized group by conv_id"""
 _HARD_NEGATIVES = """
 with rows as (
   select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
-         list_transform(embedding, x -> floor(256 * x::double)) as v
+         list_transform(embedding, lambda x: floor(256 * x::double)) as v
   from embeddings
   where vec_id is not null and label is not null and embedding is not null
-    and len(list_filter(embedding, x -> x is null or not isfinite(x))) = 0),
+    and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
 anchors as (
   select row_number() over () as anchor, * from (select distinct vec_id, label, v from rows where vec_id % 100 = 0)),
 scored as (
@@ -225,6 +225,35 @@ select anchor_id::bigint as anchor_id, positive_id::bigint as positive_id, rank:
        negative_id::bigint as negative_id, positive_score, negative_score
 from below where rank <= 10"""
 
+_COLLOCATIONS = rf"""
+with pieces as (
+  select row_number() over () as piece, lang, regexp_extract_all(part, '[^\x20\x09]+') as words
+  from (select coalesce(lang, 'und') as lang,
+               unnest(regexp_split_to_array({_LOWER.format("coalesce(text, '')")}, '[.,;:!?\x0A-\x0D]')) as part
+        from documents)),
+totals as (select lang, sum(len(words))::hugeint as n from pieces group by lang),
+counts as (
+  select lang, k, array_to_string(words[i:i + k - 1], ' ') as phrase, count(*) as f
+  from pieces, unnest(range(1, len(words) + 1)) as s(i), unnest(range(1, 6)) as t(k)
+  where i + k - 1 <= len(words) group by all having count(*) >= 100),
+split as (select *, string_split(phrase, ' ') as w from counts where k > 1),
+cuts as (
+  select c.lang, c.phrase, c.f as a, j, x.f as l, y.f as r, n,
+         (1000 * c.f::hugeint * n // (x.f::hugeint * y.f::hugeint))::bigint as score
+  from (select *, unnest(range(1, k)) as j from split) c
+  join counts x on x.lang = c.lang and x.phrase = array_to_string(w[1:j], ' ')
+  join counts y on y.lang = c.lang and y.phrase = array_to_string(w[j + 1:], ' ')
+  join totals t on t.lang = c.lang),
+lowest as (select * from cuts qualify row_number() over (partition by lang, phrase order by score, j) = 1),
+inside as (
+  select distinct lang, array_to_string(w[i:i + m - 1], ' ') as phrase, f
+  from split, unnest(range(1, k)) as s(i), unnest(range(2, k)) as t(m) where i + m - 1 <= k)
+select lang, rank, phrase, a, l, r, n::bigint as n, score from (
+  select *, row_number() over (partition by lang order by score desc, a desc, phrase) as rank
+  from lowest o where not exists (
+    select 1 from inside i where i.lang = o.lang and i.phrase = o.phrase and 100 * i.f >= 100 * o.a))
+where rank <= 2000"""
+
 ORACLE: dict[str, str] = {
     "op2_licenses": _licenses(),
     "op3_line_dedup": _line_dedup(),
@@ -233,4 +262,5 @@ ORACLE: dict[str, str] = {
     "op7_url_filter": _url_filter(),
     "op9_chat": _CHAT,
     "op11_hard_negatives": _HARD_NEGATIVES,
+    "op12_collocations": _COLLOCATIONS,
 }

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from shopwright.llm import (
     chat,
+    collocations,
     decontaminate,
     hard_negatives,
     html_text,
@@ -70,6 +71,10 @@ def op11_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
     return hard_negatives.mined(table(spark, folder, "embeddings"))
 
 
+def op12_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    return collocations.collocations(table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
     for query in (
@@ -84,6 +89,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_chat,
         op10_near_duplicates,
         op11_hard_negatives,
+        op12_collocations,
     )
 }
 
