@@ -19,6 +19,7 @@ from shopwright.llm import (
     near_dup,
     packing,
     quality,
+    toxicity,
     url_filter,
 )
 from shopwright.llm.expr import table
@@ -75,6 +76,10 @@ def op12_collocations(spark: SparkSession, folder: str) -> DataFrame:
     return collocations.collocations(table(spark, folder, "documents"))
 
 
+def op13_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity.toxicity_report(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
     for query in (
@@ -90,6 +95,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op10_near_duplicates,
         op11_hard_negatives,
         op12_collocations,
+        op13_toxicity,
     )
 }
 
