@@ -44,13 +44,13 @@ def discard_at_end(spark: SparkSession, path: str) -> None:
     place.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(place)
 
 
-def stored(df: DataFrame, label: str) -> DataFrame:
+def stored(df: DataFrame, label: str, compression: str = "snappy") -> DataFrame:
     """The rows as a table in the shared folder, read back; it is deleted when the application ends.
 
     Unlike a checkpoint, the table has a size Spark knows when it plans a join,
     and carries no partitioning into it.
     """
     path = new_folder(df.sparkSession, label)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     discard_at_end(df.sparkSession, path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
