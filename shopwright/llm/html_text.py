@@ -5,20 +5,26 @@ read as nested elements; streams of one host are aligned one after the other, an
 expression that describes all of them, the wrapper, grows with each. A wrapper is
 union-free: where two streams differ, the element that only one of them has becomes
 optional, equal neighbours (and equal runs of neighbours) become a repeated group, and
-texts that differ anywhere become a slot. A page's article is its outermost article elements, or
-without text in one its main elements, or those named as content. For pages with none of these
-the wrapper, not the single page, decides: the element with most running text in slots,
-less what tags, roles and names mark as menus, headers, footers, sidebars, notices, adverts,
-forms and comments. Such a page is matched against its host's wrapper and gives the texts of
-the part so marked. A page that has no such part gives its own element with most text.
+texts that differ anywhere become a slot.
+
+Every page is read along its host's wrapper. A text that the wrapper has as a constant, on at least
+``TEMPLATE_PAGES`` pages and more than half of the host's, is part of the template; the others stand in slots.
+The article is made of slots and its headings: of the elements marked as article, else as main part, else named as
+content, else the element whose own paragraphs have most text in slots, with its like neighbours. From it goes what tags,
+roles and names mark as menus, headers, footers, sidebars, notices, adverts, forms and comments. Names are judged strictly inside
+an article: a whole word of a class or id, or a compound of nothing but such words ("share-buttons", not "market-share").
+A page whose article has constants only, such as one of many copies, keeps them.
 
 Wrappers of parts of a host's pages are made where the pages are read and are merged in
-two rounds, first by host and salt; no task sees all pages of a host. An element of a wrapper
-with more than ``MAX_KIDS`` different parts is closed: it matches anything and is decided
-by names alone, which bounds a wrapper's size; it loses no text.
+two rounds, first by host and salt; no task sees all pages of a host. An element with more than
+``MAX_KIDS`` different parts takes its parts in any order from then on, each optional and repeated, and
+what lies deeper than ``WRAPPER_DEPTH`` elements belongs to the wrapper's element above it; a run of equal neighbours is
+looked for up to ``LONGEST_UNIT`` elements long. These bound the work on a wrapper; pages are read
+to any depth and length, and no text is lost by them.
 
 Defined cases: null html or url count as empty; pages without a host belong to
-no common site and are each read alone. A page whose article elements are all empty has an empty text; broken markup is read as far as it goes, open elements end with the page. Repeated
+no common site and are each read alone. A page whose marked elements are all empty has an empty text. Broken
+markup is read as far as it goes, open elements end with the page. Repeated
 rows are each reported. Columns other than page_id, url and html are ignored.
 """
 
@@ -28,6 +34,8 @@ import hashlib
 import html
 import json
 import re
+import sys
+from collections import Counter
 from collections.abc import Iterator
 
 import pandas as pd
@@ -39,29 +47,38 @@ from shopwright.llm.expr import filled
 from shopwright.shared import stored
 
 MAX_KIDS = 48
-MAX_DEPTH = 40
+WRAPPER_DEPTH = 1000
 LONGEST_UNIT = 6
+TEMPLATE_PAGES = 3
 SALTS = 64
 
 # Elements by their meaning in HTML, and words in names and roles.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd mark q rp rt ruby s samp small "
-    "span strike strong sub sup time tt u var wbr".split()
+    "span strike strong sub sup time tt u var wbr "
+    "math maction menclose merror mfrac mi mmultiscripts mn mo mover mpadded mphantom mprescripts mroot mrow ms mspace "
+    "msqrt mstyle msub msubsup msup mtable mtd mtext mtr munder munderover semantics".split()
 )
 DROPPED = frozenset(
-    "aside audio button canvas datalist dialog fieldset footer form frame frameset head iframe input label legend "
-    "map math menu nav noscript object optgroup option picture progress script select style svg template textarea "
+    "annotation aside audio button canvas datalist dialog fieldset footer form frame frameset head iframe input label legend "
+    "map menu nav noscript object optgroup option picture progress script select style svg template textarea "
     "title video".split()
 )
 OUTER = frozenset(["header", "hgroup"])
 NAMED = frozenset(
     "ad ads advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments consent cookie "
-    "cookies disqus footer gdpr login masthead menu modal nav navbar navigation newsletter notice notices overlay "
+    "cookies discussion disqus footer gdpr login masthead menu modal nav navbar navigation newsletter notice notices overlay "
     "pager pagination popup promo promoted promotion recommended related replies reply respond search share sharing "
     "sidebar signup skip social sponsor sponsored subscribe subscription toolbar widget widgets alert alerts".split()
 )
 OUTER_NAMED = frozenset("header topbar".split())
+# Words that say nothing on their own, in a compound name.
+FILLING = frozenset(
+    "a and area bar bars block bottom box btn button buttons container count element feed for form group head header "
+    "holder icon icons inner item items large layer left link links list main module nav of on outer page pane panel "
+    "post posts region right row section site slot small text thread title tools top unit us wrap wrapper".split()
+)
 ROLES = frozenset(
     "alert alertdialog banner complementary contentinfo dialog form menu menubar navigation search status toolbar".split()
 )
@@ -80,51 +97,57 @@ CLOSED_BY = {
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
     r"|<(?P<raw>script|style|noscript|template|textarea|title|svg|iframe)\b[^>]*>.*?(?:</(?P=raw)\s*>|\Z)"
-    r"|<(?P<end>/?)(?P<tag>[a-z][^\s/>]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>"
-    r"|<(?P<end2>/?)(?P<tag2>[a-z][^\s/>]*)(?P<attrs2>[^>]*)>"
+    r"|<(?P<end>/?)(?P<tag>[a-z][^\s/>]*)(?P<attrs>(?:=\s*\"[^\"]*\"|=\s*'[^']*'|[^>])*+)>"
     r"|<[!?/][^>]*(?:>|\Z)"
     r"|<[a-z][^>]*\Z",
     re.S | re.I,
 )
-_ATTR = re.compile(r"\b(class|id|role|hidden|aria-hidden|style)\b(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?", re.I)
-_NAME = re.compile(r"[a-z]+")
+_ATTR = re.compile(r"(?<![\w-])(class|id|role|hidden|aria-hidden|style)\b(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?", re.I)
+_NAME = re.compile(r"[^\W\d_]+")
 
 # A part of a wrapper, as a list that turns into JSON: element key, or TEXT or GROUP.
 TEXT, GROUP = "#", "()"
-KEY, OPTIONAL, REPEATED, CLOSED, PAGES, CONSTANT, CHARS, KIDS = range(8)
+KEY, OPTIONAL, REPEATED, ANY_ORDER, PAGES, CONSTANT, CHARS, KIDS = range(8)
+
+
+def _strictly(name: str) -> bool:
+    """Whether a class or id as a whole names what is never content."""
+    words = _NAME.findall(name)
+    return any(w in NAMED for w in words) and all(w in NAMED or w in FILLING for w in words)
 
 
 def _key(tag: str, attrs: str) -> str:
-    """tag, a space, the sorted words of its class and id, and '!' in front if it is never content."""
+    """tag, a space, the sorted words of its class and id; in front "!" if it is never content, "~" if only outside an article."""
     names: set[str] = set()
-    hidden = False
+    hidden = strict = False
     if attrs:
         for name, *values in _ATTR.findall(attrs):
             name, value = name.lower(), "".join(values).lower()
             if name in ("class", "id"):
                 names.update(_NAME.findall(value))
+                strict = strict or any(map(_strictly, value.split()))
             elif name == "role":
                 names.update(f"role-{r}" for r in value.split())
             elif name == "hidden" or (name == "aria-hidden" and value == "true"):
                 hidden = True
             elif name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value):
                 hidden = True
-    out = tag in DROPPED or hidden or any(f"role-{r}" in names for r in ROLES)
     if tag in ("html", "body"):
-        out = hidden = False
-        names = set()
-    elif tag in MAIN:
+        return tag
+    out = tag in DROPPED or hidden or any(f"role-{r}" in names for r in ROLES)
+    if tag in MAIN:
         out = out or "comment" in names or "comments" in names
+        mark = "!" if out else ""
     else:
-        out = out or bool(names & NAMED)
-    return f"{'!' * out}{tag} {' '.join(sorted(names))}".rstrip()
+        mark = "!" if out or strict else "~" if names & NAMED else ""
+    return f"{mark}{tag} {' '.join(sorted(names))}".rstrip()
 
 
 def page_tree(page: str) -> list:
     """Nested [key, parts]; a part is such an element or a string of text."""
     root: list = ["", []]
-    stack = [("", root)]
-    skipping = 0
+    stack: list[tuple[str, list]] = [("", root)]
+    opened: Counter = Counter()
 
     def text(raw: str) -> None:
         parts = stack[-1][1][1]
@@ -133,9 +156,12 @@ def page_tree(page: str) -> list:
         else:
             parts.append(raw)
 
-    def close(tags: frozenset[str] | set[str], within: tuple[str, ...]) -> None:
+    def close(tags: tuple[str, ...], within: tuple[str, ...]) -> None:
+        if not any(opened[t] for t in tags):
+            return
         for i in range(len(stack) - 1, 0, -1):
             if stack[i][0] in tags:
+                opened.subtract(name for name, _ in stack[i:])
                 del stack[i:]
                 return
             if stack[i][0] in within:
@@ -146,32 +172,32 @@ def page_tree(page: str) -> list:
         if token.start() > at:
             text(html.unescape(page[at : token.start()]))
         at = token.end()
-        tag = (token["tag"] or token["tag2"] or "").lower()
+        tag = (token["tag"] or "").lower()
         if not tag:
             continue
-        attrs = token["attrs"] or token["attrs2"] or ""
-        if token["end"] or token["end2"]:
-            if any(name == tag for name, _ in stack[1:]):
-                close({tag}, ())
+        attrs = token["attrs"]
+        if token["end"]:
+            close((tag,), ())
             continue
         if tag == "br":
             text(" ")
             continue
         key = _key(tag, attrs)
-        if tag in VOID or (tag in INLINE and key[0] != "!") or len(stack) > MAX_DEPTH:
+        if tag in VOID or (tag in INLINE and key[0] != "!"):
             if tag == "hr":
                 stack[-1][1][1].append(["hr", []])
             continue
         if tag not in INLINE:
-            close({"p"}, ("article", "body", "div", "li", "main", "section", "td"))
+            close(("p",), ("article", "body", "div", "li", "main", "section", "td"))
         if tag in CLOSED_BY:
             ended, within = CLOSED_BY[tag]
             for _ in ended.split():
-                close(set(ended.split()), within)
+                close(tuple(ended.split()), within)
         element: list = [key, []]
         stack[-1][1][1].append(element)
         if not attrs.endswith("/"):
             stack.append((tag, element))
+            opened[tag] += 1
     if at < len(page):
         text(html.unescape(page[at:]))
     return root
@@ -186,23 +212,46 @@ def _constant(said: str) -> str:
     return said if len(said) <= 64 else f"{said[:31]} {hashlib.blake2b(said.encode('utf-8', 'surrogatepass'), digest_size=16).hexdigest()}"
 
 
-def page_wrapper(tree: list) -> list:
+def _texts_below(tree: list) -> list[str]:
+    """All texts of an element, in order."""
+    out, todo = [], [tree]
+    while todo:
+        here = todo.pop()
+        if isinstance(here, str):
+            out.append(here)
+        else:
+            todo += reversed(here[1])
+    return out
+
+
+def page_wrapper(tree: list, depth: int = 0) -> list:
     """The wrapper of one page."""
     kids = []
-    for part in tree[1]:
+    for part in tree[1] if depth < WRAPPER_DEPTH else _texts_below(tree):
         if isinstance(part, str):
             said = _squeezed(part)
             if said:
                 kids.append([TEXT, 0, 0, 0, 1, _constant(said), len(said), []])
         else:
-            kids.append(page_wrapper(part))
-    return _limited([tree[0], 0, 0, 0, 1, None, 0, _folded(kids)])
+            kids.append(page_wrapper(part, depth + 1))
+    return _bounded([tree[0], 0, 0, 0, 1, None, 0, _folded(kids)])
+
+
+def _bounded(part: list) -> list:
+    """From MAX_KIDS different parts on, an element's parts stand in any order."""
+    if part[ANY_ORDER] or len(part[KIDS]) > MAX_KIDS:
+        part[ANY_ORDER] = 1
+        by_shape: dict[str, list] = {}
+        for kid in _ungrouped(part[KIDS]):
+            known = by_shape.get(kid[KEY])
+            by_shape[kid[KEY]] = kid = _merged(known, kid) if known else kid
+            kid[OPTIONAL] = kid[REPEATED] = 1
+        part[KIDS] = [by_shape[shape] for shape in sorted(by_shape)]
+    return part
 
 
-def _limited(part: list) -> list:
-    if len(part[KIDS]) > MAX_KIDS:
-        part[CLOSED], part[KIDS] = 1, []
-    return part
+def _ungrouped(kids: list) -> list:
+    return [k for kid in kids for k in (_ungrouped(kid[KIDS]) if kid[KEY] == GROUP else [kid])]
 
 
 def _shape(part: list) -> str:
@@ -272,17 +321,17 @@ def _unrolled(kids: list, other: list) -> list:
 
 def _merged(a: list, b: list) -> list:
     """The wrapper of everything that a or b describes; both have one key."""
-    for n in (OPTIONAL, REPEATED, CLOSED):
+    for n in (OPTIONAL, REPEATED, ANY_ORDER):
         a[n] |= b[n]
     a[PAGES] += b[PAGES]
     a[CHARS] += b[CHARS]
     if a[CONSTANT] != b[CONSTANT]:
         a[CONSTANT] = None
-    if a[CLOSED]:
-        a[KIDS] = []
+    if a[ANY_ORDER]:
+        a[KIDS] = a[KIDS] + b[KIDS]
     elif a[KEY] != TEXT:
         a[KIDS] = _folded(_aligned(_unrolled(a[KIDS], b[KIDS]), _unrolled(b[KIDS], a[KIDS])))
-    return _limited(a)
+    return _bounded(a)
 
 
 def expression(part: list) -> str:
@@ -290,7 +339,9 @@ def expression(part: list) -> str:
     if part[KEY] == TEXT:
         body = "TEXT" if part[CONSTANT] is None else repr(part[CONSTANT])
     else:
-        body = ".*" if part[CLOSED] else " ".join(map(expression, part[KIDS]))
+        body = (" | " if part[ANY_ORDER] else " ").join(map(expression, part[KIDS]))
+        if part[ANY_ORDER]:
+            body = f"( {body} )*"
         if part[KEY] not in ("", GROUP):
             body = f"<{part[KEY]}> {body} </>"
     if part[REPEATED]:
@@ -299,160 +350,155 @@ def expression(part: list) -> str:
 
 
 def _is_main(key: str) -> bool:
-    tag, *names = key.lstrip("!").split()
+    tag, *names = key.lstrip("!~").split()
     return tag in MAIN or "role-main" in names or "role-article" in names
 
 
 def _dropped(key: str, inside: bool) -> bool:
-    """Never content; headers only count as the page's outside the article."""
+    """Never content; headers and doubtful names only count as the page's outside the article."""
     if key.startswith("!"):
         return True
-    tag, *names = key.split() or [""]
-    return not inside and (tag in OUTER or bool(OUTER_NAMED & set(names)) and not _is_main(key))
+    if inside or not key:
+        return False
+    tag, *names = key.split()
+    return (key[0] == "~" or tag in OUTER or bool(OUTER_NAMED & set(names))) and not _is_main(key)
 
 
 def _is_content(key: str) -> bool:
     return bool(MAIN_NAMED & set(key.split()[1:]))
 
 
-# What names the article, best first.
-BY_NAME = (lambda key: key.split()[0] == "article", _is_main, _is_content)
-
-
-def _mains(tree: list, test) -> list[list]:
-    """The outermost elements of a page that pass the test."""
-    if _dropped(tree[0], False):
-        return []
-    if tree[0] and test(tree[0]):
-        return [tree]
-    return [m for part in tree[1] if not isinstance(part, str) for m in _mains(part, test)]
-
-
-def _apart(key: str) -> bool:
-    """Never the part chosen by text: dropped, or found by its name where it stands."""
-    return _dropped(key, False) or bool(key) and any(test(key) for test in BY_NAME)
+# What marks the article, best first.
+MARKS = (lambda key: key.split()[0] == "article", _is_main, _is_content)
+PARAGRAPHS = ("p", "pre", "blockquote")
+HEADINGS = [[f"h{i}"] for i in range(1, 7)]
 
 
-def _running(part: list, direct: bool = False) -> int:
-    """Characters of text that varies between pages, outside dropped and named elements."""
-    if _apart(part[KEY]):
-        return 0
-    if part[KEY] == TEXT:
-        return part[CHARS] if part[CONSTANT] is None or part[PAGES] < 3 else 0
-    return sum(_running(k) for k in part[KIDS] if not direct or k[KEY] == TEXT or k[KEY].split()[0] in ("p", "pre", "blockquote", GROUP))
-
-
-def _densest(part: list) -> list | None:
-    """The element whose own paragraphs hold most text."""
-    best, most = None, 0
-    todo = [part]
+def _marked(tree: list, test) -> list[list]:
+    """The outermost elements of a page that pass the test, outside what is never content."""
+    found, todo = [], [tree]
     while todo:
         here = todo.pop()
-        if _apart(here[KEY]) or here[KEY] == TEXT:
+        if here[0].startswith("!") or (test is _is_content and _dropped(here[0], False)):
             continue
-        own = _running(here, direct=True)
-        if own > most and here[KEY] != GROUP and here[KEY].split()[:1] not in (["p"], ["pre"], ["blockquote"]):
-            best, most = here, own
-        todo += here[KIDS]
-    return best
+        if here[0] and test(here[0]):
+            found.append(here)
+        else:
+            todo += [part for part in reversed(here[1]) if not isinstance(part, str)]
+    return found
 
 
-def _own_densest(tree: list) -> list | None:
-    """The element of a single page whose own paragraphs hold most text."""
+def _template_texts(tree: list, wrapper: list | None) -> dict[int, set[str]]:
+    """Constants of the wrapper by the element (its id) they stand in, walking a page along the wrapper."""
+    if wrapper is None:
+        return {}
+    least = max(TEMPLATE_PAGES, wrapper[PAGES] // 2 + 1)
+    out: dict[int, set[str]] = {}
+    todo = [(tree, [wrapper])]
+    while todo:
+        element, parts = todo.pop()
+        kids = [kid for part in parts for kid in _ungrouped(part[KIDS])]
+        constants = {k[CONSTANT] for k in kids if k[KEY] == TEXT and k[CONSTANT] is not None and k[PAGES] >= least}
+        if constants:
+            out[id(element)] = constants
+        by_key: dict[str, list[list]] = {}
+        for kid in kids:
+            if kid[KEY] != TEXT:
+                by_key.setdefault(kid[KEY], []).append(kid)
+        inner: dict[str, list[list]] = {}
+        for part in element[1]:
+            if not isinstance(part, str) and part[0] in by_key:
+                inner.setdefault(part[0], []).append(part)
+        for key, found in inner.items():
+            same = by_key[key]
+            if len(found) == len(same) and not any(p[REPEATED] for p in same):
+                todo += [(one, [part]) for one, part in zip(found, same)]
+            else:
+                # Which part an element stands for is open, so it may be any of them.
+                todo += [(one, same) for one in found]
+    return out
 
-    def said(part: list | str, direct: bool = False) -> int:
-        if isinstance(part, str):
-            return len(_squeezed(part))
-        if _dropped(part[0], False):
-            return 0
-        return sum(said(k) for k in part[1] if not direct or isinstance(k, str) or k[0].split()[0] in ("p", "pre", "blockquote"))
 
-    best, most = None, 0
-    todo = [tree]
+def _slot_text(element: list, part: str, template: dict[int, set[str]]) -> str:
+    """The text of a slot, or nothing for a constant; a heading belongs to its article even if others have the same."""
+    said = _squeezed(part)
+    known = None if element[0].split()[:1] in HEADINGS else template.get(id(element))
+    return "" if known and said and _constant(said) in known else said
+
+
+def _densest(tree: list, template: dict[int, set[str]]) -> list | None:
+    """The element whose own paragraphs have most text in slots; if a neighbour of the same key has such text, the one around both."""
+    order, parent, todo = [], {}, [tree]
     while todo:
         here = todo.pop()
-        if _dropped(here[0], False):
-            continue
-        own = said(here, direct=True)
-        if own > most and here[0].split()[:1] not in (["p"], ["pre"], ["blockquote"]):
-            best, most = here, own
-        todo += [k for k in here[1] if not isinstance(k, str)]
+        order.append(here)
+        for part in reversed(here[1]):
+            if not isinstance(part, str) and not _dropped(part[0], False):
+                parent[id(part)] = here
+                todo.append(part)
+    below: dict[int, int] = {}
+    own: dict[int, int] = {}
+    for here in reversed(order):
+        total = direct = 0
+        for part in here[1]:
+            if isinstance(part, str):
+                size = len(_slot_text(here, part, template))
+                direct += size
+            else:
+                size = below.get(id(part), 0)
+                direct += size if part[0].split()[0].lstrip("~") in PARAGRAPHS else 0
+            total += size
+        below[id(here)], own[id(here)] = total, direct
+    best = None
+    for here in order:
+        if here[0].split()[:1] not in ([p] for p in PARAGRAPHS) and own[id(here)] > (own[id(best)] if best else 0):
+            best = here
+    while best is not None and id(best) in parent:
+        around = parent[id(best)]
+        if not any(p is not best and p[0] == best[0] and below.get(id(p)) for p in around[1] if not isinstance(p, str)):
+            break
+        best = around
     return best
 
 
-def marked_wrapper(wrapper: list) -> list:
-    """The wrapper with PAGES set to -1 in the part that holds most running text."""
-    densest = _densest(wrapper)
-    if densest:
-        densest[PAGES] = -1
-    return wrapper
-
-
-def _blocks(tree: list, out: list[str]) -> None:
+def _blocks(tree: list, template: dict[int, set[str]], out: list[str], inside: bool = True) -> None:
     """Texts of an element inside the article, a block for each run of text."""
-    for part in tree[1]:
+    todo: list[tuple[list, list | str]] = [(tree, part) for part in reversed(tree[1])]
+    while todo:
+        here, part = todo.pop()
         if isinstance(part, str):
-            said = _squeezed(part)
+            said = _slot_text(here, part, template)
             if said:
                 out.append(said)
-        elif not _dropped(part[0], True):
-            _blocks(part, out)
-
-
-def _ungrouped(kids: list) -> list:
-    return [k for kid in kids for k in (_ungrouped(kid[KIDS]) if kid[KEY] == GROUP else [kid])]
-
-
-def _content(tree: list, parts: list) -> list[list]:
-    """Walk a page along the wrapper's parts and return the elements of the marked part."""
-    by_key: dict[str, list[list]] = {}
-    for part in _ungrouped(parts):
-        if part[KEY] != TEXT:
-            by_key.setdefault(part[KEY], []).append(part)
-    elements: dict[str, list[list]] = {}
-    for element in tree[1]:
-        if not isinstance(element, str) and element[0] in by_key:
-            elements.setdefault(element[0], []).append(element)
-    out = []
-    for key, found in elements.items():
-        same = by_key[key]
-        if len(found) == len(same) and not any(p[REPEATED] for p in same):
-            pairs = [(element, [part]) for element, part in zip(found, same)]
-        else:
-            # Which part an element stands for is open, so it may be any of them; content wins.
-            pairs = [(element, same) for element in found]
-        for element, may_be in pairs:
-            if any(part[PAGES] == -1 for part in may_be):
-                out.append(element)
-            else:
-                out += _content(element, [kid for part in may_be for kid in part[KIDS]])
-    return out
+        elif not _dropped(part[0], inside):
+            todo += [(part, inner) for inner in reversed(part[1])]
 
 
 def page_text(page: str, wrapper: list | None) -> str:
-    """The text of a page by the marked wrapper of its host, if it has one."""
+    """The text of a page by the wrapper of its host, if it has one."""
     tree = page_tree(page)
-    named = False
-    for test in BY_NAME:
-        mains = _mains(tree, test)
-        named |= bool(mains)
+    found = _template_texts(tree, wrapper)
+    # A page of constants alone is read as it is.
+    for template in [found, {}] if found else [{}]:
         out: list[str] = []
-        for main in mains:
-            _blocks(main, out)
-        if out:
+        named = False
+        for test in MARKS:
+            mains = _marked(tree, test)
+            named |= bool(mains)
+            for main in mains:
+                _blocks(main, template, out)
+            if out:
+                return "\n".join(out)
+        densest = None if named else _densest(tree, template)
+        if densest is not None:
+            _blocks(densest, template, out, densest[0] not in ("", "html", "body"))
             return "\n".join(out)
-    if named:
-        return ""
-    if wrapper is None:
-        found = []
-    else:
-        found = [tree] if wrapper[PAGES] == -1 else _content(tree, wrapper[KIDS])
-    for element in found:
-        _blocks(element, out)
-    own = None if out else _own_densest(tree)
-    if own:
-        _blocks(own, out)
-    return "\n".join(out)
+    return ""
+
+
+def _deep() -> None:
+    """Room for wrappers as deep as WRAPPER_DEPTH."""
+    sys.setrecursionlimit(max(sys.getrecursionlimit(), 20 * WRAPPER_DEPTH))
 
 
 def _with_host(pages: DataFrame) -> DataFrame:
@@ -464,11 +510,17 @@ def host_wrappers(pages: DataFrame) -> DataFrame:
     """host, wrapper (JSON) from all pages that have a host."""
 
     def local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        _deep()
         for batch in batches:
             made: dict[str, list] = {}
-            for host, page in zip(batch.column(0), batch.column(1)):
-                own = page_wrapper(page_tree(page.as_py()))
-                key = host.as_py()
+            seen: set[tuple[str, int]] = set()
+            for host, page in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                # Copies say nothing of what varies.
+                if (host, hash(page)) in seen:
+                    continue
+                seen.add((host, hash(page)))
+                own = page_wrapper(page_tree(page))
+                key = host
                 made[key] = _merged(made[key], own) if key in made else own
             yield pa.record_batch(
                 [pa.array(list(made), pa.string()), pa.array([json.dumps(w) for w in made.values()], pa.string())],
@@ -476,6 +528,7 @@ def host_wrappers(pages: DataFrame) -> DataFrame:
             )
 
     def together(part: pd.DataFrame) -> pd.DataFrame:
+        _deep()
         # Sorted, so that the result does not depend on the order of arrival.
         texts = sorted(part["wrapper"])
         wrapper = json.loads(texts[0])
@@ -497,12 +550,13 @@ def main_texts(pages: DataFrame) -> DataFrame:
     joined = paged.join(wrappers, paged["host"] == wrappers["of_host"], "left").select("page_id", "url", "html", "wrapper")
 
     def extracted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        _deep()
         for batch in batches:
             known: dict[str | None, list | None] = {None: None}
             texts = []
             for page, wrapper in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
                 if wrapper not in known:
-                    known[wrapper] = marked_wrapper(json.loads(wrapper))
+                    known[wrapper] = json.loads(wrapper)
                 texts.append(page_text(page, known[wrapper]))
             yield pa.record_batch(
                 [batch.column(0), batch.column(1), pa.array(texts, pa.string())], names=["page_id", "url", "text"]

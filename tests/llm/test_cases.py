@@ -116,8 +116,132 @@ def test_content_is_chosen_for_each_page(spark):
     rows += [(20 + i, f"http://f.com/{i}", row.format(20 + i)) for i in range(4)]
     got = {r["page_id"]: r["text"] for r in html_text.page_report(pages(spark, rows)).collect()}
     want = {r[0]: f"text of page {r[0]}" for r in rows}
-    # Paragraphs right in the body have no element of their own to tell them from its other text.
-    assert got == want | {4: "Shop\ntext of page 4"}
+    assert got == want
+
+
+def text_of(body):
+    return html_text.page_text(f"<html><body>{body}</body></html>", None)
+
+
+def test_names_inside_an_article_are_judged_as_a_whole():
+    kept = (
+        "<section id='search-algorithms'><h2 id='related-work'>a</h2><p class='market-share'>b</p></section>"
+        "<p title=it's>Hello</p><p>it's me</p><p>x <math><mi>y</mi><mo>=</mo><mn>2</mn></math> z</p>"
+    )
+    gone = (
+        "<div class='share-buttons'>s</div><div class='ad'>t</div><ul class=discussion><li>u</ul><div id='comments'>v</div>"
+        "<div class='newsletter signup'>w</div><div role=search>q</div><div data-id='ad'></div>"
+    )
+    assert text_of(f"<article>{kept}{gone}</article>") == "a\nb\nHello\nit's me\nx y=2 z"
+    assert text_of(f"<div class='has-sidebar'><article><p>a</p></article></div>") == "a"
+
+
+@pytest.mark.parametrize("depth", [1, 30, 45, 500, 1500])
+def test_depth_makes_no_difference(spark, depth):
+    def deep(i):
+        nest = "<div>" * depth + f"<p>deep {i}</p><aside>no</aside><p>two {i}</p>" + "</div>" * depth
+        return f"<body><div class=a>Shop</div><article>{nest}<p>tail {i}</p></article><div>Shop</div></body>"
+
+    for tags in (("article", "article"), ("article", "section")):
+        rows = [(i, f"http://deep.com/{i}", deep(i).replace(*tags)) for i in range(4)]
+        got = {r["page_id"]: r["text"] for r in html_text.page_report(pages(spark, rows)).collect()}
+        if tags[1] == "article":
+            assert got == {i: f"deep {i}\ntwo {i}\ntail {i}" for i in range(4)}
+        else:
+            assert all(f"deep {i}\ntwo {i}" in got[i] and "Shop" not in got[i] and "no" not in got[i].split() for i in got)
+
+
+def test_many_different_parts_make_no_difference(spark):
+    def many(i, n):
+        parts = "".join(f"<h{j % 5 + 2} class='{chr(97 + j % 26) * (j // 26 + 1)}'>head {i} {j}</h{j % 5 + 2}><p>text {i} {j} of it</p>" for j in range(n))
+        return f"<body><div class=menu-bar>Menu</div><div class=zz><p>Shop notice</p></div><div class=x>{parts}</div></body>"
+
+    for n in (10, 60, 300):
+        rows = [(i, f"http://many.com/{i}", many(i, n + i)) for i in range(5)]
+        got = {r["page_id"]: r["text"] for r in html_text.page_report(pages(spark, rows)).collect()}
+        assert got == {i: "\n".join(f"head {i} {j}\ntext {i} {j} of it" for j in range(n + i)) for i in range(5)}
+
+
+def test_constants_of_a_host_are_template(spark):
+    rows = [(i, f"http://menu.com/{i}", f"<body><div>Home Shop Cart and a long line of constant words that is longer</div><p>own {i}</p><p>also {i}</p></body>") for i in range(10)]
+    rows += [(20 + i, f"http://art.com/{i}", f"<article><div>Advertisement</div><p>own {i}</p></article>") for i in range(10)]
+    rows += [(40 + i, f"http://two.com/{i}", f"<article><div>Only twice</div><p>own {i}</p></article>") for i in range(2)]
+    got = {r["page_id"]: r["text"] for r in html_text.page_report(pages(spark, rows)).collect()}
+    assert got == (
+        {i: f"own {i}\nalso {i}" for i in range(10)} | {20 + i: f"own {i}" for i in range(10)}
+        | {40 + i: f"Only twice\nown {i}" for i in range(2)}
+    )
+
+
+def accepts(part, tree):
+    """Brute force: whether an element's parts can be read by the wrapper's, trying every way."""
+
+    def parts_of(element):
+        return [p for p in element[1] if not isinstance(p, str) or p.split()]
+
+    def run(kids, found, at):
+        """All places in found that kids can read up to from at on."""
+        ends = {at}
+        for kid in kids:
+            ends = {e for start in ends for e in once(kid, found, start)}
+        return ends
+
+    def one(kid, found, at):
+        if kid[0] == html_text.GROUP:
+            return run(kid[html_text.KIDS], found, at)
+        if at < len(found):
+            part = found[at]
+            if isinstance(part, str):
+                said = html_text._constant(html_text._squeezed(part))
+                return {at + 1} if kid[0] == html_text.TEXT and kid[html_text.CONSTANT] in (None, said) else set()
+            if part[0] == kid[0] and accepts(kid, part):
+                return {at + 1}
+        return set()
+
+    def once(kid, found, at):
+        ends = {at} if kid[html_text.OPTIONAL] else set()
+        reached = one(kid, found, at)
+        while reached:
+            ends |= reached
+            reached = {e for s in reached for e in one(kid, found, s)} - ends if kid[html_text.REPEATED] else set()
+        return ends
+
+    found = parts_of(tree)
+    if part[html_text.ANY_ORDER]:
+        ends = {0}
+        while len(found) not in ends:
+            more = ends | {e for s in ends for kid in part[html_text.KIDS] for e in one(kid, found, s)}
+            if more == ends:
+                return False
+            ends = more
+        return True
+    return len(found) in run(part[html_text.KIDS], found, 0)
+
+
+def test_a_wrapper_reads_every_page_it_was_made_of():
+    import random
+
+    pick = random.Random(11)
+
+    def body(depth=0):
+        out = []
+        for _ in range(pick.randrange(5)):
+            kind = pick.random()
+            if kind < 0.4:
+                out.append(pick.choice(["one ", "two ", "three "]))
+            elif depth < 3:
+                tag = pick.choice(["div", "p", "h2", "section"])
+                out.append(f"<{tag}>{body(depth + 1)}</{tag}>" * pick.choice([1, 1, 2, 3]))
+        return "".join(out)
+
+    for _ in range(150):
+        trees = [html_text.page_tree(f"<body>{body()}</body>") for _ in range(4)]
+        made = None
+        for tree in trees:
+            own = html_text.page_wrapper(tree)
+            assert accepts(own, tree)
+            made = html_text._merged(made, own) if made else own
+        assert all(accepts(made, tree) for tree in trees)
 
 
 # --- licences ------------------------------------------------------------------

@@ -6,6 +6,7 @@ import random
 import re
 from collections import Counter
 
+import numpy as np
 import pytest
 
 from shopwright.llm import collocations as co
@@ -74,6 +75,9 @@ def corpus(seed, n):
 
 @pytest.mark.parametrize(("trigger", "longest"), [(3, 5), (1, 1024), (64, 1024), (1 << 40, 7)])
 def test_equals_the_plain_version(spark, monkeypatch, trigger, longest):
+    # Sums given on in many parts, and few places, so that phrases share them.
+    monkeypatch.setattr(co, "HELD", 300)
+    monkeypatch.setattr(co, "BITS", co.BITS if trigger == 64 else 1 << 15)
     monkeypatch.setattr(co, "TRIGGER", trigger)
     monkeypatch.setattr(co, "MAX_CHUNK", longest)
     rows = corpus(trigger, 150)
@@ -93,6 +97,21 @@ def test_defined_cases(spark):
     assert found(spark, [("p q r", "en")] * 4, least=4) == [("en", 1, "p q r", 4, 4, 4, 12, 3000)]
 
 
+def test_sums_by_place_are_packed_without_loss():
+    pick = random.Random(8)
+    place = np.array([pick.randrange(1 << 22) for _ in range(5000)] + [7, 7, 7, (1 << 22) - 1])
+    times = np.array([pick.choice([1, 2, 300, 1 << 40]) for _ in range(len(place))])
+    want = Counter()
+    for p, t in zip(place.tolist(), times.tolist()):
+        want[p] += t
+    got = {}
+    for part, data in co._packed(place, times):
+        at, total = co._unpacked(data)
+        got |= dict(zip((at + (part << co.RANGE_BITS)).tolist(), total.tolist()))
+    assert got == want
+    assert list(co._packed(place[:0], times[:0])) == []
+
+
 def test_copies_make_no_more_chunks(spark):
     once = frame(spark, [(" ".join(f"w{i % 97} v{i % 89}" for i in range(4000)), "en")])
     many = once.unionByName(once).unionByName(once)
