@@ -7,10 +7,11 @@ and shared passages give the same chunks. Distinct chunks form the dictionary, e
 A phrase's count is the sum of frequencies over its places in distinct chunks; a place belongs to the
 chunk in which its first word comes before the next start, so overlaps count once.
 
-Counting prunes by what a frequent phrase needs: frequent words, then frequent word pairs. Both are
-found as sums over 64-bit hashes, which can only be too high, and handed to the tasks as one bit
-table of ``BITS`` bits, whatever the size of the corpus; a bit set by another hash only lets more pass. Phrases that
-pass are then counted as strings, so counts are exact.
+Counting prunes by what a frequent phrase needs: frequent words, pairs and triples. Each are found
+as sums by hash, in about as many places as there are words, which can only be too high. A task sends its sums as packed
+ranges of places, and a range is summed by one task in an array of fixed size. The places that
+reach the limit are handed on as one bit table of ``BITS`` bits, whatever the size of the corpus; a bit set by
+another hash only lets more pass. Phrases that pass are then counted as strings, so counts are exact.
 
 Defined cases: a null text is empty, a null language is "und". Languages are apart. Repeated rows
 count repeatedly. Of equally low cuts the one after fewest words counts. Columns other than text and lang are
@@ -23,6 +24,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark import Broadcast
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -33,6 +35,9 @@ from shopwright.shared import stored
 TRIGGER = 64
 MAX_CHUNK = 1024
 BITS = 1 << 26
+LEVELS = 3
+RANGE_BITS = 20
+HELD = 2_000_000
 UNKNOWN = "und"
 # What ends a piece, and what separates words.
 PIECE_END = np.isin(np.arange(256), [*b".,;:!?", 10, 11, 12, 13])
@@ -150,56 +155,115 @@ def _chunks(batch: pa.RecordBatch) -> Iterator[_Chunks]:
 
 
 def _marked(keys: np.ndarray, bits: np.ndarray) -> np.ndarray:
-    place = (keys & np.uint64(BITS - 1)).astype(np.int64)
+    place = (keys & np.uint64(8 * len(bits) - 1)).astype(np.int64)
     return (bits[place >> 3] >> (place & 7).astype(np.uint8)) & 1 == 1
 
 
-def _pairs_marked(chunks: _Chunks, word_bits: np.ndarray) -> np.ndarray:
-    """Places where two frequent words of one piece begin."""
-    frequent = _marked(chunks.keys(1), word_bits)
-    return chunks.whole(2) & frequent[:-1] & frequent[1:] if len(frequent) else np.zeros(0, bool)
+def _possible(chunks: _Chunks, tables: list[np.ndarray]) -> list[np.ndarray]:
+    """For n = 1, 2, ... where n words begin of which all shorter stretches are frequent: the last list
+    by what precedes alone, the others by their own bit table too."""
+    out = [np.ones(len(chunks.piece), bool)]
+    for n, bits in enumerate(tables, 1):
+        ok = out[-1] & _marked(chunks.keys(n), bits)[: len(out[-1])]
+        out[-1] = ok
+        out.append(chunks.whole(n + 1) & ok[:-1] & ok[1:] if len(ok) > 1 else np.zeros(0, bool))
+    return out
+
+
+def _packed(place: np.ndarray, times: np.ndarray) -> Iterator[tuple[int, bytes]]:
+    """Sums by place as (range of places, bytes): rising places by their differences, in planes of bytes."""
+    if not len(place):
+        return
+    order = np.argsort(place, kind="stable")
+    place = place[order]
+    first = np.flatnonzero(np.append(True, place[1:] != place[:-1]))
+    total, place = np.add.reduceat(times[order], first), place[first]
+    packer = zstandard.ZstdCompressor(level=1)
+    ends = np.flatnonzero(np.append((place[1:] >> RANGE_BITS) != (place[:-1] >> RANGE_BITS), True)) + 1
+    for lo, hi in zip(np.append(0, ends[:-1]), ends):
+        inside = place[lo:hi] & ((1 << RANGE_BITS) - 1)
+        steps = np.diff(inside, prepend=0).astype("<u4").view(np.uint8).reshape(-1, 4).T
+        counts = total[lo:hi].astype("<i8").view(np.uint8).reshape(-1, 8).T
+        yield int(place[lo] >> RANGE_BITS), packer.compress(np.concatenate((steps.ravel(), counts.ravel())).tobytes())
+
+
+def _unpacked(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8).reshape(12, -1)
+    steps = np.ascontiguousarray(planes[:4].T).view("<u4").ravel()
+    return np.cumsum(steps.astype(np.int64)), np.ascontiguousarray(planes[4:].T).view("<i8").ravel()
+
+
+def _frequent(chunked: DataFrame, n: int, least: int, places: int, tables: list[Broadcast]) -> DataFrame:
+    """h: places of a table of ``places`` sums, by hashes of n words, that reach ``least``.
+
+    A frequent phrase's place does so; with about two phrases a place, few others do.
+    """
 
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = [t.value for t in tables]
+        held: list[tuple[np.ndarray, np.ndarray]] = []
 
-def _hash_counts(chunked: DataFrame, n: int, least: int, word_bits: Broadcast | None) -> DataFrame:
-    """h: hashes of words (n = 1) or of pairs of frequent words (n = 2) whose counts together reach ``least``."""
+        def given() -> pa.RecordBatch:
+            rows = list(_packed(*(np.concatenate(c) for c in zip(*held)))) if held else []
+            held.clear()
+            return pa.record_batch(
+                [pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.binary())], names=["part", "sums"]
+            )
 
-    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for chunks in _chunks(batch):
-                ok = chunks.whole(1) if n == 1 else _pairs_marked(chunks, word_bits.value)
+                ok = _possible(chunks, known)[n - 1]
                 ok = ok & chunks.own[: len(ok)]
-                keys, times = chunks.keys(n)[ok], chunks.times[: len(ok)][ok]
-                if not len(keys):
-                    continue
-                order = np.argsort(keys, kind="stable")
-                keys = keys[order]
-                first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
-                yield pa.record_batch(
-                    [pa.array(keys[first].view(np.int64)), pa.array(np.add.reduceat(times[order], first))], names=["h", "c"]
-                )
+                place = (chunks.keys(n)[: len(ok)][ok] & np.uint64(places - 1)).astype(np.int64)
+                held.append((place, chunks.times[: len(ok)][ok]))
+                if sum(len(p) for p, _ in held) >= HELD:
+                    yield given()
+        if held:
+            yield given()
         grams.give_back()
 
-    return chunked.mapInArrow(counted, "h long, c long").groupBy("h").agg(F.sum("c").alias("c")).filter(F.col("c") >= least)
+    def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, sums = None, np.zeros(1 << RANGE_BITS, np.int64)
 
+        def reached() -> pa.RecordBatch:
+            return pa.record_batch([pa.array(np.flatnonzero(sums >= least) + (part << RANGE_BITS))], names=["h"])
 
-def _bit_table(hashes: DataFrame) -> Broadcast:
-    """BITS bits, those named by the hashes set; at most BITS / 8 bytes come to the driver."""
-    place = F.col("h").bitwiseAND(F.lit(BITS - 1))
+        for batch in batches:
+            for number, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                if number != part:
+                    if part is not None:
+                        yield reached()
+                    part = number
+                    sums[:] = 0
+                at, times = _unpacked(data)
+                sums[at] += times
+        if part is not None:
+            yield reached()
+
+    parts = chunked.mapInArrow(counted, "part long, sums binary").repartition("part").sortWithinPartitions("part")
+    return parts.mapInArrow(summed, "h long")
+
+
+def _bit_table(hashes: DataFrame, places: int) -> Broadcast:
+    """BITS bits at most, those of the places set; they come to the driver in pieces of 4 KiB."""
+    size = min(places, BITS)
+    place = F.col("h").bitwiseAND(F.lit(size - 1))
     rows = (
         hashes.groupBy(F.shiftright(place, 15).alias("part"))
         .agg(F.bitmap_construct_agg(place.bitwiseAND(F.lit(32767))).alias("bits"))
         .collect()
     )
-    bits = np.zeros(BITS // 8, np.uint8)
+    bits = np.zeros(size // 8, np.uint8)
     for row in rows:
         bits[row["part"] * 4096 : (row["part"] + 1) * 4096] = np.frombuffer(row["bits"], np.uint8)
     return hashes.sparkSession.sparkContext.broadcast(bits)
 
 
-def _phrase_counts(chunked: DataFrame, max_words: int, least: int, word_bits: Broadcast, pair_bits: Broadcast) -> DataFrame:
+def _phrase_counts(chunked: DataFrame, max_words: int, least: int, tables: list[Broadcast]) -> DataFrame:
     """lang, k (its words), phrase, f for all phrases with f >= least."""
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = [t.value for t in tables]
         for batch in batches:
             for chunks in _chunks(batch):
                 words = chunks.words
@@ -213,14 +277,13 @@ def _phrase_counts(chunked: DataFrame, max_words: int, least: int, word_bits: Br
                 joined[place] = words.data[
                     np.arange(len(place)) + np.repeat(words.start - (at[:-1] - np.arange(len(length))), length)
                 ]
-                ok = _marked(chunks.keys(1), word_bits.value)
-                pairs = _pairs_marked(chunks, word_bits.value)
-                pairs = pairs & _marked(chunks.keys(2), pair_bits.value)
+                possible = _possible(chunks, known)[: len(known)]
                 for k in range(1, max_words + 1):
-                    if k == 2:
-                        ok = pairs
-                    elif k > 2:
-                        ok = ok[:-1] & pairs[k - 2 :] if len(ok) else ok
+                    if k <= len(known):
+                        ok = possible[k - 1]
+                    else:
+                        # All stretches as long as the last table's phrases are frequent.
+                        ok = ok[:-1] & possible[-1][k - len(known) :] if len(ok) else ok
                     begin = np.flatnonzero(ok & chunks.own[: len(ok)])
                     if not len(begin):
                         continue
@@ -246,11 +309,15 @@ def _phrase_counts(chunked: DataFrame, max_words: int, least: int, word_bits: Br
 
 def phrase_counts(docs: DataFrame, max_words: int = 5, least: int = 100) -> tuple[DataFrame, DataFrame]:
     """(lang, k, phrase, f) of phrases of up to max_words words, and (lang, n) of all words."""
-    chunked = stored(dictionary(docs, max_words, TRIGGER, MAX_CHUNK), "chunks")
+    chunked = stored(dictionary(docs, max_words, TRIGGER, MAX_CHUNK), "chunks", "zstd")
     totals = chunked.groupBy("lang").agg(F.sum(F.col("own") * F.col("times")).alias("n"))
-    words = _bit_table(_hash_counts(chunked, 1, least, None))
-    pairs = _bit_table(_hash_counts(chunked, 2, least, words))
-    return stored(_phrase_counts(chunked, max_words, least, words, pairs), "phrases"), totals
+    places = 1 << RANGE_BITS
+    while 2 * places < (totals.agg(F.sum("n").alias("n")).first()["n"] or 0):
+        places *= 2
+    tables: list[Broadcast] = []
+    for n in range(1, min(LEVELS, max_words) + 1):
+        tables.append(_bit_table(_frequent(chunked, n, least, places, tables), places))
+    return stored(_phrase_counts(chunked, max_words, least, tables), "phrases"), totals
 
 
 def _words(first: F.Column, last: F.Column) -> F.Column:

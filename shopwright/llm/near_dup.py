@@ -13,7 +13,8 @@ the bucket's hub, the class that shares most buckets with others, and linked cla
 join into components. Then classes that met one hub and are still in different
 components are compared if they can be linked at all: as one of them is not
 linked to the hub, they must differ from the hub in the same elements, of which
-there are few (see ``_compared``). So a group of copies costs about as many comparisons
+there are few (see ``_compared``). They are compared in rounds with one of each list of candidates, and what
+is then still apart in full (``_late_links``). So a group of copies costs about as many comparisons
 as it has members, and no candidate is left out. Every link is confirmed on the full sets.
 
 With 80 bands of 8 rows a pair of similarity 0.8 shares no bucket with
@@ -39,6 +40,8 @@ from shopwright.llm import grams
 from shopwright.shared import stored
 
 BANDS, ROWS = 80, 8
+# Candidate pairs for each place in the lists, up to which all are compared at once.
+FEW_PAIRS = 2
 _PLACE, _VALUE = 0xA24BAED4963EE407, np.uint64(0x9FB21C651E98DF25)
 
 
@@ -136,7 +139,7 @@ def signatures(docs: DataFrame, shingle: int, bands: int = BANDS, rows: int = RO
 
 
 def shingle_tables(docs: DataFrame, shingle: int) -> DataFrame:
-    """doc_id, node, hashes (the sorted distinct shingle hashes as little-endian bytes)."""
+    """doc_id, node, hashes (the sorted distinct shingle hashes)."""
 
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -147,14 +150,14 @@ def shingle_tables(docs: DataFrame, shingle: int) -> DataFrame:
                     [
                         batch.column(0).slice(lo, hi - lo),
                         pa.array([d.tobytes() for d in digest], pa.binary()),
-                        pa.array([values[a:b].tobytes() for a, b in zip(first, first[1:])], pa.binary()),
+                        pa.ListArray.from_arrays(pa.array(first.astype(np.int32)), pa.array(values.view(np.int64))),
                     ],
                     names=["doc_id", "node", "hashes"],
                 )
         grams.give_back()
 
     doc_id = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(made, f"doc_id {doc_id}, node binary, hashes binary")
+    return docs.select("doc_id", "text").mapInArrow(made, f"doc_id {doc_id}, node binary, hashes array<long>")
 
 
 def _compared(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -170,52 +173,44 @@ def _compared(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     elements, o being the size of the intersection of their diffs. So they are linked when o >= need(u) + c(m),
     with c(m) = (100 * missing(m) + p * extra(m)) / (100 + p) and need(u) what u lacks to be linked to h.
     """
+    whole = 100 + percent
+    more, less = F.array_except("left", "right"), F.array_except("right", "left")
+    extra, missing = F.size("more"), F.size("less")
+    # What the two share, from one side's size and what it has alone.
+    shared = F.size("left") - extra
+    lacking = F.lit(percent) * (F.size("left") + F.size("right")) - F.lit(whole) * shared
+    return (
+        pairs.join(sets.select(F.col("node").alias("a"), F.col("hashes").alias("left")), "a")
+        .join(sets.select(F.col("node").alias("b"), F.col("hashes").alias("right")), "b")
+        .select("a", "b", "left", "right", more.alias("more"), less.alias("less"))
+        .select(
+            "a",
+            "b",
+            F.ceil(lacking / whole).alias("need"),
+            F.floor((100 * missing + percent * extra) / whole).alias("own"),
+            F.concat("more", "less").alias("diff"),
+        )
+    )
 
-    def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            left, right = batch.column(2), batch.column(3)
-            need, own, diffs = [], [], []
-            for i in range(len(left)):
-                x = np.frombuffer(left[i].as_buffer(), np.uint64)
-                y = np.frombuffer(right[i].as_buffer(), np.uint64)
-                both = np.concatenate((x, y))
-                both.sort()
-                twice = both[1:] == both[:-1]
-                alone = np.ones(len(both), bool)
-                alone[1:] &= ~twice
-                alone[:-1] &= ~twice
-                shared = int(twice.sum())
-                need.append(-(((100 + percent) * shared - percent * len(both)) // (100 + percent)))
-                own.append((100 * (len(y) - shared) + percent * (len(x) - shared)) // (100 + percent))
-                diffs.append(both[alone].view(np.int64))
-            ends = np.append(0, np.cumsum([len(d) for d in diffs])).astype(np.int32)
-            flat = np.concatenate([*diffs, np.zeros(0, np.int64)])
-            yield pa.record_batch(
-                [
-                    batch.column(0),
-                    batch.column(1),
-                    pa.array(need, pa.int64()),
-                    pa.array(own, pa.int64()),
-                    pa.ListArray.from_arrays(pa.array(ends), pa.array(flat)),
-                ],
-                names=["a", "b", "need", "own", "diff"],
-            )
-        grams.give_back()
 
+def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Those of the pairs (a, b) that are linked."""
+    shared = F.size(F.array_intersect("left", "right"))
     return (
         pairs.join(sets.select(F.col("node").alias("a"), F.col("hashes").alias("left")), "a")
         .join(sets.select(F.col("node").alias("b"), F.col("hashes").alias("right")), "b")
-        .select("a", "b", "left", "right")
-        .mapInArrow(made, "a binary, b binary, need long, own long, diff array<long>")
+        .filter(F.lit(100 + percent) * shared >= F.lit(percent) * (F.size("left") + F.size("right")))
+        .select("a", "b")
     )
 
 
-def _still_apart(compared: DataFrame, labels: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) of different components that were compared with one hub and may be linked.
+def _postings(compared: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
+    """b, element, node, seeks, offers: which classes of different components, compared with one hub b, may be linked.
 
     One of two such classes is in another component than the hub, hence not linked to it. The
     elements of each diff are ordered by how few classes of the hub have them; two diffs that
-    share k elements share one among the first |diff| - k + 1 of each.
+    share k elements share one among the first |diff| - k + 1 of each. So a class that seeks
+    a link under an element can only be linked to those that offer themselves under one of its elements.
     """
     comps = labels.select("node", "comp")
     rows = (
@@ -224,13 +219,13 @@ def _still_apart(compared: DataFrame, labels: DataFrame, sizes: DataFrame, perce
         .withColumn("comp", F.coalesce("comp", "node"))
         .join(comps.select(F.col("node").alias("b"), F.col("comp").alias("hub_comp")), "b", "left")
         .withColumn("outside", F.col("comp") != F.coalesce("hub_comp", "b"))
-        .join(sizes, "node")
+        .select("b", "node", "outside", "need", "own", "diff")
     )
     rows = stored(rows, "rows")
     open_hubs = rows.filter("outside").select("b").distinct()
     elements = stored(
         rows.join(open_hubs, "b", "left_semi").select(
-            "b", "node", "comp", "n", "outside", "need", "own", F.size("diff").alias("size"), F.explode("diff").alias("element")
+            "b", "node", "outside", "need", "own", F.size("diff").alias("size"), F.explode("diff").alias("element")
         ),
         "elements",
     )
@@ -240,12 +235,44 @@ def _still_apart(compared: DataFrame, labels: DataFrame, sizes: DataFrame, perce
         # Elements that no other class of the hub has come first and can't be shared.
         "place", F.row_number().over(order) + F.col("size") - F.count("*").over(Window.partitionBy("b", "node"))
     )
-    to_hub = F.col("outside") & (F.col("place") <= F.col("size") - F.col("need") + 1)
-    ranked = stored(ranked.filter(to_hub | (F.col("place") <= F.col("size") - F.col("own"))), "ranked")
-    left = ranked.filter("outside").filter(F.col("place") <= F.col("size") - F.col("need") + 1)
-    left = left.select("b", "element", F.col("node").alias("u"), F.col("n").alias("n_u"), F.col("comp").alias("comp_u"))
-    right = ranked.filter(F.col("place") <= F.col("size") - F.col("own"))
-    right = right.select("b", "element", F.col("node").alias("m"), F.col("n").alias("n_m"), F.col("comp").alias("comp_m"))
+    seeks = F.col("outside") & (F.col("place") <= F.col("size") - F.col("need") + 1)
+    offers = F.col("place") <= F.col("size") - F.col("own")
+    return ranked.select("b", "element", "node", seeks.alias("seeks"), offers.alias("offers")).filter("seeks or offers")
+
+
+def _open_postings(postings: DataFrame, labels: DataFrame) -> DataFrame:
+    """The postings, with comp, of those elements under which a class still seeks one of another component."""
+    comps = labels.select("node", "comp")
+    rows = stored(
+        postings.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node")), "postings"
+    )
+    open_ones = (
+        rows.groupBy("b", "element")
+        .agg(F.bool_or("seeks").alias("sought"), F.min("comp").alias("low"), F.max("comp").alias("high"))
+        .filter("sought and low < high")
+    )
+    return stored(rows.join(open_ones.select("b", "element"), ["b", "element"], "left_semi"), "open")
+
+
+def _candidates(rows: DataFrame, sizes: DataFrame, percent: int, star: int | None) -> DataFrame:
+    """Pairs of rows under one element that seek and offer a link, all of them or (star) with one
+    chosen class of each element, another one in each round."""
+    rows = rows.join(sizes, "node")
+    right = rows.filter("offers").select(
+        "b", "element", F.col("node").alias("m"), F.col("n").alias("n_m"), F.col("comp").alias("comp_m")
+    )
+    if star is None:
+        left = rows.filter("seeks").select(
+            "b", "element", F.col("node").alias("u"), F.col("n").alias("n_u"), F.col("comp").alias("comp_u")
+        )
+    else:
+        chosen = F.max(F.struct(F.xxhash64("node", F.lit(star)), F.struct("node", "n", "comp").alias("who"))).alias("best")
+        left = rows.groupBy("b", "element").agg(chosen).select(
+            "b", "element", F.col("best.who.node").alias("u"), F.col("best.who.n").alias("n_u"), F.col("best.who.comp").alias("comp_u")
+        )
+        right = rows.select(
+            "b", "element", F.col("node").alias("m"), F.col("n").alias("n_m"), F.col("comp").alias("comp_m")
+        )
     return (
         left.join(right, ["b", "element"])
         .filter((F.col("comp_u") != F.col("comp_m")) & _near_size("n_u", "n_m", percent))
@@ -254,6 +281,43 @@ def _still_apart(compared: DataFrame, labels: DataFrame, sizes: DataFrame, perce
     )
 
 
+def _all_pairs(rows: DataFrame) -> int:
+    """How many places in lists of pairs would be of different components."""
+    parts = rows.groupBy("b", "element", "comp").agg(
+        F.sum(F.col("seeks").cast("long")).alias("s"), F.sum(F.col("offers").cast("long")).alias("o")
+    )
+    sums = parts.groupBy("b", "element").agg((F.sum("s") * F.sum("o") - F.sum(F.col("s") * F.col("o"))).alias("pairs"))
+    return sums.agg(F.sum("pairs").alias("pairs")).first()["pairs"] or 0
+
+
+def _late_links(
+    compared: DataFrame, sets: DataFrame, sizes: DataFrame, edges: DataFrame, labels: DataFrame, percent: int
+) -> DataFrame:
+    """Labels after also linking classes that met one hub and were left in different components.
+
+    Rounds compare the classes under each element with one of them, as long as this joins components and
+    comparing all that are apart would be many pairs; copies soon become one component.
+    """
+    postings = stored(_postings(compared, labels, percent), "places")
+    rows = _open_postings(postings, labels)
+    turn = 0
+    while not rows.isEmpty():
+        few = _all_pairs(rows) <= FEW_PAIRS * rows.count()
+        pairs = stored(_candidates(rows, sizes, percent, None if few else turn), "pairs")
+        found = stored(_linked(pairs, sets, percent), "links")
+        if found.isEmpty() and not few:
+            # Joining has come to an end, so what is left is compared in full.
+            found = stored(_linked(_candidates(rows, sizes, percent, None), sets, percent), "links")
+            few = True
+        edges = edges.unionByName(found)
+        labels = components(edges)
+        if few:
+            break
+        rows = _open_postings(postings, labels)
+        turn += 1
+    return labels
+
+
 def components(edges: DataFrame) -> DataFrame:
     """node, comp: the smallest node of each connected component, for nodes with an edge.
 
@@ -323,29 +387,20 @@ def near_duplicates(
         "pairs",
     )
 
-    def sets_of(pairs: DataFrame) -> DataFrame:
-        """Full sets of the classes in some pairs, from one document of each."""
-        wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-        chosen = stored(classes.select("node", "doc_id").join(wanted, "node"), "chosen")
-        texts = docs.select("doc_id", "text").join(
-            chosen.select(F.col("doc_id").alias("chosen_id")).distinct(),
-            F.col("doc_id").eqNullSafe(F.col("chosen_id")),
-            "left_semi",
-        )
-        found = shingle_tables(texts, shingle).join(chosen.select("node"), "node", "left_semi")
-        return stored(found.groupBy("node").agg(F.first("hashes").alias("hashes")), "sets")
-
-    def confirmed(pairs: DataFrame) -> DataFrame:
-        with grams.small_batches(spark):
-            return stored(_compared(pairs, sets_of(pairs), percent), "compared")
+    # Full sets of the classes in some pair, from one document of each.
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    chosen = stored(classes.select("node", "doc_id").join(wanted, "node"), "chosen")
+    texts = docs.select("doc_id", "text").join(
+        chosen.select(F.col("doc_id").alias("chosen_id")).distinct(),
+        F.col("doc_id").eqNullSafe(F.col("chosen_id")),
+        "left_semi",
+    )
+    found = shingle_tables(texts, shingle).join(chosen.select("node"), "node", "left_semi")
+    sets = stored(found.dropDuplicates(["node"]).select("node", "hashes"), "sets")
 
-    compared = confirmed(pairs)
+    compared = stored(_compared(pairs, sets, percent), "compared")
     edges = compared.filter("need <= 0").select("a", "b")
-    labels = components(edges)
-    rest = stored(_still_apart(compared, labels, classes.select("node", "n"), percent), "pairs")
-    if not rest.isEmpty():
-        more = confirmed(rest).filter("need <= 0").select("a", "b")
-        labels = components(edges.unionByName(more))
+    labels = _late_links(compared, sets, classes.select("node", "n"), edges, components(edges), percent)
 
     named = classes.select("node", "doc_id").join(labels, "node", "left")
     named = named.select("node", "doc_id", F.coalesce("comp", "node").alias("comp"))

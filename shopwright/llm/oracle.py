@@ -3,8 +3,7 @@
 from __future__ import annotations
 
 from shopwright.llm.licenses import COVERAGE, SLACK, TEMPLATES
-from shopwright.llm.line_dedup import DEPTH, FIXED, MIN_DOCS, MIN_TOKENS
-from shopwright.llm.line_dedup import SPREAD as MARKS
+from shopwright.llm.line_dedup import CHUNK, DEPTH, FIXED, MARKS, MIN_DOCS, MIN_TOKENS, SHARED
 from shopwright.llm.quality import FLOORS, LEAST, SPREAD
 from shopwright.llm.url_filter import DEFAULT, RULES
 
@@ -64,31 +63,52 @@ def _line_dedup() -> str:
     leaf = ", ".join(mask.format(f"coalesce(tokens[{i + 1}], '')") for i in range(DEPTH))
     return rf"""
 with docs as (
-  select row_number() over () as rid, doc_id, text, string_split(text, chr(10)) as lines,
-         list_min(list_transform(range(1, len(words) + 1),
-           lambda i: words[i] || case when i < len(words) then ' ' || words[i + 1] else '' end)) as mark
-  from (select *, {_SPACED.format("coalesce(text, '')")} as words from documents)),
+  select row_number() over () as rid, doc_id, text, string_split(text, chr(10)) as lines from documents),
 lines as (
   select *, list_value(len(tokens)::varchar, {leaf}) as leaf
   from (select *, {tokens} as tokens from (
-    select rid, doc_id, text, mark, i - 1 as pos, lines[i] as line from docs, unnest(range(1, len(lines) + 1)) as r(i)))
-  where len(tokens) >= {MIN_TOKENS}),
+    select rid, text, i - 1 as pos, lines[i] as line from docs, unnest(range(1, len(lines) + 1)) as r(i)))
+  where len(tokens) > 0),
+-- Texts that differ, and the marks that each line finds in the others of its text.
+texts as (select text, min(rid) as rid from docs where text is not null group by text),
+wording_in as (select distinct rid, line, leaf, tokens from lines join texts using (rid)),
+chunked as (
+  select rid, line, md5(part) as mark from (
+    select distinct rid, line, unnest(string_split(regexp_replace(line, '{CHUNK}', '\1' || chr(10), 'g'), chr(10))) as part
+    from wording_in)
+  qualify row_number() over (partition by rid, line order by mark) <= {MARKS}),
+first_chunks as (
+  select * from chunked qualify row_number() over (partition by rid order by mark, md5(line)) <= {2 * MARKS}),
+marks as (
+  select distinct rid, line, mark from (
+    select w.rid, w.line, c.mark from wording_in w join first_chunks c on c.rid = w.rid and c.line <> w.line
+    qualify row_number() over (partition by w.rid, w.line order by c.mark, md5(c.line)) <= {MARKS})),
 wordings as (
-  select line, any_value(leaf) as leaf, any_value(tokens) as tokens, count(distinct mark) as marks, count(*) as docs
-  from (select distinct line, leaf, tokens, doc_id, text, mark from lines) group by line),
-chosen as (select * from wordings where leaf in (select leaf from wordings group by leaf having sum(marks) >= {MIN_DOCS})),
+  select line, any_value(leaf) as leaf, any_value(tokens) as tokens, count(*) as n from wording_in group by line),
+chosen as (
+  select * from wordings where len(tokens) >= {MIN_TOKENS} and leaf in (
+    select leaf from wordings where len(tokens) >= {MIN_TOKENS} group by leaf having sum(n) >= {MIN_DOCS})),
 spread as (
-  select line, leaf, marks, docs, len(tokens) as size, k as "at", tokens[k] as token
+  select line, leaf, n, len(tokens) as size, k as "at", tokens[k] as token
   from chosen, unnest(range(1, len(tokens) + 1)) as r(k) where not regexp_matches(tokens[k], '[0-9]')),
-common as (select leaf, "at", token from spread group by leaf, "at", token having sum(marks) >= {MIN_DOCS}),
-templates as (
-  select line, any_value(marks) as marks, any_value(docs) as docs, leaf, list(("at", token) order by "at") as shape
-  from spread join common using (leaf, "at", token) group by line, leaf, size
-  having count(*) >= {FIXED} * size),
+common as (select leaf, "at", token from spread group by leaf, "at", token having sum(n) >= {MIN_DOCS}),
+shaped as (
+  select line, any_value(n) as n, (leaf, list(("at", token) order by "at"))::varchar as template
+  from spread join common using (leaf, "at", token) group by line, leaf, size having count(*) >= {FIXED} * size),
+suspects as (
+  select line, 'as written ' || line as template from wordings where n >= {MIN_DOCS}
+  union all select line, template from shaped where template in (
+    select template from shaped group by template having sum(n) >= {MIN_DOCS})),
+met as (
+  select distinct template, rid, coalesce(mark, '') as mark
+  from suspects join wording_in using (line) left join marks using (rid, line)),
+ranked as (
+  select *, row_number() over (partition by template, rid order by sharing desc) as k, count(*) over (partition by template, rid) as n
+  from (select *, count(*) over (partition by template, mark) as sharing from met)),
 recurring as (
-  select line from templates where (leaf, shape) in (
-    select (leaf, shape) from templates group by leaf, shape
-    having sum(marks) >= {MIN_DOCS} and sum(marks) >= {MARKS} * sum(docs))),
+  select distinct line from suspects where template in (
+    select template from ranked where k = least({SHARED}, n) group by template
+    having sum((1000000000000::hugeint + sharing - 1) // sharing) >= 1000000000000::hugeint * {MIN_DOCS})),
 dropped as (
   select rid, list(pos) as places from lines where line in (select line from recurring) group by rid)
 select doc_id, coalesce(len(lines), 0)::bigint as n_lines, coalesce(len(places), 0)::bigint as n_dropped,

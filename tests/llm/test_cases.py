@@ -299,6 +299,58 @@ def test_line_cases(spark):
     assert line_dedup.line_report(docs(spark, [])).count() == 0
 
 
+def unrelated(spark, line, n=100, first=0, end=""):
+    """n documents of random words that share one line only."""
+    import random
+
+    pick = random.Random(first + 7)
+
+    def sentence():
+        return " ".join("".join(pick.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(pick.randrange(2, 9))) for _ in range(12))
+
+    return [(first + i, f"{sentence()}\n{line}\n{sentence()}{end}", "en") for i in range(n)]
+
+
+def lines_left(spark, rows):
+    return {r["doc_id"]: r["text"].split("\n") for r in line_dedup.without_recurring_lines(docs(spark, rows)).collect()}
+
+
+@pytest.mark.parametrize(
+    "line",
+    [
+        "This line is on many pages of the web", "100 % of this line is on many pages", '"Zoom" is a line on many pages',
+        "Copyright 2019 2020 Example", "Read more", "Call 1 800 555 1212 now", "more", "  spaced \t line ",
+    ],
+)
+def test_a_line_in_unrelated_documents_goes(spark, line):
+    left = lines_left(spark, unrelated(spark, line))
+    assert all(len(lines) == 2 for lines in left.values())
+
+
+def test_copies_of_a_page_cannot_keep_a_line_or_make_one_recur(spark):
+    line = "This line is on many pages of the web"
+    page = unrelated(spark, line, 1, 500)[0][1]
+    words = page.split(" ")
+    rows = unrelated(spark, line)
+    # Exact copies, and copies with some words changed.
+    rows += [(1000 + i, page, "en") for i in range(300)]
+    rows += [(2000 + i, " ".join(f"changed{i}" if j in (i % 8, 20 + i % 5) else w for j, w in enumerate(words)), "en") for i in range(200)]
+    left = lines_left(spark, rows)
+    assert all(line not in lines for lines in left.values())
+    assert all(len(lines) == 2 for lines in left.values())
+    # Without the others the line is one of a page and its copies, and all of it stays.
+    alone = lines_left(spark, rows[100:])
+    assert all(len(lines) == 3 for lines in alone.values())
+
+
+def test_columns_of_any_name_stay(spark):
+    extra = "doc_id long, text string, _dropped string, _row_key string, _of_doc string, _id string, _key string, line string"
+    rows = [(i, t, "d", "r", "o", "i", "k", "l") for i, t, _ in unrelated(spark, "shared by all of them", 8)]
+    got = line_dedup.without_recurring_lines(spark.createDataFrame(rows, extra))
+    assert got.columns == [c.split()[0] for c in extra.split(", ")]
+    assert all(tuple(r)[2:] == ("d", "r", "o", "i", "k", "l") and "shared" not in r["text"] for r in got.collect())
+
+
 # --- benchmark -------------------------------------------------------------------
 
 
