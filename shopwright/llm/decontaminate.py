@@ -5,14 +5,15 @@ Their hashes form a sorted set that is broadcast; documents are scanned in Arrow
 batches, the rolling hash of every window of theirs is looked up, and hits are
 confirmed word by word against the items' windows.
 
-A set holds about ``SET_WINDOWS`` windows at most, counted before. More windows are
-dealt to several sets by hash; each set is a scan over the rows of the one before and
+A set holds about ``SET_WINDOWS`` pairs of a window and an item at most, counted before. More are
+dealt to several sets by a hash of both; each set is a scan over the rows of the one before and
 adds to their hits, so the result is the same for any number of sets.
 
 Defined cases: null and empty texts have no words, so an empty item is never found.
 Repeated documents are each reported; items with equal windows are all named, and
-an item listed twice counts once. Items with a null id are called null. Extra columns
-of documents stay (``clean``, ``hits``) or are ignored (``contamination``). Without items nothing is hit.
+an item listed twice counts once. Items with a null id are one, called null in the digest, and not
+the one whose id is "null". Extra columns of documents stay (``clean``, ``hits``), whatever their names, or are
+ignored (``contamination``). Without items nothing is hit.
 """
 
 from __future__ import annotations
@@ -30,6 +31,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shopwright.llm import grams
+from shopwright.llm.expr import unused
+from shopwright.shared import stored
 
 WINDOW = 10
 SET_WINDOWS = 500_000
@@ -59,7 +62,7 @@ def item_windows(benchmark: DataFrame, n: int = WINDOW) -> DataFrame:
                 names=["item_id", "window", "words"],
             )
 
-    items = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("null")).alias("item_id"), "text")
+    items = benchmark.select(F.col("item_id").cast("string").alias("item_id"), "text")
     return items.mapInArrow(cut, "item_id string, window binary, words int").distinct()
 
 
@@ -113,11 +116,11 @@ def _merged(spans: list[tuple[int, int]]) -> list[dict[str, int]]:
     return out
 
 
-def _scan(docs: DataFrame, windows: Broadcast) -> DataFrame:
-    """docs with its hits; hits of an earlier scan are added to."""
+def _scan(docs: DataFrame, windows: Broadcast, own: tuple[str, str, str], again: bool) -> DataFrame:
+    """docs with its hits in the columns ``own``; hits of an earlier scan are added to."""
     place, names = docs.columns.index("text"), docs.columns
-    earlier = names.index(_SPANS) if _SPANS in names else None
-    kept = [i for i, name in enumerate(names) if name not in (_WORDS, _SPANS, _ITEMS)]
+    n_words, hit_spans, hit_items = own
+    kept = [i for i, name in enumerate(names) if not again or name not in own]
 
     def scanned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = windows.value
@@ -126,43 +129,49 @@ def _scan(docs: DataFrame, windows: Broadcast) -> DataFrame:
                 part = batch.slice(lo, hi - lo)
                 words = grams.words(data, offsets, grams.ALNUM_WORD)
                 spans, items = defaultdict(list), defaultdict(set)
-                if earlier is not None:
-                    for i, (old, by) in enumerate(
-                        zip(part.column(earlier).to_pylist(), part.column(names.index(_ITEMS)).to_pylist())
-                    ):
-                        spans[i] += [(s["start"], s["end"]) for s in old]
-                        items[i].update(by)
+                if again:
+                    old, by = (part.column(names.index(c)).to_pylist() for c in (hit_spans, hit_items))
+                    for i in range(hi - lo):
+                        spans[i] += [(s["start"], s["end"]) for s in old[i]]
+                        items[i].update(by[i])
                 for start, end, named in known.found(words):
                     text = int(np.searchsorted(words.first, start, "right")) - 1
                     base = int(words.first[text])
                     spans[text].append((start - base, end - base))
                     items[text].update(named)
                 rows = range(hi - lo)
+                in_order = [sorted(items.get(i, ()), key=lambda v: (v is not None, v or "")) for i in rows]
                 yield pa.record_batch(
                     [
                         *(part.column(i) for i in kept),
                         pa.array(np.diff(words.first), pa.int64()),
                         pa.array([_merged(spans.get(i, [])) for i in rows], _SPAN_LIST),
-                        pa.array([sorted(items.get(i, ())) for i in rows], pa.list_(pa.string())),
+                        pa.array(in_order, pa.list_(pa.string())),
                     ],
-                    names=[*(names[i] for i in kept), _WORDS, _SPANS, _ITEMS],
+                    names=[*(names[i] for i in kept), *own],
                 )
 
     columns = [f"`{names[i]}` {docs.schema[i].dataType.simpleString()}" for i in kept]
-    made = f"{_WORDS} long, {_SPANS} array<struct<start:long,end:long>>, {_ITEMS} array<string>"
+    made = f"`{n_words}` long, `{hit_spans}` array<struct<start:long,end:long>>, `{hit_items}` array<string>"
     return docs.mapInArrow(scanned, ", ".join([*columns, made]))
 
 
+def own_names(docs: DataFrame) -> tuple[str, str, str]:
+    """Names of the columns that ``hits`` adds: _hit_words, _hit_spans and _hit_items, or longer ones if docs has these."""
+    return tuple(unused(name, docs.columns) for name in (_WORDS, _SPANS, _ITEMS))
+
+
 def hits(docs: DataFrame, benchmark: DataFrame, n: int = WINDOW, set_windows: int = SET_WINDOWS) -> DataFrame:
-    """docs with three columns more: _hit_words (its words), _hit_spans (word ranges covered by
-    windows, disjoint and in order) and _hit_items (the items found, sorted)."""
-    windows = item_windows(benchmark, n)
+    """docs with three columns more (see ``own_names``): its number of words, the word ranges covered by
+    windows, disjoint and in order, and the items found, sorted (a null id first)."""
+    windows = stored(item_windows(benchmark, n), "item-windows")
     sets = max(1, -(-windows.count() // set_windows))
-    dealt = windows.withColumn("set", F.pmod(F.xxhash64("window"), F.lit(sets)))
+    # Dealt by window and item, so that a window of very many items is in many sets, of about set_windows rows each.
+    dealt = windows.withColumn("set", F.pmod(F.xxhash64("window", "item_id"), F.lit(sets)))
+    own = own_names(docs)
     for i in range(sets):
-        # About set_windows rows at most, whatever the benchmark's size.
         rows = dealt.filter(F.col("set") == i).select("item_id", "window", "words").collect()
-        docs = _scan(docs, docs.sparkSession.sparkContext.broadcast(WindowSet([tuple(r) for r in rows])))
+        docs = _scan(docs, docs.sparkSession.sparkContext.broadcast(WindowSet([tuple(r) for r in rows])), own, i > 0)
     return docs
 
 
@@ -170,12 +179,13 @@ def contamination(docs: DataFrame, benchmark: DataFrame, n: int = WINDOW, set_wi
     """Per document: how many of its words are hit and by which items."""
     found = hits(docs.select("doc_id", "text"), benchmark, n, set_windows)
     n_hit = F.aggregate(_SPANS, F.lit(0).cast("long"), lambda total, s: total + s["end"] - s["start"])
+    named = F.array_sort(F.transform(_ITEMS, lambda item: F.coalesce(item, F.lit("null"))))
     return found.select(
         "doc_id",
         F.col(_WORDS).alias("n_words"),
         n_hit.alias("n_hit"),
         F.size(_ITEMS).cast("long").alias("n_items"),
-        F.sha2(F.array_join(_ITEMS, ","), 256).alias("items_sha256"),
+        F.sha2(F.array_join(named, ","), 256).alias("items_sha256"),
         (n_hit > 0).alias("contaminated"),
     )
 
@@ -205,9 +215,9 @@ def clean(docs: DataFrame, benchmark: DataFrame, n: int = WINDOW, remove: str =
     """
     if remove not in ("documents", "spans"):
         raise ValueError(f"remove must be documents or spans, not {remove!r}")
-    found = hits(docs, benchmark, n)
+    found, (_, spans, _) = hits(docs, benchmark, n), own_names(docs)
     if remove == "documents":
-        found = found.filter(F.size(_SPANS) == 0)
+        found = found.filter(F.size(spans) == 0)
     else:
-        found = found.withColumn("text", F.pandas_udf(_cut, "string")("text", _SPANS))
+        found = found.withColumn("text", F.pandas_udf(_cut, "string")("text", spans))
     return found.select(*(f"`{c}`" for c in docs.columns))

@@ -36,6 +36,13 @@ def words_of(text: Column, breaks: str) -> Column:
     return F.array_remove(F.split(text, breaks), "")
 
 
+def unused(name: str, taken: list[str]) -> str:
+    """name, with as many underscores behind as make it differ from the columns there."""
+    while name.lower() in {c.lower() for c in taken}:
+        name += "_"
+    return name
+
+
 def literal_rows(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
     """A few rows of constants as part of the plan; the schema is "name type, ..."."""
     fields = [field.split() for field in schema.split(", ")]

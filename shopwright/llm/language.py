@@ -6,8 +6,8 @@ language whose dictionary makes it smallest is chosen. The margin is the distanc
 the second smallest as a share of it; a narrow margin rejects the text.
 
 The sample is bounded: ``SAMPLE_TEXTS`` distinct texts per language, those with the
-smallest hashes, of which each gives up to ``DICTIONARY_BYTES / SAMPLE_TEXTS`` bytes at least
-and the dictionary ``DICTIONARY_BYTES`` in all. Counting and choosing run over all rows;
+smallest hashes, which share the dictionary's ``DICTIONARY_BYTES`` evenly. A longer text gives a piece
+that begins where its hash says. Counting and choosing run over all rows;
 predictions compress whole texts. At most ``MAX_LANGUAGES`` dictionaries are broadcast; more
 are an error.
 
@@ -32,17 +32,22 @@ import zstandard
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from shopwright.llm.expr import unused
 from shopwright.llm.grams import give_back
+from shopwright.shared import stored
 
 UNKNOWN = "und"
 SAMPLE_TEXTS = 200
 DICTIONARY_BYTES = 1 << 17
 MAX_LANGUAGES = 500
+PARTS = 64
 LEVELS = (1, 6)
 PIECE_BYTES = 1 << 14
 MARGIN = 0.004
 
-_NO_LETTER = re.compile(r"[\W\d_]+")
+# Everything but the letters of Unicode; numbers that are no digits count as word characters in patterns.
+_NUMBERS = "".join(c for c in map(chr, range(128, 0x110000)) if c.isalnum() and not c.isalpha() and not c.isdecimal())
+_NO_LETTER = re.compile(rf"[\W\d_{_NUMBERS}]+")
 
 
 def held_out(doc_id: Column) -> Column:
@@ -64,31 +69,39 @@ def learn(
     counts = rows.groupBy("lang").count().limit(MAX_LANGUAGES + 1).collect()
     if len(counts) > MAX_LANGUAGES:
         raise ValueError(f"more than {MAX_LANGUAGES} languages")
-    order = Window.partitionBy("lang").orderBy("hash")
-    smallest = (
-        rows.select("lang", "hash").distinct().withColumn("n", F.row_number().over(order)).filter(F.col("n") <= sample_texts)
-    )
+    # The smallest of each part of the hashes first, so that no task sees all texts of a language.
+    chosen = rows.select("lang", "hash").distinct().withColumn("part", F.pmod("hash", F.lit(PARTS)))
+    for keys in (["lang", "part"], ["lang"]):
+        order = Window.partitionBy(*keys).orderBy("hash")
+        chosen = chosen.withColumn("n", F.row_number().over(order)).filter(F.col("n") <= sample_texts).drop("n")
+    chosen = stored(chosen.select("lang", "hash"), "sampled")
+    # A text's share of the dictionary, beginning at a place that its hash chooses.
+    share = F.expr(f"{dictionary_bytes} div texts").cast("int")
+    shares = chosen.groupBy("lang").agg(F.count("*").alias("texts")).select("lang", share.alias("share"))
+    starts = F.pmod("hash", F.greatest(F.length("text") - F.col("share"), F.lit(0)) + 1).cast("int")
     # Bounded by languages x sample_texts rows of two numbers, and then of part of a text each.
-    piece = max(1, dictionary_bytes // sample_texts)
     sample = (
-        rows.join(F.broadcast(smallest.drop("n")), ["lang", "hash"])
-        .select("lang", "hash", F.left("text", F.lit(4 * piece)).alias("piece"))
-        .groupBy("lang", "hash")
+        rows.join(F.broadcast(chosen), ["lang", "hash"])
+        .join(F.broadcast(shares), "lang")
+        .select("lang", "hash", F.substr("text", starts + 1, F.col("share")).alias("piece"), "share")
+        .groupBy("lang", "hash", "share")
         .agg(F.min("piece").alias("piece"))
         .collect()
     )
     pieces: dict[str, list[bytes]] = {}
     for row in sorted(sample, key=lambda r: (r["lang"], r["hash"])):
-        pieces.setdefault(row["lang"], []).append(_prepared(row["piece"])[1:])
-    learned = []
-    for lang, count in ((r["lang"], r["count"]) for r in counts):
-        share = max(piece, dictionary_bytes // max(1, len(pieces[lang])))
-        learned.append((lang, count, b" ".join(p[:share] for p in pieces[lang])[:dictionary_bytes]))
+        pieces.setdefault(row["lang"], []).append(_prepared(row["piece"])[1 : row["share"]])
+    learned = [(r["lang"], r["count"], b" ".join(pieces.get(r["lang"], []))[:dictionary_bytes]) for r in counts]
     return sorted(learned, key=lambda x: (-x[1], x[0]))
 
 
-def predict(docs: DataFrame, learned: list[tuple[str, int, bytes]], levels: tuple[int, ...] = LEVELS) -> DataFrame:
-    """docs with two columns more: _lang_pred and _margin (0 to 1)."""
+def predict(
+    docs: DataFrame,
+    learned: list[tuple[str, int, bytes]],
+    levels: tuple[int, ...] = LEVELS,
+    names: tuple[str, str] = ("_lang_pred", "_margin"),
+) -> DataFrame:
+    """docs with two columns more, by default _lang_pred and _margin (0 to 1); ``names`` must be new."""
     place = docs.columns.index("text")
     known = docs.sparkSession.sparkContext.broadcast([(lang, content) for lang, _, content in learned])
 
@@ -105,11 +118,11 @@ def predict(docs: DataFrame, learned: list[tuple[str, int, bytes]], levels: tupl
                 )
             packers.append(row)
         for batch in batches:
-            names, margins = [], []
+            found, margins = [], []
             for value in batch.column(place):
                 text = _prepared(value.as_py() or "")
                 if len(text) <= 2 or not langs:
-                    names.append(UNKNOWN)
+                    found.append(UNKNOWN)
                     margins.append(0.0)
                     continue
                 pieces = [text[i : i + PIECE_BYTES] for i in range(0, len(text), PIECE_BYTES)]
@@ -118,16 +131,16 @@ def predict(docs: DataFrame, learned: list[tuple[str, int, bytes]], levels: tupl
                 )
                 best = int(sizes.argmin())
                 rest = np.delete(sizes, best)
-                names.append(langs[best])
+                found.append(langs[best])
                 margins.append(float((rest.min() - sizes[best]) / rest.min()) if len(rest) else 1.0)
             yield pa.record_batch(
-                [*batch.columns, pa.array(names, pa.string()), pa.array(margins, pa.float64())],
-                names=[*batch.schema.names, "_lang_pred", "_margin"],
+                [*batch.columns, pa.array(found, pa.string()), pa.array(margins, pa.float64())],
+                names=[*batch.schema.names, *names],
             )
         give_back()
 
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
-    return docs.mapInArrow(predicted, f"{columns}, _lang_pred string, _margin double")
+    return docs.mapInArrow(predicted, f"{columns}, `{names[0]}` string, `{names[1]}` double")
 
 
 def training_rows(docs: DataFrame) -> DataFrame:
@@ -148,5 +161,6 @@ def language_report(docs: DataFrame, margin: float = MARGIN) -> DataFrame:
 
 def recognised(docs: DataFrame, margin: float = MARGIN) -> DataFrame:
     """The documents whose language is clear enough, in the columns they came with."""
-    kept = predict(docs, learn(training_rows(docs))).filter(F.col("_margin") >= margin)
+    names = (unused("_lang_pred", docs.columns), unused("_margin", docs.columns))
+    kept = predict(docs, learn(training_rows(docs)), names=names).filter(F.col(names[1]) >= margin)
     return kept.select(*(f"`{c}`" for c in docs.columns))

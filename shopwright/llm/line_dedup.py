@@ -32,7 +32,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shopwright.llm.expr import SPACE_BREAK, broadcast_if_small, filled, words_of
+from shopwright.llm.expr import SPACE_BREAK, broadcast_if_small, filled, unused, words_of
 from shopwright.shared import stored
 
 DEPTH = 3
@@ -153,13 +153,6 @@ def recurring_lines(docs: DataFrame, lines: DataFrame, min_docs: int = MIN_DOCS,
     return stored(suspects.join(often, template).select("line").distinct(), "recurring")
 
 
-def _free(name: str, taken: list[str]) -> str:
-    """name, with as many underscores behind as make it differ from the columns there."""
-    while name.lower() in {c.lower() for c in taken}:
-        name += "_"
-    return name
-
-
 def marked(
     docs: DataFrame, dropped: str, depth: int = DEPTH, min_docs: int = MIN_DOCS, min_tokens: int = MIN_TOKENS, fixed: float = FIXED
 ) -> DataFrame:
@@ -167,7 +160,7 @@ def marked(
     own = docs.select("doc_id", "text")
     lines = stored(numbered_lines(own, depth, min_tokens), "lines")
     recurring = recurring_lines(own, lines, min_docs, fixed)
-    key, of = (_free(name, [*docs.columns, dropped]) for name in ("_row_key", "_of_doc"))
+    key, of = (unused(name, [*docs.columns, dropped]) for name in ("_row_key", "_of_doc"))
     places = (
         lines.join(broadcast_if_small(recurring), "line")
         .groupBy("row_key", "doc_id")
@@ -198,6 +191,6 @@ def line_report(docs: DataFrame) -> DataFrame:
 
 def without_recurring_lines(docs: DataFrame) -> DataFrame:
     """The documents in the columns they came with, recurring lines taken out of text."""
-    dropped = _free("_dropped", docs.columns)
+    dropped = unused("_dropped", docs.columns)
     found = marked(docs, dropped)
     return found.withColumn("text", _kept_text(dropped)).select(*(f"`{c}`" for c in docs.columns))

@@ -40,8 +40,9 @@ KEPT_WORDS = 1_000_000
 ROWS = 1_024
 
 
-# A word that ends with a letter, and after it an ASCII punctuation mark and whatever is no letter or digit.
-_TAIL = r"^(.*\pL)([!-/:-@\[-`{-~][^\s\pL\pN]*)$"
+# A word that ends with an ASCII letter, and after it an ASCII punctuation mark and whatever is no letter or
+# digit. Other letters may turn into a letter and a mark, which the vocabulary joins with the punctuation.
+_TAIL = r"^(.*[A-Za-z])([!-/:-@\[-`{-~][^\s\pL\pN]*)$"
 
 
 class WordEncoder:
@@ -219,17 +220,21 @@ def packed(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: int = E
         pieces = stored(cut_pieces(docs, path, capacity, end_id), "pieces")
     done = pieces.filter(F.col("sequence_id").isNotNull())
 
-    # One row per worker and class; their running count numbers the pieces of a class.
+    # Their running count numbers the pieces of a class. The window sees one number of a worker, not its pieces.
     held = (
         pieces.filter(F.col("sequence_id").isNull())
         .groupBy("fold", "worker")
         .agg(F.sort_array(F.collect_list(F.struct("doc_id", "start", "length", "ids_crc32", "doc_tokens"))).alias("held"))
     )
+    held = stored(held.withColumn("n_held", F.size("held")), "held-back")
     of_class = Window.partitionBy("fold")
-    before = F.sum(F.size("held")).over(of_class.orderBy("worker")) - F.size("held")
+    before = F.sum("n_held").over(of_class.orderBy("worker")) - F.col("n_held")
+    counts = held.select("fold", "worker", "n_held").select(
+        "fold", "worker", before.alias("before"), F.sum("n_held").over(of_class).alias("total")
+    )
     numbered = (
-        held.withColumns({"before": before, "total": F.sum(F.size("held")).over(of_class)})
-        .select("fold", "worker", "before", "total", F.posexplode("held"))
+        held.select("fold", "worker", F.posexplode("held"))
+        .join(counts, ["fold", "worker"])
         .select("fold", "worker", "total", (F.col("before") + F.col("pos")).alias("n"), "col.*")
     )
     numbered = stored(numbered.withColumn("bin", F.expr("n div fold")), "held")

@@ -21,6 +21,8 @@ source are ignored.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -37,23 +39,56 @@ FLOORS = {"symbol_share": 0.02, "dup_line_share": 0.1, "repeat_share": 0.1, "wor
 _PLACE_BITS = 24
 
 
-def _repeated_words() -> Column:
-    """Words in the three-word windows of column ``windows`` that occur twice or more.
+def _mask() -> Column:
+    return F.lit((1 << _PLACE_BITS) - 1).cast("long")
 
-    ``sorted`` has one number per window: high bits of its hash, then its place.
-    Equal windows are neighbours there; their words are compared as well.
-    """
-    mask = F.lit((1 << _PLACE_BITS) - 1).cast("long")
 
-    def same(x: Column, y: Column) -> Column:
-        i, j = x.bitwiseAND(mask).cast("int"), y.bitwiseAND(mask).cast("int")
-        equal = F.shiftright(x, _PLACE_BITS) == F.shiftright(y, _PLACE_BITS)
-        for n in range(3):
-            equal = equal & (F.get("words", i + n) == F.get("words", j + n))
-        return F.coalesce(equal, F.lit(False))
+def _same_hash(x: Column, y: Column) -> Column:
+    return F.shiftright(x, _PLACE_BITS) == F.shiftright(y, _PLACE_BITS)
+
+
+def _same_words(x: Column, y: Column) -> Column:
+    """Whether the windows at two packed places have equal words."""
+    i, j = x.bitwiseAND(_mask()).cast("int"), y.bitwiseAND(_mask()).cast("int")
+    equal = F.lit(True)
+    for n in range(3):
+        equal = equal & (F.get("words", i + n) == F.get("words", j + n))
+    return equal
+
+
+def _beside(values: str, same: Callable[[Column, Column], Column]) -> Column:
+    """The values that are the same as a neighbour."""
+
+    def known(x: Column, y: Column) -> Column:
+        return F.coalesce(same(x, y), F.lit(False))
+
+    return F.filter(values, lambda x, i: known(x, F.get(values, i + 1)) | known(x, F.get(values, i - 1)))
 
-    repeated = F.filter("sorted", lambda x, i: same(x, F.get("sorted", i + 1)) | same(x, F.get("sorted", i - 1)))
-    return F.sort_array(F.transform(repeated, lambda x: x.bitwiseAND(mask)))
+
+def _ambiguous() -> Column:
+    """Whether ``sorted`` can't tell equal windows: different neighbours share the bits, or places have too few."""
+    next_one = lambda x, i: _same_hash(x, F.get("sorted", i + 1)) & ~_same_words(x, F.get("sorted", i + 1))
+    differing = F.filter("sorted", lambda x, i: F.coalesce(next_one(x, i), F.lit(False)))
+    return (F.size(differing) > 0) | (F.size("words") >= 1 << _PLACE_BITS)
+
+
+def _windows_by_words() -> Column:
+    """Every three-word window with its place, sorted by its words."""
+    window = lambda word, i: F.named_struct(
+        F.lit("three"), F.array(word, F.get("words", i + 1), F.get("words", i + 2)), F.lit("at"), i.cast("long")
+    )
+    return F.array_sort(F.slice(F.transform("words", window), 1, F.greatest(F.size("words") - 2, F.lit(0))))
+
+
+def _repeated_places() -> Column:
+    """Places of the three-word windows of column ``words`` that occur twice or more, in order.
+
+    ``sorted`` has one number per window: high bits of its hash, then its place. Equal windows are neighbours
+    there, and their words are compared. A text for which that is ambiguous has its windows in ``by_words``.
+    """
+    fast = F.transform(_beside("sorted", lambda x, y: _same_hash(x, y) & _same_words(x, y)), lambda x: x.bitwiseAND(_mask()))
+    exact = F.transform(_beside("by_words", lambda x, y: x["three"] == y["three"]), lambda window: window["at"])
+    return F.sort_array(F.when(F.col("by_words").isNull(), fast).otherwise(exact))
 
 
 def text_counts(docs: DataFrame) -> DataFrame:
@@ -79,7 +114,8 @@ def text_counts(docs: DataFrame) -> DataFrame:
         lines.alias("lines"),
         F.sort_array(F.slice(F.transform("words", window), 1, F.greatest(F.size("words") - 2, F.lit(0)))).alias("sorted"),
     )
-    places = counted.select("*", _repeated_words().alias("places"))
+    counted = counted.select("*", F.when(_ambiguous(), _windows_by_words()).alias("by_words"))
+    places = counted.select("*", _repeated_places().alias("places"))
     covered = F.transform("places", lambda p, i: F.least(F.lit(3).cast("long"), F.coalesce(F.get("places", i + 1) - p, F.lit(3).cast("long"))))
     return places.select(
         *kept,

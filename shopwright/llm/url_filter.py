@@ -74,12 +74,15 @@ def judged_urls(pages: DataFrame, rules: DataFrame, default: str = DEFAULT) -> D
         _digest(F.col("host"), F.col("path")).alias("rule_digest"),
         F.explode(F.array(*(F.lit(i) for i in range(SALT)))).alias("rule_salt"),
     )
+    # Only the short prefix (and the salt) are join keys; as no plain equalities, the rest is confirmed on what meets.
+    confirmed = F.coalesce(
+        (F.col("digest") == F.col("rule_digest")) & (F.col("suffix") == F.col("rule_host")) & (F.col("prefix") == F.col("rule_path")),
+        F.lit(False),
+    )
     fits = (
         (F.left("digest", F.lit(8)) == F.left("rule_digest", F.lit(8)))
         & (F.pmod("row", F.lit(SALT)).cast("int") == F.col("rule_salt"))
-        & (F.col("digest") == F.col("rule_digest"))
-        & (F.col("suffix") == F.col("rule_host"))
-        & (F.col("prefix") == F.col("rule_path"))
+        & confirmed
     )
     rule = F.concat("rule_host", "rule_path")
     best = F.max(F.when(F.col("rule_host").isNotNull(), F.struct(F.length(rule).alias("n"), (F.col("rule_verdict") == "block").alias("blocks"), rule.alias("rule"), F.col("rule_verdict").alias("verdict"))))

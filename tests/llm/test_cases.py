@@ -553,3 +553,118 @@ def test_native_operators_run_no_python(spark, name):
         QUERIES[name](spark, "/root/testdata/sf0.001").explain("formatted")
     for word in ("Python", "Pandas", "MapInArrow", "Cartesian"):
         assert word not in text.getvalue()
+
+
+# --- names, letters and collisions ------------------------------------------------
+
+
+def test_columns_named_like_the_operators_own_stay(spark):
+    kind = "doc_id long, text string, lang string, _hit_words string, _hit_spans string, _hit_items string, _id string, _margin string, _lang_pred string"
+    rows = [(i, f"some english text number {i} with an item of ten words in all of it", "en", "w", "s", "i", "d", "m", "p") for i in range(4)]
+    table = spark.createDataFrame(rows, kind)
+    items = spark.createDataFrame([(1, "number 2 with an item of ten words in all")], "item_id long, text string")
+    for got, n in ((decontaminate.clean(table, items), 3), (decontaminate.clean(table, items, remove="spans"), 4), (language.recognised(table), 4)):
+        assert got.columns == table.columns
+        kept = got.collect()
+        assert len(kept) == n
+        assert all(tuple(r)[3:] == ("w", "s", "i", "d", "m", "p") for r in kept)
+    assert decontaminate.hits(table, items).columns == [*table.columns, "_hit_words_", "_hit_spans_", "_hit_items_"]
+
+
+def test_a_null_item_is_not_the_item_called_null(spark):
+    items = spark.createDataFrame([(None, "alpha beta"), ("null", "beta gamma"), ("a", "gamma")], "item_id string, text string")
+    for most in (1, 500_000):
+        row = decontaminate.contamination(docs(spark, [(1, "alpha beta gamma", None)]), items, set_windows=most).first()
+        assert (row["n_hit"], row["n_items"]) == (3, 3)
+        import hashlib
+
+        assert row["items_sha256"] == hashlib.sha256(b"a,null,null").hexdigest()
+
+
+def test_a_window_of_all_items_is_dealt_to_many_sets(spark):
+    items = spark.createDataFrame([(i, f"the same prompt for all of them in every item here x{i}") for i in range(40)], "item_id long, text string")
+    texts = docs(spark, [(1, "see the same prompt for all of them in every item here x7", None), (2, "no", None)])
+    one = collected(decontaminate.contamination(texts, items))
+    assert one == collected(decontaminate.contamination(texts, items, set_windows=3))
+    assert [(r[2], r[3]) for r in one] == [(11, 40), (0, 0)] or [(r[2], r[3]) for r in one] == [(12, 40), (0, 0)]
+
+
+def test_only_letters_make_a_text_tell_its_language(spark):
+    rows = [(1, "ein text", "de"), (2, "a text", "en"), (3, "\u00b2 \u00bd \u2167 \u0661 12", None), (4, "\u4e00", None), (5, "\u00aa", None)]
+    learned = language.learn(docs(spark, rows[:2]))
+    got = {r["doc_id"]: r["_lang_pred"] for r in language.predict(docs(spark, rows), learned).collect()}
+    assert got[3] == "und" and got[4] != "und" and got[5] != "und"
+
+
+def test_equal_sizes_go_to_the_commoner_language(spark):
+    rows = [(1, "same words here", "b"), (2, "same words here", "a"), (3, "same words here", "a"), (4, "same words here", "c")]
+    learned = language.learn(docs(spark, rows))
+    assert [r[0] for r in learned] == ["a", "b", "c"]
+    assert {r["_lang_pred"] for r in language.predict(docs(spark, rows), learned).collect()} == {"a"}
+
+
+def test_every_sampled_text_gives_a_piece_of_its_own_place(spark):
+    long = " ".join(f"word{i}" for i in range(50_000))
+    (lang, count, content), = language.learn(docs(spark, [(1, long, "en")]), dictionary_bytes=2000)
+    assert (lang, count) == ("en", 1) and 900 <= len(content) <= 2000
+
+
+def test_windows_that_share_hash_bits_are_told_apart(spark):
+    text = "x b c q1 y b c q2 x b c".replace("x", "a1898839").replace("y", "a2725380")
+    rows = [(1, text, "en"), (2, text.replace("q2", "q1"), "en"), (3, "p " * 40, "en")]
+    got = {r["doc_id"]: r["n_repeat_words"] for r in quality.judged(docs(spark, rows)).collect()}
+    # In the second "b c q1" comes twice, too.
+    assert got == {1: 6, 2: 10, 3: 40}
+
+
+def test_the_url_join_is_on_the_short_prefix_alone(spark):
+    rows = spark.createDataFrame([(1, "http://www.example.com/en/x"), (2, "ftp://a.net/es/")], "page_id long, url string")
+    got = url_filter.judged_urls(rows, url_filter.rule_table(spark))
+    assert {(r["page_id"], r["rule"]) for r in got.collect()} == {(1, "www.example.com/en/"), (2, "net/es/")}
+    joins = [line for line in got._jdf.queryExecution().executedPlan().toString().splitlines() if "Join" in line]
+    assert joins and all("suffix" not in j.split("]")[0] and "[substring(digest" in j or "[left(digest" in j for j in joins)
+
+
+def test_ids_are_the_tokenizers_for_every_letter(spark):
+    import sys
+    import unicodedata
+    import zlib
+
+    import numpy as np
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    tokenizer = Tokenizer.from_file(path)
+    tokenizer.encode_special_tokens = True
+    letters = [chr(c) for c in range(128, sys.maxunicode) if unicodedata.category(chr(c))[0] in "LM"]
+    # Of scripts with thousands of letters that all behave alike, every fiftieth.
+    letters = [c for i, c in enumerate(letters) if not ("\u3400" <= c <= "\ud7ff" or c >= "\U00010000") or i % 50 == 0]
+    texts = [f"a {c}. b{c}, c{c}d) ,{c} {c}c! {c}=\u0338" for c in letters] + ["TAKS\u0130, gel DEN\u0130ZL\u0130.", "a\u0301, e=\u0338 x<\u0338"]
+    encoder = packing.word_encoder(path)
+    import pyarrow as pa
+
+    ids, sizes = encoder(pa.array(texts))
+    ends = np.append(0, np.cumsum(sizes))
+    for text, lo, hi in zip(texts, ends, ends[1:]):
+        assert ids[lo:hi].tolist() == tokenizer.encode(text, add_special_tokens=False).ids, text
+    assert zlib.crc32(ids.tobytes()) >= 0
+
+
+def test_the_pipeline_takes_empty_tables_nulls_and_other_columns(spark, tmp_path):
+    import corpus_pipeline
+
+    benchmark = spark.createDataFrame([(1, "one two three four five six seven eight nine ten eleven")], "item_id long, text string")
+    kind = "doc_id long, text string, lang string, source string, n_chars long, _id string, node string, keys string, fold int"
+    body = "the quick brown fox jumps over the lazy dog and runs away from the hunters in the wood "
+    rows = [(i, f"{body * 3}{i} words of number {i}\nand then {i} some more", "en", "s", 1, "i", "n", "k", 3) for i in range(6)]
+    rows += [(None, None, None, None, None, None, None, None, None), (7, "", "en", "s", 0, "i", "n", "k", 3), rows[0]]
+    for name, data in (("empty", []), ("some", rows)):
+        folder = str(tmp_path / name)
+        spark.createDataFrame(data, kind).write.parquet(f"{folder}/documents.parquet")
+        benchmark.write.parquet(f"{folder}/benchmark.parquet")
+        got = corpus_pipeline.run(spark, folder)
+        assert (got.count() > 0) == bool(data)
+        table = spark.read.parquet(f"{folder}/documents.parquet")
+        for _, stage in corpus_pipeline.STAGES[:-1]:
+            table = stage(spark, table, folder)
+            assert table.columns == [c.split()[0] for c in kind.split(", ")]
