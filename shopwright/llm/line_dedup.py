@@ -41,8 +41,8 @@ MIN_TOKENS = 3
 FIXED = 0.75
 MARKS = 8
 SHARED = 3
-# Fixed value: a chunk ends at the first word after another one that ends in one of these letters.
-CHUNK = r"(([^ ]+ +){1,30}?[^ ]*[an-z]) "
+# Fixed value: a chunk ends after a word that ends in one of these letters; chunks of one word are too common to tell.
+CHUNK = "([an-z]) "
 FIELD = "<*>"
 _WHOLE = 10**12
 
@@ -56,9 +56,9 @@ def _row_key() -> Column:
 
 
 def _chunks(line: Column) -> Column:
-    """The smallest MD5 sums of a line's chunks. A match begins at a word, which spares trying within one."""
-    parts = F.split(F.regexp_replace(line, f"(?<![^ ]){CHUNK}", "$1\n"), "\n")
-    return F.slice(F.array_sort(F.transform(F.array_distinct(parts), lambda part: F.md5(part))), 1, MARKS)
+    """The smallest MD5 sums of a line's chunks of several words."""
+    parts = F.filter(F.split(F.regexp_replace(line, CHUNK, "$1\n"), "\n"), lambda part: F.contains(part, F.lit(" ")))
+    return F.slice(F.array_distinct(F.sort_array(F.transform(parts, lambda part: F.md5(part)))), 1, MARKS)
 
 
 def numbered_lines(docs: DataFrame, depth: int, min_tokens: int) -> DataFrame:
@@ -81,7 +81,8 @@ def numbered_lines(docs: DataFrame, depth: int, min_tokens: int) -> DataFrame:
     )
     # One line has at most MARKS of them, so these hold the first MARKS of all other lines.
     first = F.slice(F.array_sort(found), 1, 2 * MARKS)
-    spread = split.select("row_key", "doc_id", "text_key", first.alias("first"), F.posexplode("lines").alias("pos", "of"))
+    # Computed below the explosion, once for a text.
+    spread = split.withColumn("first", first).select("row_key", "doc_id", "text_key", "first", F.posexplode("lines").alias("pos", "of"))
     tokens, key = F.col("of.tokens"), F.col("of.key")
     others = F.slice(F.filter("first", lambda chunk: chunk["key"] != key), 1, MARKS)
     marks = F.array_distinct(F.transform(others, lambda chunk: F.xxhash64(chunk["mark"])))

@@ -76,6 +76,7 @@ chunked as (
   select rid, line, md5(part) as mark from (
     select distinct rid, line, unnest(string_split(regexp_replace(line, '{CHUNK}', '\1' || chr(10), 'g'), chr(10))) as part
     from wording_in)
+  where contains(part, ' ')
   qualify row_number() over (partition by rid, line order by mark) <= {MARKS}),
 first_chunks as (
   select * from chunked qualify row_number() over (partition by rid order by mark, md5(line)) <= {2 * MARKS}),
