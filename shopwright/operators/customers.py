@@ -7,7 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shopwright.functions import amount, money
+from shopwright.functions import amount, epoch_micros, money
+from shopwright.operators.intervals import in_ranges, overlapping
 from shopwright.operators.sessions import sessions_in_range
 
 CLV_COLUMNS = (
@@ -114,6 +115,28 @@ def engagement(
     return with_all_users(users, totals)
 
 
+def engagement_in_ranges(
+    ranges: DataFrame, sessions: DataFrame, duration: str = "duration_seconds", during: str | None = None
+) -> DataFrame:
+    """Sessions and seconds in every range (user_id, start, end) of each user's own, zeros included.
+
+    A session counts by its start (start < t <= end), or, where ``during`` names the column of its end, if any time of it
+    lies in the range. Equal ranges count once; one that is empty or has a null has no sessions.
+    """
+    own = ranges.select("user_id", "start", "end").distinct()
+    rows = sessions.select("user_id", "start_time", duration, *([during] if during else []))
+    if during is None:
+        found = in_ranges(rows, own, ["user_id"], "start_time", "start", "end")
+    else:
+        open_time = epoch_micros("start_time"), epoch_micros(during)
+        found = overlapping(rows, own, ["user_id"], open_time, (epoch_micros("start") + 1, epoch_micros("end")))
+    seconds = F.coalesce(F.col(duration).try_cast("bigint"), F.lit(0))
+    totals = found.groupBy("user_id", "start", "end").agg(
+        F.count("*").alias("session_count"), F.sum(seconds).alias("total_duration")
+    )
+    return own.join(totals, ["user_id", "start", "end"], "left").na.fill(0, ["session_count", "total_duration"])
+
+
 def customer_lifetime_value(
     users: DataFrame,
     purchases: DataFrame | None,

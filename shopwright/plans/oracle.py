@@ -118,6 +118,30 @@ ORDERS = """
 SELECT o_orderkey AS transaction_id, o_custkey AS user_id, o_orderdate AS "timestamp",
        o_totalprice AS total, o_orderstatus AS status FROM orders"""
 
+USER_RANGES = """ranges AS (
+  SELECT DISTINCT * FROM (
+    SELECT c_custkey AS user_id, TIMESTAMP '2024-01-01' + to_days(CAST(c_custkey % 15 AS INTEGER)) AS "start",
+           TIMESTAMP '2024-01-01' + to_days(CAST(c_custkey % 15 + 1 + c_custkey % 20 AS INTEGER)) + to_hours(c_custkey % 24) AS "end"
+    FROM customer
+    UNION ALL
+    SELECT c_custkey, TIMESTAMP '2024-01-01' + to_days(CAST(c_custkey % 11 AS INTEGER)),
+           TIMESTAMP '2024-01-01' + to_days(CAST(c_custkey % 11 + 3 + c_custkey % 2 AS INTEGER)) FROM customer))"""
+
+
+def _in_ranges(met: str) -> str:
+    return f"""WITH {SESSIONS}, {USER_RANGES}
+SELECT r.user_id, r."start", r."end",
+       count(s.user_id) AS session_count, CAST(coalesce(sum(duration_seconds), 0) AS BIGINT) AS total_duration
+FROM ranges r LEFT JOIN sess s ON s.user_id = r.user_id AND {met}
+GROUP BY ALL"""
+
+
+def _ranked(value: str) -> str:
+    return f"""SELECT user_id, {value}, row_number() OVER (ORDER BY {value} DESC, user_id) AS number,
+       rank() OVER (ORDER BY {value} DESC) AS rank, dense_rank() OVER (ORDER BY {value} DESC) AS dense
+FROM ({_clv("hours_only")})"""
+
+
 UNITS = "units AS (SELECT p_partkey AS product_id, CAST(50 + p_partkey * 37 % 900 AS BIGINT) AS stock FROM part)"
 
 STOCK = f"""WITH {ITEMS}, {UNITS},
@@ -332,6 +356,14 @@ ORACLE: dict[str, str] = {
     "clv_hours_only": _clv("hours_only"),
     "clv_top10": _clv("current", "ORDER BY clv DESC, user_id LIMIT 10"),
     "first_n_users": "SELECT c_custkey AS user_id, c_name AS name FROM customer ORDER BY c_custkey LIMIT 1000",
+    "engagement_in_user_ranges": _in_ranges('start_time > r."start" AND start_time <= r."end"'),
+    "engagement_during_user_ranges": _in_ranges('end_time > r."start" AND start_time <= r."end"'),
+    "clv_ranked": _ranked("clv"),
+    "purchase_ranks": _ranked("purchase_count"),
+    "upserted_orders": """
+      SELECT o_orderkey AS transaction_id, printf('order_%010d', o_orderkey) AS order_key, o_custkey AS user_id,
+             CASE WHEN o_orderkey % 3 = 0 THEN 'checked' ELSE o_orderstatus END AS status, o_totalprice AS total
+      FROM orders WHERE o_custkey % 2 = 0 OR o_orderkey % 3 = 0""",
     "merge_update": """
       WITH last AS (SELECT o_custkey, arg_max(o_orderstatus, (o_orderdate, o_orderkey)) AS segment,
                            max(o_totalprice) AS balance FROM orders GROUP BY 1)
@@ -414,3 +446,6 @@ ORACLE: dict[str, str] = {
     "append_table": f"{ORDERS} UNION ALL {ORDERS}",
     "ensure_table": ORDERS,
 }
+
+# The same rows as from one table.
+ORACLE["wide_rows_of_runs"] = ORACLE["wide_rows"]

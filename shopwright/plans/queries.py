@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shopwright import sinks
+from shopwright.sinks import keyed
 from shopwright.functions import (
     add_seconds,
     amount,
@@ -22,6 +23,7 @@ from shopwright.functions import (
 )
 from shopwright.operators import catalog, cells, customers, inventory, sales
 from shopwright.operators import sessions as S
+from shopwright.operators.numbering import numbered
 from shopwright.operators.nesting import gathered, nest, unnest
 from shopwright.operators.ordered import heavy_groups
 from shopwright.shared import discard_at_end, new_folder, stored
@@ -454,6 +456,49 @@ def merge_update(spark, folder):
     ).select("user_id", "name", "segment", "balance")
 
 
+def _user_ranges(spark, folder):
+    """Two time ranges of each user's own, from a day to some weeks long, which may overlap."""
+    day = F.lit("2024-01-01 00:00:00").cast("timestamp")
+    own = [
+        (F.col("user_id") % 15, 1 + F.col("user_id") % 20, F.col("user_id") % 24),
+        (F.col("user_id") % 11, 3 + F.col("user_id") % 2, F.lit(0)),
+    ]
+    spans = []
+    for first, days, hours in own:
+        start = day + F.make_dt_interval(first.cast("int"))
+        end = start + F.make_dt_interval(days.cast("int"), hours.cast("int"))
+        spans.append(F.struct(start.alias("start"), end.alias("end")))
+    return W.user_ids(spark, folder).select("user_id", F.inline(F.array(*spans)))
+
+
+@query
+def engagement_in_user_ranges(spark, folder):
+    """Sessions that start in each user's own ranges."""
+    return customers.engagement_in_ranges(_user_ranges(spark, folder), W.session_spans(spark, folder))
+
+
+@query
+def engagement_during_user_ranges(spark, folder):
+    """Sessions of which any time lies in each user's own ranges."""
+    return customers.engagement_in_ranges(
+        _user_ranges(spark, folder), W.session_spans(spark, folder), during="end_time"
+    )
+
+
+@query
+def clv_ranked(spark, folder):
+    """Customers with their place by lifetime value; equal values share a rank."""
+    ranked = numbered(_clv(spark, folder, "hours_only"), ["-clv"], ["user_id"], dense="dense")
+    return ranked.select("user_id", "clv", "number", "rank", "dense")
+
+
+@query
+def purchase_ranks(spark, folder):
+    """Customers by number of purchases, where very many are equal."""
+    bought = _clv(spark, folder, "hours_only").select("user_id", "purchase_count")
+    return numbered(bought, ["-purchase_count"], ["user_id"], dense="dense")
+
+
 # --- cells -------------------------------------------------------------------
 
 
@@ -538,6 +583,44 @@ def wide_rows(spark, folder):
     )
 
 
+def _keyed(spark, df, key, buckets=8):
+    """An empty table by key, cut where this data's keys are."""
+    path = new_folder(spark, "keyed")
+    splits = keyed.split_points(df.select(key), 16)
+    discard_at_end(spark, path)
+    return keyed.create(spark, "keyed_" + path.rsplit("-", 1)[1], path, df.schema, key, splits, buckets)
+
+
+@query
+def wide_rows_of_runs(spark, folder):
+    """Three loads kept as sorted runs, two of them merged, and then read as one row per key."""
+    writes = stored(_colliding(spark, folder), "writes")
+    table = _keyed(spark, writes, "row_key")
+    for version in range(3):
+        keyed.add_run(writes.filter(F.col("version") == version), table)
+        if version == 1:
+            keyed.compact_cells(table, versions=1)
+    return cells.wide_rows(table.rows()).select(
+        "row_key",
+        map_value("cells", "seen:event", "").alias("event"),
+        map_value("cells", "seen:page", "").alias("page"),
+    )
+
+
+@query
+def upserted_orders(spark, folder):
+    """Orders of half the customers, and then a third of all orders put over them, twice."""
+    orders = W.transactions(spark, folder).select(
+        "transaction_id", padded_id("order_", 10, "transaction_id").alias("order_key"), "user_id", "status", "total"
+    )
+    table = _keyed(spark, orders, "order_key")
+    keyed.add_run(orders.filter(F.col("user_id") % 2 == 0), table)
+    checked = orders.filter(F.col("transaction_id") % 3 == 0).withColumn("status", F.lit("checked"))
+    for _ in range(2):
+        keyed.upsert(checked, table)
+    return table.rows().drop(keyed.RANGE)
+
+
 def _versioned(spark, folder):
     return W.events(spark, folder).select(
         W.user_label().alias("row_key"),
