@@ -9,7 +9,7 @@ and with any digits. A template that recurs in at least ``min_docs`` unrelated d
 
 Copies of one text must not make its lines recurring; they are left to near-duplicate
 removal. What a line's documents have in common is judged by the rest of their texts, which the line cannot
-decide: other lines are cut into chunks of a few words, and the ``MARKS`` chunks whose MD5 is smallest
+decide: chunks of a few words are taken from the other lines, and the ``MARKS`` chunks whose MD5 is smallest
 are the document's marks for this line. Documents that share ``SHARED`` marks are related. A document counts as one part in as
 many as share its third commonest mark under the template (its rarest, if it has fewer), so copies and
 edited copies count about once, however many there are, and take nothing from the count of others. Documents of nothing but
@@ -41,8 +41,9 @@ MIN_TOKENS = 3
 FIXED = 0.75
 MARKS = 8
 SHARED = 3
-# Fixed value: a chunk ends after a word that ends in one of these letters; chunks of one word are too common to tell.
-CHUNK = "([an-z]) "
+# A chunk ends after a word that ends in one of these letters; chunks of one word are too common to tell.
+# In a text of LONG characters or more it is the three words after one of these rarer endings, of which there are enough.
+CHUNK, RARE, LONG = "([an-z]) ", "([aeou][rst]) ", 2000
 FIELD = "<*>"
 _WHOLE = 10**12
 
@@ -55,10 +56,14 @@ def _row_key() -> Column:
     return F.xxhash64("doc_id", "text")
 
 
-def _chunks(line: Column) -> Column:
+def _chunks(line: Column, long: Column) -> Column:
     """The smallest MD5 sums of a line's chunks of several words."""
-    parts = F.filter(F.split(F.regexp_replace(line, CHUNK, "$1\n"), "\n"), lambda part: F.contains(part, F.lit(" ")))
-    return F.slice(F.array_distinct(F.sort_array(F.transform(parts, lambda part: F.md5(part)))), 1, MARKS)
+    rare = F.split(F.regexp_replace(line, RARE, "$1\n"), "\n")
+    parts = F.when(long, F.transform(rare, lambda part: F.substring_index(part, " ", 3))).otherwise(
+        F.split(F.regexp_replace(line, CHUNK, "$1\n"), "\n")
+    )
+    told = F.filter(parts, lambda part: F.contains(part, F.lit(" ")))
+    return F.slice(F.array_distinct(F.sort_array(F.transform(told, lambda part: F.md5(part)))), 1, MARKS)
 
 
 def numbered_lines(docs: DataFrame, depth: int, min_tokens: int) -> DataFrame:
@@ -69,11 +74,11 @@ def numbered_lines(docs: DataFrame, depth: int, min_tokens: int) -> DataFrame:
             F.xxhash64(line).alias("line"), words_of(line, SPACE_BREAK).alias("tokens"), F.md5(line).alias("key"), line.alias("text")
         ),
     )
-    split = docs.select(_row_key().alias("row_key"), "doc_id", F.xxhash64("text").alias("text_key"), each.alias("lines"))
+    split = docs.select(_row_key().alias("row_key"), "doc_id", F.xxhash64("text").alias("text_key"), (F.length("text") >= LONG).alias("long"), each.alias("lines"))
     worded = F.array_distinct(
         F.transform(
             F.filter("lines", lambda line: F.size(line["tokens"]) > 0),
-            lambda line: F.named_struct(F.lit("key"), line["key"], F.lit("chunks"), _chunks(line["text"])),
+            lambda line: F.named_struct(F.lit("key"), line["key"], F.lit("chunks"), _chunks(line["text"], F.col("long"))),
         )
     )
     found = F.flatten(

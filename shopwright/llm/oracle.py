@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from shopwright.llm.licenses import COVERAGE, SLACK, TEMPLATES
-from shopwright.llm.line_dedup import CHUNK, DEPTH, FIXED, MARKS, MIN_DOCS, MIN_TOKENS, SHARED
+from shopwright.llm.line_dedup import CHUNK, DEPTH, FIXED, LONG, MARKS, MIN_DOCS, MIN_TOKENS, RARE, SHARED
 from shopwright.llm.quality import FLOORS, LEAST, SPREAD
 from shopwright.llm.url_filter import DEFAULT, RULES
 
@@ -73,13 +73,18 @@ lines as (
 texts as (select text, min(rid) as rid from docs where text is not null group by text),
 wording_in as (select distinct rid, line, leaf, tokens from lines join texts using (rid)),
 chunked as (
-  select rid, line, md5(part) as mark from (
-    select distinct rid, line, unnest(string_split(regexp_replace(line, '{CHUNK}', '\1' || chr(10), 'g'), chr(10))) as part
-    from wording_in)
+  select distinct rid, line, md5(part) as mark from (
+    select rid, line, unnest(case when length(text) >= {LONG}
+      then list_transform(string_split(regexp_replace(line, '{RARE}', '\1' || chr(10), 'g'), chr(10)),
+                          lambda p: array_to_string(string_split(p, ' ')[1:3], ' '))
+      else string_split(regexp_replace(line, '{CHUNK}', '\1' || chr(10), 'g'), chr(10)) end) as part
+    from wording_in join texts using (rid))
   where contains(part, ' ')
-  qualify row_number() over (partition by rid, line order by mark) <= {MARKS}),
+  ),
+best_chunks as (
+  select * from chunked qualify row_number() over (partition by rid, line order by mark) <= {MARKS}),
 first_chunks as (
-  select * from chunked qualify row_number() over (partition by rid order by mark, md5(line)) <= {2 * MARKS}),
+  select * from best_chunks qualify row_number() over (partition by rid order by mark, md5(line)) <= {2 * MARKS}),
 marks as (
   select distinct rid, line, mark from (
     select w.rid, w.line, c.mark from wording_in w join first_chunks c on c.rid = w.rid and c.line <> w.line
