@@ -364,6 +364,15 @@ ORACLE: dict[str, str] = {
       SELECT o_orderkey AS transaction_id, printf('order_%010d', o_orderkey) AS order_key, o_custkey AS user_id,
              CASE WHEN o_orderkey % 3 = 0 THEN 'checked' ELSE o_orderstatus END AS status, o_totalprice AS total
       FROM orders WHERE o_custkey % 2 = 0 OR o_orderkey % 3 = 0""",
+    "folded_summaries": """
+      SELECT printf('user_%06d', o_custkey) AS user_key, count(*) AS n,
+             CAST(sum(CAST(o_totalprice AS DECIMAL(28,6))) AS DOUBLE) AS spend, arg_max(o_orderkey, (o_orderdate, o_orderkey)) AS last_order
+      FROM orders GROUP BY 1""",
+    "checked_users": """
+      WITH marked AS (SELECT c_custkey, n_name, c_custkey % 7 <> 0 AND c_custkey % 11 <> 0 AS good FROM customer LEFT JOIN nation ON n_nationkey = c_nationkey)
+      SELECT 'good' AS kind, count(*) AS records, count(DISTINCT CASE WHEN n_name IS NOT NULL THEN c_custkey END) AS different FROM marked WHERE good
+      UNION ALL
+      SELECT 'bad', count(*), count(*) FROM marked WHERE NOT good""",
     "merge_update": """
       WITH last AS (SELECT o_custkey, arg_max(o_orderstatus, (o_orderdate, o_orderkey)) AS segment,
                            max(o_totalprice) AS balance FROM orders GROUP BY 1)

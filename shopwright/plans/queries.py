@@ -16,6 +16,7 @@ from shopwright.functions import (
     epoch_micros,
     iso_text,
     map_value,
+    money,
     padded_id,
     row_key,
     subcategory_id,
@@ -28,7 +29,7 @@ from shopwright.operators.nesting import gathered, nest, unnest
 from shopwright.operators.ordered import heavy_groups
 from shopwright.shared import discard_at_end, new_folder, stored
 from shopwright.sources import warehouse as W
-from shopwright.sources.entities import read_cells, read_entity, register_views
+from shopwright.sources.entities import read_cells, read_checked, read_entity, register_views
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -621,6 +622,23 @@ def upserted_orders(spark, folder):
     return table.rows().drop(keyed.RANGE)
 
 
+@query
+def folded_summaries(spark, folder):
+    """Purchase summaries kept up to date over three batches of orders."""
+    orders = W.transactions(spark, folder).withColumn("user_key", W.user_label())
+    last = F.struct("timestamp", "transaction_id")
+    state = {"n": F.count("*"), "spend": F.sum(money("total")).cast("decimal(38,6)"), "last": F.max(last)}
+    table = None
+    for batch in range(3):
+        made = orders.filter(F.col("transaction_id") % 3 == batch).groupBy("user_key").agg(
+            *(how.alias(c) for c, how in state.items())
+        )
+        table = table or _keyed(spark, made, "user_key")
+        merge = {"n": F.sum("n"), "spend": F.sum("spend").cast("decimal(38,6)"), "last": F.max("last")}
+        keyed.fold(made, table, merge)
+    return table.rows().select("user_key", "n", amount("spend").alias("spend"), F.col("last.transaction_id").alias("last_order"))
+
+
 def _versioned(spark, folder):
     return W.events(spark, folder).select(
         W.user_label().alias("row_key"),
@@ -695,6 +713,27 @@ def users_from_json(spark, folder):
     )
 
 
+@query
+def checked_users(spark, folder):
+    """Users read from JSON Lines of which every seventh is cut off and every eleventh has a text for its address."""
+    made = W.users(spark, folder).select(W.user_label().alias("user_id"), "geo_data", F.col("user_id").alias("number"))
+    line = F.to_json(F.struct("user_id", "geo_data"))
+    broken = (
+        F.when(F.col("number") % 7 == 0, F.substring(line, 1, 30))
+        .when(F.col("number") % 11 == 0, F.to_json(F.struct("user_id", F.lit("nowhere").alias("geo_data"))))
+        .otherwise(line)
+    )
+    path = new_folder(spark, "users")
+    made.select(broken.alias("value")).write.mode("overwrite").format("text").save(f"{path}/lines.json")
+    discard_at_end(spark, path)
+    good, bad = read_checked(spark, "users", f"{path}/lines.json")
+    counted = [
+        df.agg(F.lit(kind).alias("kind"), F.count("*").alias("records"), F.count_distinct(*keys).alias("different"))
+        for kind, df, keys in (("good", good, ["user_id", "geo_data.state"]), ("bad", bad, ["record"]))
+    ]
+    return counted[0].unionByName(counted[1])
+
+
 @query
 def catalog_from_json(spark, folder):
     """Products and categories as documents, each category stored twice."""

@@ -164,6 +164,21 @@ def update(df: DataFrame, table: KeyedTable, columns: Sequence[str]) -> list[int
     return ranges
 
 
+def fold(states: DataFrame, table: KeyedTable, merge: dict[str, Column]) -> list[int]:
+    """Fold a batch's aggregate states into the stored ones by key; returns the numbers of the rewritten ranges.
+
+    ``merge`` says for every column but the key how states go together, as sum, min or max do. A batch counts
+    each time it is folded. Null keys are one group.
+    """
+    states = stored(states.select(*table.columns()), "states")
+    ranges = touched(states, table)
+    if ranges:
+        old = table.rows().filter(F.col(RANGE).isin(ranges)).drop(RANGE)
+        merged = old.unionByName(states).groupBy(table.key).agg(*(how.alias(c) for c, how in merge.items()))
+        _replace(merged, table)
+    return ranges
+
+
 def compact_cells(table: KeyedTable, ranges: Sequence[int] | None = None, versions: int = 3) -> None:
     """Merge the runs of a table of cells, all or some of its ranges, into one that keeps the newest versions.
 
