@@ -4,6 +4,7 @@ from shopwright.functions.columns import (
     add_seconds,
     amount,
     money,
+    money_sum,
     plain_number,
     epoch_micros,
     iso_text,
@@ -20,6 +21,7 @@ __all__ = [
     "add_seconds",
     "amount",
     "money",
+    "money_sum",
     "plain_number",
     "epoch_micros",
     "iso_text",

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shopwright.functions import amount, epoch_micros, money
+from shopwright.functions import amount, epoch_micros, money_sum
 from shopwright.operators.intervals import in_ranges, overlapping
 from shopwright.operators.sessions import sessions_in_range
 
@@ -35,7 +35,7 @@ def distinct_users(df: DataFrame) -> DataFrame:
 def purchase_totals(transactions: DataFrame) -> DataFrame:
     """user_id, total_spend, purchase_count."""
     return transactions.groupBy("user_id").agg(
-        amount(F.sum(money("total"))).alias("total_spend"),
+        amount(money_sum("total")).alias("total_spend"),
         F.count("*").alias("purchase_count"),
     )
 
@@ -70,7 +70,7 @@ def with_empty_summary(users: DataFrame) -> DataFrame:
 def user_summary(users: DataFrame, transactions: DataFrame) -> DataFrame:
     """Users with purchase count and average spend; zeros where a user bought nothing."""
     totals = transactions.groupBy("user_id").agg(
-        F.count("*").alias("n"), amount(F.sum(money("total"))).alias("spend")
+        F.count("*").alias("n"), amount(money_sum("total")).alias("spend")
     )
     summary = F.struct(
         F.col("n").alias("total_purchases"),

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from shopwright.shared import stored
@@ -54,7 +54,7 @@ def numbered(df: DataFrame, by: Sequence[str], ties: Sequence[str], number: str
         if not (goes_on and edge["values"] == 1):
             began = before + edge["rows"] - edge["tail"] + 1
         before, values, value = before + edge["rows"], values - goes_on + edge["values"], edge["last"]
-    carry = df.sparkSession.createDataFrame(carried, "__part int, __before long, __values long, __began long")
+    carry = _constants(df.sparkSession, carried)
     within = Window.partitionBy("__part").orderBy(*order)
     ranked = Window.partitionBy("__part").orderBy(*_directed(by))
     out = parts.join(F.broadcast(carry), "__part").withColumns(
@@ -69,6 +69,13 @@ def numbered(df: DataFrame, by: Sequence[str], ties: Sequence[str], number: str
     return out.select(*(F.col(f"`{c}`") for c in df.columns), *(column.alias(name) for name, column in made.items()))
 
 
+def _constants(spark: SparkSession, rows: Sequence[tuple]) -> DataFrame:
+    """What is carried over, as part of the plan."""
+    kinds = {"__part": "int", "__before": "long", "__values": "long", "__began": "long"}
+    made = [F.struct(*(F.lit(v).cast(kind).alias(name) for v, (name, kind) in zip(row, kinds.items()))) for row in rows or [(0, 0, 0, None)]]
+    return spark.range(1).select(F.inline(F.array(*made)))
+
+
 def _ascending(name: str) -> Column:
     """Something that sorts rising as the column does in its direction, nulls last: for numbers and times."""
     value = F.col(name.lstrip("-"))

@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shopwright.functions import amount, money
+from shopwright.functions import amount, money_sum
 from shopwright.operators.nesting import nest, unnest
 from shopwright.operators.ordered import PROBE, Heavy
 from shopwright.shared import stored
@@ -37,7 +37,7 @@ def fill_defaults(df: DataFrame, defaults: dict) -> DataFrame:
 def product_sales(items: DataFrame) -> DataFrame:
     """product_id, exact revenue, quantity."""
     return items.groupBy("product_id").agg(
-        F.sum(money("subtotal")).alias("revenue"),
+        money_sum("subtotal").alias("revenue"),
         F.sum("quantity").cast("bigint").alias("total_quantity"),
     )
 
@@ -45,8 +45,8 @@ def product_sales(items: DataFrame) -> DataFrame:
 def product_totals(items: DataFrame) -> DataFrame:
     """product_id, revenue of its items, order_revenue (each order's total once per item) and quantity, exact."""
     return items.groupBy("product_id").agg(
-        F.sum(money("subtotal")).alias("revenue"),
-        F.sum(money("total")).alias("order_revenue"),
+        money_sum("subtotal").alias("revenue"),
+        money_sum("total").alias("order_revenue"),
         F.sum("quantity").cast("bigint").alias("total_quantity"),
     )
 
@@ -74,7 +74,7 @@ def top_products(items: DataFrame, n: int = 10) -> DataFrame:
 
 def revenue_by_category(items: DataFrame, products: DataFrame) -> DataFrame:
     """Item revenue per product category, largest first."""
-    per_product = items.groupBy("product_id").agg(F.sum(money("subtotal")).alias("revenue"))
+    per_product = items.groupBy("product_id").agg(money_sum("subtotal").alias("revenue"))
     return _per_category(per_product, products)
 
 
@@ -84,7 +84,7 @@ def revenue_by_category_order_total(items: DataFrame, products: DataFrame) -> Da
     An order with several items adds its total several times; this is a measure
     of the orders a category takes part in, not of its own sales.
     """
-    per_product = items.groupBy("product_id").agg(F.sum(money("total")).alias("revenue"))
+    per_product = items.groupBy("product_id").agg(money_sum("total").alias("revenue"))
     return _per_category(per_product, products)
 
 
@@ -100,7 +100,7 @@ def _per_category(per_product: DataFrame, products: DataFrame) -> DataFrame:
 
 def revenue_by_state(users: DataFrame, transactions: DataFrame, n: int = 10) -> DataFrame:
     """The n states whose users spent most. Null is a state of its own."""
-    spend = transactions.groupBy("user_id").agg(F.sum(money("total")).alias("revenue"))
+    spend = transactions.groupBy("user_id").agg(money_sum("total").alias("revenue"))
     return (
         users.select("user_id", F.col("geo_data.state").alias("state"))
         .join(spend, "user_id")
@@ -120,7 +120,7 @@ def daily_sales(transactions: DataFrame) -> DataFrame:
         day = day.cast(kind)
     return (
         transactions.groupBy(day.alias("day"))
-        .agg(amount(F.sum(money("total"))).alias("total_revenue"))
+        .agg(amount(money_sum("total")).alias("total_revenue"))
         .orderBy("day")
     )
 
@@ -131,7 +131,7 @@ def order_totals(items: DataFrame, keys: Sequence[str], rate: Column) -> DataFra
     ``rate`` is an aggregate or literal giving the order's discount rate.
     Amounts are decimals, rounded half up to cents.
     """
-    subtotal = F.round(F.sum(money("subtotal")), 2).cast("decimal(18,2)")
+    subtotal = F.round(money_sum("subtotal"), 2).cast("decimal(18,2)")
     return (
         items.groupBy(*keys)
         .agg(subtotal.alias("subtotal"), rate.cast("decimal(6,4)").alias("rate"))

@@ -16,7 +16,7 @@ from shopwright.functions import (
     epoch_micros,
     iso_text,
     map_value,
-    money,
+    money_sum,
     padded_id,
     row_key,
     subcategory_id,
@@ -627,7 +627,7 @@ def folded_summaries(spark, folder):
     """Purchase summaries kept up to date over three batches of orders."""
     orders = W.transactions(spark, folder).withColumn("user_key", W.user_label())
     last = F.struct("timestamp", "transaction_id")
-    state = {"n": F.count("*"), "spend": F.sum(money("total")).cast("decimal(38,6)"), "last": F.max(last)}
+    state = {"n": F.count("*"), "spend": money_sum("total").cast("decimal(38,6)"), "last": F.max(last)}
     table = None
     for batch in range(3):
         made = orders.filter(F.col("transaction_id") % 3 == batch).groupBy("user_key").agg(

@@ -11,7 +11,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shopwright.functions import amount, epoch_micros, money, padded_id, whole_seconds
+from shopwright.functions import amount, epoch_micros, money_sum, padded_id, whole_seconds
 from shopwright.operators import sessions as S
 from shopwright.operators.catalog import category_tree
 from shopwright.operators.ordered import Heavy
@@ -59,7 +59,7 @@ def buyers(spark: SparkSession, folder: str) -> DataFrame:
     """Users with their purchases and the date of the first one as registration date, from one pass over orders."""
     bought = transactions(spark, folder).groupBy("user_id").agg(
         F.min("timestamp").alias("registration_date"),
-        amount(F.sum(money("total"))).alias("total_spend"),
+        amount(money_sum("total")).alias("total_spend"),
         F.count("*").alias("purchase_count"),
     )
     return user_ids(spark, folder).join(bought, "user_id", "left")

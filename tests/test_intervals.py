@@ -104,3 +104,21 @@ def test_ranks_with_ties_over_many_partitions(spark, partitions):
             assert sorted((tuple(r) for r in got.collect()), key=repr) == ranked(rows)
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_sums_of_money_are_those_of_decimals(spark):
+    from shopwright.functions import money, money_sum
+
+    pick = random.Random(9)
+    values = [round(pick.uniform(-1e6, 1e6), 2) for _ in range(500)] + [0.1 + 0.2, 1e-7, 5e-7, 1 / 3, 4.99e9, 5.6e9, 1e20, -0.0, 0.005, None]
+    values += [123456789.123456, -1e-6, 9007199254740993.0]
+    rows = [(i % 7, v) for i, v in enumerate(values)] + [(8, None), (9, 0.01)]
+    df = spark.createDataFrame(rows, "k int, v double")
+    got = df.groupBy("k").agg(money_sum("v").alias("a"), F.sum(money("v")).alias("b")).collect()
+    assert all(r["a"] == r["b"] for r in got)
+    assert got and df.agg(money_sum("v").alias("a")).schema["a"].dataType.simpleString() == "decimal(38,6)"
+    exact = df.select(F.col("v").cast("decimal(28,6)").alias("v"))
+    assert exact.agg(money_sum("v").alias("a")).first()["a"] == exact.agg(F.sum("v").alias("a")).first()["a"]
+    for bad in (float("nan"), float("inf")):
+        with pytest.raises(Exception, match="not finite"):
+            spark.createDataFrame([(bad,)], "v double").agg(money_sum("v")).collect()
