@@ -23,11 +23,11 @@ Rows without a language take no part in learning. With nothing to learn from eve
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import regex
 import zstandard
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -45,9 +45,8 @@ LEVELS = (1, 6)
 PIECE_BYTES = 1 << 14
 MARGIN = 0.004
 
-# Everything but the letters of Unicode; numbers that are no digits count as word characters in patterns.
-_NUMBERS = "".join(c for c in map(chr, range(128, 0x110000)) if c.isalnum() and not c.isalpha() and not c.isdecimal())
-_NO_LETTER = re.compile(rf"[\W\d_{_NUMBERS}]+")
+# Everything but the letters of Unicode.
+_NO_LETTER = regex.compile(r"\P{L}+")
 
 
 def held_out(doc_id: Column) -> Column:
