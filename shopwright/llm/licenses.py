@@ -30,6 +30,7 @@ from shopwright.llm.expr import ALNUM_BREAK, ascii_lower, filled, literal_rows,
 MAX_GRAMS = 100_000
 COVERAGE = 0.8
 SLACK = 3
+SEGMENT = 63
 
 
 @dataclass(frozen=True)
@@ -82,8 +83,8 @@ def template_grams(docs: DataFrame, templates: list[Template], k: int) -> DataFr
     for number, template in enumerate(templates):
         words = template.text.split()
         size = len(words) - k + 1
-        if not 0 < size <= 63:
-            raise ValueError(f"a template needs {k} to {62 + k} words: {template.text!r}")
+        if size <= 0:
+            raise ValueError(f"a template needs {k} words: {template.text!r}")
         rows += [(number, template.label, template.base, size, i, " ".join(words[i : i + k])) for i in range(size)]
     grams = literal_rows(
         docs.sparkSession, rows, "template int, label string, base boolean, grams int, at int, gram string"
@@ -122,21 +123,28 @@ def scan_licenses(
         .filter(F.col("template").isNotNull() | F.col("pos").isNull() | (F.col("pos") == 0))
         .select("row", "doc_id", "n_words", "template", "label", "base", "grams", "at", (F.col("pos") - F.col("at")).alias("diagonal"))
     )
+    # A bit for each of a template's grams, SEGMENT to a number; segments of a diagonal follow each other.
+    segment = F.expr(f"at div {SEGMENT}")
     diagonals = (
         hits.repartition("row")
-        .groupBy("row", "doc_id", "n_words", "template", "label", "base", "grams", "diagonal")
-        .agg(F.bit_or(F.expr("shiftleft(1L, at)")).alias("mask"), F.min("at").alias("lo"), F.max("at").alias("hi"))
+        .withColumn("segment", segment)
+        .groupBy("row", "doc_id", "n_words", "template", "label", "base", "grams", "diagonal", "segment")
+        .agg(F.bit_or(F.expr(f"shiftleft(1L, at % {SEGMENT})")).alias("mask"), F.min("at").alias("lo"), F.max("at").alias("hi"))
     )
-    order = Window.partitionBy("row", "template").orderBy("diagonal")
+    order = Window.partitionBy("row", "template").orderBy("diagonal", "segment")
     far = F.col("diagonal") - F.lag("diagonal").over(order) > F.when(F.col("base"), 0).otherwise(slack)
     islands = diagonals.withColumn("far", F.coalesce(far, F.lit(True)).cast("int")).withColumn(
         "island", F.sum("far").over(order)
     )
-    spans = islands.groupBy("row", "doc_id", "n_words", "template", "label", "base", "grams", "island").agg(
-        (F.bit_count(F.bit_or("mask")) / F.col("grams")).alias("share"),
+    island = ["row", "doc_id", "n_words", "template", "label", "base", "grams", "island"]
+    parts = islands.groupBy(*island, "segment").agg(
+        F.bit_count(F.bit_or("mask")).alias("there"),
         F.min(F.col("diagonal") + F.col("lo")).alias("first_word"),
         F.max(F.col("diagonal") + F.col("hi") + k).alias("end_word"),
     )
+    spans = parts.groupBy(*island).agg(
+        (F.sum("there") / F.col("grams")).alias("share"), F.min("first_word").alias("first_word"), F.max("end_word").alias("end_word")
+    )
     span = F.struct("first_word", "template", "label", "base", "end_word", "share")
     verified = F.col("share") >= F.when(F.col("base"), 1.0).otherwise(coverage)
     return spans.groupBy("row", "doc_id", "n_words").agg(

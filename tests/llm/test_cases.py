@@ -555,6 +555,28 @@ def test_native_operators_run_no_python(spark, name):
         assert word not in text.getvalue()
 
 
+def test_licences_of_any_length_are_found(spark):
+    import random
+
+    pick = random.Random(4)
+    whole = [f"{pick.choice(['grant', 'notice', 'copy', 'source', 'form'])}{pick.randrange(300)}" for _ in range(2000)]
+    known = [licenses.Template("long", " ".join(whole)), licenses.Template("half", " ".join(whole[:64]))]
+    inserted = list(whole)
+    for place in range(1900, 0, -400):
+        inserted.insert(place, "hereinafter")
+    rows = [
+        (1, " ".join(whole), None), (2, "before it " + " ".join(inserted) + " after", None),
+        (3, " ".join(whole[:1700]), None), (4, " ".join(whole[:1500]), None), (5, " ".join(reversed(whole)), None),
+    ]
+    got = {r["doc_id"]: r for r in licenses.scan_licenses(docs(spark, rows), known).collect()}
+    found = {i: [(s["label"], s["first_word"], s["end_word"]) for s in r["spans"]] for i, r in got.items()}
+    assert found[1] == [("long", 0, 2000), ("half", 0, 64)]
+    # Inserted words move the diagonal on by more than the slack in the end, which is merged step by step.
+    assert [f[0] for f in found[2]] == ["long", "half"] and found[2][0][1:] == (2, 2007)
+    assert [f[0] for f in found[3]] == ["long", "half"] and [f[0] for f in found[4]] == ["half"] and found[5] == []
+    assert got[1]["best"] == 1.0 and abs(got[3]["best"] - 1.0) < 1e-9
+
+
 # --- names, letters and collisions ------------------------------------------------
 
 
