@@ -63,7 +63,8 @@ def overlapping(
     seen = [_levels(side) or [0] for side in sides]
     left, right = _bins(sides[0], seen[1], fine), _bins(sides[1], seen[0], fine)
     left = left.withColumnsRenamed({c: f"{c}_of_row" for c in ("__first", "__last", "__level", "__low")})
-    met = left.join(right, [*keys, "__at", "__bin"])
+    # Spark takes a side for as small as its file, whatever number of bins it is cut into, and would send them through the driver.
+    met = left.join(right.hint("merge"), [*keys, "__at", "__bin"])
     # At the level of the longer span, and in the first bin that both have.
     once = (F.col("__at") == F.greatest("__level_of_row", "__level")) & (F.col("__bin") == F.greatest("__low_of_row", "__low"))
     meet = (F.col("__first_of_row") <= F.col("__last")) & (F.col("__first") <= F.col("__last_of_row"))

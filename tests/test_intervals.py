@@ -75,6 +75,24 @@ def test_a_hot_user_is_spread_over_bins_without_a_cross_join(spark):
     assert rows.filter("user_id = 7").select(F.expr("shiftright(unix_micros(start_time), 38 - 4)")).distinct().count() >= 8
 
 
+def test_a_small_file_of_many_bins_is_not_sent_through_the_driver(spark, tmp_path):
+    # A user's number takes a few bytes in the file, its ranges' bins a thousand; Spark only knows the former.
+    spark.range(2000).withColumnRenamed("id", "user_id").write.parquet(str(tmp_path / "users"))
+    spark.sql("select id % 500 user_id, timestamp_seconds(id * 60) start_time, timestamp_seconds(id * 60 + 9) end_time, '9' duration_seconds from range(2000)"
+              ).write.parquet(str(tmp_path / "rows"))
+    users, rows = spark.read.parquet(str(tmp_path / "users")), spark.read.parquet(str(tmp_path / "rows"))
+    ranges = users.select("user_id", F.timestamp_seconds(F.lit(0)).alias("start"), F.timestamp_seconds(F.lit(90_000)).alias("end"))
+    for during, sessions in ((None, 1500), ("end_time", 1501)):
+        got = engagement_in_ranges(ranges, rows, during=during)
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        joins = [line for line in plan.splitlines() if "Join" in line and "__bin" in line]
+        assert joins and all("SortMergeJoin" in line for line in joins)
+        assert got.agg(F.sum("session_count")).first()[0] == sessions
+    found = in_ranges(rows, ranges, ["user_id"], "start_time", "start", "end")
+    assert len(found.collect()) == 1500
+    assert "BroadcastHashJoin" not in found._jdf.queryExecution().executedPlan().toString()
+
+
 def ranked(rows):
     order = sorted(rows, key=lambda r: (r[1] is None, -(r[1] or 0), r[0]))
     out, rank, dense = [], 0, 0
