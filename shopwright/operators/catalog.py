@@ -78,16 +78,14 @@ def sort_price_history(
         changes, ["product_id"], ["date", "price"], ["price", "date"], "price_history", part_rows=part_rows, heavy=heavy
     )
     kind = lists.schema["price_history"].dataType.simpleString()
-    return (
-        facts.join(price_summary(changes).drop("changes"), "product_id", "left")
-        .join(lists, "product_id", "left")
-        .withColumns(
-            {
-                "part": F.coalesce("part", F.lit(0)),
-                "price_history": F.coalesce("price_history", F.array().cast(kind)),
-            }
-        )
-    )
+    known = facts.join(price_summary(changes), "product_id", "left")
+    # Every part is joined with its product's one row, as a merge keeps the rows of the right: never those of a whole list.
+    # Without the hint Spark may take the lists for as small as their file, and broadcast them.
+    there = known.filter("changes is not null").drop("changes")
+    columns = [*there.columns, "part", "price_history"]
+    listed = lists.join(there.hint("merge"), "product_id").select(*columns)
+    empty = known.filter("changes is null").withColumns({"part": F.lit(0), "price_history": F.array().cast(kind)})
+    return listed.unionByName(empty.select(*columns))
 
 
 def price_timeline(

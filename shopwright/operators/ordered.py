@@ -23,7 +23,7 @@ GROUP_ROWS_CONF = "spark.shopwright.groupRows"
 GROUP_ROWS = 2_000_000
 
 # Rows per chunk of a cut group, where the session's shuffle partitions would be larger.
-CHUNK_ROWS = 10_000_000
+CHUNK_ROWS = GROUP_ROWS
 
 # Heavy groups are looked for with frequent-items sketches, one per slice of the
 # key space, so that no single task merges the sketches of all others. In a slice

@@ -212,19 +212,25 @@ def price_history_nested(spark, folder):
     listed = nest(
         W.price_changes(spark, folder), ["product_id"], ["price", "date"], ["price", "date"], "price_history"
     )
-    return _price_facts(catalog.sort_price_history(listed))
+    # Read several times from here on.
+    return _price_facts(catalog.sort_price_history(stored(listed, "price-lists")))
 
 
 def _price_facts(products):
-    """One row per product, whatever number of parts its list has."""
-    prices = gathered(products, ["product_id", "base_price", "current_price", "creation_date"], "price_history")
+    """One row per product, whatever number of parts its list has; only the parts' texts are put together."""
+    keys = ["product_id", "base_price", "current_price", "creation_date"]
+    floors = F.transform("price_history", lambda h: F.floor(h["price"]).cast("string"))
+    # A part without any price gives no text, so that it gives no blank either.
+    text = F.when(F.exists(floors, lambda p: p.isNotNull()), F.array_join(floors, " "))
+    piece = F.struct(F.size("price_history").alias("changes"), text.alias("prices"))
+    prices = gathered(products.select(*keys, "part", F.array(piece).alias("pieces")), keys, "pieces")
     return prices.select(
         "product_id",
-        F.size("price_history").alias("changes"),
+        F.aggregate("pieces", F.lit(0), lambda n, p: n + p["changes"]).alias("changes"),
         "base_price",
         "current_price",
         "creation_date",
-        F.array_join(F.transform("price_history", lambda h: F.floor(h["price"]).cast("string")), " ").alias("prices"),
+        F.array_join("pieces.prices", " ").alias("prices"),
     )
 
 
@@ -235,7 +241,8 @@ def price_history_by_category(spark, folder):
     changes = W.price_changes(spark, folder).join(goods, "product_id")
     changes = changes.select(F.col("category").alias("product_id"), "date", "price")
     listed = nest(changes, ["product_id"], ["price", "date"], ["price", "date"], "price_history", part_rows=100)
-    return _price_facts(catalog.sort_price_history(listed, part_rows=100)).withColumnRenamed("product_id", "category_id")
+    prices = _price_facts(catalog.sort_price_history(stored(listed, "price-lists"), part_rows=100))
+    return prices.withColumnRenamed("product_id", "category_id")
 
 
 @query
