@@ -157,14 +157,21 @@ class Decoder:
 
     def restored(self, token: str) -> list[str]:
         """The words of the cheapest reading; equally cheap ones go to the one found first."""
-        costs = self.costs
+        costs, numbers = self.costs, self.numbers
         # The two letters before: cost, and the path as linked pairs. Most of the time there is one.
         alive: dict[int, tuple[float, tuple | None]] = {0: (0.0, None)}
         before = earlier = ""
         for char in token:
-            number = self.number(char)
+            number = numbers.get(char)
+            if number is None:
+                number = self.number(char)
             reached: dict[int, tuple[float, tuple | None]] = {}
             if number and char != before:
+                if len(alive) == 1:
+                    [(context, (cost, path))] = alive.items()
+                    reached[context % SYMBOLS * SYMBOLS + number] = cost + costs[context * SYMBOLS + number], (path, char)
+                    alive, earlier, before = reached, before, char
+                    continue
                 for context, (cost, path) in alive.items():
                     to = context % SYMBOLS * SYMBOLS + number
                     cost += costs[context * SYMBOLS + number]
@@ -216,21 +223,27 @@ class Words(dict):
         self.decoder = Decoder(costs)
 
     def __missing__(self, token: str) -> list[str]:
-        bare = token if " " in token else _NOISE.sub("", token.strip(_EDGE)).strip(_EDGE)
-        if bare.isalpha() and not _DOUBLED.search(bare):
-            words = [bare]
-        elif any(map(str.isalpha, bare)):
-            words = [word for word in self.decoder.restored(bare) if len(word) > 1]
-            # As written, too, where it is letters only.
-            if bare.isalpha() and bare not in words:
-                words.append(bare)
-        else:
-            words = []
+        words = self.meant(token)
         if len(self) >= CACHED_TOKENS:
             self.clear()
         self[token] = words
         return words
 
+    def meant(self, token: str) -> list[str]:
+        """The words of a token, which is not kept."""
+        # Letters only have no edges to cut.
+        bare = token if token.isalpha() or " " in token else _NOISE.sub("", token.strip(_EDGE)).strip(_EDGE)
+        letters = bare.isalpha()
+        if letters and not _DOUBLED.search(bare):
+            return [bare]
+        if not letters and not any(map(str.isalpha, bare)):
+            return []
+        words = [word for word in self.decoder.restored(bare) if len(word) > 1]
+        # As written, too, where it is letters only.
+        if letters and bare not in words:
+            words.append(bare)
+        return words
+
 
 def features(word: str) -> list[str]:
     return [f"{word}$", *(word[:k] for k in PREFIXES if len(word) >= k)]
@@ -377,21 +390,31 @@ def _weights(rows: DataFrame, costs: np.ndarray) -> dict[str, float]:
 
 
 class Weighed(dict):
-    """token: its telling words, each with the greatest weight of its features."""
+    """token: its telling words, each with the greatest weight of its features. ``dull`` are known tokens without any;
+    both are kept up to a number that has no influence on results."""
 
     def __init__(self, costs: np.ndarray, weights: dict[str, float]) -> None:
         super().__init__()
         self.words, self.weights = Words(costs), weights
+        self.dull: set[str] = set()
+        # How telling features begin: a word of four letters or more that begins otherwise has none.
+        self.heads = {feature[: PREFIXES[0]] for feature in weights}
 
     def __missing__(self, token: str) -> list[tuple[str, float]]:
         found = []
-        for word in self.words[token]:
+        for word in self.words.meant(token):
+            if len(word) >= PREFIXES[0] and word[: PREFIXES[0]] not in self.heads:
+                continue
             weight = max((self.weights[f] for f in features(word) if f in self.weights), default=0.0)
             if weight > 0:
                 found.append((word, weight))
-        if len(self) >= CACHED_TOKENS:
+        if len(self) + len(self.dull) >= 2 * CACHED_TOKENS:
             self.clear()
-        self[token] = found
+            self.dull.clear()
+        if found:
+            self[token] = found
+        else:
+            self.dull.add(token)
         return found
 
 
@@ -400,10 +423,10 @@ def signs(text: str, weighed: Weighed) -> list[float]:
     are, how many different ones and how many places there are, and, with telling words, the length."""
     counts = tokens(text)
     telling, places = {}, 0
-    for token, times in counts.items():
+    for token in set(counts).difference(weighed.dull):
         found = weighed[token]
         if found:
-            places += times * len(found)
+            places += counts[token] * len(found)
             telling.update(found)
     if not telling:
         return [1.0, 0.0, 0.0, 0.0, 0.0, 0.0]

@@ -164,3 +164,35 @@ def test_the_query_equals_scoring_in_one_process(spark):
     known = {r["doc_id"]: r["toxic"] for r in labels.collect()}
     held = [i for i in known if got[i]["held_out"]]
     assert sum(got[i]["predicted"] == known[i] for i in held) >= 0.9 * len(held)
+
+
+def test_dull_tokens_are_not_worked_on_again(monkeypatch):
+    made, weights = [], {"vile$": 2.0, "vileness": 1.5, "rottenn": 3.0, "bad$": 2.5, "vile": 1.75}
+    plain = tox.features
+    costs = np.random.default_rng(4).uniform(0, 6, tox.SYMBOLS**3).astype(np.float32)
+
+    def told(text):
+        """The signs from all features of all words."""
+        found, counts = tox.Words(costs), tox.tokens(text)
+        known = {w: max((weights.get(f, 0.0) for f in plain(w)), default=0.0) for token in counts for w in found[token]}
+        return known, sum(n for token, n in counts.items() for w in found[token] if known[w])
+
+    texts = [
+        "a vile word v1le (vile) vi!e vilest viper rottenness bad badly baad r o t t e n",
+        "green meadows and quiet rivers, gr33n meadows: 1234 !!! " * 3,
+        "",
+        "a vile word again and bad bad bad",
+    ]
+    monkeypatch.setattr(tox, "features", lambda word: made.append(word) or plain(word))
+    weighed = tox.Weighed(costs, weights)
+    for text in texts * 2:
+        known, places = told(text)
+        got, strong = tox.signs(text, weighed), sorted((w for w in known.values() if w), reverse=True)
+        assert got[1] == bool(strong)
+        if strong:
+            assert got[2] == sum(w * part for w, part in zip(strong[:3], (1.0, 0.5, 0.25)))
+            assert got[3:5] == [math.log1p(len(strong)), math.log1p(places)]
+    # Features are only made of words that begin like telling ones or are short, once a token.
+    assert not {"green", "meadows", "quiet", "rivers", "word", "again"} & set(made) and made.count("bad") == 1
+    # A token is kept once, with its telling words or without.
+    assert "meadows" in weighed.dull and "vile" in weighed and not weighed.words and not weighed.dull & set(weighed)
